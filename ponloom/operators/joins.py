@@ -1,0 +1,55 @@
+"""Joins of many rows with a table that is unique on the join key.
+
+Nothing here assumes that the table is small. Its size is measured first: a table within the
+bound is broadcast; a larger one is joined by a shuffle in which every key is spread over
+several tasks, so that one key which holds a large share of the rows is no task's burden.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, functions as F, types as T
+
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+SALTS = 16
+_SALT = "_salt"
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """Measure, on the cluster, whether a table is within the broadcast bound."""
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
+    width = F.lit(0).cast("bigint")
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.StringType):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(16)
+        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            width = width + F.octet_length(F.to_json(F.struct(field.name)))
+        else:
+            width = width + F.lit(8)
+    size = df.select(width.alias("w")).agg(F.count("*").alias("n"), F.sum("w").alias("b")).first()
+    return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
+
+
+def lookup_join(
+    facts: DataFrame, table: DataFrame, on: str | list[str], how: str = "inner",
+    spread_by: Iterable[str] = (), salts: int | None = None,
+) -> DataFrame:
+    """Join rows with a table that has at most one row per key.
+
+    ``how`` is inner, left, left_semi or left_anti. ``spread_by`` names columns of the rows
+    that differ inside one key; by their hash (never by chance, so that a task which runs
+    again makes the same rows) a key is spread when the table is too large to broadcast.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type {how!r}")
+    if fits_broadcast(table):
+        return facts.join(F.broadcast(table), on, how)
+    salts = SALTS if salts is None else salts
+    spread = [F.col(c) for c in (list(spread_by) or facts.columns)]
+    salted = facts.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    copies = table.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [*on, _SALT], how).drop(_SALT)
