@@ -9,10 +9,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import views as v
 from ponloom.functions.cells import first_truthy, parse_dbm
-from ponloom.functions.ports import pon_id
+from ponloom.functions.ports import pon_id, register_sql_functions
+from ponloom.functions.props import json_text_sql, prop
 from ponloom.functions.status import status_code
+from ponloom.operators import quality, upkeep
+from ponloom.operators.joins import lookup_join
 from ponloom.operators.latest import fold_latest, latest
+from ponloom.operators.lineage import cut
+from ponloom.operators.normalize import normalize_polls
+from ponloom.operators.presence import (
+    apply_polls, evidence, islands, last_in_poll, poll_headers, poll_log, presence, seen_units,
+)
+from ponloom.operators.unit_import import classify, import_units
 from ponloom.plans import boxes, tree, units
+from ponloom.sinks.files import export_units
+from ponloom.sources.config import overlay_config
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -140,7 +151,7 @@ def _pon_ids(spark, d, mode):
     names = F.explode(F.array("vendor", F.upper("vendor"), F.lit("acme"), F.lit("1240xa")))
     devices = v.olt(spark, d).select(F.col("id").alias("olt_id"), names.alias("vendor"))
     return v.ont(spark, d).join(devices, "olt_id").select(
-        "id", "vendor", pon_id(F.col("vendor"), F.col("vendor_ont_id"), mode).alias("pon_id")
+        "id", "vendor", pon_id("vendor", "vendor_ont_id", mode).alias("pon_id")
     )
 
 
@@ -233,22 +244,314 @@ def grid_clusters(spark, d):
 def status_normalize(spark, d):
     vendors = F.explode(F.array(*[F.lit(x) for x in ("huawei", "zyxel1408A", "zyxel2406", "zyxel1240XA", "zyxel")]))
     return v.raw(spark, d).withColumn("vendor", vendors).select(
-        "seq", "vendor", status_code(F.col("vendor"), F.col("raw_status")).alias("status")
+        "seq", "vendor", status_code("vendor", "raw_status").alias("status")
     )
 
 
 @query
 def dbm_parse(spark, d):
     return v.raw(spark, d).select(
-        "seq", parse_dbm(F.col("rx")).alias("rx"), parse_dbm(F.col("rx"), missing="null").alias("rx_or_null")
+        "seq", parse_dbm("rx").alias("rx"), parse_dbm("rx", missing="null").alias("rx_or_null")
     )
 
 
 @query
 def first_truthy_power(spark, d):
     r = v.raw(spark, d)
-    record = F.create_map(
-        F.lit("ONT Rx"), F.when(F.col("seq") % 2 == 0, F.col("rx")), F.lit("Rx"), F.lit(""),
-        F.lit("PRX"), F.concat(F.col("seq").cast("string"), F.lit(".5 dBm")),
+    record = "map('ONT Rx', if(seq % 2 = 0, rx, NULL), 'Rx', '', 'PRX', seq || '.5 dBm') AS record"
+    picked = r.selectExpr("seq", record).select("seq", first_truthy("record", "ONT Rx", "rx", "Rx", "PRX").alias("rx"))
+    return picked.select("seq", parse_dbm("rx").alias("rx"))
+
+
+# ---- polls -------------------------------------------------------------------------------------
+
+def _rows(spark, d):
+    return normalize_polls(v.poll_records(spark, d))
+
+
+def _polls(spark, d):
+    """Normalised rows and poll headers of the whole event table, computed once."""
+    records = v.poll_records(spark, d)
+    return cut(normalize_polls(records)), cut(poll_headers(records))
+
+
+@query
+def poll_normalize(spark, d):
+    rows = _rows(spark, d)
+    names = ["Status", "run_state", "Distance", "filter", "__vendor"]
+    return rows.select(
+        "poll_id", "olt_id", "vendor", "pos", "time", "vendor_ont_id", "ptx", "prx", "status", "serial", "model",
+        "description", *[prop("props", n).alias("prop_" + n.strip("_").lower()) for n in names],
+    )
+
+
+@query
+def poll_dedup_last(spark, d):
+    return last_in_poll(_rows(spark, d)).drop("vendor")
+
+
+@query
+def poll_log_results(spark, d):
+    rows, headers = _polls(spark, d)
+    return poll_log(headers, rows, min_units=3).select(
+        "poll_id", "olt_id", "vendor", "polled_at", "n_units", "n_records", "result", "evidence"
+    )
+
+
+@query
+def presence_islands(spark, d):
+    rows, headers = _polls(spark, d)
+    seen = seen_units(rows, parity=True)
+    polls = evidence(poll_log(headers, rows), seen, parity=True)
+    return islands(presence(seen, polls)).drop("scope")
+
+
+@query
+def key_resolution(spark, d):
+    rows = last_in_poll(_rows(spark, d))
+    ids = v.ont(spark, d).select(F.col("id").alias("ont_id"), "olt_id", "vendor_ont_id")
+    return lookup_join(rows, ids, ["olt_id", "vendor_ont_id"], spread_by=["poll_id"]).select(
+        "time", "ont_id", "ptx", "prx", "status"
+    )
+
+
+def _apply(spark, d, **how):
+    rows, headers = _polls(spark, d)
+    return apply_polls(v.ont(spark, d), rows, headers, **how)
+
+
+@query
+def polls_applied_units(spark, d):
+    """Whole-device deletes. New ids are ours to choose, so units that are new show none."""
+    return _known_ids(spark, d, _apply(spark, d, parity=True).units)
+
+
+@query
+def polls_applied_units_by_scope(spark, d):
+    return _known_ids(spark, d, _apply(spark, d).units)
+
+
+@query
+def polls_applied_units_kept(spark, d):
+    return _known_ids(spark, d, _apply(spark, d, delete_missing=False).units)
+
+
+def _known_ids(spark, d, after):
+    before = v.ont(spark, d).select("id", F.lit(True).alias("_known"))
+    return after.join(before, "id", "left").select(
+        F.when(F.col("_known"), F.col("id")).alias("id"), "olt_id", "vendor_ont_id", "cto_uuid", "lon", "lat",
+        "serial", "model", "description", "status", prop("props", "Status").alias("prop_status"),
+        prop("props", "run_state").alias("prop_run_state"),
+    )
+
+
+@query
+def polls_applied_readings(spark, d):
+    after = _apply(spark, d, parity=True)
+    units_ = after.units.select(F.col("id").alias("ont_id"), "olt_id", "vendor_ont_id")
+    return after.readings.join(units_, "ont_id").drop("ont_id")
+
+
+@query
+def polls_removed_units(spark, d):
+    return _apply(spark, d, parity=True).removed
+
+
+# ---- upkeep ------------------------------------------------------------------------------------
+
+def _last_poll(spark, d):
+    """Units of the newest good poll of each device."""
+    rows = _rows(spark, d)
+    newest = rows.groupBy("olt_id").agg(F.max("poll_id").alias("poll_id"))
+    return rows.join(newest, ["olt_id", "poll_id"], "left_semi"), newest
+
+
+@query
+def delete_missing_anti(spark, d):
+    seen, scope = _last_poll(spark, d)
+    _, removed = upkeep.delete_missing(v.ont(spark, d), seen, scope, ["olt_id", "vendor_ont_id"], ["olt_id"])
+    return removed.select("id", "olt_id", "vendor_ont_id")
+
+
+@query
+def delete_missing_kept(spark, d):
+    seen, scope = _last_poll(spark, d)
+    kept, _ = upkeep.delete_missing(v.ont(spark, d), seen, scope, ["olt_id", "vendor_ont_id"], ["olt_id"])
+    return kept.select("id", "olt_id", "vendor_ont_id")
+
+
+@query
+def cascade_readings(spark, d):
+    seen, scope = _last_poll(spark, d)
+    _, removed = upkeep.delete_missing(v.ont(spark, d), seen, scope, ["olt_id", "vendor_ont_id"], ["olt_id"])
+    return upkeep.cascade(v.power(spark, d), removed, "ont_id", spread_by=["time"])
+
+
+@query
+def upsert_units(spark, d):
+    """Supplier rows as changes: some keys are those of units, some are new."""
+    s, units_ = v.equipment(spark, d), v.ont(spark, d).drop("id")
+    number = F.substring_index("uuid", "-", -1).cast("bigint")
+    changes = s.select(number.alias("id"), F.col("nombre").alias("note"), "tipo").join(
+        v.ont(spark, d).select("id", "olt_id", "vendor_ont_id"), "id", "left"
+    ).select(
+        F.when(F.col("tipo") == 11, F.col("olt_id")).otherwise("olt-new").alias("olt_id"),
+        F.coalesce("vendor_ont_id", "note").alias("vendor_ont_id"), F.col("note").alias("serial"),
+        F.col("note").alias("description"), F.lit(9).alias("status"), F.lit('{"Status":"new"}').alias("props"),
+    ).where("olt_id IS NOT NULL")
+    return upkeep.upsert(units_, changes, ["olt_id", "vendor_ont_id"], ["status", "props"]).withColumn(
+        "props", prop("props", "Status")
+    )
+
+
+def _olt_changes(spark, d):
+    region = spark.read.parquet(f"{d}/region.parquet")
+    k = F.col("r_regionkey")
+    return region.select(
+        F.concat(F.lit("olt-"), F.lpad((k * 6).cast("string"), 2, "0")).alias("id"), F.lit("zyxel").alias("vendor"),
+        F.col("r_name").alias("host"), F.lit(161).alias("port"), F.when(k > 1, 60).otherwise(300).alias("poll_interval"),
+        F.lit(None).cast("string").alias("prompt"), F.col("r_name").alias("description"),
+    ).unionByName(region.select(
+        F.concat(F.lit("olt-x"), k.cast("string")).alias("id"), F.lit("huawei").alias("vendor"), F.col("r_name").alias("host"),
+        F.lit(23).alias("port"), F.lit(300).alias("poll_interval"), F.lit("#").alias("prompt"), F.lit("").alias("description"),
+    ))
+
+
+@query
+def upsert_olts_keep_vendor(spark, d):
+    columns = ["host", "port", "poll_interval", "prompt", "description"]
+    return upkeep.upsert(v.olt(spark, d), _olt_changes(spark, d), ["id"], columns)
+
+
+@query
+def seed_olts(spark, d):
+    return upkeep.seed(v.olt(spark, d), _olt_changes(spark, d), ["id"])
+
+
+@query
+def patch_units(spark, d):
+    """One patch per part: box, position, cleared position, half a position."""
+    k = F.col("p_partkey")
+    patches = spark.read.parquet(f"{d}/part.parquet").select(
+        k.alias("id"), (k % 2 == 0).alias("has_cto"), F.when(k % 4 == 0, F.col("p_brand")).alias("cto_uuid"),
+        (k % 3 != 0).alias("has_lon"), F.when(k % 5 != 0, F.col("p_retailprice")).alias("lon"),
+        (k % 7 != 0).alias("has_lat"), F.col("p_size").cast("double").alias("lat"),
+    )
+    return upkeep.apply_patches(v.ont(spark, d), patches).select("id", "cto_uuid", "lon", "lat")
+
+
+def _stale(spark, d):
+    stale = F.when(F.col("id") % 3 == 0, "").when(F.col("id") % 3 == 1, "old")
+    return v.ont(spark, d).withColumn("pon_id", stale)
+
+
+@query
+def backfill_pon_id(spark, d):
+    return upkeep.backfill_pon_id(_stale(spark, d), v.olt(spark, d)).select("id", "pon_id")
+
+
+@query
+def derive_pon_id(spark, d):
+    return upkeep.with_pon_id(v.ont(spark, d), v.olt(spark, d)).select("id", "pon_id")
+
+
+@query
+def derive_pon_id_sql(spark, d):
+    """The stored rule as a function of SQL."""
+    register_sql_functions(spark)
+    joined = v.ont(spark, d).join(v.olt(spark, d).select(F.col("id").alias("olt_id"), "vendor"), "olt_id")
+    return joined.select("id", F.expr("derive_pon_id(vendor, vendor_ont_id)").alias("pon_id"))
+
+
+@query
+def recalc_pon_id(spark, d):
+    before = v.olt(spark, d)
+    after = before.withColumn("vendor", F.when(F.col("poll_interval") == 300, F.when(F.col("vendor") == "zyxel", "zyxel2406").otherwise(F.upper("vendor"))))
+    return upkeep.recalc_pon_id(_stale(spark, d), before, after).select("id", "pon_id")
+
+
+# ---- files -------------------------------------------------------------------------------------
+
+@query
+def csv_export_rows(spark, d):
+    return export_units(v.ont(spark, d))
+
+
+@query
+def csv_import_classify(spark, d):
+    return classify(v.ont(spark, d), v.olt(spark, d), v.import_cells(spark, d)).select("line", "action", "code")
+
+
+@query
+def csv_import_errors(spark, d):
+    return import_units(v.ont(spark, d), v.olt(spark, d), v.import_cells(spark, d)).errors.select("line", "error")
+
+
+@query
+def csv_import_counts(spark, d):
+    return import_units(v.ont(spark, d), v.olt(spark, d), v.import_cells(spark, d)).report
+
+
+@query
+def csv_import_result(spark, d):
+    after = import_units(v.ont(spark, d), v.olt(spark, d), v.import_cells(spark, d)).units
+    before = v.ont(spark, d).select("id", F.lit(True).alias("_known"))
+    return after.join(before, "id", "left").withColumn("id", F.when(F.col("_known"), F.col("id"))).drop("_known", "props")
+
+
+@query
+def config_overlay(spark, d):
+    """Every device over the defaults of its region; a NULL prompt of its own wins."""
+    n = spark.read.parquet(f"{d}/nation.parquet").join(spark.read.parquet(f"{d}/region.parquet"), F.col("n_regionkey") == F.col("r_regionkey"))
+    k = F.col("n_nationkey")
+    device = F.map_from_arrays(
+        F.array(F.lit("id"), F.when(k % 2 == 0, "prompt").otherwise("description")),
+        F.array(F.concat(F.lit("olt-"), k.cast("string")), F.when(k % 4 != 0, F.col("n_name"))),
     )
-    return r.select("seq", parse_dbm(first_truthy(record, "ONT Rx", "rx", "Rx", "PRX")).alias("rx"))
+    defaults = F.create_map(F.lit("poll_interval"), F.lit("300"), F.lit("prompt"), F.col("r_name"), F.lit("password"), F.lit("x"))
+    devices = overlay_config(n.select(defaults.alias("defaults"), F.array(device).alias("olts")))
+    s = F.col("settings")
+    return devices.select(
+        "id", s["poll_interval"].alias("poll_interval"), s["prompt"].alias("prompt"), s["description"].alias("description"),
+        F.map_contains_key(s, "password").alias("has_password"),
+    )
+
+
+@query
+def props_extract(spark, d):
+    return v.ont(spark, d).select(
+        "id", *[prop(json_text_sql("props"), n).alias(n.lower()) for n in ("AID", "Status", "Distance")]
+    )
+
+
+@query
+def event_props_extract(spark, d):
+    e = spark.read.parquet(f"{d}/events.parquet")
+    return e.select("event_id", prop("props", "k").cast("bigint").alias("k"))
+
+
+# ---- quality -----------------------------------------------------------------------------------
+
+@query
+def dq_duplicates(spark, d):
+    return quality.duplicates(v.day_power(spark, d), ["day", "ont_id"])
+
+
+@query
+def dq_duplicate_readings(spark, d):
+    return quality.duplicates(v.power(spark, d), ["time", "ont_id"])
+
+
+@query
+def dq_orphans(spark, d):
+    return quality.orphans(v.ont(spark, d), v.cto(spark, d), "cto_uuid", "uuid", spread_by=["id"]).select("id", "cto_uuid")
+
+
+@query
+def dq_domain(spark, d):
+    return quality.domain_violations(_olt_changes(spark, d).unionByName(v.olt(spark, d)), "vendor", ["huawei", "zyxel1408A"])
+
+
+@query
+def dq_nulls(spark, d):
+    return quality.nulls(v.ont(spark, d), ["id", "olt_id", "cto_uuid", "lon"]).select("id", "null_columns")

@@ -1,90 +1,72 @@
 """The given tables seen as a fibre network.
 
-Every view takes whole tables. ``checks/oracle.py`` defines the same views in SQL.
+Every view takes whole tables. ``checks/oracle.py`` defines the same views for DuckDB.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from ponloom.functions.cells import strip
+from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = datetime(2024, 1, 31)
-VENDORS = ["huawei", "zyxel1408A", "zyxel2406", "zyxel1240XA", "zyxel"]
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _olt_id(key: Column) -> Column:
-    return F.concat(F.lit("olt-"), F.lpad(key.cast("string"), 2, "0"))
-
-
-def _vendor(key: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in VENDORS]), (key % 5 + 1).cast("int"))
+def _olt_id(key: str) -> str:
+    return f"'olt-' || lpad(CAST({key} AS string), 2, '0')"
 
 
-def _text(*parts) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
-
-def _unit_id(vendor: Column, k: Column) -> Column:
-    return (
-        F.when(vendor == "huawei", _text("0/", k % 3, "/", k % 8, "/", k))
-        .when(vendor.isin("zyxel2406", "zyxel1240XA"), _text("ont-", k % 3, "-", k % 8, "-", k))
-        .otherwise(_text("ont-", k % 8, "-", k))
-    )
+def _vendor(key: str) -> str:
+    return f"element_at(array('huawei', 'zyxel1408A', 'zyxel2406', 'zyxel1240XA', 'zyxel'), {key} % 5 + 1)"
 
 
 def olt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("n_nationkey")
-    return _read(spark, sf_dir, "nation").select(
-        _olt_id(k).alias("id"), _vendor(k).alias("vendor"), _text("10.0.0.", k).alias("host"),
-        F.lit(23).alias("port"), F.lit(300).alias("poll_interval"), F.lit(">").alias("prompt"),
-        F.when(k % 4 == 0, "").when(k % 4 != 1, F.col("n_name")).alias("description"),
+    return _read(spark, sf_dir, "nation").selectExpr(
+        f"{_olt_id('n_nationkey')} AS id", f"{_vendor('n_nationkey')} AS vendor",
+        "'10.0.0.' || n_nationkey AS host", "23 AS port", "300 AS poll_interval", "'>' AS prompt",
+        "CASE n_nationkey % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE n_name END AS description",
     )
 
 
 def ont(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, n = F.col("c_custkey"), F.col("c_nationkey")
-    located = k % 5 != 0
-    return _read(spark, sf_dir, "customer").select(
-        k.alias("id"), _olt_id(n).alias("olt_id"), _unit_id(_vendor(n), k).alias("vendor_ont_id"),
-        F.when(k % 3 == 0, _text("cto-", k % 120)).alias("cto_uuid"),
-        F.when(located, F.lit(-18.0) + ((k * 37) % 2250).cast("double") / F.lit(100.0)).alias("lon"),
-        F.when(located, F.lit(27.0) + ((k * 53) % 1700).cast("double") / F.lit(100.0)).alias("lat"),
-        F.col("c_name").alias("serial"), F.col("c_mktsegment").alias("model"),
-        F.when(k % 7 == 0, "").otherwise(F.col("c_name")).alias("description"),
-        (k % 4).cast("int").alias("status"),
-        _text('{"AID":"', _unit_id(_vendor(n), k), '","Status":"IS","Distance":"', k, ' m"}').alias("props"),
+    units = _read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS k", "c_name", "c_mktsegment", f"{_olt_id('c_nationkey')} AS olt_id",
+        """CASE WHEN c_nationkey % 5 = 0 THEN concat('0/', c_custkey % 3, '/', c_custkey % 8, '/', c_custkey)
+           WHEN c_nationkey % 5 IN (2, 3) THEN concat('ont-', c_custkey % 3, '-', c_custkey % 8, '-', c_custkey)
+           ELSE concat('ont-', c_custkey % 8, '-', c_custkey) END AS vendor_ont_id""",
+    )
+    return units.selectExpr(
+        "k AS id", "olt_id", "vendor_ont_id", "if(k % 3 = 0, 'cto-' || (k % 120), NULL) AS cto_uuid",
+        "if(k % 5 <> 0, -18.0D + CAST((k * 37) % 2250 AS double) / 100.0D, NULL) AS lon",
+        "if(k % 5 <> 0, 27.0D + CAST((k * 53) % 1700 AS double) / 100.0D, NULL) AS lat",
+        "c_name AS serial", "c_mktsegment AS model", "if(k % 7 = 0, '', c_name) AS description",
+        "CAST(k % 4 AS int) AS status",
+        """concat('{"AID":"', vendor_ont_id, '","Status":"IS","Distance":"', k, ' m"}') AS props""",
     )
 
 
 def power(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "events").select(
-        F.col("ts").alias("time"), F.col("user_id").alias("ont_id"), F.col("value").alias("ptx"),
-        (-F.col("value")).alias("prx"), (F.col("event_id") % 4).cast("int").alias("status"),
+    return _read(spark, sf_dir, "events").selectExpr(
+        "ts AS time", "user_id AS ont_id", "value AS ptx", "-value AS prx", "CAST(event_id % 4 AS int) AS status"
     )
 
 
 def day_power(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as readings: many readings of a unit share a time, the order key breaks the tie."""
-    return _read(spark, sf_dir, "orders").select(
-        F.to_date("o_orderdate").alias("day"), F.col("o_custkey").alias("ont_id"),
-        F.col("o_orderkey").alias("seq"), F.col("o_totalprice").alias("prx"),
+    return _read(spark, sf_dir, "orders").selectExpr(
+        "to_date(o_orderdate) AS day", "o_custkey AS ont_id", "o_orderkey AS seq", "o_totalprice AS prx"
     )
 
 
 def equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = F.col("s_suppkey")
-    return _read(spark, sf_dir, "supplier").select(
-        _text("cto-", s).alias("uuid"), F.col("s_name").alias("nombre"),
-        F.when(s % 2 == 0, 11).otherwise(7).alias("tipo"),
-        (F.lit(-18.0) + ((s * 41) % 2250).cast("double") / F.lit(100.0)).alias("lon"),
-        (F.lit(27.0) + ((s * 59) % 1700).cast("double") / F.lit(100.0)).alias("lat"),
+    return _read(spark, sf_dir, "supplier").selectExpr(
+        "'cto-' || s_suppkey AS uuid", "s_name AS nombre", "if(s_suppkey % 2 = 0, 11, 7) AS tipo",
+        "-18.0D + CAST((s_suppkey * 41) % 2250 AS double) / 100.0D AS lon",
+        "27.0D + CAST((s_suppkey * 59) % 1700 AS double) / 100.0D AS lat",
     )
 
 
@@ -92,24 +74,17 @@ def cto(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equipment(spark, sf_dir).where("tipo = 11").drop("tipo")
 
 
-def _state(event_type: Column) -> Column:
-    words = {"click": "is", "error": "oos-ls", "purchase": "Active", "signup": "OOS-DG", "view": "weird"}
-    table = F.create_map(*[F.lit(v) for pair in words.items() for v in pair])
-    return F.try_element_at(table, event_type)
-
-
-def _rx_text(seq: Column, value: Column) -> Column:
-    return (
-        F.when(seq % 10 == 0, F.lit(None).cast("string")).when(seq % 10 == 1, "n/a").when(seq % 10 == 2, "")
-        .otherwise(_text((-value), " dBm"))
-    )
+_STATE = """CASE event_type WHEN 'click' THEN 'is' WHEN 'error' THEN 'oos-ls' WHEN 'purchase' THEN 'Active'
+    WHEN 'signup' THEN 'OOS-DG' WHEN 'view' THEN 'weird' END"""
+_RUN_STATE = """CASE event_type WHEN 'click' THEN 'online' WHEN 'error' THEN 'losi' WHEN 'purchase' THEN 'offline'
+    WHEN 'signup' THEN 'dyinggasp' WHEN 'view' THEN 'Online' END"""
+_RX = """CASE event_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 'n/a' WHEN 2 THEN ''
+    ELSE CAST(-value AS string) || ' dBm' END"""
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seq = F.col("event_id")
-    return _read(spark, sf_dir, "events").select(
-        seq.alias("seq"), _text(" ", _state(F.col("event_type")), " ").alias("raw_status"),
-        _rx_text(seq, F.col("value")).alias("rx"),
+    return _read(spark, sf_dir, "events").selectExpr(
+        "event_id AS seq", f"concat(' ', {_STATE}, ' ') AS raw_status", f"{_RX} AS rx"
     )
 
 
@@ -119,63 +94,42 @@ def poll_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     Polls fail by a rule on device and day. Devices of the vendor no poll can be read for are
     among them. Units with several events on a day are repeated inside the poll.
     """
-    e = _read(spark, sf_dir, "events")
-    units = ont(spark, sf_dir).select(F.col("id").alias("user_id"), "olt_id", "vendor_ont_id")
-    devices = olt(spark, sf_dir).select(F.col("id").alias("olt_id"), "vendor")
-    rows = e.join(units, "user_id").join(devices, "olt_id")
-    seq, unit, huawei = F.col("event_id"), F.col("vendor_ont_id"), F.col("vendor") == "huawei"
-    state, value = _state(F.col("event_type")), F.col("value")
-    word = F.create_map(*[F.lit(v) for pair in {
-        "click": "online", "error": "losi", "purchase": "offline", "signup": "dyinggasp", "view": "Online",
-    }.items() for v in pair])
-    huawei_record = F.create_map(
-        F.lit("schema_fsp"), F.substring_index(unit, "/", 3), F.lit("id"), F.split_part(unit, F.lit("/"), F.lit(4)),
-        F.lit("run_state"), F.try_element_at(word, F.col("event_type")),
-        F.lit("sn"), _text("SN", F.col("user_id")), F.lit("description"), F.col("event_type"),
-        F.lit("ptx"), F.when(seq % 4 == 0, "").otherwise(value.cast("string")), F.lit("tx"), F.lit("1.5"),
-        F.lit("rx"), _rx_text(seq, value),
-    )
-    zyxel_record = F.create_map(
-        F.lit("AID"), F.when(seq % 13 == 0, "").otherwise(unit), F.lit("Status"), _text(" ", state, " "),
-        F.lit("SN"), _text("SN", F.col("user_id")), F.lit("Model"), _text("M-", F.col("event_type")),
-        F.lit("Description"), F.col("event_type"), F.lit("ONT Rx"), _rx_text(seq, value),
-        F.lit("Tx"), _text(value, " dBm"), F.lit("Distance"), _text(seq % 50, " m"),
-        F.lit("__filter"), F.split_part(unit, F.lit("-"), F.lit(2)),
-    )
-    zyxel_record = F.map_filter(zyxel_record, lambda k, _: (k != "Distance") | (seq % 3 == 0))
-    day = F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")
-    failed = (F.dayofmonth("ts") + F.substring("olt_id", 5, 2).cast("int")) % 11 == 3
-    return rows.select(
-        F.concat("olt_id", F.lit("@"), F.date_format("ts", "yyyy-MM-dd")).alias("poll_id"),
-        "olt_id", "vendor", day.alias("polled_at"),
-        F.when(failed, "error").otherwise("ok").alias("outcome"),
-        F.lit(None).cast("array<string>").alias("scopes_ok"), F.lit(None).cast("array<string>").alias("scopes_failed"),
-        F.lit(0).cast("bigint").alias("slice"), seq.alias("pos"), F.lit(None).cast("string").alias("scope"),
-        F.when(huawei, huawei_record).otherwise(zyxel_record).alias("record"),
+    units = ont(spark, sf_dir).selectExpr("id AS user_id", "olt_id", "vendor_ont_id AS unit")
+    devices = olt(spark, sf_dir).selectExpr("id AS olt_id", "vendor")
+    rows = _read(spark, sf_dir, "events").join(units, "user_id").join(devices, "olt_id")
+    huawei = f"""map('schema_fsp', substring_index(unit, '/', 3), 'id', split_part(unit, '/', 4),
+        'run_state', {_RUN_STATE}, 'sn', 'SN' || user_id, 'description', event_type,
+        'ptx', if(event_id % 4 = 0, '', CAST(value AS string)), 'tx', '1.5', 'rx', {_RX})"""
+    zyxel = f"""map_filter(map('AID', if(event_id % 13 = 0, '', unit), 'Status', concat(' ', {_STATE}, ' '),
+        'SN', 'SN' || user_id, 'Model', 'M-' || event_type, 'Description', event_type, 'ONT Rx', {_RX},
+        'Tx', CAST(value AS string) || ' dBm', 'Distance', concat(event_id % 50, ' m'),
+        '__filter', split_part(unit, '-', 2)), (k, x) -> k <> 'Distance' OR event_id % 3 = 0)"""
+    return rows.selectExpr(
+        "concat(olt_id, '@', date_format(ts, 'yyyy-MM-dd')) AS poll_id", "olt_id", "vendor",
+        "CAST(date_trunc('day', ts) AS timestamp_ntz) AS polled_at",
+        "if((day(ts) + CAST(substr(olt_id, 5, 2) AS int)) % 11 = 3, 'error', 'ok') AS outcome",
+        "CAST(NULL AS array<string>) AS scopes_ok", "CAST(NULL AS array<string>) AS scopes_failed",
+        "0L AS slice", "event_id AS pos", "CAST(NULL AS string) AS scope",
+        f"if(vendor = 'huawei', {huawei}, {zyxel}) AS record",
     )
 
 
 def import_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One CSV line per order, all cells text: edits by id, by key, new keys, and bad lines."""
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    units = ont(spark, sf_dir).select(F.col("id").alias("o_custkey"), "olt_id", "vendor_ont_id")
-    rows = _read(spark, sf_dir, "orders").join(units, "o_custkey", "left")
-    kind = k % 12
-    by_id = kind < 4
-    key = F.when(kind < 3, F.lit(None).cast("string"))
-    new_unit = _text("new-", c)
-    return rows.select(
-        (k + 2).alias("line"),
-        F.when(kind == 10, F.lit("x1")).when(kind == 11, _text(" ", c + 100_000_000))
-        .when(by_id, c.cast("string")).otherwise("").alias("id"),
-        key.when(kind == 8, "").when(kind == 9, "olt-99").otherwise(F.coalesce("olt_id", F.lit("olt-00"))).alias("olt_id"),
-        key.when(kind == 7, "null").when(kind.isin(5, 6), new_unit)
-        .when((kind == 3) & (k % 36 == 3), _text("moved-", k)).otherwise(F.col("vendor_ont_id")).alias("vendor_ont_id"),
-        F.when(k % 5 == 0, "null").when(k % 5 == 1, _text(" cto-", k % 120, " ")).alias("cto_uuid"),
-        F.when(k % 7 == 0, _text(k % 90, ".25")).when(k % 7 == 1, "NULL").when(k % 35 == 2, "7").alias("x"),
-        F.when(k % 7 == 0, _text(k % 45, ".5")).when(k % 7 == 1, " null").when(k % 35 == 3, "abc").alias("y"),
-        F.when(k % 3 == 1, _text("S", k)).otherwise("").alias("serial"),
-        F.when(k % 4 == 1, F.col("o_orderpriority")).alias("model"),
-        F.when(k % 11 == 2, "null").when(k % 11 == 3, _text("d", k)).otherwise("  ").alias("description"),
-        F.when(k % 9 == 4, (k % 4).cast("string")).when(k % 45 == 5, "7.0").alias("status"),
+    units = ont(spark, sf_dir).selectExpr("id AS c", "olt_id", "vendor_ont_id")
+    orders = _read(spark, sf_dir, "orders").selectExpr("o_orderkey AS k", "o_custkey AS c", "o_orderpriority")
+    return orders.join(units, "c", "left").selectExpr(
+        "k + 2 AS line",
+        """CASE WHEN k % 12 = 10 THEN 'x1' WHEN k % 12 = 11 THEN ' ' || (c + 100000000)
+           WHEN k % 12 < 4 THEN CAST(c AS string) ELSE '' END AS id""",
+        """CASE WHEN k % 12 < 3 THEN NULL WHEN k % 12 = 8 THEN '' WHEN k % 12 = 9 THEN 'olt-99'
+           ELSE coalesce(olt_id, 'olt-00') END AS olt_id""",
+        """CASE WHEN k % 12 < 3 THEN NULL WHEN k % 12 = 7 THEN 'null' WHEN k % 12 IN (5, 6) THEN 'new-' || c
+           WHEN k % 36 = 3 THEN 'moved-' || k ELSE vendor_ont_id END AS vendor_ont_id""",
+        "CASE k % 5 WHEN 0 THEN 'null' WHEN 1 THEN concat(' cto-', k % 120, ' ') END AS cto_uuid",
+        "CASE WHEN k % 7 = 0 THEN k % 90 || '.25' WHEN k % 7 = 1 THEN 'NULL' WHEN k % 35 = 2 THEN '7' END AS x",
+        "CASE WHEN k % 7 = 0 THEN k % 45 || '.5' WHEN k % 7 = 1 THEN ' null' WHEN k % 35 = 3 THEN 'abc' END AS y",
+        "if(k % 3 = 1, 'S' || k, '') AS serial", "if(k % 4 = 1, o_orderpriority, NULL) AS model",
+        "CASE k % 11 WHEN 2 THEN 'null' WHEN 3 THEN 'd' || k ELSE '  ' END AS description",
+        "CASE WHEN k % 9 = 4 THEN CAST(k % 4 AS string) WHEN k % 45 = 5 THEN '7.0' END AS status",
     )

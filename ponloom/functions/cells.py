@@ -3,6 +3,9 @@
 Numbers follow the rules of Python's ``int()`` and ``float()`` (signs, underscores between
 digits, ``nan``/``inf``), which differ from Spark's casts: Spark accepts ``1.5d`` and ``0x1p3``
 and refuses ``1_000``.
+
+Functions take a SQL expression, mostly a column name. Those that end in ``_sql`` give SQL text to
+build on, the others a Column.
 """
 
 from __future__ import annotations
@@ -17,43 +20,35 @@ WHITESPACE = (
 
 _DIGITS = "[0-9]+(_[0-9]+)*"
 INT_PATTERN = f"^[+-]?{_DIGITS}$"
-FLOAT_PATTERN = f"^[+-]?({_DIGITS}[.]?({_DIGITS})?|[.]{_DIGITS})([eE][+-]?{_DIGITS})?$"
-SPECIAL_FLOAT_PATTERN = "^[+-]?(nan|inf|infinity)$"
+FLOAT_PATTERN = (
+    f"^([+-]?({_DIGITS}[.]?({_DIGITS})?|[.]{_DIGITS})([eE][+-]?{_DIGITS})?"
+    "|(?i:nan|[+-]?inf|[+-]?infinity))$"
+)
 
 
-def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+def strip_sql(text: str) -> str:
+    return f"btrim({text}, '{WHITESPACE}')"
 
 
-def is_int(text: Column) -> Column:
-    return F.rlike(text, F.lit(INT_PATTERN))
+def is_int_sql(text: str) -> str:
+    return f"rlike({text}, '{INT_PATTERN}')"
 
 
-def is_float(text: Column) -> Column:
-    return F.rlike(text, F.lit(FLOAT_PATTERN)) | F.rlike(F.lower(text), F.lit(SPECIAL_FLOAT_PATTERN))
+def is_float_sql(text: str) -> str:
+    return f"rlike({text}, '{FLOAT_PATTERN}')"
 
 
-def to_int(text: Column, type_: str = "bigint") -> Column:
+def to_int_sql(text: str, type_: str = "bigint") -> str:
     """The integer written in stripped text, NULL if it is none or does not fit the type."""
-    return F.when(is_int(text), F.replace(text, F.lit("_"), F.lit("")).try_cast(type_))
+    return f"if({is_int_sql(text)}, try_cast(replace({text}, '_', '') AS {type_}), NULL)"
 
 
-def to_float(text: Column) -> Column:
+def to_float_sql(text: str) -> str:
     """The float written in stripped text, NULL if it is none."""
-    plain = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
-    low = F.lower(text)
-    special = (
-        F.when(F.contains(low, F.lit("nan")), F.lit(float("nan")))
-        .when(F.startswith(low, F.lit("-")), F.lit(float("-inf")))
-        .otherwise(F.lit(float("inf")))
-    )
-    return (
-        F.when(F.rlike(text, F.lit(FLOAT_PATTERN)), plain)
-        .when(F.rlike(low, F.lit(SPECIAL_FLOAT_PATTERN)), special)
-    )
+    return f"if({is_float_sql(text)}, try_cast(replace({text}, '_', '') AS double), NULL)"
 
 
-def parse_dbm(text: Column, missing: str = "zero") -> Column:
+def parse_dbm(text: str, missing: str = "zero") -> Column:
     """Power in dBm from device text such as ``-22.5 dBm``.
 
     Absent or unreadable power becomes 0.0, or NULL with ``missing='null'``, which keeps a
@@ -61,34 +56,40 @@ def parse_dbm(text: Column, missing: str = "zero") -> Column:
     """
     if missing not in ("zero", "null"):
         raise ValueError("missing must be 'zero' or 'null'")
-    value = to_float(strip(F.replace(text, F.lit(" dBm"), F.lit(""))))
-    return F.coalesce(value, F.lit(0.0)) if missing == "zero" else value
+    value = to_float_sql(strip_sql(f"replace({text}, ' dBm', '')"))
+    return F.expr(f"coalesce({value}, 0.0D)" if missing == "zero" else value)
+
+
+def first_truthy_sql(record: str, *keys: str) -> str:
+    """First of the keys of a record whose value is neither NULL nor empty."""
+    return "coalesce(" + ", ".join(f"nullif({record}['{k}'], '')" for k in keys) + ")"
+
+
+def first_truthy(record: str, *keys: str) -> Column:
+    return F.expr(first_truthy_sql(record, *keys))
 
 
-def first_truthy(record: Column, *keys: str) -> Column:
-    """First of the keys whose value is neither NULL nor empty."""
-    return F.coalesce(*[F.nullif(record[k], F.lit("")) for k in keys])
+def clean_cell(text: str) -> Column:
+    """Cell text without white space around it; blank for a missing cell."""
+    return F.expr(f"coalesce({strip_sql(text)}, '')")
 
 
-def cell(text: Column, kind: str = "text") -> Column:
-    """Three-state cell: ``struct(is_set, value, bad)``.
+def cell(clean: str, kind: str = "text") -> Column:
+    """Three-state cell from clean text: ``struct(is_set, value, bad)``.
 
     Blank keeps the stored value (``is_set`` false); the word null, in any case, sets NULL;
     anything else sets the value. ``bad`` marks text that is not a number of the wanted kind.
     """
-    clean = F.coalesce(strip(text), F.lit(""))
-    blank = clean == ""
-    null = F.lower(clean) == "null"
     if kind == "text":
-        value, bad = clean, F.lit(False)
+        value, good = clean, "true"
     elif kind == "int":
-        value, bad = to_int(clean, "int"), ~is_int(clean)
+        value, good = to_int_sql(clean, "int"), is_int_sql(clean)
     elif kind == "float":
-        value, bad = to_float(clean), ~is_float(clean)
+        value, good = to_float_sql(clean), is_float_sql(clean)
     else:
         raise ValueError("kind must be 'text', 'int' or 'float'")
-    return F.struct(
-        (~blank).alias("is_set"),
-        F.when(~blank & ~null, value).alias("value"),
-        (~blank & ~null & bad).alias("bad"),
+    has_value = f"{clean} <> '' AND lower({clean}) <> 'null'"
+    return F.expr(
+        f"named_struct('is_set', {clean} <> '', 'value', if({has_value}, {value}, NULL),"
+        f" 'bad', {has_value} AND NOT {good})"
     )

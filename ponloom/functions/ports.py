@@ -24,87 +24,62 @@ STORED_NAMES = {
 }
 
 
-def _bare(unit_id: Column) -> Column:
-    return F.regexp_replace(unit_id, "^ont-", "")
+def _source(unit_id: str, sep: str) -> str:
+    return f"regexp_replace({unit_id}, '^ont-', '')" if sep == "-" else unit_id
 
 
-def _leading(unit_id: Column, sep: str, parts: int) -> Column:
+def _leading(unit_id: str, sep: str, parts: int) -> str:
     """The first parts of the id, empty text for a part that is not there."""
-    source = _bare(unit_id) if sep == "-" else unit_id
-    pieces = [F.split_part(source, F.lit(sep), F.lit(i + 1)) for i in range(parts)]
-    joined = pieces[0]
-    for piece in pieces[1:]:
-        joined = F.concat(joined, F.lit(sep), piece)
-    return joined
+    source = _source(unit_id, sep)
+    return f" || '{sep}' || ".join(f"split_part({source}, '{sep}', {i + 1})" for i in range(parts))
 
 
-def _whole_leading(unit_id: Column, sep: str, parts: int) -> Column:
+def _whole_leading(unit_id: str, sep: str, parts: int) -> str:
     """The first parts of the id, NULL unless all of them are there."""
-    part = f"[^{sep}]+"
-    source = _bare(unit_id) if sep == "-" else unit_id
-    return F.nullif(F.regexp_extract(source, "^" + sep.join([part] * parts), 0), F.lit(""))
+    pattern = "^" + sep.join([f"[^{sep}]+"] * parts)
+    return f"nullif(regexp_extract({_source(unit_id, sep)}, '{pattern}', 0), '')"
 
 
-def _query_pon_id(vendor: Column, unit_id: Column) -> Column:
-    chain = F
-    for name, (sep, parts) in PORT_SHAPE.items():
-        chain = chain.when(vendor == name, _leading(unit_id, sep, parts))
-    return chain.when(F.contains(unit_id, F.lit("/")), _leading(unit_id, "/", 3)).otherwise(
-        _leading(unit_id, "-", 1)
+def _query_rule(vendor: str, unit_id: str) -> str:
+    known = " ".join(
+        f"WHEN {vendor} = '{name}' THEN {_leading(unit_id, sep, parts)}" for name, (sep, parts) in PORT_SHAPE.items()
     )
+    return f"""CASE {known} WHEN contains({unit_id}, '/') THEN {_leading(unit_id, '/', 3)}
+        ELSE {_leading(unit_id, '-', 1)} END"""
 
 
-def _stored_pon_id(vendor: Column, unit_id: Column) -> Column:
-    name = F.lower(F.coalesce(vendor, F.lit("")))
-    third = F.split_part(_bare(unit_id), F.lit("-"), F.lit(3))
-    return (
-        F.when(unit_id == "", F.lit(None).cast("string"))
-        .when(F.contains(unit_id, F.lit("/")), _whole_leading(unit_id, "/", 3))
-        .when(name.isin(STORED_NAMES[2]), _whole_leading(unit_id, "-", 2))
-        .when(name.isin(STORED_NAMES[1]), _whole_leading(unit_id, "-", 1))
-        .when(third != "", _leading(unit_id, "-", 2))
-        .otherwise(_leading(unit_id, "-", 1))
+def _stored_rule(vendor: str, unit_id: str) -> str:
+    known = " ".join(
+        f"WHEN lower({vendor}) IN ({', '.join(repr(n) for n in names)}) THEN {_whole_leading(unit_id, '-', parts)}"
+        for parts, names in STORED_NAMES.items()
     )
+    third = f"split_part({_source(unit_id, '-')}, '-', 3)"
+    return f"""CASE WHEN {unit_id} = '' THEN NULL
+        WHEN contains({unit_id}, '/') THEN {_whole_leading(unit_id, '/', 3)}
+        {known}
+        WHEN {third} <> '' THEN {_leading(unit_id, '-', 2)}
+        ELSE {_leading(unit_id, '-', 1)} END"""
 
 
-def pon_id(vendor: Column, unit_id: Column, mode: str = "query") -> Column:
-    if mode == "query":
-        return _query_pon_id(vendor, unit_id)
-    if mode == "stored":
-        return _stored_pon_id(vendor, unit_id)
-    raise ValueError("mode must be 'query' or 'stored'")
+def pon_id(vendor: str, unit_id: str, mode: str = "query") -> Column:
+    """Port id from the SQL expressions of vendor and unit id."""
+    rules = {"query": _query_rule, "stored": _stored_rule}
+    if mode not in rules:
+        raise ValueError("mode must be 'query' or 'stored'")
+    return F.expr(rules[mode](vendor, unit_id))
 
 
-def unit_scope(vendor: Column, unit_id: Column) -> Column:
+def unit_scope(vendor: str, unit_id: str) -> Column:
     """The part of a device that one read covers: a port, a slot, or ``*`` for the whole device."""
-    return (
-        F.when(
-            vendor == "huawei",
-            F.concat(
-                F.split_part(unit_id, F.lit("/"), F.lit(2)), F.lit("/"),
-                F.split_part(unit_id, F.lit("/"), F.lit(3)),
-            ),
-        )
-        .when(vendor == "zyxel1240XA", F.split_part(_bare(unit_id), F.lit("-"), F.lit(1)))
-        .otherwise(F.lit("*"))
-    )
+    return F.expr(f"""CASE
+        WHEN {vendor} = 'huawei' THEN split_part({unit_id}, '/', 2) || '/' || split_part({unit_id}, '/', 3)
+        WHEN {vendor} = 'zyxel1240XA' THEN {_leading(unit_id, '-', 1)}
+        ELSE '*' END""")
 
 
 def register_sql_functions(spark: SparkSession) -> None:
     """Make ``derive_pon_id(vendor, unit_id)``, the stored rule, callable from SQL."""
-    two, one = (", ".join(f"'{n}'" for n in STORED_NAMES[k]) for k in (2, 1))
-    bare = "regexp_replace(unit_id, '^ont-', '')"
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION derive_pon_id(vendor STRING, unit_id STRING)
-        RETURNS STRING
-        RETURN CASE
-          WHEN unit_id = '' THEN NULL
-          WHEN contains(unit_id, '/')
-            THEN nullif(regexp_extract(unit_id, '^[^/]+/[^/]+/[^/]+', 0), '')
-          WHEN lower(vendor) IN ({two}) THEN nullif(regexp_extract({bare}, '^[^-]+-[^-]+', 0), '')
-          WHEN lower(vendor) IN ({one}) THEN nullif(regexp_extract({bare}, '^[^-]+', 0), '')
-          WHEN split_part({bare}, '-', 3) <> ''
-            THEN split_part({bare}, '-', 1) || '-' || split_part({bare}, '-', 2)
-          ELSE split_part({bare}, '-', 1)
-        END
+        RETURNS STRING RETURN {_stored_rule('vendor', 'unit_id')}
     """)

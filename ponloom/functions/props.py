@@ -7,30 +7,25 @@ from collections.abc import Mapping
 from pyspark.sql import Column, functions as F
 
 
-def pack_props(
-    record: Column, always: Mapping[str, Column], if_present: Mapping[str, str] | None = None
-) -> Column:
+def pack_props_sql(record: str, always: Mapping[str, str], if_present: Mapping[str, str] | None = None) -> str:
     """JSON object of fixed keys (NULL values kept) and of keys copied only where the record has them.
 
-    ``always`` maps output keys to values, ``if_present`` maps record keys to output keys.
+    ``always`` maps output keys to SQL values, ``if_present`` maps record keys to output keys.
     """
-    parts = []
-    for key, value in always.items():
-        parts += [F.lit(key), value.cast("string")]
-    packed = F.create_map(*parts)
+    packed = "map(" + ", ".join(f"'{key}', {value}" for key, value in always.items()) + ")"
     if if_present:
-        names = F.create_map(*[F.lit(v) for pair in if_present.items() for v in pair])
-        wanted = F.map_filter(record, lambda k, _: k.isin(list(if_present)))
-        renamed = F.transform_keys(wanted, lambda k, _: F.try_element_at(names, k))
-        packed = F.map_concat(packed, F.coalesce(renamed, F.create_map().cast("map<string,string>")))
-    return F.to_json(packed)
+        keys = ", ".join(f"'{k}'" for k in if_present)
+        names = " ".join(f"WHEN '{k}' THEN '{out}'" for k, out in if_present.items())
+        wanted = f"map_filter({record}, (k, x) -> k IN ({keys}))"
+        packed = f"map_concat({packed}, transform_keys({wanted}, (k, x) -> CASE k {names} END))"
+    return f"to_json({packed})"
 
 
-def json_text(props: Column) -> Column:
+def json_text_sql(props: str) -> str:
     """The text itself if it is a JSON object, NULL otherwise."""
-    return F.when(F.from_json(props, "map<string,string>").isNotNull(), props)
+    return f"if(from_json({props}, 'map<string,string>') IS NOT NULL, {props}, NULL)"
 
 
-def prop(props: Column, key: str) -> Column:
+def prop(props: str, key: str) -> Column:
     """One value of a props object as text."""
-    return F.get_json_object(props, "$['" + key + "']")
+    return F.get_json_object(F.expr(props), f"$['{key}']")

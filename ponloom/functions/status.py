@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ponloom.functions.cells import strip
+from ponloom.functions.cells import strip_sql
 from ponloom.operators.joins import lookup_join
 
 UNKNOWN = 98
@@ -24,19 +22,21 @@ STATUS_CODES = {
 }
 
 
-def status_key(vendor: Column, raw: Column) -> Column:
+def status_key_sql(vendor: str, raw: str) -> str:
     """State text as the code table writes it: exact for huawei, trimmed upper case elsewhere."""
-    return F.when(vendor == "huawei", raw).otherwise(F.upper(strip(raw)))
+    return f"if({vendor} = 'huawei', {raw}, upper({strip_sql(raw)}))"
 
 
-def status_code(vendor: Column, raw: Column, default: int = UNKNOWN) -> Column:
+def status_code(vendor: str, raw: str, default: int = UNKNOWN) -> Column:
     """Code of a raw state by the fixed table; unknown and NULL states get the default."""
-    key = status_key(vendor, raw)
-    code = F
-    for name, codes in STATUS_CODES.items():
-        table = F.create_map(*[F.lit(v) for v in chain.from_iterable(codes.items())])
-        code = code.when(vendor == name, F.try_element_at(table, key))
-    return F.coalesce(code, F.lit(default))
+    tables = {
+        name: "map(" + ", ".join(f"'{k}', {c}" for k, c in codes.items()) + ")" for name, codes in STATUS_CODES.items()
+    }
+    found = " ".join(
+        f"WHEN {vendor} = '{name}' THEN try_element_at({table}, {status_key_sql(vendor, raw)})"
+        for name, table in tables.items()
+    )
+    return F.expr(f"coalesce(CASE {found} END, {default})")
 
 
 def status_map(spark: SparkSession) -> DataFrame:
@@ -50,8 +50,8 @@ def with_status(
     default: int = UNKNOWN, spread_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Add ``status`` by a code table of the caller, ``(vendor, raw, code)``."""
-    keyed = df.withColumn("_vendor", F.col(vendor)).withColumn("_raw", status_key(F.col(vendor), F.col(raw)))
-    table = codes.select(F.col("vendor").alias("_vendor"), F.col("raw").alias("_raw"), F.col("code").alias("_code"))
+    keyed = df.withColumn("_vendor", F.col(vendor)).withColumn("_raw", F.expr(status_key_sql(vendor, raw)))
+    table = codes.selectExpr("vendor AS _vendor", "raw AS _raw", "code AS _code")
     return (
         lookup_join(keyed, table, ["_vendor", "_raw"], "left", spread_by=spread_by or tuple(df.columns))
         .withColumn("status", F.coalesce("_code", F.lit(default)))

@@ -7,9 +7,9 @@ from pyspark.sql import Column, functions as F
 from ponloom.functions.cells import WHITESPACE
 
 
-def display_name(description: Column, id_: Column) -> Column:
+def display_name(description: str, id_: str) -> Column:
     """The description, or the id where there is none."""
-    return F.coalesce(F.nullif(description, F.lit("")), id_)
+    return F.expr(f"coalesce(nullif({description}, ''), {id_})")
 
 
 def contains_pattern(q: str, literal: bool = False) -> str:
@@ -20,10 +20,10 @@ def contains_pattern(q: str, literal: bool = False) -> str:
     return f"%{q}%"
 
 
-def match_rank(q: str, uuid: Column, name: Column) -> Column:
+def match_rank(q: str, uuid: str, name: str) -> Column:
     """How well a box matches a search: 0 is the exact uuid, 4 a name that contains it, NULL none."""
     needle = F.lit(q.strip().lower())
-    code, label = (F.lower(F.coalesce(c, F.lit(""))) for c in (uuid, name))
+    code, label = (F.expr(f"lower(coalesce({c}, ''))") for c in (uuid, name))
     return (
         F.when(code == needle, 0)
         .when(F.startswith(code, needle), 1)

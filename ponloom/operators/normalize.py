@@ -1,20 +1,21 @@
 """Raw poll records of all vendors in one shape, in one pass.
 
-A vendor is a function from the raw record to columns. More vendors are added to a copy of
-``NORMALISERS``; their rows go through the same scan.
+A vendor is a table of SQL expressions that pick raw fields out of ``record``. Power, state and
+metadata are then read the same way for all. More vendors are added to a copy of ``VENDORS``;
+their rows go through the same scan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ponloom.functions.cells import first_truthy, parse_dbm
-from ponloom.functions.props import pack_props
+from ponloom.functions.cells import first_truthy_sql, parse_dbm
+from ponloom.functions.props import pack_props_sql
 from ponloom.functions.status import status_code
 
-Normaliser = Callable[[Column, Column, str], dict[str, Column]]
+Fields = dict[str, str]
 
 # Record keys that may hold the power, first choice first.
 HUAWEI_TX, HUAWEI_RX = ("ptx", "tx"), ("prx", "rx")
@@ -24,69 +25,65 @@ HUAWEI_META = ["schema_fsp", "control_flag", "run_state", "config_state", "match
 ZYXEL_META = ["AID", "Status", "SN", "Model"]
 ZYXEL_EXTRA = ["Template-ID", "FW Version", "Distance"]
 
-FIELDS = ["vendor_ont_id", "ptx", "prx", "status", "serial", "model", "description", "props"]
-
-
-def _or_none(value: Column) -> Column:
-    return F.coalesce(value, F.lit("None"))
+_HUAWEI_UNIT = "coalesce(record['schema_fsp'], 'None') || '/' || coalesce(record['id'], 'None')"
+
+HUAWEI: Fields = {
+    "vendor_ont_id": _HUAWEI_UNIT,
+    "tx": first_truthy_sql("record", *HUAWEI_TX),
+    "rx": first_truthy_sql("record", *HUAWEI_RX),
+    "state": "record['run_state']",
+    "serial": "record['sn']",
+    "model": "CAST(NULL AS string)",
+    "description": "record['description']",
+    "props": pack_props_sql("record", {"id": _HUAWEI_UNIT, **{k: f"record['{k}']" for k in HUAWEI_META}}),
+}
 
 
-def huawei(record: Column, vendor: Column, missing: str) -> dict[str, Column]:
-    unit = F.concat(_or_none(record["schema_fsp"]), F.lit("/"), _or_none(record["id"]))
+def _zyxel(copied: Mapping[str, str]) -> Fields:
+    meta = {**{k: f"record['{k}']" for k in ZYXEL_META}, "__vendor": "vendor"}
     return {
-        "vendor_ont_id": unit,
-        "ptx": parse_dbm(first_truthy(record, *HUAWEI_TX), missing),
-        "prx": parse_dbm(first_truthy(record, *HUAWEI_RX), missing),
-        "status": status_code(vendor, record["run_state"]),
-        "serial": record["sn"],
-        "model": F.lit(None).cast("string"),
-        "description": record["description"],
-        "props": pack_props(record, {"id": unit, **{k: record[k] for k in HUAWEI_META}}),
+        "vendor_ont_id": "nullif(record['AID'], '')",
+        "tx": first_truthy_sql("record", *ZYXEL_TX),
+        "rx": first_truthy_sql("record", *ZYXEL_RX),
+        "state": "record['Status']",
+        "serial": "record['SN']",
+        "model": "record['Model']",
+        "description": "record['Description']",
+        "props": pack_props_sql("record", meta, copied),
     }
 
 
-def zyxel(record: Column, vendor: Column, missing: str, extra: Mapping[str, str] | None = None) -> dict[str, Column]:
-    copied = {k: k for k in ZYXEL_EXTRA} | dict(extra or {})
-    return {
-        "vendor_ont_id": F.nullif(record["AID"], F.lit("")),
-        "ptx": parse_dbm(first_truthy(record, *ZYXEL_TX), missing),
-        "prx": parse_dbm(first_truthy(record, *ZYXEL_RX), missing),
-        "status": status_code(vendor, record["Status"]),
-        "serial": record["SN"],
-        "model": record["Model"],
-        "description": record["Description"],
-        "props": pack_props(record, {**{k: record[k] for k in ZYXEL_META}, "__vendor": vendor}, copied),
-    }
-
+ZYXEL = _zyxel({k: k for k in ZYXEL_EXTRA})
+ZYXEL_1240XA = _zyxel({"__filter": "filter", **{k: k for k in ZYXEL_EXTRA}})
 
-def zyxel_1240xa(record: Column, vendor: Column, missing: str) -> dict[str, Column]:
-    return zyxel(record, vendor, missing, {"__filter": "filter"})
+VENDORS: dict[str, Fields] = {
+    "huawei": HUAWEI, "zyxel1408A": ZYXEL, "zyxel2406": ZYXEL, "zyxel1240XA": ZYXEL_1240XA,
+}
 
 
-NORMALISERS: dict[str, Normaliser] = {
-    "huawei": huawei, "zyxel1408A": zyxel, "zyxel2406": zyxel, "zyxel1240XA": zyxel_1240xa,
-}
+def _by_vendor(vendors: Mapping[str, Fields], field: str) -> str:
+    names: dict[str, list[str]] = {}
+    for name, fields in vendors.items():
+        names.setdefault(fields[field], []).append(f"'{name}'")
+    whens = " ".join(f"WHEN vendor IN ({', '.join(of)}) THEN {value}" for value, of in names.items())
+    return f"CASE {whens} END AS {field}"
 
 
 def normalize_polls(
-    records: DataFrame, missing: str = "zero", normalisers: Mapping[str, Normaliser] | None = None
+    records: DataFrame, missing: str = "zero", vendors: Mapping[str, Fields] | None = None
 ) -> DataFrame:
     """One row per usable record; records without a unit id or of an unknown vendor are left out.
 
     ``records`` has the poll header, ``slice``, ``pos`` and ``record``, a map of text.
     """
-    normalisers = NORMALISERS if normalisers is None else normalisers
-    record, vendor = F.col("record"), F.col("vendor")
-    shaped = {name: fn(record, vendor, missing) for name, fn in normalisers.items()}
-
-    def by_vendor(field: str) -> Column:
-        chain = F
-        for name, columns in shaped.items():
-            chain = chain.when(vendor == name, columns[field])
-        return chain.alias(field)
-
-    rows = records.where((F.col("outcome") == "ok") & vendor.isin(list(normalisers)))
-    return rows.select(
-        "poll_id", "olt_id", "vendor", "slice", "pos", F.col("polled_at").alias("time"),
-        *[by_vendor(f) for f in FIELDS],
-    ).where(F.col("vendor_ont_id").isNotNull())
+    vendors = VENDORS if vendors is None else vendors
+    pick = {f: _by_vendor(vendors, f) for f in HUAWEI}
+    rows = records.where((F.col("outcome") == "ok") & F.col("vendor").isin(list(vendors)))
+    picked = rows.selectExpr(
+        "poll_id", "olt_id", "vendor", "slice", "pos", "polled_at AS time", *pick.values()
+    ).where("vendor_ont_id IS NOT NULL")
+    return picked.select(
+        "poll_id", "olt_id", "vendor", "slice", "pos", "time", "vendor_ont_id",
+        parse_dbm("tx", missing).alias("ptx"), parse_dbm("rx", missing).alias("prx"),
+        status_code("vendor", "state").alias("status"), "serial", "model", "description", "props",
+    )

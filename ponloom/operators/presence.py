@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from ponloom.functions.ports import unit_scope
 from ponloom.operators.joins import lookup_join
 from ponloom.operators.lineage import cut
-from ponloom.operators.normalize import NORMALISERS
+from ponloom.operators.normalize import VENDORS
 from ponloom.operators.numbering import numbered, with_new_ids
 
 UNIT = ["olt_id", "vendor_ont_id"]
@@ -55,7 +55,7 @@ def poll_log(headers: DataFrame, rows: DataFrame, min_units: int = 0, vendors: M
     ``evidence`` says whether the poll may remove units; a poll with fewer than ``min_units``
     units may not.
     """
-    known = list(NORMALISERS if vendors is None else vendors)
+    known = list(VENDORS if vendors is None else vendors)
     sizes = rows.groupBy("poll_id", *UNIT).agg(F.count("*").alias("n")).groupBy("poll_id").agg(
         F.count("*").alias("n_units"), F.sum("n").alias("n_records")
     )
@@ -100,7 +100,7 @@ def presence(sighted: DataFrame, polls: DataFrame) -> DataFrame:
 
 def seen_units(rows: DataFrame, parity: bool = False) -> DataFrame:
     """Sightings: one row per unit and poll, with the unit's scope."""
-    scope = F.lit("*") if parity else unit_scope(F.col("vendor"), F.col("vendor_ont_id"))
+    scope = F.lit("*") if parity else unit_scope("vendor", "vendor_ont_id")
     return rows.select("olt_id", "vendor_ont_id", scope.alias("scope"), "poll_id", "time").distinct()
 
 
@@ -120,7 +120,7 @@ def islands(seen: DataFrame) -> DataFrame:
 def _scoped(ont: DataFrame, vendors: DataFrame, parity: bool) -> DataFrame:
     """Stored units of polled devices with their scope."""
     joined = lookup_join(ont.select("id", *UNIT), vendors, "olt_id", spread_by=["id"])
-    scope = F.lit("*") if parity else unit_scope(F.col("vendor"), F.col("vendor_ont_id"))
+    scope = F.lit("*") if parity else unit_scope("vendor", "vendor_ont_id")
     return joined.select("id", *UNIT, scope.alias("scope"))
 
 

@@ -14,9 +14,9 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ponloom.functions.cells import cell, is_int, strip, to_int
+from ponloom.functions.cells import cell, clean_cell, is_int_sql, strip_sql, to_int_sql
 from ponloom.operators.joins import lookup_join
 from ponloom.operators.lineage import cut
 from ponloom.operators.numbering import with_new_ids
@@ -24,13 +24,16 @@ from ponloom.schemas import UNIT_CSV
 
 KEY = ["olt_id", "vendor_ont_id"]
 VALUES = ["cto_uuid", "serial", "model", "description", "status"]
+_KINDS = {"status": "int", "x": "float", "y": "float"}
 
 # Texts of the errors a line can have.
-ERRORS = {
-    "bad_position": "x/y deben venir ambos vacíos, ambos 'null', o ambos numéricos",
-    "no_olt_id": "olt_id es obligatorio cuando no hay id",
-    "no_vendor_ont_id": "vendor_ont_id es obligatorio cuando no hay id",
-}
+BAD_ID = "invalid literal for int() with base 10: "
+BAD_INT = "valor entero inválido: "
+BAD_FLOAT = "valor float inválido: "
+BAD_POSITION = "x/y deben venir ambos vacíos, ambos \\'null\\', o ambos numéricos"
+NO_OLT_ID = "olt_id es obligatorio cuando no hay id"
+NO_UNIT_ID = "vendor_ont_id es obligatorio cuando no hay id"
+UNKNOWN_ID = ("ONT id=", " no existe")
 
 
 class Imported(NamedTuple):
@@ -40,62 +43,50 @@ class Imported(NamedTuple):
     report: DataFrame
 
 
-def _quoted(text: Column) -> Column:
-    return F.concat(F.lit("'"), text, F.lit("'"))
-
-
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Cells read, and per line the first failing check as ``code`` and ``error``."""
-    clean_id = F.coalesce(strip(F.col("id")), F.lit(""))
-    kinds = {"status": "int", "x": "float", "y": "float"}
-    parsed = lines.select(
-        "line", F.struct(*UNIT_CSV).alias("row"), clean_id.alias("_id"), to_int(clean_id).alias("id"),
-        *[cell(F.col(c), kinds.get(c, "text")).alias(c) for c in UNIT_CSV if c != "id"],
-    )
-    x, y = F.col("x"), F.col("y")
-    both_blank = ~x.is_set & ~y.is_set
-    both_null = x.is_set & y.is_set & x.value.isNull() & y.value.isNull()
-    both_numbers = x.value.isNotNull() & y.value.isNotNull()
-    has_id = F.col("_id") != ""
-    code = (
-        F.when(has_id & ~is_int(F.col("_id")), "bad_id")
-        .when(x.bad, "bad_x").when(y.bad, "bad_y").when(F.col("status.bad"), "bad_status")
-        .when(~(both_blank | both_null | both_numbers), "bad_position")
-        .when(~has_id & F.col("olt_id.value").isNull(), "no_olt_id")
-        .when(~has_id & F.col("vendor_ont_id.value").isNull(), "no_vendor_ont_id")
-        .when(has_id & F.col("id").isNull(), "unknown_id")
-        .when(has_id & (_null_set("olt_id") | _null_set("vendor_ont_id")), "null_key")
-        .when(_null_set("status") & (F.lower(strip(F.col("row.status"))) != "null"), "out_of_range")
-    )
-    value_cells = F.col("x.is_set")
-    for c in VALUES:
-        value_cells = value_cells | F.col(f"{c}.is_set")
-    key_cells = F.col("olt_id.is_set") | F.col("vendor_ont_id.is_set")
-    return parsed.select(
-        "line", "row", "_id", "id", *[F.col(c) for c in UNIT_CSV if c not in ("id", "x", "y")],
-        F.struct(F.col("x.is_set").alias("is_set"), F.struct(F.col("x.value").alias("lon"), F.col("y.value").alias("lat")).alias("value")).alias("point"),
-        code.alias("code"), value_cells.alias("has_values"), has_id.alias("by_id"),
-        (has_id & key_cells).alias("sets_key"),
-    )
+    """Cells read, and per line the first failing check as ``code``.
 
-
-def _null_set(c: str) -> Column:
-    return F.col(f"{c}.is_set") & F.col(f"{c}.value").isNull()
-
-
-def _error_text(code: Column) -> Column:
-    text = F
-    for name, fixed in ERRORS.items():
-        text = text.when(code == name, F.lit(fixed))
-    raw = {c: F.coalesce(strip(F.col(f"row.{c}")), F.lit("")) for c in ("id", "x", "y", "status")}
-    return (
-        text.when(code == "bad_id", F.concat(F.lit("invalid literal for int() with base 10: "), _quoted(raw["id"])))
-        .when(code == "bad_x", F.concat(F.lit("valor float inválido: "), _quoted(raw["x"])))
-        .when(code == "bad_y", F.concat(F.lit("valor float inválido: "), _quoted(raw["y"])))
-        .when(code == "bad_status", F.concat(F.lit("valor entero inválido: "), _quoted(raw["status"])))
-        .when(code == "unknown_id", F.concat(F.lit("ONT id="), F.coalesce(F.col("id").cast("string"), raw["id"]), F.lit(" no existe")))
-        .otherwise(code)
-    )
+    ``by_id``: the line has an id; ``sets_key`` and ``has_values``: it sets key or other cells.
+    """
+    clean = lines.select(
+        "line", F.struct(*UNIT_CSV).alias("row"), *[clean_cell(c).alias(c) for c in UNIT_CSV]
+    )
+    cells = clean.select(
+        "line", "row", F.col("id").alias("id_text"), F.expr(to_int_sql("id")).alias("id"),
+        F.col("status").alias("status_text"),
+        *[cell(c, _KINDS.get(c, "text")).alias(c) for c in UNIT_CSV if c != "id"],
+    )
+    value_cells = " OR ".join(f"{c}.is_set" for c in ["x", *VALUES])
+    return cells.selectExpr(
+        "line", "row", "id", "id_text <> '' AS by_id", *KEY, *VALUES,
+        "named_struct('is_set', x.is_set, 'value', named_struct('lon', x.value, 'lat', y.value)) AS point",
+        "id_text <> '' AND (olt_id.is_set OR vendor_ont_id.is_set) AS sets_key",
+        f"{value_cells} AS has_values",
+        f"""CASE
+          WHEN id_text <> '' AND NOT {is_int_sql('id_text')} THEN 'bad_id'
+          WHEN x.bad THEN 'bad_x' WHEN y.bad THEN 'bad_y' WHEN status.bad THEN 'bad_status'
+          WHEN x.is_set <> y.is_set OR (x.value IS NULL) <> (y.value IS NULL) THEN 'bad_position'
+          WHEN id_text = '' AND olt_id.value IS NULL THEN 'no_olt_id'
+          WHEN id_text = '' AND vendor_ont_id.value IS NULL THEN 'no_vendor_ont_id'
+          WHEN id_text <> '' AND id IS NULL THEN 'unknown_id'
+          WHEN id_text <> '' AND ((olt_id.is_set AND olt_id.value IS NULL)
+            OR (vendor_ont_id.is_set AND vendor_ont_id.value IS NULL)) THEN 'null_key'
+          WHEN status.is_set AND status.value IS NULL AND lower(status_text) <> 'null' THEN 'out_of_range'
+        END AS code""",
+    )
+
+
+def _error_text() -> str:
+    raw = {c: strip_sql(f"row.{c}") for c in ("id", "x", "y", "status")}
+    quote = "'\\''"
+    quoted = {c: f"{quote} || {text} || {quote}" for c, text in raw.items()}
+    return f"""CASE code WHEN 'bad_id' THEN '{BAD_ID}' || {quoted['id']}
+      WHEN 'bad_x' THEN '{BAD_FLOAT}' || {quoted['x']} WHEN 'bad_y' THEN '{BAD_FLOAT}' || {quoted['y']}
+      WHEN 'bad_status' THEN '{BAD_INT}' || {quoted['status']}
+      WHEN 'bad_position' THEN '{BAD_POSITION}'
+      WHEN 'no_olt_id' THEN '{NO_OLT_ID}' WHEN 'no_vendor_ont_id' THEN '{NO_UNIT_ID}'
+      WHEN 'unknown_id' THEN '{UNKNOWN_ID[0]}' || coalesce(CAST(id AS string), {raw['id']}) || '{UNKNOWN_ID[1]}'
+      ELSE code END"""
 
 
 def classify(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> DataFrame:
@@ -105,135 +96,114 @@ def classify(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> DataFrame:
     ``unit_key`` are the key it ends under.
     """
     parsed = cut(parse_lines(lines))
-    spread = ["line"]
-
-    # Resolve the few distinct ids and keys of the file, then bring the answer back to its lines.
     stored = ont.select("id", *KEY)
+    key, spread = ["olt_key", "unit_key"], ["line"]
+
+    # Resolve the distinct ids and keys of the file, then bring the answers back to its lines.
     ids = parsed.where("by_id AND id IS NOT NULL").select("id").distinct()
-    by_id = stored.join(ids, "id", "left_semi").select(
-        "id", F.col("olt_id").alias("_olt"), F.col("vendor_ont_id").alias("_unit")
-    )
-    at_id = lookup_join(parsed, by_id, "id", "left", spread_by=spread)
-    target = at_id.select(
-        "*",
-        F.when(F.col("olt_id.is_set"), F.col("olt_id.value")).otherwise(F.col("_olt")).alias("olt_key"),
-        F.when(F.col("vendor_ont_id.is_set"), F.col("vendor_ont_id.value")).otherwise(F.col("_unit")).alias("unit_key"),
+    by_id = stored.join(ids, "id", "left_semi").selectExpr("id", "olt_id AS old_olt", "vendor_ont_id AS old_unit")
+    target = lookup_join(parsed, by_id, "id", "left", spread_by=spread).selectExpr(
+        "*", "if(olt_id.is_set, olt_id.value, old_olt) AS olt_key",
+        "if(vendor_ont_id.is_set, vendor_ont_id.value, old_unit) AS unit_key",
+    )
+    keys = target.where("code IS NULL").select(*key).distinct()
+    owner = stored.selectExpr("olt_id AS olt_key", "vendor_ont_id AS unit_key", "id AS owner").join(keys, key, "left_semi")
+    devices = olt.selectExpr("id AS olt_key", "true AS device")
+    placed = lookup_join(
+        lookup_join(target, owner, key, "left", spread_by=spread), devices, "olt_key", "left", spread_by=spread
+    )
+    checked = cut(
+        placed.selectExpr(
+            *[c for c in placed.columns if c != "code"],
+            """CASE
+              WHEN code = 'null_key' AND old_olt IS NULL THEN 'unknown_id'
+              WHEN code = 'unknown_id' AND NOT (has_values OR sets_key) THEN NULL
+              WHEN code IS NOT NULL THEN code
+              WHEN by_id AND old_olt IS NULL AND (has_values OR sets_key) THEN 'unknown_id'
+              WHEN (sets_key OR NOT by_id) AND device IS NULL THEN 'unknown_olt'
+            END AS code""",
+        ).selectExpr(
+            "*", "code IS NULL AND sets_key AND (olt_key <> old_olt OR unit_key <> old_unit) AS rekeys"
+        )
     )
-    keys = target.where("code IS NULL").select("olt_key", "unit_key").distinct()
-    owner = stored.join(
-        keys, (F.col("olt_id") == F.col("olt_key")) & (F.col("vendor_ont_id") == F.col("unit_key"))
-    ).select("olt_key", "unit_key", F.col("id").alias("_owner"))
-    owned = lookup_join(target, owner, ["olt_key", "unit_key"], "left", spread_by=spread)
-    devices = olt.select(F.col("id").alias("olt_key"), F.lit(True).alias("_device"))
-    placed = lookup_join(owned, devices, "olt_key", "left", spread_by=spread)
-
-    settable = F.col("has_values") | F.col("sets_key")
-    checked = placed.withColumn(
-        "code",
-        F.when(F.col("code") == "null_key", F.when(F.col("_olt").isNull(), "unknown_id").otherwise("null_key"))
-        .when(F.col("code").isNotNull() & ~((F.col("code") == "unknown_id") & ~settable), F.col("code"))
-        .when(F.col("by_id") & settable & F.col("_olt").isNull(), "unknown_id")
-        .when((F.col("sets_key") | ~F.col("by_id")) & F.col("_device").isNull(), "unknown_olt"),
-    ).withColumn(
-        "rekeys",
-        F.col("code").isNull() & F.col("sets_key")
-        & ((F.col("olt_key") != F.col("_olt")) | (F.col("unit_key") != F.col("_unit"))),
+    settled = lookup_join(checked, cut(_refused_moves(checked)), "line", "left").selectExpr(
+        *[c for c in checked.columns if c != "code"], "coalesce(code, refused) AS code"
     )
-    checked = cut(checked)
-    refused = _rekey_conflicts(checked)
-    settled = lookup_join(checked, refused, "line", "left").withColumn("code", F.coalesce("code", "_refused"))
 
     # The first good line of a key that is not stored inserts it.
-    is_key_line = F.col("code").isNull() & ~F.col("by_id")
-    first = settled.where(is_key_line & F.col("_owner").isNull()).groupBy("olt_key", "unit_key").agg(
-        F.min("line").alias("_first")
-    )
-    known = lookup_join(settled, first, ["olt_key", "unit_key"], "left", spread_by=spread)
-    action = (
-        F.when(F.col("code").isNotNull(), "error")
-        .when(F.col("by_id"), F.when(settable, "updated").otherwise("skipped"))
-        .when(F.col("_owner").isNull() & (F.col("line") == F.col("_first")), "inserted")
-        .when(F.col("has_values"), "updated").otherwise("skipped")
-    )
-    return known.select(
-        "line", action.alias("action"), "code", F.when(F.col("code").isNotNull(), _error_text(F.col("code"))).alias("error"),
-        F.when(F.col("by_id"), F.col("id")).otherwise(F.col("_owner")).alias("unit_id"),
-        "olt_key", "unit_key", "rekeys", "point", *VALUES, "row",
+    fresh = "code IS NULL AND NOT by_id AND owner IS NULL"
+    first = cut(settled.where(fresh).groupBy(*key).agg(F.min("line").alias("first_line")))
+    return lookup_join(settled, first, key, "left", spread_by=spread).selectExpr(
+        "line",
+        """CASE WHEN code IS NOT NULL THEN 'error'
+          WHEN by_id THEN if(has_values OR sets_key, 'updated', 'skipped')
+          WHEN owner IS NULL AND line = first_line THEN 'inserted'
+          ELSE if(has_values, 'updated', 'skipped') END AS action""",
+        "code", f"if(code IS NULL, NULL, {_error_text()}) AS error",
+        "if(by_id, id, owner) AS unit_id", *key, "rekeys", "point", *VALUES, "row",
     )
 
 
-def _rekey_conflicts(checked: DataFrame) -> DataFrame:
+def _refused_moves(checked: DataFrame) -> DataFrame:
     """Lines that move a unit to another key where the outcome would hang on the order of lines."""
+    key = ["olt_key", "unit_key"]
     good = checked.where("code IS NULL")
     moves = good.where("rekeys")
-    key_touch = good.where(~F.col("by_id")).select("olt_key", "unit_key").distinct().withColumn("_touched", F.lit(True))
-    # Targets: stored under another unit, or wanted by several units, or touched by key.
-    targets = moves.groupBy("olt_key", "unit_key").agg(
-        F.max("_owner").alias("_taken"), F.count_distinct("id").alias("_wanting")
-    ).join(key_touch, ["olt_key", "unit_key"], "left").select(
-        "olt_key", "unit_key", F.col("_taken").isNotNull().alias("_taken"),
-        ((F.col("_wanting") > 1) | F.col("_touched").isNotNull()).alias("_contested"),
-    )
-    # Units: old key touched by key, or lines that set different keys.
-    old_touch = key_touch.select(F.col("olt_key").alias("_olt"), F.col("unit_key").alias("_unit"), F.col("_touched").alias("_old"))
-    units = (
-        good.where("sets_key").groupBy("id").agg(
-            F.count_distinct("olt_key", "unit_key").alias("_ways"), F.max("_olt").alias("_olt"),
-            F.max("_unit").alias("_unit"), F.max("rekeys").alias("_moves"),
-        )
-        .where("_moves").join(old_touch, ["_olt", "_unit"], "left")
-        .select("id", ((F.col("_ways") > 1) | F.col("_old").isNotNull()).alias("_unclear"))
+    touched = good.where("NOT by_id").select(*key).distinct().selectExpr(*key, "true AS touched")
+    # The new key is stored for another unit, or wanted by several units, or touched by key.
+    targets = moves.groupBy(*key).agg(
+        F.max("owner").alias("taken"), F.min("id").alias("low"), F.max("id").alias("high")
+    ).join(touched, key, "left").selectExpr(
+        *key, "taken IS NOT NULL AS taken", "low <> high OR touched IS NOT NULL AS contested"
+    )
+    # The old key is touched by key, or lines of the unit set different keys.
+    old = touched.selectExpr("olt_key AS old_olt", "unit_key AS old_unit", "touched")
+    way = F.struct(*key)
+    units = good.where("sets_key").groupBy("id").agg(
+        F.min(way).alias("way"), F.max(way).alias("other_way"), F.max("old_olt").alias("old_olt"),
+        F.max("old_unit").alias("old_unit"), F.max("rekeys").alias("moved"),
+    ).where("moved").join(old, ["old_olt", "old_unit"], "left").selectExpr(
+        "id", "way <> other_way OR touched IS NOT NULL AS unclear"
     )
     judged = lookup_join(
-        lookup_join(moves.select("line", "id", "olt_key", "unit_key"), targets, ["olt_key", "unit_key"], spread_by=["line"]),
-        units, "id", spread_by=["line"],
+        lookup_join(moves.select("line", "id", *key), targets, key, spread_by=["line"]), units, "id", spread_by=["line"]
     )
-    return judged.where("_taken OR _contested OR _unclear").select(
-        "line", F.when(F.col("_taken"), "duplicate_key").otherwise("rekey_conflict").alias("_refused")
+    return judged.where("taken OR contested OR unclear").selectExpr(
+        "line", "if(taken, 'duplicate_key', 'rekey_conflict') AS refused"
     )
 
 
-def _last(c: str, value: Column | None = None) -> Column:
-    """The last set value of a cell over lines; a later explicit NULL wins."""
-    is_set = F.col(f"{c}.is_set")
-    value = F.col(f"{c}.value") if value is None else value
-    return F.max_by(F.when(is_set, F.struct(value.alias("v"))), F.when(is_set, F.col("line"))).alias(c)
+def _last(c: str):
+    """The last set value of a cell over lines, in a struct; a later explicit NULL wins."""
+    return F.expr(f"max_by(if({c}.is_set, named_struct('v', {c}.value), NULL), if({c}.is_set, line, NULL))").alias(c)
 
 
 def import_units(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> Imported:
     """Apply CSV lines ``(line, ten text cells)``: the next unit table, what each line did, errors, counts."""
     done = cut(classify(ont, olt, lines))
-    good = done.where("action IN ('inserted', 'updated', 'skipped')")
-    folds = [_last("point"), *[_last(c) for c in VALUES]]
-
-    moved = F.when(F.col("rekeys"), F.struct("olt_key", "unit_key"))
-    edits = good.where("unit_id IS NOT NULL").groupBy("unit_id").agg(*folds, F.max(moved).alias("moved"))
-    edited = ont.alias("o").join(edits.alias("e"), F.col("o.id") == F.col("e.unit_id"), "left")
-    new_value = {c: (f"e.{c}", f"e.{c}.v") for c in VALUES} | {
-        "lon": ("e.point", "e.point.v.lon"), "lat": ("e.point", "e.point.v.lat"),
-        "olt_id": ("e.moved", "e.moved.olt_key"), "vendor_ont_id": ("e.moved", "e.moved.unit_key"),
-    }
-    known = edited.select(*[
-        F.when(F.col(new_value[c][0]).isNotNull(), F.col(new_value[c][1])).otherwise(F.col(f"o.{c}")).alias(c)
-        if c in new_value else F.col(f"o.{c}")
-        for c in ont.columns
-    ])
-    fresh = good.where("unit_id IS NULL AND olt_key IS NOT NULL").groupBy("olt_key", "unit_key").agg(*folds).select(
-        F.col("olt_key").alias("olt_id"), F.col("unit_key").alias("vendor_ont_id"),
-        F.col("point.v.lon").alias("lon"), F.col("point.v.lat").alias("lat"),
-        *[F.col(f"{c}.v").alias(c) for c in VALUES], F.lit("{}").alias("props"),
-    )
-    born = with_new_ids(fresh, ont, KEY)
-    units = known.unionByName(born, allowMissingColumns=True).select(*ont.columns)
+    good = done.where("action <> 'error'")
+    folds = [_last(c) for c in ["point", *VALUES]]
+
+    moved = F.expr("max(if(rekeys, named_struct('olt_id', olt_key, 'vendor_ont_id', unit_key), NULL))").alias("moved")
+    edits = good.where("unit_id IS NOT NULL").groupBy(F.col("unit_id").alias("id")).agg(*folds, moved)
+    new_value = {c: f"if(e.{c} IS NULL, o.{c}, e.{c}.v) AS {c}" for c in VALUES}
+    new_value |= {c: f"if(e.point IS NULL, o.{c}, e.point.v.{c}) AS {c}" for c in ("lon", "lat")}
+    new_value |= {c: f"if(e.moved IS NULL, o.{c}, e.moved.{c}) AS {c}" for c in KEY}
+    known = ont.alias("o").join(edits.alias("e"), F.expr("o.id = e.id"), "left").selectExpr(
+        *[new_value.get(c, f"o.{c}") for c in ont.columns]
+    )
+    fresh = good.where("unit_id IS NULL AND olt_key IS NOT NULL").groupBy("olt_key", "unit_key").agg(*folds).selectExpr(
+        "olt_key AS olt_id", "unit_key AS vendor_ont_id", "point.v.lon AS lon", "point.v.lat AS lat",
+        *[f"{c}.v AS {c}" for c in VALUES], "'{}' AS props",
+    )
+    units = known.unionByName(with_new_ids(fresh, ont, KEY), allowMissingColumns=True).select(*ont.columns)
     errors = done.where("action = 'error'").select("line", "code", "error", "row")
     return Imported(units, done.select("line", "action", "code", "error"), errors, import_report(done))
 
 
 def import_report(done: DataFrame) -> DataFrame:
     """One row of counters."""
-    return done.agg(
-        F.count("*").alias("processed"),
-        *[F.count_if(F.col("action") == a).alias(a) for a in ("inserted", "updated", "skipped")],
-        F.count_if(F.col("action") == "error").alias("errors"),
-        (F.count_if(F.col("action") == "error") == 0).alias("ok"),
+    return done.selectExpr(
+        "count(*) AS processed", *[f"count_if(action = '{a}') AS {a}" for a in ("inserted", "updated", "skipped")],
+        "count_if(action = 'error') AS errors", "count_if(action = 'error') = 0 AS ok",
     )

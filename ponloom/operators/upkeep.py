@@ -97,7 +97,7 @@ def with_pon_id(ont: DataFrame, olt: DataFrame, mode: str = "stored") -> DataFra
     vendors = olt.select(F.col("id").alias("olt_id"), F.col("vendor").alias("_vendor"))
     columns = [c for c in ont.columns if c != "pon_id"]
     return lookup_join(ont.select(*columns), vendors, "olt_id", "left", spread_by=["id"]).select(
-        *columns, pon_id(F.col("_vendor"), F.col("vendor_ont_id"), mode).alias("pon_id")
+        *columns, pon_id("_vendor", "vendor_ont_id", mode).alias("pon_id")
     )
 
 
@@ -107,7 +107,7 @@ def backfill_pon_id(ont: DataFrame, olt: DataFrame) -> DataFrame:
         F.col("id").alias("olt_id"), F.col("vendor").alias("_vendor"), F.lit(True).alias("_known")
     )
     blank = (F.coalesce("pon_id", F.lit("")) == "") & F.col("_known").isNotNull()
-    derived = pon_id(F.col("_vendor"), F.col("vendor_ont_id"), "stored")
+    derived = pon_id("_vendor", "vendor_ont_id", "stored")
     return lookup_join(ont, vendors, "olt_id", "left", spread_by=["id"]).select(
         *[F.when(blank, derived).otherwise(F.col(c)).alias(c) if c == "pon_id" else F.col(c) for c in ont.columns]
     )
@@ -119,7 +119,7 @@ def recalc_pon_id(ont: DataFrame, olt_before: DataFrame, olt_after: DataFrame) -
     now = olt_after.select(F.col("id").alias("olt_id"), F.col("vendor").alias("_vendor"))
     changed = now.join(was, "olt_id").where(F.lower(F.coalesce("_vendor", F.lit(""))) != F.col("_was"))
     changed = changed.select("olt_id", "_vendor", F.lit(True).alias("_changed"))
-    derived = pon_id(F.col("_vendor"), F.col("vendor_ont_id"), "stored")
+    derived = pon_id("_vendor", "vendor_ont_id", "stored")
     return lookup_join(ont, changed, "olt_id", "left", spread_by=["id"]).select(
         *[
             F.when(F.col("_changed"), derived).otherwise(F.col(c)).alias(c) if c == "pon_id" else F.col(c)

@@ -23,7 +23,7 @@ def search_cto(cto: DataFrame, q: str, k: int = 80) -> DataFrame:
     """The k best matches by uuid or name; ties go by name, then uuid."""
     at_least_chars("q", q.strip(), 2)
     bounded("k", k, 1)
-    ranked = cto.withColumn("score", match_rank(q, F.col("uuid"), F.col("nombre")))
+    ranked = cto.withColumn("score", match_rank(q, "uuid", "nombre"))
     return ranked.where(F.col("score").isNotNull()).orderBy("score", "nombre", "uuid").limit(k)
 
 

@@ -128,15 +128,15 @@ def with_ports(ont: DataFrame, olt: DataFrame) -> DataFrame:
     """Units of known devices with device name and port id."""
     devices = olt.select(
         F.col("id").alias("olt_id"), F.col("vendor").alias("_vendor"),
-        display_name(F.col("description"), F.col("id")).alias("olt_name"),
+        display_name("description", "id").alias("olt_name"),
     )
     columns = [c for c in ont.columns if c != "pon_id"]
     joined = lookup_join(ont.select(*columns), devices, "olt_id", spread_by=["id"])
-    return joined.withColumn("pon_id", pon_id_of(F.col("_vendor"), F.col("vendor_ont_id"))).drop("_vendor")
+    return joined.withColumn("pon_id", pon_id_of("_vendor", "vendor_ont_id")).drop("_vendor")
 
 
 def olt_list(olt: DataFrame) -> DataFrame:
-    return olt.select("id", display_name(F.col("description"), F.col("id")).alias("name")).orderBy("id")
+    return olt.select("id", display_name("description", "id").alias("name")).orderBy("id")
 
 
 def pon_list(ont: DataFrame, olt: DataFrame, olt_id: str) -> DataFrame:
