@@ -194,3 +194,273 @@ FROM raw_v CROSS JOIN (SELECT unnest(['huawei', 'zyxel1408A', 'zyxel2406', 'zyxe
 sql("dbm_parse", f"SELECT seq, coalesce({_dbm('rx')}, 0.0) AS rx, {_dbm('rx')} AS rx_or_null FROM raw_v")
 sql("first_truthy_power", f"""SELECT seq, coalesce({_dbm("CASE WHEN seq % 2 = 0 AND rx <> '' THEN rx ELSE seq || '.5 dBm' END")}, 0.0) AS rx
 FROM raw_v""")
+
+
+# ---- polls -------------------------------------------------------------------------------------
+
+STATE = """CASE event_type WHEN 'click' THEN 'is' WHEN 'error' THEN 'oos-ls' WHEN 'purchase' THEN 'Active'
+  WHEN 'signup' THEN 'OOS-DG' ELSE 'weird' END"""
+RUN_STATE = """CASE event_type WHEN 'click' THEN 'online' WHEN 'error' THEN 'losi' WHEN 'purchase' THEN 'offline'
+  WHEN 'signup' THEN 'dyinggasp' ELSE 'Online' END"""
+POLLS = f"""
+rec_v AS (
+  SELECT e.*, u.olt_id, u.vendor_ont_id AS unit, l.vendor, u.olt_id || '@' || strftime(ts, '%Y-%m-%d') AS poll_id,
+    date_trunc('day', ts)::timestamp AS polled_at,
+    CASE WHEN (day(ts) + substr(u.olt_id, 5, 2)::int) % 11 = 3 THEN 'error' ELSE 'ok' END AS outcome,
+    CASE WHEN event_id % 10 = 0 THEN NULL WHEN event_id % 10 = 1 THEN 'n/a' WHEN event_id % 10 = 2 THEN ''
+      ELSE (-value)::varchar || ' dBm' END AS rx
+  FROM events e JOIN ont_v u ON u.id = e.user_id JOIN olt_v l ON l.id = u.olt_id),
+norm_v AS (
+  SELECT poll_id, olt_id, vendor, event_id AS pos, polled_at AS time, unit AS vendor_ont_id,
+    CASE WHEN vendor = 'huawei' AND event_id % 4 = 0 THEN 1.5 ELSE value END::double AS ptx,
+    coalesce({_dbm('rx')}, 0.0) AS prx,
+    {_status('vendor', f"CASE WHEN vendor = 'huawei' THEN {RUN_STATE} ELSE ' ' || {STATE} || ' ' END")} AS status,
+    'SN' || user_id AS serial, CASE WHEN vendor <> 'huawei' THEN 'M-' || event_type END AS model,
+    event_type AS description,
+    CASE WHEN vendor <> 'huawei' THEN ' ' || {STATE} || ' ' END AS prop_status,
+    CASE WHEN vendor = 'huawei' THEN {RUN_STATE} END AS prop_run_state,
+    CASE WHEN vendor <> 'huawei' AND event_id % 3 = 0 THEN (event_id % 50) || ' m' END AS prop_distance,
+    CASE WHEN vendor = 'zyxel1240XA' THEN split_part(unit, '-', 2) END AS prop_filter,
+    CASE WHEN vendor <> 'huawei' THEN vendor END AS prop_vendor
+  FROM rec_v WHERE outcome = 'ok' AND vendor <> 'zyxel' AND (vendor = 'huawei' OR event_id % 13 <> 0)),
+dedup_v AS (
+  SELECT poll_id, olt_id, vendor, vendor_ont_id, time, ptx, prx, status FROM (
+    SELECT *, row_number() OVER (PARTITION BY poll_id, olt_id, vendor_ont_id ORDER BY pos DESC) AS rn FROM norm_v)
+  WHERE rn = 1),
+log_v AS (
+  SELECT h.*, coalesce(n_units, 0) AS n_units, coalesce(n_records, 0) AS n_records,
+    CASE WHEN vendor = 'zyxel' THEN 'unknown_vendor' WHEN outcome <> 'ok' THEN outcome
+      WHEN coalesce(n_units, 0) = 0 THEN 'empty' ELSE 'applied' END AS result
+  FROM (SELECT DISTINCT poll_id, olt_id, vendor, polled_at, outcome FROM rec_v) h
+  LEFT JOIN (SELECT poll_id, count(DISTINCT vendor_ont_id) AS n_units, count(*) AS n_records FROM norm_v GROUP BY 1) n
+    USING (poll_id))
+"""
+
+
+def poll_sql(name: str, body: str, more: str = "") -> None:
+    ORACLE[name] = f"WITH {VIEWS}, {POLLS} {',' + more if more else ''} {body}"
+
+
+poll_sql("poll_normalize", "SELECT * FROM norm_v")
+poll_sql("poll_dedup_last", "SELECT poll_id, olt_id, vendor_ont_id, time, ptx, prx, status FROM dedup_v")
+poll_sql("poll_log_results", """SELECT poll_id, olt_id, vendor, polled_at, n_units, n_records, result,
+  result = 'applied' AND n_units >= 3 AS evidence FROM log_v""")
+poll_sql("key_resolution", """SELECT d.time, o.id AS ont_id, d.ptx, d.prx, d.status
+FROM dedup_v d JOIN ont_v o ON o.olt_id = d.olt_id AND o.vendor_ont_id = d.vendor_ont_id""")
+poll_sql("presence_islands", """
+SELECT olt_id, vendor_ont_id, min(no) AS first_poll, max(no) AS last_poll, count(*) AS n_polls FROM (
+  SELECT *, sum(jump) OVER (PARTITION BY olt_id, vendor_ont_id ORDER BY no) AS run FROM (
+    SELECT *, CASE WHEN no - lag(no) OVER (PARTITION BY olt_id, vendor_ont_id ORDER BY no) = 1 THEN 0 ELSE 1 END AS jump
+    FROM dedup_v JOIN (SELECT poll_id, row_number() OVER (PARTITION BY olt_id ORDER BY polled_at, poll_id) AS no
+      FROM log_v WHERE result = 'applied') USING (poll_id)))
+GROUP BY olt_id, vendor_ont_id, run""")
+
+
+def _scope(vendor: str, unit: str, whole: bool) -> str:
+    return "'*'" if whole else f"""CASE WHEN {vendor} = 'huawei' THEN split_part({unit}, '/', 2) || '/' || split_part({unit}, '/', 3)
+      WHEN {vendor} = 'zyxel1240XA' THEN split_part({unit}, '-', 2) ELSE '*' END"""
+
+
+def _applied(whole: bool, delete: bool = True) -> str:
+    return f"""
+seen AS (SELECT DISTINCT olt_id, vendor_ont_id AS u, {_scope('vendor', 'vendor_ont_id', whole)} AS scope, poll_id, time FROM norm_v),
+ev AS (SELECT DISTINCT olt_id, scope, poll_id, time FROM seen),
+stored AS (
+  SELECT o.*, o.vendor_ont_id AS u, {_scope('l.vendor', 'o.vendor_ont_id', whole)} AS scope
+  FROM ont_v o JOIN olt_v l ON l.id = o.olt_id WHERE o.olt_id IN (SELECT olt_id FROM seen)),
+allu AS (SELECT olt_id, u, scope FROM stored UNION SELECT olt_id, u, scope FROM seen),
+brk AS (
+  SELECT a.olt_id, a.u, max(e.time) AS brk FROM allu a JOIN ev e USING (olt_id, scope)
+  LEFT JOIN seen s ON s.olt_id = a.olt_id AND s.u = a.u AND s.poll_id = e.poll_id
+  WHERE s.u IS NULL AND {'true' if delete else 'false'} GROUP BY 1, 2),
+live AS (
+  SELECT n.*, brk, row_number() OVER (PARTITION BY n.olt_id, n.vendor_ont_id ORDER BY time DESC, pos DESC) AS from_end,
+    row_number() OVER (PARTITION BY n.olt_id, n.vendor_ont_id ORDER BY time, pos DESC) AS from_start
+  FROM norm_v n LEFT JOIN brk b ON b.olt_id = n.olt_id AND b.u = n.vendor_ont_id WHERE brk IS NULL OR time > brk),
+after AS (
+  SELECT o.id, o.olt_id, o.vendor_ont_id, o.cto_uuid, o.lon, o.lat, o.serial, o.model, o.description,
+    CASE WHEN l.poll_id IS NULL THEN o.status ELSE l.status END AS status,
+    CASE WHEN l.poll_id IS NULL THEN 'IS' ELSE l.prop_status END AS prop_status, l.prop_run_state
+  FROM ont_v o LEFT JOIN live l ON l.olt_id = o.olt_id AND l.vendor_ont_id = o.vendor_ont_id AND from_end = 1
+  WHERE NOT EXISTS (SELECT 1 FROM brk b WHERE b.olt_id = o.olt_id AND b.u = o.vendor_ont_id)
+  UNION ALL
+  SELECT NULL, l.olt_id, l.vendor_ont_id, NULL, NULL, NULL, f.serial, f.model, f.description, l.status, l.prop_status, l.prop_run_state
+  FROM live l JOIN live f ON f.olt_id = l.olt_id AND f.vendor_ont_id = l.vendor_ont_id AND f.from_start = 1
+  WHERE l.from_end = 1 AND (l.brk IS NOT NULL OR NOT EXISTS (
+    SELECT 1 FROM ont_v o WHERE o.olt_id = l.olt_id AND o.vendor_ont_id = l.vendor_ont_id)))"""
+
+
+poll_sql("polls_applied_units", "SELECT * FROM after", _applied(True))
+poll_sql("polls_applied_units_by_scope", "SELECT * FROM after", _applied(False))
+poll_sql("polls_applied_units_kept", "SELECT * FROM after", _applied(True, delete=False))
+poll_sql("polls_applied_readings", """SELECT d.time, d.ptx, d.prx, d.status, d.olt_id, d.vendor_ont_id FROM dedup_v d
+LEFT JOIN brk b ON b.olt_id = d.olt_id AND b.u = d.vendor_ont_id WHERE brk IS NULL OR d.time > brk""", _applied(True))
+poll_sql("polls_removed_units", """SELECT s.id, s.olt_id, s.vendor_ont_id FROM stored s
+JOIN brk b ON b.olt_id = s.olt_id AND b.u = s.u""", _applied(True))
+
+# ---- upkeep ------------------------------------------------------------------------------------
+
+NEWEST = """
+newest AS (SELECT olt_id, max(poll_id) AS poll_id FROM norm_v GROUP BY 1),
+gone AS (
+  SELECT id, olt_id, vendor_ont_id FROM ont_v o WHERE olt_id IN (SELECT olt_id FROM newest)
+  AND NOT EXISTS (SELECT 1 FROM norm_v n JOIN newest USING (olt_id, poll_id)
+    WHERE n.olt_id = o.olt_id AND n.vendor_ont_id = o.vendor_ont_id))"""
+poll_sql("delete_missing_anti", "SELECT * FROM gone", NEWEST)
+poll_sql("delete_missing_kept", "SELECT id, olt_id, vendor_ont_id FROM ont_v WHERE id NOT IN (SELECT id FROM gone)", NEWEST)
+poll_sql("cascade_readings", "SELECT * FROM power_v WHERE ont_id NOT IN (SELECT id FROM gone)", NEWEST)
+sql("upsert_units", """SELECT olt_id, vendor_ont_id, cto_uuid, lon, lat, serial, model, description,
+  CASE WHEN EXISTS (SELECT 1 FROM ch WHERE ch.olt_id = o.olt_id AND ch.unit = o.vendor_ont_id) THEN 9 ELSE status END AS status,
+  CASE WHEN EXISTS (SELECT 1 FROM ch WHERE ch.olt_id = o.olt_id AND ch.unit = o.vendor_ont_id) THEN 'new' ELSE 'IS' END AS props
+FROM ont_v o
+UNION ALL SELECT olt_id, unit, NULL, NULL, NULL, nombre, NULL, nombre, 9, 'new' FROM ch
+WHERE NOT EXISTS (SELECT 1 FROM ont_v o WHERE o.olt_id = ch.olt_id AND o.vendor_ont_id = ch.unit)""", more="""
+ch AS (SELECT CASE WHEN s.tipo = 11 THEN o.olt_id ELSE 'olt-new' END AS olt_id, coalesce(o.vendor_ont_id, s.nombre) AS unit, s.nombre
+  FROM equipment_v s LEFT JOIN ont_v o ON o.id = split_part(s.uuid, '-', 2)::bigint
+  WHERE s.tipo <> 11 OR o.olt_id IS NOT NULL)""")
+OLT_CHANGES = """
+olt_ch AS (
+  SELECT 'olt-' || lpad((r_regionkey * 6)::varchar, 2, '0') AS id, 'zyxel' AS vendor, r_name AS host, 161 AS port,
+    CASE WHEN r_regionkey > 1 THEN 60 ELSE 300 END AS poll_interval, NULL::varchar AS prompt, r_name AS description FROM region
+  UNION ALL SELECT 'olt-x' || r_regionkey, 'huawei', r_name, 23, 300, '#', '' FROM region)"""
+sql("upsert_olts_keep_vendor", """SELECT coalesce(o.id, n.id) AS id, coalesce(o.vendor, n.vendor) AS vendor,
+  CASE WHEN n.id IS NULL THEN o.host ELSE n.host END AS host, CASE WHEN n.id IS NULL THEN o.port ELSE n.port END AS port,
+  CASE WHEN n.id IS NULL THEN o.poll_interval ELSE n.poll_interval END AS poll_interval,
+  CASE WHEN n.id IS NULL THEN o.prompt ELSE n.prompt END AS prompt,
+  CASE WHEN n.id IS NULL THEN o.description ELSE n.description END AS description
+FROM olt_v o FULL OUTER JOIN olt_ch n ON n.id = o.id""", more=OLT_CHANGES)
+sql("seed_olts", "SELECT * FROM olt_v UNION ALL SELECT * FROM olt_ch WHERE id NOT IN (SELECT id FROM olt_v)", more=OLT_CHANGES)
+sql("patch_units", """SELECT o.id,
+  CASE WHEN p_partkey % 2 = 0 THEN CASE WHEN p_partkey % 4 = 0 THEN p_brand END ELSE o.cto_uuid END AS cto_uuid,
+  CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 7 <> 0 THEN CASE WHEN p_partkey % 5 <> 0 THEN p_retailprice END ELSE o.lon END AS lon,
+  CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 7 <> 0 THEN CASE WHEN p_partkey % 5 <> 0 THEN p_size::double END ELSE o.lat END AS lat
+FROM ont_v o LEFT JOIN part ON p_partkey = o.id""")
+STALE = "CASE o.id % 3 WHEN 0 THEN '' WHEN 1 THEN 'old' END"
+sql("backfill_pon_id", f"""SELECT o.id, CASE WHEN o.id % 3 = 1 THEN 'old' ELSE {_pon_stored('l.vendor', 'o.vendor_ont_id')} END AS pon_id
+FROM ont_v o JOIN olt_v l ON l.id = o.olt_id""")
+sql("derive_pon_id", f"""SELECT o.id, {_pon_stored('l.vendor', 'o.vendor_ont_id')} AS pon_id
+FROM ont_v o JOIN olt_v l ON l.id = o.olt_id""")
+ORACLE["derive_pon_id_sql"] = ORACLE["derive_pon_id"]
+sql("recalc_pon_id", f"""SELECT o.id, CASE WHEN l.vendor = 'zyxel' THEN {_pon_stored("'zyxel2406'", 'o.vendor_ont_id')} ELSE {STALE} END AS pon_id
+FROM ont_v o JOIN olt_v l ON l.id = o.olt_id""")
+
+# ---- files -------------------------------------------------------------------------------------
+
+sql("csv_export_rows", """SELECT id, olt_id, vendor_ont_id, cto_uuid, lon AS x, lat AS y, serial, model, description, status
+FROM ont_v ORDER BY olt_id, id""")
+CELL_NAMES = ["id", "olt_id", "vendor_ont_id", "cto_uuid", "x", "y", "serial", "model", "description", "status"]
+FLOATS = r"'^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$'"
+
+
+def _value(c: str) -> str:
+    return f"CASE WHEN lower({c}) <> 'null' AND {c} <> '' THEN {c} END"
+
+
+IMPORT = f"""
+cells_v AS (
+  SELECT k + 2 AS line,
+    CASE WHEN k % 12 = 10 THEN 'x1' WHEN k % 12 = 11 THEN ' ' || (c + 100000000) WHEN k % 12 < 4 THEN c::varchar ELSE '' END AS id,
+    CASE WHEN k % 12 < 3 THEN NULL WHEN k % 12 = 8 THEN '' WHEN k % 12 = 9 THEN 'olt-99' ELSE coalesce(u.olt_id, 'olt-00') END AS olt_id,
+    CASE WHEN k % 12 < 3 THEN NULL WHEN k % 12 = 7 THEN 'null' WHEN k % 12 IN (5, 6) THEN 'new-' || c
+      WHEN k % 36 = 3 THEN 'moved-' || k ELSE u.vendor_ont_id END AS vendor_ont_id,
+    CASE k % 5 WHEN 0 THEN 'null' WHEN 1 THEN ' cto-' || (k % 120) || ' ' END AS cto_uuid,
+    CASE WHEN k % 7 = 0 THEN (k % 90) || '.25' WHEN k % 7 = 1 THEN 'NULL' WHEN k % 35 = 2 THEN '7' END AS x,
+    CASE WHEN k % 7 = 0 THEN (k % 45) || '.5' WHEN k % 7 = 1 THEN ' null' WHEN k % 35 = 3 THEN 'abc' END AS y,
+    CASE WHEN k % 3 = 1 THEN 'S' || k ELSE '' END AS serial, CASE WHEN k % 4 = 1 THEN pr END AS model,
+    CASE k % 11 WHEN 2 THEN 'null' WHEN 3 THEN 'd' || k ELSE '  ' END AS description,
+    CASE WHEN k % 9 = 4 THEN (k % 4)::varchar WHEN k % 45 = 5 THEN '7.0' END AS status
+  FROM (SELECT o_orderkey AS k, o_custkey AS c, o_orderpriority AS pr FROM orders) LEFT JOIN ont_v u ON u.id = c),
+clean_v AS (SELECT line, {', '.join(f"coalesce(trim({c}), '') AS {c}" for c in CELL_NAMES)} FROM cells_v),
+checked_v AS (
+  SELECT *, id <> '' AS by_id, CASE WHEN regexp_matches(id, '^[+-]?[0-9]+$') THEN id::bigint END AS nid,
+    (olt_id <> '' OR vendor_ont_id <> '') AND id <> '' AS sets_key,
+    x <> '' OR {' OR '.join(f"{c} <> ''" for c in ('cto_uuid', 'serial', 'model', 'description', 'status'))} AS has_values,
+    CASE WHEN id <> '' AND NOT regexp_matches(id, '^[+-]?[0-9]+$') THEN 'bad_id'
+      WHEN x <> '' AND lower(x) <> 'null' AND NOT regexp_matches(x, {FLOATS}) THEN 'bad_x'
+      WHEN y <> '' AND lower(y) <> 'null' AND NOT regexp_matches(y, {FLOATS}) THEN 'bad_y'
+      WHEN status <> '' AND lower(status) <> 'null' AND NOT regexp_matches(status, '^[+-]?[0-9]+$') THEN 'bad_status'
+      WHEN NOT ((x = '' AND y = '') OR (lower(x) = 'null' AND lower(y) = 'null')
+        OR (x <> '' AND y <> '' AND lower(x) <> 'null' AND lower(y) <> 'null')) THEN 'bad_position'
+      WHEN id = '' AND (olt_id = '' OR lower(olt_id) = 'null') THEN 'no_olt_id'
+      WHEN id = '' AND (vendor_ont_id = '' OR lower(vendor_ont_id) = 'null') THEN 'no_vendor_ont_id' END AS code0
+  FROM clean_v),
+target_v AS (
+  SELECT c.*, o.id AS hit, o.olt_id AS old_olt, o.vendor_ont_id AS old_unit,
+    CASE WHEN c.olt_id <> '' THEN {_value('c.olt_id')} ELSE o.olt_id END AS olt_key,
+    CASE WHEN c.vendor_ont_id <> '' THEN {_value('c.vendor_ont_id')} ELSE o.vendor_ont_id END AS unit_key
+  FROM checked_v c LEFT JOIN ont_v o ON o.id = c.nid),
+judged_v AS (
+  SELECT t.*, w.id AS owner, CASE WHEN code0 IS NOT NULL THEN code0
+    WHEN by_id AND hit IS NULL AND (has_values OR sets_key) THEN 'unknown_id'
+    WHEN by_id AND (lower(t.olt_id) = 'null' OR lower(t.vendor_ont_id) = 'null') THEN 'null_key'
+    WHEN (sets_key OR NOT by_id) AND olt_key NOT IN (SELECT id FROM olt_v) THEN 'unknown_olt' END AS code1
+  FROM target_v t LEFT JOIN ont_v w ON w.olt_id = t.olt_key AND w.vendor_ont_id = t.unit_key AND code0 IS NULL),
+good_v AS (SELECT *, sets_key AND (olt_key <> old_olt OR unit_key <> old_unit) AS rekeys FROM judged_v WHERE code1 IS NULL),
+refused_v AS (
+  SELECT line, CASE WHEN owner IS NOT NULL THEN 'duplicate_key' ELSE 'rekey_conflict' END AS code2 FROM good_v r
+  WHERE rekeys AND (owner IS NOT NULL
+    OR EXISTS (SELECT 1 FROM good_v g WHERE NOT g.by_id AND g.olt_key = r.olt_key AND g.unit_key = r.unit_key)
+    OR EXISTS (SELECT 1 FROM good_v g WHERE g.rekeys AND g.nid <> r.nid AND g.olt_key = r.olt_key AND g.unit_key = r.unit_key)
+    OR EXISTS (SELECT 1 FROM good_v g WHERE g.sets_key AND g.nid = r.nid AND (g.olt_key <> r.olt_key OR g.unit_key <> r.unit_key))
+    OR EXISTS (SELECT 1 FROM good_v g WHERE NOT g.by_id AND g.olt_key = r.old_olt AND g.unit_key = r.old_unit))),
+settled_v AS (SELECT j.*, coalesce(code1, code2) AS code FROM judged_v j LEFT JOIN refused_v USING (line)),
+first_v AS (SELECT olt_key, unit_key, min(line) AS first_line FROM settled_v
+  WHERE code IS NULL AND NOT by_id AND owner IS NULL GROUP BY 1, 2),
+done_v AS (
+  SELECT s.*, CASE WHEN code IS NOT NULL THEN 'error'
+    WHEN by_id THEN CASE WHEN has_values OR sets_key THEN 'updated' ELSE 'skipped' END
+    WHEN owner IS NULL AND line = first_line THEN 'inserted'
+    WHEN has_values THEN 'updated' ELSE 'skipped' END AS action,
+    CASE WHEN by_id THEN nid ELSE owner END AS unit_id
+  FROM settled_v s LEFT JOIN first_v USING (olt_key, unit_key))
+"""
+FOLDS = ", ".join(
+    f"arg_max({{'v': {_value(c)}}}, line) FILTER (WHERE {c} <> '') AS {c}"
+    for c in ("cto_uuid", "x", "y", "serial", "model", "description", "status")
+)
+sql("csv_import_classify", "SELECT line, action, code FROM done_v", more=IMPORT)
+sql("csv_import_counts", """SELECT count(*) AS processed, count(*) FILTER (WHERE action = 'inserted') AS inserted,
+  count(*) FILTER (WHERE action = 'updated') AS updated, count(*) FILTER (WHERE action = 'skipped') AS skipped,
+  count(*) FILTER (WHERE action = 'error') AS errors, count(*) FILTER (WHERE action = 'error') = 0 AS ok FROM done_v""", more=IMPORT)
+sql("csv_import_errors", """SELECT line, CASE code WHEN 'bad_id' THEN 'invalid literal for int() with base 10: ''' || id || ''''
+  WHEN 'bad_x' THEN 'valor float inválido: ''' || x || '''' WHEN 'bad_y' THEN 'valor float inválido: ''' || y || ''''
+  WHEN 'bad_status' THEN 'valor entero inválido: ''' || status || ''''
+  WHEN 'bad_position' THEN 'x/y deben venir ambos vacíos, ambos ''null'', o ambos numéricos'
+  WHEN 'no_olt_id' THEN 'olt_id es obligatorio cuando no hay id'
+  WHEN 'no_vendor_ont_id' THEN 'vendor_ont_id es obligatorio cuando no hay id'
+  WHEN 'unknown_id' THEN 'ONT id=' || nid || ' no existe' ELSE code END AS error
+FROM done_v WHERE action = 'error'""", more=IMPORT)
+
+
+def _folded(c: str, f: str, kind: str = "varchar", old: str | None = None) -> str:
+    keep = f"o.{old or c}"
+    return f"CASE WHEN f.{f} IS NULL THEN {keep} ELSE f.{f}.v::{kind} END AS {c}"
+
+
+sql("csv_import_result", f"""
+SELECT o.id, coalesce(f.moved.o, o.olt_id) AS olt_id, coalesce(f.moved.u, o.vendor_ont_id) AS vendor_ont_id,
+  {_folded('cto_uuid', 'cto_uuid')}, {_folded('lon', 'x', 'double')}, {_folded('lat', 'y', 'double')},
+  {_folded('serial', 'serial')}, {_folded('model', 'model')}, {_folded('description', 'description')}, {_folded('status', 'status', 'int')}
+FROM ont_v o LEFT JOIN (SELECT unit_id, {FOLDS}, arg_max({{'o': olt_key, 'u': unit_key}}, line)
+    FILTER (WHERE sets_key AND (olt_key <> old_olt OR unit_key <> old_unit)) AS moved
+  FROM done_v WHERE action <> 'error' AND unit_id IS NOT NULL GROUP BY 1) f ON f.unit_id = o.id
+UNION ALL
+SELECT NULL, olt_key, unit_key, cto_uuid.v, x.v::double, y.v::double, serial.v, model.v, description.v, status.v::int
+FROM (SELECT olt_key, unit_key, {FOLDS} FROM done_v WHERE action <> 'error' AND NOT by_id AND owner IS NULL GROUP BY 1, 2)""", more=IMPORT)
+sql("config_overlay", """SELECT 'olt-' || n_nationkey AS id, '300' AS poll_interval,
+  CASE WHEN n_nationkey % 2 = 0 THEN CASE WHEN n_nationkey % 4 <> 0 THEN n_name END ELSE r_name END AS prompt,
+  CASE WHEN n_nationkey % 2 = 1 THEN n_name END AS description, false AS has_password
+FROM nation JOIN region ON r_regionkey = n_regionkey""")
+sql("props_extract", "SELECT id, vendor_ont_id AS aid, 'IS' AS status, distance FROM ont_v")
+ORACLE["event_props_extract"] = "SELECT event_id, json_extract_string(props, '$.k')::bigint AS k FROM events"
+
+# ---- quality -----------------------------------------------------------------------------------
+
+ORACLE["dq_duplicates"] = """SELECT o_orderdate::date AS day, o_custkey AS ont_id, count(*) AS n_rows FROM orders
+GROUP BY 1, 2 HAVING count(*) > 1"""
+sql("dq_duplicate_readings", "SELECT time, ont_id, count(*) AS n_rows FROM power_v GROUP BY 1, 2 HAVING count(*) > 1")
+sql("dq_orphans", "SELECT id, cto_uuid FROM ont_v WHERE cto_uuid IS NOT NULL AND cto_uuid NOT IN (SELECT uuid FROM cto_v)")
+sql("dq_domain", """SELECT * FROM (SELECT * FROM olt_ch UNION ALL SELECT * FROM olt_v)
+WHERE vendor NOT IN ('huawei', 'zyxel1408A')""", more=OLT_CHANGES)
+sql("dq_nulls", """SELECT * FROM (SELECT id, concat_ws(',', CASE WHEN cto_uuid IS NULL THEN 'cto_uuid' END,
+  CASE WHEN lon IS NULL THEN 'lon' END) AS null_columns FROM ont_v) WHERE null_columns <> ''""")
