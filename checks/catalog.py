@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,7 +16,7 @@ from ponloom.functions.status import status_code
 from ponloom.operators import quality, upkeep
 from ponloom.operators.joins import lookup_join
 from ponloom.operators.latest import fold_latest, latest
-from ponloom.operators.lineage import cut
+from ponloom.operators.lineage import cut, shared_dir
 from ponloom.operators.normalize import normalize_polls
 from ponloom.operators.presence import (
     apply_polls, evidence, islands, last_in_poll, poll_headers, poll_log, presence, seen_units,
@@ -24,6 +25,9 @@ from ponloom.operators.unit_import import classify, import_units
 from ponloom.plans import boxes, tree, units
 from ponloom.sinks.files import export_units
 from ponloom.sources.config import overlay_config
+from ponloom.streaming.ingest import start_ingest
+from ponloom.streaming.state import current_state, unique_readings
+from ponloom.streaming.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -555,3 +559,69 @@ def dq_domain(spark, d):
 @query
 def dq_nulls(spark, d):
     return quality.nulls(v.ont(spark, d), ["id", "olt_id", "cto_uuid", "lon"]).select("id", "null_columns")
+
+
+# ---- streams -----------------------------------------------------------------------------------
+
+def _new_folder(spark, name):
+    return f"{shared_dir(spark)}/{name}-{uuid4().hex}"
+
+
+def _ingested(spark, d):
+    """Poll files staged from the whole event table, run through the stream."""
+    folder = _new_folder(spark, "ingest")
+    r = v.poll_records(spark, d)
+    lines = r.selectExpr(
+        "poll_id", "olt_id", "vendor", "polled_at", "outcome", "scopes_ok", "scopes_failed", "pos AS slice", "scope",
+        "array(record) AS records",
+    )
+    lines.write.json(f"{folder}/in")
+    store = Store(spark, f"{folder}/store")
+    store.start(v.ont(spark, d))
+    start_ingest(spark, f"{folder}/in", store, f"{folder}/checkpoint", parity=True).awaitTermination()
+    return store
+
+
+@query
+def stream_ingest_units(spark, d):
+    return _known_ids(spark, d, _ingested(spark, d).units())
+
+
+@query
+def stream_ingest_readings(spark, d):
+    store = _ingested(spark, d)
+    units_ = store.units().select(F.col("id").alias("ont_id"), "olt_id", "vendor_ont_id")
+    readings = store.readings().withColumn("time", F.col("time").cast("timestamp_ntz"))
+    return readings.join(units_, "ont_id").select("time", "ptx", "prx", "status", "olt_id", "vendor_ont_id")
+
+
+def _event_stream(spark, d):
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    return events.selectExpr(
+        "CAST(ts AS timestamp) AS time", "user_id AS ont_id", "value AS ptx", "-value AS prx",
+        "CAST(event_id % 4 AS int) AS status",
+    )
+
+
+def _run(spark, stream, mode):
+    folder = _new_folder(spark, "stream")
+    write = lambda rows, batch: rows.write.mode("overwrite").parquet(f"{folder}/out/batch={batch}")
+    (
+        stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    rows = spark.read.parquet(f"{folder}/out").drop("batch")
+    return rows.withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+
+@query
+def stream_current_state(spark, d):
+    return _run(spark, current_state(_event_stream(spark, d), ("ont_id",)), "update")
+
+
+@query
+def stream_unique_readings(spark, d):
+    """Every event comes twice."""
+    twice = _event_stream(spark, d).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    return _run(spark, unique_readings(twice, "60 days"), "append")

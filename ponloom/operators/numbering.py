@@ -35,13 +35,15 @@ def numbered(
     )
 
 
-def with_new_ids(new: DataFrame, current: DataFrame, key: list[str], id_: str = "id") -> DataFrame:
-    """Give new rows dense ids above the largest one in use.
+def with_new_ids(
+    new: DataFrame, current: DataFrame, key: list[str], id_: str = "id", last_id: int = 0
+) -> DataFrame:
+    """Give new rows dense ids above the largest one in use, or ever used (``last_id``).
 
     Ids depend only on the keys, so a task that runs again hands out the same ones.
     """
     bucket = F.pmod(F.xxhash64(*key), F.lit(ID_BUCKETS))
-    top = F.coalesce(current.agg(F.max(id_)).scalar(), F.lit(0))
+    top = F.greatest(current.agg(F.max(id_)).scalar(), F.lit(last_id))
     ranked = numbered(new, [], bucket, list(key), "_n")
     return ranked.withColumn(id_, (F.col("_n") + top).cast("bigint")).drop("_n")
 

@@ -149,7 +149,7 @@ def last_break(units: DataFrame, seen: DataFrame, polls: DataFrame) -> DataFrame
 
 def apply_polls(
     ont: DataFrame, rows: DataFrame, headers: DataFrame, delete_missing: bool = True,
-    parity: bool = False, min_units: int = 0,
+    parity: bool = False, min_units: int = 0, last_id: int = 0,
 ) -> Applied:
     """The unit table and readings after a batch of polls, as if applied one after the other.
 
@@ -158,7 +158,8 @@ def apply_polls(
 
     A known unit gets status and props of its last poll. A unit that a poll missed is removed; if
     a later poll sees it, it is a new unit with the serial, model and description of that poll,
-    without position and box, and its older readings are gone.
+    without position and box, and its older readings are gone. Ids are never used again: ``last_id`` is
+    the largest one ever given.
     """
     log = cut(poll_log(headers, rows, min_units))
     vendors = log.where("result = 'applied'").groupBy("olt_id").agg(F.max("vendor").alias("vendor"))
@@ -202,7 +203,7 @@ def apply_polls(
         lookup_join(rows, new.select(*UNIT, "break"), UNIT, spread_by=["poll_id", "pos"]).where(since_break)
         .groupBy(*UNIT).agg(F.min_by(F.struct("serial", "model", "description"), place).alias("first"))
     )
-    born = with_new_ids(new.join(first, UNIT).select(*UNIT, "first.*", "now.*"), ont, UNIT)
+    born = with_new_ids(new.join(first, UNIT).select(*UNIT, "first.*", "now.*"), ont, UNIT, last_id=last_id)
     units = known.unionByName(born, allowMissingColumns=True).select(*ont.columns)
 
     ids = state.where(keeps).select("id", *UNIT).unionByName(born.select("id", *UNIT))

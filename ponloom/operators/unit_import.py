@@ -178,7 +178,7 @@ def _last(c: str):
     return F.expr(f"max_by(if({c}.is_set, named_struct('v', {c}.value), NULL), if({c}.is_set, line, NULL))").alias(c)
 
 
-def import_units(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> Imported:
+def import_units(ont: DataFrame, olt: DataFrame, lines: DataFrame, last_id: int = 0) -> Imported:
     """Apply CSV lines ``(line, ten text cells)``: the next unit table, what each line did, errors, counts."""
     done = cut(classify(ont, olt, lines))
     good = done.where("action <> 'error'")
@@ -196,7 +196,7 @@ def import_units(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> Imported:
         "olt_key AS olt_id", "unit_key AS vendor_ont_id", "point.v.lon AS lon", "point.v.lat AS lat",
         *[f"{c}.v AS {c}" for c in VALUES], "'{}' AS props",
     )
-    units = known.unionByName(with_new_ids(fresh, ont, KEY), allowMissingColumns=True).select(*ont.columns)
+    units = known.unionByName(with_new_ids(fresh, ont, KEY, last_id=last_id), allowMissingColumns=True).select(*ont.columns)
     errors = done.where("action = 'error'").select("line", "code", "error", "row")
     return Imported(units, done.select("line", "action", "code", "error"), errors, import_report(done))
 
