@@ -175,40 +175,35 @@ def apply_polls(
         sighted = seen_units(rows, parity)
         polls = cut(evidence(log, sighted, parity))
         units = stored.select(*UNIT, "scope").union(sighted.select(*UNIT, "scope")).distinct()
-        breaks = cut(last_break(units, presence(sighted, polls), polls))
+        breaks = last_break(units, presence(sighted, polls), polls)
     else:
         none = F.lit(None).cast(f"struct<time:{rows.schema['time'].dataType.simpleString()},poll_id:string>")
         breaks = ont.select(*UNIT).limit(0).withColumn("break", none)
 
-    state = stored.select("id", *UNIT).join(last, UNIT, "full_outer").join(breaks, UNIT, "left")
-    keeps = F.col("id").isNotNull() & F.col("break").isNull()
-    removed = state.where(F.col("id").isNotNull() & F.col("break").isNotNull()).select("id", *UNIT)
+    # One row per stored or seen unit of the polled devices; everything else follows from it.
+    state = cut(stored.select("id", *UNIT).join(last, UNIT, "full_outer").join(breaks, UNIT, "left"))
+    kept = state.where("id IS NOT NULL AND break IS NULL")
+    removed = state.where("id IS NOT NULL AND break IS NOT NULL").select("id", *UNIT)
+    new = state.where("(id IS NULL OR break IS NOT NULL) AND (break IS NULL OR seen > break)").drop("id")
 
     # Units that stay under their id. Those no poll has seen stay as they are.
-    kept = state.where(keeps).select("id", "now")
-    known = ont.join(removed.select("id"), "id", "left_anti").join(kept, "id", "left").select(*[
-        F.when(F.col("now").isNotNull(), F.col(f"now.{c}")).otherwise(F.col(c)).alias(c)
-        if c in ("status", "props") else F.col(c)
-        for c in ont.columns
-    ])
+    known = ont.join(removed.select("id"), "id", "left_anti").join(kept.select("id", "now"), "id", "left").selectExpr(
+        *[f"if(now IS NULL, {c}, now.{c}) AS {c}" if c in ("status", "props") else c for c in ont.columns]
+    )
 
     # Units that are new, or back after a gap: their first record since then.
     since_break = F.col("break").isNull() | (at > F.col("break"))
-    new = cut(
-        state.where(~keeps & (F.col("break").isNull() | (F.col("seen") > F.col("break"))))
-        .select(*UNIT, "break", "now")
-    )
     place = F.struct(F.col("time"), F.col("poll_id"), -F.col("slice"), -F.col("pos"))
     first = (
         lookup_join(rows, new.select(*UNIT, "break"), UNIT, spread_by=["poll_id", "pos"]).where(since_break)
         .groupBy(*UNIT).agg(F.min_by(F.struct("serial", "model", "description"), place).alias("first"))
     )
-    born = with_new_ids(new.join(first, UNIT).select(*UNIT, "first.*", "now.*"), ont, UNIT, last_id=last_id)
-    units = known.unionByName(born, allowMissingColumns=True).select(*ont.columns)
+    named = new.join(first, UNIT).select(*UNIT, "break", "first.*", "now.*")
+    born = cut(with_new_ids(named, ont, UNIT, last_id=last_id))
+    units = known.unionByName(born.drop("break"), allowMissingColumns=True).select(*ont.columns)
 
-    ids = state.where(keeps).select("id", *UNIT).unionByName(born.select("id", *UNIT))
-    readings = lookup_join(last_in_poll(rows), breaks, UNIT, "left", spread_by=["poll_id"]).where(since_break)
-    power = lookup_join(readings, ids, UNIT, spread_by=["poll_id"]).select(
+    alive = kept.select("id", *UNIT, "break").unionByName(born.select("id", *UNIT, "break"))
+    power = lookup_join(last_in_poll(rows), alive, UNIT, spread_by=["poll_id"]).where(since_break).select(
         "time", F.col("id").alias("ont_id"), "ptx", "prx", "status"
     )
     return Applied(units, power, removed, log)
