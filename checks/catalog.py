@@ -364,10 +364,10 @@ def polls_removed_units(spark, d):
 # ---- upkeep ------------------------------------------------------------------------------------
 
 def _last_poll(spark, d):
-    """Units of the newest good poll of each device."""
-    rows = _rows(spark, d)
-    newest = rows.groupBy("olt_id").agg(F.max("poll_id").alias("poll_id"))
-    return rows.join(newest, ["olt_id", "poll_id"], "left_semi"), newest
+    """Units of the newest good poll of each device, and these devices."""
+    sighted = cut(_rows(spark, d).select("olt_id", "poll_id", "vendor_ont_id").distinct())
+    newest = sighted.groupBy("olt_id").agg(F.max("poll_id").alias("poll_id"))
+    return lookup_join(sighted, newest, ["olt_id", "poll_id"], "left_semi", spread_by=["vendor_ont_id"]), newest
 
 
 @query

@@ -62,7 +62,8 @@ def parse_dbm(text: str, missing: str = "zero") -> Column:
 
 def first_truthy_sql(record: str, *keys: str) -> str:
     """First of the keys of a record whose value is neither NULL nor empty."""
-    return "coalesce(" + ", ".join(f"nullif({record}['{k}'], '')" for k in keys) + ")"
+    values = ", ".join(f"{record}['{k}']" for k in keys)
+    return f"get(filter(array({values}), x -> x <> ''), 0)"
 
 
 def first_truthy(record: str, *keys: str) -> Column:
