@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ponloom.operators.joins import lookup_join
+from ponloom.operators.lineage import cut
+
 ID_BUCKETS = 4096
 
 
@@ -63,9 +66,9 @@ def with_record_number(df: DataFrame, name: str = "line", first: int = 2) -> Dat
     )
     splits = at.groupBy("file", "_split").agg(F.count("*").alias("_size"), F.min("_at").alias("_first"))
     before = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select(
+    starts = cut(splits.select(
         "file", "_split", "_first", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
-    )
-    return at.join(starts, ["file", "_split"]).select(
+    ))
+    return lookup_join(at, starts, ["file", "_split"], spread_by=["_at"]).select(
         *columns, "file", (F.col("_start") + F.col("_at") - F.col("_first") + first).alias(name)
     )

@@ -72,6 +72,14 @@ def extent(df: DataFrame, pad: float = 0.15) -> DataFrame:
     )
 
 
+def map_view(*layers: DataFrame, pad: float = 0.15) -> DataFrame:
+    """Extent and centre of all layers; the default centre when there is no point."""
+    lat, lon = DEFAULT_VIEW["lat"], DEFAULT_VIEW["lon"]
+    return extent(points(*layers), pad).selectExpr(
+        "*", f"coalesce((south + north) / 2, {lat}D) AS center_lat", f"coalesce((west + east) / 2, {lon}D) AS center_lon"
+    )
+
+
 def grid_clusters(df: DataFrame, size: float) -> DataFrame:
     """Points counted by square cells of a grid, with their mean position."""
     if size <= 0:

@@ -48,8 +48,11 @@ def feature_collection(features: DataFrame, max_features: int = 10_000) -> DataF
 
 
 def write_readings(power: DataFrame, path: str, batch_id: int) -> None:
-    """Append readings by day. A batch that is written again replaces its own files."""
+    """Append readings by day. A batch that is written again replaces its own files.
+
+    Rebalancing puts a day into few files, and splits a large day over as many tasks as it needs.
+    """
     (
-        power.withColumn("date", F.to_date("time")).repartition("date", F.pmod(F.xxhash64("ont_id"), F.lit(32)))
+        power.withColumn("date", F.to_date("time")).hint("rebalance", "date")
         .write.mode("overwrite").partitionBy("date").parquet(f"{path}/batch={batch_id}")
     )

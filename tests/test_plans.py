@@ -126,3 +126,5 @@ def test_parameters_are_checked(spark):
     with pytest.raises(LookupError):
         units.history(power, -1, as_of=now, required=True)
     assert boxes.extent(v.ont(spark, DATA).limit(0)).first()["west"] is None
+    empty = boxes.map_view(v.ont(spark, DATA).limit(0)).first()
+    assert (empty["center_lat"], empty["center_lon"], empty["n_points"]) == (40.4168, -3.7038, 0)

@@ -5,6 +5,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from ponloom.operators.normalize import ZYXEL, normalize_polls
+from ponloom.plans.devices import sync_devices
 from ponloom.sinks import files
 from ponloom.sources import boxes, config, polls, tables
 
@@ -35,6 +36,15 @@ def test_config(spark, tmp_path):
     assert values(config.scan_scopes(devices), "olt_id", "scope") == [
         ("a", "1"), ("a", "4"), ("b", "1"), ("c", "*"), ("h", "0/1"), ("h", "2/3")
     ]
+    olt = spark.createDataFrame(
+        [("h", "zyxel", "old", 1, 300, "x", "y"), ("gone", "huawei", "z", 1, 300, "x", "y")],
+        "id string, vendor string, host string, port int, poll_interval int, prompt string, description string",
+    )
+    synced = sync_devices(olt, config.read_config(spark, str(tmp_path / "c.json")))
+    assert values(synced, "id", "vendor", "host", "poll_interval", "description") == [
+        ("a", "zyxel1240XA", "x", 300, None), ("b", "zyxel1240XA", "x", 300, None), ("c", "zyxel2406", "x", 300, None),
+        ("gone", "huawei", "z", 300, "y"), ("h", "zyxel", "x", 90, None),
+    ]
     keys = {k for r in devices.select(F.map_keys("settings")).collect() for k in r[0]}
     assert not keys & {"password", "username", "snmp_community"}
 
