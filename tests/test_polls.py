@@ -148,7 +148,7 @@ def test_against_model(spark, seed, how, monkeypatch):
     stored = [stored_unit(100 + i, olt, u) for i, (olt, u) in enumerate((o, u) for o in names for u in names[o]) if rnd.random() < 0.6]
     stored += [stored_unit(999, "o4", "ont-1-1")]
     polls = []
-    for no in range(60):
+    for no in range(36):
         olt = rnd.choice(list(devices))
         vendor = devices[olt]
         seen = [
