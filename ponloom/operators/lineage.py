@@ -2,17 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. Only where none is configured, as in tests, a local one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder if folder is not None else tempfile.mkdtemp(prefix="ponloom-")
+    """The folder that driver and executors share: that of ``spark.checkpoint.dir``, else one in the warehouse.
+
+    Under a master that is not local, a warehouse on a local path is refused: executors could not read it.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is not None:
+        return folder
+    folder = spark.conf.get("spark.sql.warehouse.dir")
+    if folder.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{folder.rstrip('/')}/_work"
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nobody else uses."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Compute once, write as Parquet to the shared folder, and read from there with column pruning."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def cut(df: DataFrame) -> DataFrame:
