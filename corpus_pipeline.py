@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ponloom.llm import toxicity
-from ponloom.llm.queries import learnable
+from ponloom.llm import langid, near_text, toxicity
+from ponloom.llm.frames import remainder
+from ponloom.llm.queries import learnable, table
 from ponloom.operators.lineage import stored
 
+#: Below this probability of the best language a text is a near tie of two.
+MIN_LANGUAGE_SCORE = 0.35
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the field scores as toxic go. Documents without text stay."""
@@ -15,7 +19,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, name="_verdict").filter(F.col("_verdict.score") < 0.5).select(*docs.columns)
 
 
-STAGES = [("toxicity", drop_toxic)]
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no learned language go: those without a letter, and those whose language is a near tie."""
+    model = langid.fit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang").filter(remainder("doc_id", 4) != 2))
+    verdict = F.col("_verdict")
+    found = langid.identify(docs, model, name="_verdict")
+    return found.filter((verdict["lang"] != langid.UNDETERMINED) & (verdict["score"] >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays, of repeated rows one."""
+    found = near_text.near_duplicates(docs).filter("kept").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    same = docs["doc_id"].eqNullSafe(found["_id"]) & F.xxhash64(docs["text"]).eqNullSafe(found["_hash"])
+    return docs.join(found, same, "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+
+
+STAGES = [("toxicity", drop_toxic), ("language", keep_languages), ("near copies", drop_near_copies)]
 
 ORACLE_SQL = None
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ponloom.llm import toxicity
+from ponloom.llm import langid, near_text, toxicity
 from ponloom.llm.frames import remainder
 
 
@@ -31,6 +31,20 @@ def learnable(spark: SparkSession, sf_dir: str, column: str, n: int, rest: int)
     return docs.join(labels(spark, sf_dir, column), "doc_id").select("text", column)
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_text.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links", "component_id", "kept")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    # A null id has no remainder and is not learned from.
+    model = langid.fit(docs.filter(remainder("doc_id", 4) != 2))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", held_out(4, 2).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
 def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(learnable(spark, sf_dir, "toxic", 5, 0))
     scored = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
@@ -41,6 +55,8 @@ def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op5_language": op5_language,
     "op10_toxic_spans": op10_toxic_spans,
 }
 
