@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ponloom.llm import langid, near_text, toxicity
+from ponloom.llm import contamination, langid, near_text, toxicity
 from ponloom.llm.frames import remainder
-from ponloom.llm.queries import learnable, table
+from ponloom.llm.queries import learnable, packed, table
 from ponloom.operators.lineage import stored
 
 #: Below this probability of the best language a text is a near tie of two.
@@ -34,7 +34,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.join(found, same, "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
-STAGES = [("toxicity", drop_toxic), ("language", keep_languages), ("near copies", drop_near_copies)]
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("key"), "text")
+    index = contamination.build_index(keyed, "key")
+    found = contamination.search(index, table(spark, sf_dir, "benchmark")).filter("n_hit > 0").select("id.*").distinct()
+    same = docs["doc_id"].eqNullSafe(found["doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(found["hash"])
+    return docs.join(found, same, "left_anti").select(*docs.columns)
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents that are left, as pieces of training sequences."""
+    return packed(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic), ("language", keep_languages), ("near copies", drop_near_copies), ("contamination", drop_contaminated),
+    ("packing", pack_documents),
+]
 
 ORACLE_SQL = None
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ponloom.llm import langid, near_text, toxicity
+from ponloom.llm import bpe, contamination, langid, near_text, packing, toxicity
 from ponloom.llm.frames import remainder
 
 
@@ -36,6 +36,20 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "class_id", "n_links", "component_id", "kept")
 
 
+def vocabulary() -> str:
+    """The byte-level BPE file of the installed tokenizer package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = bpe.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
+    n = F.col("tokens.n_tokens")
+    return counted.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), n.alias("n_tokens"), (n > 512).alias("over_limit"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     # A null id has no remainder and is not learned from.
@@ -45,6 +59,26 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(4, 2).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces with a checksum of their ids in place of the ids."""
+    cut = packing.pieces(docs, vocabulary())
+    cut = cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.place(cut).select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_benchmark_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = contamination.build_index(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = contamination.search(index, table(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(learnable(spark, sf_dir, "toxic", 5, 0))
     scored = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
@@ -56,8 +90,33 @@ def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_token_counts": op2_token_counts,
     "op5_language": op5_language,
+    "op7_packing": op7_packing,
+    "op9_benchmark_index": op9_benchmark_index,
     "op10_toxic_spans": op10_toxic_spans,
 }
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLE: dict[str, str] = {
+    "op9_benchmark_index": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        passages AS (
+            SELECT item_id, least(len(w), 10) AS size, array_to_string(list_slice(w, s, s + least(len(w), 10) - 1), ' ') AS passage
+            FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS u(s) WHERE len(w) > 0),
+        sizes AS (SELECT DISTINCT size FROM passages),
+        found AS (
+            SELECT x.doc_id, x.s, x.size, p.item_id
+            FROM (SELECT doc_id, size, s, array_to_string(list_slice(w, s, s + size - 1), ' ') AS passage
+                  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM d, sizes)) AS x
+            JOIN passages AS p ON p.size = x.size AND p.passage = x.passage),
+        hits AS (SELECT doc_id, count(DISTINCT n) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + size)) AS n FROM found) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+            CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
