@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ponloom.llm import bpe, contamination, langid, near_text, packing, toxicity
+from ponloom.llm import bpe, contamination, langid, near_text, packing, sharding, toxicity
 from ponloom.llm.frames import remainder
 
 
@@ -59,6 +59,13 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(4, 2).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
+def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select(
+        "doc_id", "size", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Pieces with a checksum of their ids in place of the ids."""
     cut = packing.pieces(docs, vocabulary())
@@ -92,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_token_counts": op2_token_counts,
     "op5_language": op5_language,
+    "op6_histogram_shards": op6_histogram_shards,
     "op7_packing": op7_packing,
     "op9_benchmark_index": op9_benchmark_index,
     "op10_toxic_spans": op10_toxic_spans,
