@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ponloom.llm import bpe, contamination, langid, near_text, packing, sharding, toxicity
+from ponloom.llm import bpe, contamination, langid, near_text, near_vectors, packing, sharding, toxicity
 from ponloom.llm.frames import remainder
 
 
@@ -77,6 +77,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op9_benchmark_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = contamination.build_index(table(spark, sf_dir, "documents").select("doc_id", "text"))
     found = contamination.search(index, table(spark, sf_dir, "benchmark"))
@@ -101,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language": op5_language,
     "op6_histogram_shards": op6_histogram_shards,
     "op7_packing": op7_packing,
+    "op8_rotated_codes": op8_rotated_codes,
     "op9_benchmark_index": op9_benchmark_index,
     "op10_toxic_spans": op10_toxic_spans,
 }
@@ -108,7 +113,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+_RECURSIVE_COSINE = """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        ok AS (
+            SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM ok AS a JOIN ok AS b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach AS r JOIN links AS l ON l.a = r.b),
+        lowest AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT v.vec_id, CAST((SELECT count(*) FROM links WHERE links.a = v.vec_id) AS BIGINT) AS n_links, component_id, v.vec_id = component_id AS kept
+        FROM v JOIN lowest ON lowest.a = v.vec_id"""
+
 ORACLE: dict[str, str] = {
+    "op8_rotated_codes": _RECURSIVE_COSINE,
     "op9_benchmark_index": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
