@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ponloom.llm import bpe, contamination, langid, near_text, near_vectors, packing, sharding, toxicity
+from ponloom.llm import bpe, contamination, langid, near_text, near_vectors, packing, quality, sharding, toxicity
 from ponloom.llm.frames import remainder
 
 
@@ -50,6 +50,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), n.alias("n_tokens"), (n > 512).alias("over_limit"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = quality.fit(learnable(spark, sf_dir, "quality", 3, 1))
+    scored = quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    value = F.col("quality.score")
+    return scored.select("doc_id", held_out(3, 1).alias("held_out"), value.alias("score"), F.when(value >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     # A null id has no remainder and is not learned from.
@@ -102,6 +109,7 @@ def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_token_counts": op2_token_counts,
+    "op4_quality": op4_quality,
     "op5_language": op5_language,
     "op6_histogram_shards": op6_histogram_shards,
     "op7_packing": op7_packing,

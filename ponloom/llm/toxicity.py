@@ -18,8 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ponloom.llm.frames import bounded_sample, class_counts, with_result
-from ponloom.llm.words import Lookup, Words, mix, words
+from ponloom.llm.frames import bounded_sample, class_counts, with_result, without_copies
+from ponloom.llm.words import Lookup, Words, words
 from ponloom.operators.lineage import stored
 
 PREFIXES, SUFFIXES = (4, 6), (4,)
@@ -186,33 +186,6 @@ def _runs(column: pa.Array):
     return words(column, prefix=PREFIXES, suffix=SUFFIXES)
 
 
-def without_copies(sample: DataFrame) -> DataFrame:
-    """One row of each group of near copies, else the words of one text that was copied would look like a rule.
-
-    Near copies agree in most of a few minima of hashed word pairs; rows that agree in any of them with another row count once.
-    """
-
-    def run(batches):
-        for batch in batches:
-            for lo, hi, w in words(batch.column(0)):
-                pairs = w.hashes * np.uint64(3) + np.append(w.hashes[1:], np.uint64(0))
-                out = []
-                for seed in (1, 2, 3):
-                    h = mix(pairs ^ np.uint64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-                    sketch = np.zeros(hi - lo, np.uint64)
-                    some = np.diff(w.offsets) > 0
-                    if some.any():
-                        sketch[some] = np.minimum.reduceat(h, w.offsets[:-1][some])
-                    out.append(pa.array(sketch.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), *out], names=["row", "s1", "s2", "s3"])
-
-    keyed = sample.withColumn("row", F.xxhash64("text"))
-    kept = keyed.select("text", "row").mapInArrow(run, "row long, s1 long, s2 long, s3 long")
-    for s in ("s1", "s2", "s3"):
-        kept = kept.join(kept.groupBy(s).agg(F.min("row").alias("row")), ["row", s], "left_semi")
-    return keyed.join(kept.select("row").distinct(), "row", "left_semi").dropDuplicates(["row"]).select("text", "label")
-
-
 def _feature_counts(sample: DataFrame) -> DataFrame:
     """Documents of each label that hold a feature, summed inside each batch before the shuffle."""
 
