@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ponloom.llm import bpe, contamination, langid, near_text, near_vectors, packing, quality, sharding, toxicity
+from ponloom.llm import bpe, contamination, langid, licenses, near_text, near_vectors, packing, quality, sharding, toxicity
 from ponloom.llm.frames import remainder
 
 
@@ -50,6 +50,15 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), n.alias("n_tokens"), (n > 512).alias("over_limit"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = F.col("licenses.found")
+    return scanned.select(
+        "doc_id", F.col("licenses.blocks").alias("n_blocks"), F.size(found).cast("long").alias("n_found"),
+        F.concat_ws(",", F.array_sort(F.array_distinct(found["license"]))).alias("licenses"),
+        F.aggregate(found["differences"], F.lit(0).cast("long"), lambda a, x: a + x).alias("differences"), found.alias("found"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(learnable(spark, sf_dir, "quality", 3, 1))
     scored = quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
@@ -109,6 +118,7 @@ def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_token_counts": op2_token_counts,
+    "op3_license_scan": op3_license_scan,
     "op4_quality": op4_quality,
     "op5_language": op5_language,
     "op6_histogram_shards": op6_histogram_shards,
