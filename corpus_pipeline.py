@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ponloom.llm import contamination, langid, near_text, toxicity
-from ponloom.llm.frames import remainder
+from ponloom.llm.frames import remainder, unused
 from ponloom.llm.queries import learnable, packed, table
 from ponloom.operators.lineage import stored
 
@@ -16,22 +16,24 @@ MIN_LANGUAGE_SCORE = 0.35
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the field scores as toxic go. Documents without text stay."""
     model = toxicity.fit(learnable(spark, sf_dir, "toxic", 5, 0))
-    return toxicity.score(docs, model, name="_verdict").filter(F.col("_verdict.score") < 0.5).select(*docs.columns)
+    verdict = unused(docs, "verdict")
+    return toxicity.score(docs, model, name=verdict).filter(F.col(verdict)["score"] < 0.5).drop(verdict)
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no learned language go: those without a letter, and those whose language is a near tie."""
     model = langid.fit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang").filter(remainder("doc_id", 4) != 2))
-    verdict = F.col("_verdict")
-    found = langid.identify(docs, model, name="_verdict")
-    return found.filter((verdict["lang"] != langid.UNDETERMINED) & (verdict["score"] >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    verdict = unused(docs, "verdict")
+    language = F.col(verdict)
+    found = langid.identify(docs, model, name=verdict)
+    return found.filter((language["lang"] != langid.UNDETERMINED) & (language["score"] >= MIN_LANGUAGE_SCORE)).drop(verdict)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays, of repeated rows one."""
     found = near_text.near_duplicates(docs).filter("kept").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     same = docs["doc_id"].eqNullSafe(found["_id"]) & F.xxhash64(docs["text"]).eqNullSafe(found["_hash"])
-    return docs.join(found, same, "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    return docs.join(found, same, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     index = contamination.build_index(keyed, "key")
     found = contamination.search(index, table(spark, sf_dir, "benchmark")).filter("n_hit > 0").select("id.*").distinct()
     same = docs["doc_id"].eqNullSafe(found["doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(found["hash"])
-    return docs.join(found, same, "left_anti").select(*docs.columns)
+    return docs.join(found, same, "left_anti")
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ponloom.llm.words import mix, words
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_result(docs: DataFrame, text_col: str, name: str, result: T.StructType, compute: Callable[[pa.Array], dict]) -> DataFrame:
     """Add a struct column ``name`` that ``compute`` makes of the texts of an Arrow batch.
 

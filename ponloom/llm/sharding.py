@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from ponloom.llm.frames import unused
 from ponloom.operators.lineage import stored
 
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
@@ -128,16 +129,16 @@ def splitters(rows: DataFrame, targets: list[Target]) -> list[tuple[int, int]]:
     return [t.found for t in targets]
 
 
-def _with_range(rows: DataFrame, bounds: list[tuple[int, int]]) -> DataFrame:
-    """Add how many boundaries lie at or below each row."""
+def _with_range(rows: DataFrame, bounds: list[tuple[int, int]], name: str, text_key: str = "text_key", id_key: str = "id_key") -> DataFrame:
+    """Add, as ``name``, how many boundaries lie at or below each row."""
     edges = np.array(bounds, np.int64).reshape(-1, 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            number = _cells(edges, *_columns(batch, "text_key", "id_key"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number.astype(np.int32))], names=[*batch.schema.names, "_range"])
+            number = _cells(edges, *_columns(batch, text_key, id_key))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number.astype(np.int32))], names=[*batch.schema.names, name])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("_range", T.IntegerType())]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.IntegerType())]))
 
 
 def shard(docs: DataFrame, shards: int = 8, tolerance: float = 0.01, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,11 +147,13 @@ def shard(docs: DataFrame, shards: int = 8, tolerance: float = 0.01, id_col: str
     Each boundary between shards lies within half of ``tolerance`` times a shard's share of the bytes from its place.
     """
     text = F.col(text_col)
-    keyed = docs.drop("size", "shard", "slot", "text_key", "id_key").withColumns({
-        "text_key": F.xxhash64(F.coalesce(text, F.lit("")), text.isNull()), "id_key": F.xxhash64(F.lit("id"), F.col(id_col)),
+    docs = docs.drop("size", "shard", "slot")
+    a, b, number, before, nth = (unused(docs, c) for c in ("_text_key", "_id_key", "_range", "_before", "_nth"))
+    keyed = docs.withColumns({
+        a: F.xxhash64(F.coalesce(text, F.lit("")), text.isNull()), b: F.xxhash64(F.lit("id"), F.col(id_col)),
         "size": (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long"),
     })
-    narrow = stored(keyed.select("text_key", "id_key", "size"), "keys")
+    narrow = stored(keyed.select(F.col(a).alias("text_key"), F.col(b).alias("id_key"), "size"), "keys")
     total = narrow.agg(F.sum("size").alias("b")).first()["b"] or 0
     ranges = min(MOST, max(FEWEST, -(-total // (shards * RANGE_BYTES))))
     share = total / shards
@@ -163,16 +166,16 @@ def shard(docs: DataFrame, shards: int = 8, tolerance: float = 0.01, id_col: str
     bounds = sorted(found)
     between = sorted(found[k * ranges - 1] for k in range(1, shards))
     first = [bisect_right(bounds, b) for b in between]
-    sizes = _with_range(narrow, bounds).groupBy("_range").agg(F.count("*").alias("n")).collect()
+    sizes = _with_range(narrow, bounds, "_range").groupBy("_range").agg(F.count("*").alias("n")).collect()
     count = {r["_range"]: r["n"] for r in sizes}
-    table, before = [], [0] * shards
-    for number in range(len(bounds) + 1):
-        owner = sum(number >= f for f in first)
-        table.append((number, owner, before[owner]))
-        before[owner] += count.get(number, 0)
-    places = docs.sparkSession.createDataFrame(table, "_range int, shard int, _before long")
-    order = Window.partitionBy("_range").orderBy("text_key", "id_key")
-    numbered = _with_range(keyed, bounds).withColumn("_nth", F.row_number().over(order) - 1)
+    table, rows_before = [], [0] * shards
+    for cell in range(len(bounds) + 1):
+        owner = sum(cell >= f for f in first)
+        table.append((cell, owner, rows_before[owner]))
+        rows_before[owner] += count.get(cell, 0)
+    places = docs.sparkSession.createDataFrame(table, f"{number} int, shard int, {before} long")
+    order = Window.partitionBy(number).orderBy(a, b)
+    numbered = _with_range(keyed, bounds, number, a, b).withColumn(nth, F.row_number().over(order) - 1)
     # One row for each range: at most MOST times the shards.
-    placed = numbered.join(F.broadcast(places), "_range").withColumn("slot", (F.col("_before") + F.col("_nth")).cast("long"))
-    return placed.drop("_range", "_before", "_nth", "text_key", "id_key")
+    placed = numbered.join(F.broadcast(places), number).withColumn("slot", (F.col(before) + F.col(nth)).cast("long"))
+    return placed.drop(number, before, nth, a, b)
