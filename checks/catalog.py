@@ -14,7 +14,6 @@ from ponloom.functions.ports import pon_id, register_sql_functions
 from ponloom.functions.props import json_text_sql, prop
 from ponloom.functions.status import status_code
 from ponloom.operators import quality, upkeep
-from ponloom.operators.joins import lookup_join
 from ponloom.operators.latest import fold_latest, latest
 from ponloom.operators.lineage import cut, shared_dir
 from ponloom.operators.normalize import normalize_polls
@@ -201,7 +200,7 @@ def unlocated_rollup(spark, d):
 
 @query
 def unlocated_tree(spark, d):
-    return tree.unlocated_tree(v.ont(spark, d), v.olt(spark, d)).withColumn("pons", F.to_json("pons"))
+    return tree.unlocated_tree(v.ont(spark, d), v.olt(spark, d))
 
 
 @query
@@ -314,7 +313,7 @@ def presence_islands(spark, d):
 def key_resolution(spark, d):
     rows = last_in_poll(_rows(spark, d))
     ids = v.ont(spark, d).select(F.col("id").alias("ont_id"), "olt_id", "vendor_ont_id")
-    return lookup_join(rows, ids, ["olt_id", "vendor_ont_id"], spread_by=["poll_id"]).select(
+    return rows.join(ids, ["olt_id", "vendor_ont_id"]).select(
         "time", "ont_id", "ptx", "prx", "status"
     )
 
@@ -367,7 +366,7 @@ def _last_poll(spark, d):
     """Units of the newest good poll of each device, and these devices."""
     sighted = cut(_rows(spark, d).select("olt_id", "poll_id", "vendor_ont_id").distinct())
     newest = sighted.groupBy("olt_id").agg(F.max("poll_id").alias("poll_id"))
-    return lookup_join(sighted, newest, ["olt_id", "poll_id"], "left_semi", spread_by=["vendor_ont_id"]), newest
+    return sighted.join(newest, ["olt_id", "poll_id"], "left_semi"), newest
 
 
 @query
@@ -388,7 +387,7 @@ def delete_missing_kept(spark, d):
 def cascade_readings(spark, d):
     seen, scope = _last_poll(spark, d)
     _, removed = upkeep.delete_missing(v.ont(spark, d), seen, scope, ["olt_id", "vendor_ont_id"], ["olt_id"])
-    return upkeep.cascade(v.power(spark, d), removed, "ont_id", spread_by=["time"])
+    return upkeep.cascade(v.power(spark, d), removed, "ont_id")
 
 
 @query
@@ -548,7 +547,7 @@ def dq_duplicate_readings(spark, d):
 
 @query
 def dq_orphans(spark, d):
-    return quality.orphans(v.ont(spark, d), v.cto(spark, d), "cto_uuid", "uuid", spread_by=["id"]).select("id", "cto_uuid")
+    return quality.orphans(v.ont(spark, d), v.cto(spark, d), "cto_uuid", "uuid").select("id", "cto_uuid")
 
 
 @query

@@ -166,9 +166,8 @@ sql("unlocated_groups", "SELECT * FROM groups_v", ports=True, more=GROUPS)
 sql("unlocated_rollup", """SELECT 0 AS level, olt_id, olt_name, pon_id, cnt::bigint AS cnt FROM groups_v
 UNION ALL SELECT 1, olt_id, olt_name, NULL, sum(cnt)::bigint FROM groups_v GROUP BY olt_id, olt_name
 UNION ALL SELECT 2, NULL, NULL, NULL, sum(cnt)::bigint FROM groups_v""", ports=True, more=GROUPS)
-sql("unlocated_tree", """SELECT olt_id, olt_name, sum(cnt)::bigint AS count, 0 AS chunk,
-  '[' || string_agg('{"id":"' || pon_id || '","name":"' || pon_id || '","count":' || cnt || '}', ',' ORDER BY pon_id) || ']' AS pons
-FROM groups_v GROUP BY olt_id, olt_name""", ports=True, more=GROUPS)
+sql("unlocated_tree", """SELECT olt_id, olt_name, (sum(cnt) OVER (PARTITION BY olt_id))::bigint AS olt_cnt, pon_id, cnt
+FROM groups_v""", ports=True, more=GROUPS)
 sql("cto_list", "SELECT nombre, uuid FROM equipment_v WHERE tipo = 11")
 sql("cto_search_ranked", """SELECT uuid, nombre, CASE WHEN lower(uuid) = 'o-2' THEN 0 WHEN lower(uuid) LIKE 'o-2%' THEN 1
   WHEN lower(uuid) LIKE '%o-2%' THEN 2 WHEN lower(nombre) LIKE 'o-2%' THEN 3 ELSE 4 END AS score

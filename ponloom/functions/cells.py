@@ -22,7 +22,7 @@ _DIGITS = "[0-9]+(_[0-9]+)*"
 INT_PATTERN = f"^[+-]?{_DIGITS}$"
 FLOAT_PATTERN = (
     f"^([+-]?({_DIGITS}[.]?({_DIGITS})?|[.]{_DIGITS})([eE][+-]?{_DIGITS})?"
-    "|(?i:nan|[+-]?inf|[+-]?infinity))$"
+    "|(?i:[+-]?(nan|inf|infinity)))$"
 )
 
 
@@ -45,7 +45,9 @@ def to_int_sql(text: str, type_: str = "bigint") -> str:
 
 def to_float_sql(text: str) -> str:
     """The float written in stripped text, NULL if it is none."""
-    return f"if({is_float_sql(text)}, try_cast(replace({text}, '_', '') AS double), NULL)"
+    # A sign before nan means nothing, and Spark does not read it.
+    number = f"if(rlike({text}, '^(?i:[+-]nan)$'), 'nan', replace({text}, '_', ''))"
+    return f"if({is_float_sql(text)}, try_cast({number} AS double), NULL)"
 
 
 def parse_dbm(text: str, missing: str = "zero") -> Column:

@@ -7,6 +7,8 @@ with a slash below a vendor that writes dashes, for unknown vendors and for vend
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, SparkSession, functions as F
 
 # Separator and number of leading parts that name the port, by vendor.
@@ -69,12 +71,18 @@ def pon_id(vendor: str, unit_id: str, mode: str = "query") -> Column:
     return F.expr(rules[mode](vendor, unit_id))
 
 
-def unit_scope(vendor: str, unit_id: str) -> Column:
+#: What one read covers of a device, as SQL of the unit id ``{unit}``, by vendor; other vendors are read whole.
+SCOPES = {
+    "huawei": "split_part({unit}, '/', 2) || '/' || split_part({unit}, '/', 3)",
+    "zyxel1240XA": _leading("{unit}", "-", 1),
+}
+
+
+def unit_scope(vendor: str, unit_id: str, scopes: Mapping[str, str] | None = None) -> Column:
     """The part of a device that one read covers: a port, a slot, or ``*`` for the whole device."""
-    return F.expr(f"""CASE
-        WHEN {vendor} = 'huawei' THEN split_part({unit_id}, '/', 2) || '/' || split_part({unit_id}, '/', 3)
-        WHEN {vendor} = 'zyxel1240XA' THEN {_leading(unit_id, '-', 1)}
-        ELSE '*' END""")
+    known = (SCOPES if scopes is None else scopes).items()
+    whens = "".join(f" WHEN {vendor} = '{name}' THEN {scope.replace('{unit}', unit_id)}" for name, scope in known)
+    return F.expr(f"CASE{whens} ELSE '*' END" if whens else "'*'")
 
 
 def register_sql_functions(spark: SparkSession) -> None:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ponloom.functions.cells import strip_sql
-from ponloom.operators.joins import lookup_join
 
 UNKNOWN = 98
 
@@ -27,10 +28,10 @@ def status_key_sql(vendor: str, raw: str) -> str:
     return f"if({vendor} = 'huawei', {raw}, upper({strip_sql(raw)}))"
 
 
-def status_code(vendor: str, raw: str, default: int = UNKNOWN) -> Column:
-    """Code of a raw state by the fixed table; unknown and NULL states get the default."""
+def status_code(vendor: str, raw: str, default: int = UNKNOWN, codes: Mapping[str, Mapping[str, int]] | None = None) -> Column:
+    """Code of a raw state by the fixed table, or by ``codes``; unknown and NULL states get the default."""
     tables = {
-        name: "map(" + ", ".join(f"'{k}', {c}" for k, c in codes.items()) + ")" for name, codes in STATUS_CODES.items()
+        name: "map(" + ", ".join(f"'{k}', {c}" for k, c in table.items()) + ")" for name, table in (STATUS_CODES if codes is None else codes).items()
     }
     found = " ".join(
         f"WHEN {vendor} = '{name}' THEN try_element_at({table}, {status_key_sql(vendor, raw)})"
@@ -47,13 +48,13 @@ def status_map(spark: SparkSession) -> DataFrame:
 
 def with_status(
     df: DataFrame, codes: DataFrame, vendor: str = "vendor", raw: str = "raw_status",
-    default: int = UNKNOWN, spread_by: tuple[str, ...] = (),
+    default: int = UNKNOWN,
 ) -> DataFrame:
     """Add ``status`` by a code table of the caller, ``(vendor, raw, code)``."""
     keyed = df.withColumn("_vendor", F.col(vendor)).withColumn("_raw", F.expr(status_key_sql(vendor, raw)))
     table = codes.selectExpr("vendor AS _vendor", "raw AS _raw", "code AS _code")
     return (
-        lookup_join(keyed, table, ["_vendor", "_raw"], "left", spread_by=spread_by or tuple(df.columns))
+        keyed.join(table, ["_vendor", "_raw"], "left")
         .withColumn("status", F.coalesce("_code", F.lit(default)))
         .drop("_vendor", "_raw", "_code")
     )

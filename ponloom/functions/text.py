@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from ponloom.functions.cells import WHITESPACE
@@ -13,10 +15,15 @@ def display_name(description: str, id_: str) -> Column:
 
 
 def contains_pattern(q: str, literal: bool = False) -> str:
-    """LIKE pattern for "contains q". ``%``, ``_`` and ``\\`` in q stay wildcards unless literal."""
+    """LIKE pattern for "contains q". ``%`` and ``_`` in q stay wildcards unless literal.
+
+    A backslash stands for the next character as it is; one at the end stands for itself.
+    """
     q = q.strip(WHITESPACE)
     if literal:
         q = q.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
+    # LIKE takes a backslash only before a wildcard or another backslash.
+    q = re.sub(r"\\(.?)", lambda m: m[0] if m[1] and m[1] in "%_\\" else m[1] or "\\\\", q, flags=re.DOTALL)
     return f"%{q}%"
 
 

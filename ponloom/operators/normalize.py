@@ -1,21 +1,26 @@
 """Raw poll records of all vendors in one shape, in one pass.
 
 A vendor is a table of SQL expressions that pick raw fields out of ``record``. Power, state and
-metadata are then read the same way for all. More vendors are added to a copy of ``VENDORS``;
-their rows go through the same scan.
+metadata are then read the same way for all. ``raw`` is the record as it came, for the metadata, and
+``unit_raw`` and ``vendor_raw`` are unit id and vendor in the type of its values. More vendors are added to a copy of ``VENDORS``;
+their rows go through the same scan. Besides the fields an entry may have ``codes``, the vendor's state
+texts with their codes, and ``scope``, SQL of ``{unit}`` for the part of a device that one read covers; an entry
+without them shares those of the name given as ``like``, or has none.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ponloom.functions.cells import first_truthy_sql, parse_dbm
 from ponloom.functions.props import pack_props_sql
-from ponloom.functions.status import status_code
+from ponloom.functions.ports import SCOPES
+from ponloom.functions.status import STATUS_CODES, status_code
 
-Fields = dict[str, str]
+Fields = dict[str, Any]
 
 # Record keys that may hold the power, first choice first.
 HUAWEI_TX, HUAWEI_RX = ("ptx", "tx"), ("prx", "rx")
@@ -25,6 +30,18 @@ HUAWEI_META = ["schema_fsp", "control_flag", "run_state", "config_state", "match
 ZYXEL_META = ["AID", "Status", "SN", "Model"]
 ZYXEL_EXTRA = ["Template-ID", "FW Version", "Distance"]
 
+# A number 0 or a false under one of these keys counts as not there.
+_TRUTHY_KEYS = [*HUAWEI_TX, *HUAWEI_RX, *ZYXEL_TX, *ZYXEL_RX, "AID"]
+
+
+def _text(key: Column, value: Column) -> Column:
+    """A typed value as text."""
+    text = F.try_variant_get(value, "$", "string")
+    is_text = F.schema_of_variant(value) == "STRING"
+    zero = F.coalesce(text.try_cast("double") == 0, F.lower(text) == "false")
+    return F.when(is_text | ~key.isin(_TRUTHY_KEYS) | ~F.coalesce(zero, F.lit(False)), text)
+
+
 _HUAWEI_UNIT = "coalesce(record['schema_fsp'], 'None') || '/' || coalesce(record['id'], 'None')"
 
 HUAWEI: Fields = {
@@ -35,12 +52,12 @@ HUAWEI: Fields = {
     "serial": "record['sn']",
     "model": "CAST(NULL AS string)",
     "description": "record['description']",
-    "props": pack_props_sql("record", {"id": _HUAWEI_UNIT, **{k: f"record['{k}']" for k in HUAWEI_META}}),
+    "props": pack_props_sql("raw", {"id": "unit_raw", **{k: f"raw['{k}']" for k in HUAWEI_META}}),
 }
 
 
 def _zyxel(copied: Mapping[str, str]) -> Fields:
-    meta = {**{k: f"record['{k}']" for k in ZYXEL_META}, "__vendor": "vendor"}
+    meta = {**{k: f"raw['{k}']" for k in ZYXEL_META}, "__vendor": "vendor_raw"}
     return {
         "vendor_ont_id": "nullif(record['AID'], '')",
         "tx": first_truthy_sql("record", *ZYXEL_TX),
@@ -49,7 +66,7 @@ def _zyxel(copied: Mapping[str, str]) -> Fields:
         "serial": "record['SN']",
         "model": "record['Model']",
         "description": "record['Description']",
-        "props": pack_props_sql("record", meta, copied),
+        "props": pack_props_sql("raw", meta, copied),
     }
 
 
@@ -61,6 +78,17 @@ VENDORS: dict[str, Fields] = {
 }
 
 
+def state_codes(vendors: Mapping[str, Fields]) -> dict[str, Mapping[str, int]]:
+    """State codes by vendor."""
+    return {n: f.get("codes", STATUS_CODES.get(f.get("like", n), {})) for n, f in vendors.items()}
+
+
+def scopes(vendors: Mapping[str, Fields]) -> dict[str, str]:
+    """SQL of the scope by vendor, for those that are not read whole."""
+    found = {n: f.get("scope", SCOPES.get(f.get("like", n))) for n, f in vendors.items()}
+    return {n: s for n, s in found.items() if s}
+
+
 def _by_vendor(vendors: Mapping[str, Fields], field: str) -> str:
     names: dict[str, list[str]] = {}
     for name, fields in vendors.items():
@@ -74,16 +102,24 @@ def normalize_polls(
 ) -> DataFrame:
     """One row per usable record; records without a unit id or of an unknown vendor are left out.
 
-    ``records`` has the poll header, ``slice``, ``pos`` and ``record``, a map of text.
+    ``records`` has the poll header, ``slice``, ``pos`` and ``record``, a map of text or of typed values. Typed values keep
+    their type in the metadata: a number stays a number.
     """
     vendors = VENDORS if vendors is None else vendors
     pick = {f: _by_vendor(vendors, f) for f in HUAWEI}
     rows = records.where((F.col("outcome") == "ok") & F.col("vendor").isin(list(vendors)))
-    picked = rows.selectExpr(
-        "poll_id", "olt_id", "vendor", "slice", "pos", "polled_at AS time", *pick.values()
-    ).where("vendor_ont_id IS NOT NULL")
+    typed = isinstance(rows.schema["record"].dataType.valueType, T.VariantType)
+    if typed:
+        rows = rows.withColumn("raw", F.col("record")).withColumn("record", F.transform_values("record", _text))
+    else:
+        rows = rows.withColumn("raw", F.col("record"))
+    of_type = "CAST({} AS variant)" if typed else "{}"
+    head = ["poll_id", "olt_id", "vendor", "slice", "pos", "polled_at AS time"]
+    named = rows.selectExpr(*head, "record", "raw", pick["vendor_ont_id"], f"{of_type.format('vendor')} AS vendor_raw").where("vendor_ont_id IS NOT NULL")
+    picked = named.withColumn("unit_raw", F.expr(of_type.format("vendor_ont_id"))).selectExpr(
+        *[h.split(" AS ")[-1] for h in head], "vendor_ont_id", *[sql for f, sql in pick.items() if f != "vendor_ont_id"])
     return picked.select(
         "poll_id", "olt_id", "vendor", "slice", "pos", "time", "vendor_ont_id",
         parse_dbm("tx", missing).alias("ptx"), parse_dbm("rx", missing).alias("prx"),
-        status_code("vendor", "state").alias("status"), "serial", "model", "description", "props",
+        status_code("vendor", "state", codes=state_codes(vendors)).alias("status"), "serial", "model", "description", "props",
     )

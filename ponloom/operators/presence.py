@@ -12,10 +12,10 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, functions as F
 
 from ponloom.functions.ports import unit_scope
-from ponloom.operators.joins import lookup_join
 from ponloom.operators.lineage import cut
-from ponloom.operators.normalize import VENDORS
+from ponloom.operators.normalize import VENDORS, scopes
 from ponloom.operators.numbering import numbered, with_new_ids
+from ponloom.operators.upkeep import with_pon_id
 
 UNIT = ["olt_id", "vendor_ont_id"]
 POLLS_PER_BUCKET = 1024
@@ -31,22 +31,25 @@ class Applied(NamedTuple):
 
 
 def poll_headers(records: DataFrame) -> DataFrame:
-    """One row per poll, from its records or slices."""
-    scopes = [
+    """One row per poll, from its records or slices. A poll of which a slice failed has failed."""
+    told = [
         F.array_distinct(F.flatten(F.collect_set(F.coalesce(c, F.array().cast("array<string>"))))).alias(c)
         for c in ("scopes_ok", "scopes_failed")
     ]
-    return records.groupBy("poll_id", "olt_id", "vendor", "polled_at", "outcome").agg(*scopes)
+    failed = F.max(F.when(F.col("outcome") != "ok", F.col("outcome")))
+    headers = records.groupBy("poll_id", "olt_id", "vendor", "polled_at").agg(F.coalesce(failed, F.lit("ok")).alias("outcome"), *told)
+    return headers.select("poll_id", "olt_id", "vendor", "polled_at", "outcome", "scopes_ok", "scopes_failed")
 
 
 def last_in_poll(rows: DataFrame) -> DataFrame:
-    """Readings with the last one kept where a unit is repeated inside a poll."""
-    place = F.struct("slice", "pos")
-    reading = F.struct("ptx", "prx", "status")
-    return (
-        rows.groupBy("poll_id", *UNIT, "vendor", "time").agg(F.max_by(reading, place).alias("r"))
-        .select("poll_id", *UNIT, "vendor", "time", "r.ptx", "r.prx", "r.status")
-    )
+    """Readings with the last one kept where a unit is repeated inside a poll.
+
+    First the last of each slice, then the last slice: values of fixed width, which hash aggregation keeps in place.
+    """
+    key, reading = ["poll_id", *UNIT, "vendor", "time"], ["ptx", "prx", "status"]
+    for by, place in ((["slice"], "pos"), ([], "slice")):
+        rows = rows.groupBy(*key, *by).agg(*[F.max_by(c, place).alias(c) for c in reading])
+    return rows.select(*key, *reading)
 
 
 def poll_log(headers: DataFrame, rows: DataFrame, min_units: int = 0, vendors: Mapping | None = None) -> DataFrame:
@@ -80,27 +83,24 @@ def evidence(log: DataFrame, seen: DataFrame, parity: bool = False) -> DataFrame
     polls = log.where("evidence").select("olt_id", "poll_id", F.col("polled_at").alias("time"), "scopes_ok", "scopes_failed")
     key = ["olt_id", "poll_id", "time"]
     if parity:
-        scopes = polls.select(*key, F.lit("*").alias("scope"))
+        read = polls.select(*key, F.lit("*").alias("scope"))
     else:
         told = polls.select(*key, F.explode("scopes_ok").alias("scope"))
         shown = seen.select(*key, "scope").distinct().join(polls.select("poll_id"), "poll_id", "left_semi")
         failed = polls.select(*key, F.explode("scopes_failed").alias("scope"))
-        scopes = told.union(shown.select(*key, "scope")).distinct().join(failed, [*key, "scope"], "left_anti")
+        read = told.union(shown.select(*key, "scope")).distinct().join(failed, [*key, "scope"], "left_anti")
     # A device is polled every few seconds at most, so an hour is a bounded bucket.
-    return numbered(scopes, ["olt_id", "scope"], F.date_trunc("hour", "time"), ["time", "poll_id"], "poll_no")
+    return numbered(read, ["olt_id", "scope"], F.date_trunc("hour", "time"), ["time", "poll_id"], "poll_no")
 
 
 def presence(sighted: DataFrame, polls: DataFrame) -> DataFrame:
     """Sightings with the number of the poll in the unit's scope."""
-    return lookup_join(
-        sighted, polls.select("olt_id", "scope", "poll_id", "poll_no"), ["olt_id", "scope", "poll_id"],
-        spread_by=["vendor_ont_id"],
-    )
+    return sighted.join(polls.select("olt_id", "scope", "poll_id", "poll_no"), ["olt_id", "scope", "poll_id"])
 
 
-def seen_units(rows: DataFrame, parity: bool = False) -> DataFrame:
+def seen_units(rows: DataFrame, parity: bool = False, vendors: Mapping | None = None) -> DataFrame:
     """Sightings: one row per unit and poll, with the unit's scope."""
-    scope = F.lit("*") if parity else unit_scope("vendor", "vendor_ont_id")
+    scope = F.lit("*") if parity else unit_scope("vendor", "vendor_ont_id", scopes(VENDORS if vendors is None else vendors))
     return rows.select("olt_id", "vendor_ont_id", scope.alias("scope"), "poll_id", "time").distinct()
 
 
@@ -117,10 +117,10 @@ def islands(seen: DataFrame) -> DataFrame:
     )
 
 
-def _scoped(ont: DataFrame, vendors: DataFrame, parity: bool) -> DataFrame:
+def _scoped(ont: DataFrame, devices: DataFrame, parity: bool, vendors: Mapping) -> DataFrame:
     """Stored units of polled devices with their scope."""
-    joined = lookup_join(ont.select("id", *UNIT), vendors, "olt_id", spread_by=["id"])
-    scope = F.lit("*") if parity else unit_scope("vendor", "vendor_ont_id")
+    joined = ont.select("id", *UNIT).join(devices, "olt_id")
+    scope = F.lit("*") if parity else unit_scope("vendor", "vendor_ont_id", scopes(vendors))
     return joined.select("id", *UNIT, scope.alias("scope"))
 
 
@@ -135,35 +135,36 @@ def last_break(units: DataFrame, seen: DataFrame, polls: DataFrame) -> DataFrame
         F.max("last_poll").alias("_last"), F.max_by("first_poll", "last_poll").alias("_first")
     )
     ends = polls.groupBy("olt_id", "scope").agg(F.max("poll_no").alias("_end"))
-    spread = ["vendor_ont_id"]
-    missed = lookup_join(units.join(newest, key, "left"), ends, ["olt_id", "scope"], spread_by=spread).select(
+    missed = units.join(newest, key, "left").join(ends, ["olt_id", "scope"]).select(
         *key,
         F.when(F.col("_last") == F.col("_end"), F.col("_first") - 1).otherwise(F.col("_end")).alias("poll_no"),
     )
     times = polls.select("olt_id", "scope", "poll_no", F.struct("time", "poll_id").alias("break"))
-    found = lookup_join(
-        missed.where("poll_no > 0"), times, ["olt_id", "scope", "poll_no"], spread_by=spread
-    )
+    found = missed.where("poll_no > 0").join(times, ["olt_id", "scope", "poll_no"])
     return found.select(*UNIT, "break")
 
 
 def apply_polls(
     ont: DataFrame, rows: DataFrame, headers: DataFrame, delete_missing: bool = True,
-    parity: bool = False, min_units: int = 0, last_id: int = 0,
+    parity: bool = False, min_units: int = 0, last_id: int = 0, vendors: Mapping | None = None, olt: DataFrame | None = None,
 ) -> Applied:
     """The unit table and readings after a batch of polls, as if applied one after the other.
 
-    ``rows`` come from ``normalize_polls``. They are read several times, with few columns each
-    time, so a caller with much data hands in rows that lie in Parquet. A device has one vendor.
+    ``rows`` come from ``normalize_polls``, with the same ``vendors`` if others than the built-in ones are read; only those of
+    applied polls count. They are read several times, with few columns each time, so a caller with much data hands
+    in rows that lie in Parquet. A device has one vendor. With the device table ``olt`` the ``pon_id`` of
+    every unit is derived anew.
 
     A known unit gets status and props of its last poll. A unit that a poll missed is removed; if
     a later poll sees it, it is a new unit with the serial, model and description of that poll,
     without position and box, and its older readings are gone. Ids are never used again: ``last_id`` is
     the largest one ever given.
     """
-    log = cut(poll_log(headers, rows, min_units))
-    vendors = log.where("result = 'applied'").groupBy("olt_id").agg(F.max("vendor").alias("vendor"))
-    stored = _scoped(ont, vendors, parity)
+    vendors = VENDORS if vendors is None else vendors
+    log = cut(poll_log(headers, rows, min_units, vendors))
+    applied = log.where("result = 'applied'")
+    rows = rows.join(applied.select("poll_id"), "poll_id", "left_semi")
+    stored = _scoped(ont, applied.groupBy("olt_id").agg(F.max("vendor").alias("vendor")), parity, vendors)
 
     at = F.struct("time", "poll_id")
     last = rows.groupBy(*UNIT).agg(
@@ -172,7 +173,7 @@ def apply_polls(
     )
 
     if delete_missing:
-        sighted = seen_units(rows, parity)
+        sighted = seen_units(rows, parity, vendors)
         polls = cut(evidence(log, sighted, parity))
         units = stored.select(*UNIT, "scope").union(sighted.select(*UNIT, "scope")).distinct()
         breaks = last_break(units, presence(sighted, polls), polls)
@@ -195,15 +196,16 @@ def apply_polls(
     since_break = F.col("break").isNull() | (at > F.col("break"))
     place = F.struct(F.col("time"), F.col("poll_id"), -F.col("slice"), -F.col("pos"))
     first = (
-        lookup_join(rows, new.select(*UNIT, "break"), UNIT, spread_by=["poll_id", "pos"]).where(since_break)
+        rows.join(new.select(*UNIT, "break"), UNIT).where(since_break)
         .groupBy(*UNIT).agg(F.min_by(F.struct("serial", "model", "description"), place).alias("first"))
     )
     named = new.join(first, UNIT).select(*UNIT, "break", "first.*", "now.*")
     born = cut(with_new_ids(named, ont, UNIT, last_id=last_id))
     units = known.unionByName(born.drop("break"), allowMissingColumns=True).select(*ont.columns)
+    units = units if olt is None else with_pon_id(units, olt)
 
     alive = kept.select("id", *UNIT, "break").unionByName(born.select("id", *UNIT, "break"))
-    power = lookup_join(last_in_poll(rows), alive, UNIT, spread_by=["poll_id"]).where(since_break).select(
+    power = last_in_poll(rows).join(alive, UNIT).where(since_break).select(
         "time", F.col("id").alias("ont_id"), "ptx", "prx", "status"
     )
     return Applied(units, power, removed, log)

@@ -6,20 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ponloom.operators.joins import lookup_join
-
 
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 
 
-def orphans(
-    child: DataFrame, parent: DataFrame, on: str, parent_key: str = "id", spread_by: Sequence[str] = ()
-) -> DataFrame:
+def orphans(child: DataFrame, parent: DataFrame, on: str, parent_key: str = "id") -> DataFrame:
     """Rows whose reference is set but not found in the parent table."""
     keys = parent.select(F.col(parent_key).alias(on)).distinct()
-    return lookup_join(child.where(F.col(on).isNotNull()), keys, on, "left_anti", spread_by=spread_by)
+    return child.where(F.col(on).isNotNull()).join(keys, on, "left_anti")
+
+
+def refuse(broken: DataFrame, what: str) -> None:
+    """Raise an error if a quality query found rows, with one of them as an example."""
+    found = broken.first()
+    if found is not None:
+        raise ValueError(f"{what}: {found.asDict()}")
 
 
 def domain_violations(df: DataFrame, column: str, values: Sequence) -> DataFrame:

@@ -17,9 +17,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, functions as F
 
 from ponloom.functions.cells import cell, clean_cell, is_int_sql, strip_sql, to_int_sql
-from ponloom.operators.joins import lookup_join
 from ponloom.operators.lineage import cut
 from ponloom.operators.numbering import with_new_ids
+from ponloom.operators.upkeep import with_pon_id
 from ponloom.schemas import UNIT_CSV
 
 KEY = ["olt_id", "vendor_ont_id"]
@@ -97,21 +97,19 @@ def classify(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> DataFrame:
     """
     parsed = cut(parse_lines(lines))
     stored = ont.select("id", *KEY)
-    key, spread = ["olt_key", "unit_key"], ["line"]
+    key = ["olt_key", "unit_key"]
 
     # Resolve the distinct ids and keys of the file, then bring the answers back to its lines.
     ids = parsed.where("by_id AND id IS NOT NULL").select("id").distinct()
     by_id = stored.join(ids, "id", "left_semi").selectExpr("id", "olt_id AS old_olt", "vendor_ont_id AS old_unit")
-    target = lookup_join(parsed, by_id, "id", "left", spread_by=spread).selectExpr(
+    target = parsed.join(by_id, "id", "left").selectExpr(
         "*", "if(olt_id.is_set, olt_id.value, old_olt) AS olt_key",
         "if(vendor_ont_id.is_set, vendor_ont_id.value, old_unit) AS unit_key",
     )
     keys = target.where("code IS NULL").select(*key).distinct()
     owner = stored.selectExpr("olt_id AS olt_key", "vendor_ont_id AS unit_key", "id AS owner").join(keys, key, "left_semi")
     devices = olt.selectExpr("id AS olt_key", "true AS device")
-    placed = lookup_join(
-        lookup_join(target, owner, key, "left", spread_by=spread), devices, "olt_key", "left", spread_by=spread
-    )
+    placed = target.join(owner, key, "left").join(devices, "olt_key", "left")
     checked = cut(
         placed.selectExpr(
             *[c for c in placed.columns if c != "code"],
@@ -126,14 +124,14 @@ def classify(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> DataFrame:
             "*", "code IS NULL AND sets_key AND (olt_key <> old_olt OR unit_key <> old_unit) AS rekeys"
         )
     )
-    settled = lookup_join(checked, cut(_refused_moves(checked)), "line", "left").selectExpr(
+    settled = checked.join(cut(_refused_moves(checked)), "line", "left").selectExpr(
         *[c for c in checked.columns if c != "code"], "coalesce(code, refused) AS code"
     )
 
     # The first good line of a key that is not stored inserts it.
     fresh = "code IS NULL AND NOT by_id AND owner IS NULL"
     first = cut(settled.where(fresh).groupBy(*key).agg(F.min("line").alias("first_line")))
-    return lookup_join(settled, first, key, "left", spread_by=spread).selectExpr(
+    return settled.join(first, key, "left").selectExpr(
         "line",
         """CASE WHEN code IS NOT NULL THEN 'error'
           WHEN by_id THEN if(has_values OR sets_key, 'updated', 'skipped')
@@ -165,9 +163,7 @@ def _refused_moves(checked: DataFrame) -> DataFrame:
     ).where("moved").join(old, ["old_olt", "old_unit"], "left").selectExpr(
         "id", "way <> other_way OR touched IS NOT NULL AS unclear"
     )
-    judged = lookup_join(
-        lookup_join(moves.select("line", "id", *key), targets, key, spread_by=["line"]), units, "id", spread_by=["line"]
-    )
+    judged = moves.select("line", "id", *key).join(targets, key).join(units, "id")
     return judged.where("taken OR contested OR unclear").selectExpr(
         "line", "if(taken, 'duplicate_key', 'rekey_conflict') AS refused"
     )
@@ -179,7 +175,10 @@ def _last(c: str):
 
 
 def import_units(ont: DataFrame, olt: DataFrame, lines: DataFrame, last_id: int = 0) -> Imported:
-    """Apply CSV lines ``(line, ten text cells)``: the next unit table, what each line did, errors, counts."""
+    """Apply CSV lines ``(line, ten text cells)``: the next unit table, what each line did, errors, counts.
+
+    A unit table with a ``pon_id`` has it derived anew.
+    """
     done = cut(classify(ont, olt, lines))
     good = done.where("action <> 'error'")
     folds = [_last(c) for c in ["point", *VALUES]]
@@ -197,6 +196,8 @@ def import_units(ont: DataFrame, olt: DataFrame, lines: DataFrame, last_id: int
         *[f"{c}.v AS {c}" for c in VALUES], "'{}' AS props",
     )
     units = known.unionByName(with_new_ids(fresh, ont, KEY, last_id=last_id), allowMissingColumns=True).select(*ont.columns)
+    if "pon_id" in ont.columns:
+        units = with_pon_id(units, olt)
     errors = done.where("action = 'error'").select("line", "code", "error", "row")
     return Imported(units, done.select("line", "action", "code", "error"), errors, import_report(done))
 

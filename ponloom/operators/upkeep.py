@@ -1,7 +1,7 @@
 """Table upkeep as functions from a table and changes to the next table.
 
-Plain Parquet has no MERGE, so an operator builds the next version of a table. Keys are unique
-on both sides of each join, so no key is hot.
+Plain Parquet has no MERGE, so an operator builds the next version of a table. Joins are left to
+Spark, which broadcasts by the size it measures at run time and splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ponloom.functions.geo import make_point
 from ponloom.functions.ports import pon_id
-from ponloom.operators.joins import lookup_join
 
 
 def upsert(
@@ -54,16 +53,17 @@ def delete_missing(
 ) -> tuple[DataFrame, DataFrame]:
     """Split a table in rows to keep and rows to remove: in scope, but not seen."""
     keys, scope_on = list(keys), list(scope_on)
-    missing = current.join(seen.select(*keys).distinct(), keys, "left_anti")
-    removed = lookup_join(missing, scope.select(*scope_on).distinct(), scope_on, "left_semi", spread_by=keys)
-    kept = current.join(removed.select(*keys), keys, "left_anti")
-    return kept, removed
+    was_seen = seen.select(*keys).distinct().withColumn("_seen", F.lit(True))
+    in_scope = scope.select(*scope_on).distinct().withColumn("_scope", F.lit(True))
+    marked = current.join(was_seen, keys, "left").join(in_scope, scope_on, "left")
+    gone = F.col("_scope").isNotNull() & F.col("_seen").isNull()
+    return marked.where(~gone).select(*current.columns), marked.where(gone).select(*current.columns)
 
 
-def cascade(child: DataFrame, removed: DataFrame, fk: str, id_: str = "id", spread_by: Sequence[str] = ()) -> DataFrame:
+def cascade(child: DataFrame, removed: DataFrame, fk: str, id_: str = "id") -> DataFrame:
     """Rows of a child table whose parent was not removed."""
     gone = removed.select(F.col(id_).alias(fk)).distinct()
-    return lookup_join(child, gone, fk, "left_anti", spread_by=spread_by)
+    return child.join(gone, fk, "left_anti")
 
 
 def apply_patches(ont: DataFrame, patches: DataFrame) -> DataFrame:
@@ -89,14 +89,15 @@ def apply_patches(ont: DataFrame, patches: DataFrame) -> DataFrame:
 
 def empty_patches(patches: DataFrame) -> DataFrame:
     """Patches that change nothing, which a caller should turn down."""
-    return patches.where(~F.col("has_cto") & ~(F.col("has_lon") & F.col("has_lat")))
+    sent = {c: F.coalesce(F.col(c), F.lit(False)) for c in ("has_cto", "has_lon", "has_lat")}
+    return patches.where(~sent["has_cto"] & ~(sent["has_lon"] & sent["has_lat"]))
 
 
 def with_pon_id(ont: DataFrame, olt: DataFrame, mode: str = "stored") -> DataFrame:
     """Derive ``pon_id`` for every unit; a unit without a device gets the rule for no vendor."""
     vendors = olt.select(F.col("id").alias("olt_id"), F.col("vendor").alias("_vendor"))
     columns = [c for c in ont.columns if c != "pon_id"]
-    return lookup_join(ont.select(*columns), vendors, "olt_id", "left", spread_by=["id"]).select(
+    return ont.select(*columns).join(vendors, "olt_id", "left").select(
         *columns, pon_id("_vendor", "vendor_ont_id", mode).alias("pon_id")
     )
 
@@ -108,7 +109,7 @@ def backfill_pon_id(ont: DataFrame, olt: DataFrame) -> DataFrame:
     )
     blank = (F.coalesce("pon_id", F.lit("")) == "") & F.col("_known").isNotNull()
     derived = pon_id("_vendor", "vendor_ont_id", "stored")
-    return lookup_join(ont, vendors, "olt_id", "left", spread_by=["id"]).select(
+    return ont.join(vendors, "olt_id", "left").select(
         *[F.when(blank, derived).otherwise(F.col(c)).alias(c) if c == "pon_id" else F.col(c) for c in ont.columns]
     )
 
@@ -120,7 +121,7 @@ def recalc_pon_id(ont: DataFrame, olt_before: DataFrame, olt_after: DataFrame) -
     changed = now.join(was, "olt_id").where(F.lower(F.coalesce("_vendor", F.lit(""))) != F.col("_was"))
     changed = changed.select("olt_id", "_vendor", F.lit(True).alias("_changed"))
     derived = pon_id("_vendor", "vendor_ont_id", "stored")
-    return lookup_join(ont, changed, "olt_id", "left", spread_by=["id"]).select(
+    return ont.join(changed, "olt_id", "left").select(
         *[
             F.when(F.col("_changed"), derived).otherwise(F.col(c)).alias(c) if c == "pon_id" else F.col(c)
             for c in ont.columns

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ponloom.functions.geo import cell_index, is_located
 from ponloom.functions.text import match_rank
-from ponloom.operators.joins import lookup_join
 from ponloom.plans.checks import at_least_chars, bounded
 
 # Where a map opens when there is nothing to show.
@@ -36,13 +35,13 @@ def _boxes(cto: DataFrame) -> DataFrame:
 
 def enrich_cto(ont: DataFrame, cto: DataFrame) -> DataFrame:
     """All units, with name and position of their box where it is known."""
-    return lookup_join(ont, _boxes(cto), "cto_uuid", "left", spread_by=["id"])
+    return ont.join(_boxes(cto), "cto_uuid", "left")
 
 
 def cto_links(ont: DataFrame, cto: DataFrame) -> DataFrame:
     """A line from each located unit to its box, where the box is known."""
     units = ont.where(is_located() & F.col("cto_uuid").isNotNull()).select("id", "cto_uuid", "lon", "lat")
-    return lookup_join(units, _boxes(cto), "cto_uuid", spread_by=["id"]).select(
+    return units.join(_boxes(cto), "cto_uuid").select(
         "id", "cto_uuid", F.col("lon").alias("lon1"), F.col("lat").alias("lat1"),
         F.col("cto_lon").alias("lon2"), F.col("cto_lat").alias("lat2"),
     )

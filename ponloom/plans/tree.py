@@ -7,8 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from ponloom.functions.geo import is_located
 from ponloom.plans.units import with_ports
 
-PORTS_PER_ROW = 10_000
-
 
 def _unlocated(ont: DataFrame, olt: DataFrame) -> DataFrame:
     units = ont.where(~is_located()).select("id", "olt_id", "vendor_ont_id")
@@ -38,21 +36,11 @@ def unlocated_rollup(ont: DataFrame, olt: DataFrame) -> DataFrame:
     )
 
 
-def unlocated_tree(ont: DataFrame, olt: DataFrame, ports_per_row: int = PORTS_PER_ROW) -> DataFrame:
-    """Devices with their ports nested in ``pons``.
+def unlocated_tree(ont: DataFrame, olt: DataFrame) -> DataFrame:
+    """The tree as flat rows: each port with its count beside the count of its device.
 
-    A device with more ports than fit in one row has several, told apart by ``chunk``; ``count``
-    is always the device's whole count.
+    One row per port whatever a device's size; a caller nests the rows it shows.
     """
     ports = _counts(ont, olt)
-    devices = ports.groupBy("olt_id", "olt_name").agg(
-        F.sum("cnt").alias("count"),
-        F.ceil(F.count("*") / F.lit(ports_per_row)).cast("int").alias("_chunks"),
-    )
-    placed = ports.join(devices, ["olt_id", "olt_name"]).withColumn(
-        "chunk", F.pmod(F.xxhash64("pon_id"), F.col("_chunks")).cast("int")
-    )
-    pon = F.struct(F.col("pon_id").alias("id"), F.col("pon_id").alias("name"), F.col("cnt").alias("count"))
-    return placed.groupBy("olt_id", "olt_name", "count", "chunk").agg(
-        F.array_sort(F.collect_list(pon)).alias("pons")
-    )
+    devices = ports.groupBy("olt_id").agg(F.sum("cnt").alias("olt_cnt"))
+    return ports.join(devices, "olt_id").select("olt_id", "olt_name", "olt_cnt", "pon_id", "cnt").orderBy("olt_id", "pon_id")

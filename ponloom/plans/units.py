@@ -12,7 +12,6 @@ from ponloom.functions.clock import since, time_range
 from ponloom.functions.geo import feature, in_bbox, is_located
 from ponloom.functions.ports import pon_id as pon_id_of
 from ponloom.functions.text import contains_pattern, display_name
-from ponloom.operators.joins import lookup_join
 from ponloom.operators.latest import latest
 from ponloom.plans.checks import at_least_chars, bounded, one_of
 
@@ -112,11 +111,11 @@ def metric_series(power: DataFrame, ont_id: int, metric: str, start: datetime, e
 def units_in_bbox(ont: DataFrame, power: DataFrame, bbox) -> DataFrame:
     """Located units in a rectangle with their last reading.
 
-    The rectangle picks the units first; only their readings are aggregated.
+    ``power`` are all readings, or a kept table of the last ones (``fold_latest``). They shrink to one row per
+    unit before the one shuffle.
     """
     units = ont.where(is_located() & in_bbox(bbox))
-    ids = units.select(F.col("id").alias("ont_id"))
-    last = _last_readings(lookup_join(power, ids, "ont_id", "left_semi", spread_by=["time"]))
+    last = _last_readings(power)
     return units.alias("o").join(last.alias("l"), F.col("o.id") == F.col("l.ont_id")).select(
         "o.id", "o.olt_id", "o.vendor_ont_id", "o.status", "o.cto_uuid", "o.description", "o.model",
         "o.serial", "o.lat", "o.lon", "o.props", "l.ptx", "l.prx", F.col("l.time").alias("last_read"),
@@ -131,7 +130,7 @@ def with_ports(ont: DataFrame, olt: DataFrame) -> DataFrame:
         display_name("description", "id").alias("olt_name"),
     )
     columns = [c for c in ont.columns if c != "pon_id"]
-    joined = lookup_join(ont.select(*columns), devices, "olt_id", spread_by=["id"])
+    joined = ont.select(*columns).join(devices, "olt_id")
     return joined.withColumn("pon_id", pon_id_of("_vendor", "vendor_ont_id")).drop("_vendor")
 
 

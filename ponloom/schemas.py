@@ -13,6 +13,7 @@ _TEXT, _INT, _LONG, _DOUBLE, _TIME = (
     T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampType()
 )
 
+# Names, types and nullability of the columns of the base tables.
 OLT = _struct(
     ("id", _TEXT, False), ("vendor", _TEXT, False), ("host", _TEXT, False), ("port", _INT, False),
     ("poll_interval", _INT, False), ("prompt", _TEXT, True), ("description", _TEXT, True),
@@ -35,19 +36,18 @@ CTO = _struct(
 )
 
 # One line of a poll file. A poll may be cut into several lines (slices) of any size;
-# every line repeats the header fields. Values stay typed until they are normalised,
+# every line repeats the header fields and, where known, the number of slices. Values stay typed until they are normalised,
 # because the number 0 and the text "0" count differently in a power field.
 POLL_LINE = T.StructType([
     T.StructField("poll_id", _TEXT), T.StructField("olt_id", _TEXT), T.StructField("vendor", _TEXT),
     T.StructField("polled_at", _TIME), T.StructField("outcome", _TEXT),
     T.StructField("scopes_ok", T.ArrayType(_TEXT)), T.StructField("scopes_failed", T.ArrayType(_TEXT)),
-    T.StructField("slice", _LONG), T.StructField("scope", _TEXT),
+    T.StructField("slice", _LONG), T.StructField("n_slices", _LONG), T.StructField("scope", _TEXT),
     T.StructField("records", T.ArrayType(T.MapType(_TEXT, T.VariantType()))),
 ])
 
-# Vendors the device table accepts, and those a poll can be read for.
+# Vendors the device table accepts.
 DEVICE_VENDORS = ["huawei", "zyxel", "zyxel1408A", "zyxel2406", "zyxel1240XA"]
-POLLED_VENDORS = ["huawei", "zyxel1408A", "zyxel2406", "zyxel1240XA"]
 
 # The columns of the unit CSV file, in file order.
 UNIT_CSV = [

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ponloom.functions.clock import utc_day
 from ponloom.schemas import UNIT_CSV
 
 
@@ -27,32 +28,16 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_features(features: DataFrame, path: str) -> None:
-    """GeoJSON lines: one feature a line."""
+    """GeoJSON lines, one feature a line: the form for results of any size."""
     features.select(F.col("feature").alias("value")).write.mode("overwrite").text(path)
 
 
-def feature_collection(features: DataFrame, max_features: int = 10_000) -> DataFrame:
-    """One FeatureCollection as JSON text, for results that are known to be small.
-
-    A larger result is an error, not a cut one: write it as GeoJSON lines.
-    """
-    n = F.count("*")
-    text = F.concat(
-        F.lit('{"type":"FeatureCollection","features":['),
-        F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("id", "feature"))), lambda f: f["feature"])),
-        F.lit("]}"),
-    )
-    if features.limit(max_features + 1).count() > max_features:
-        raise ValueError(f"more than {max_features} features: use write_features")
-    return features.agg(text.alias("value"), n.alias("n_features"))
-
-
 def write_readings(power: DataFrame, path: str, batch_id: int) -> None:
-    """Append readings by day. A batch that is written again replaces its own files.
+    """Append readings by day in UTC. A batch that is written again replaces its own files.
 
     Rebalancing puts a day into few files, and splits a large day over as many tasks as it needs.
     """
     (
-        power.withColumn("date", F.to_date("time")).hint("rebalance", "date")
+        power.withColumn("date", utc_day(F.col("time"))).hint("rebalance", "date")
         .write.mode("overwrite").partitionBy("date").parquet(f"{path}/batch={batch_id}")
     )

@@ -1,4 +1,4 @@
-"""Plans and the paths taken when a table is too large to broadcast."""
+"""Plans and what follows from them."""
 
 import os
 from contextlib import redirect_stdout
@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from checks import views as v
 from checks.catalog import QUERIES
-from ponloom.operators import joins
 from ponloom.operators.latest import latest
 from ponloom.operators.numbering import numbered, with_new_ids
 from ponloom.plans import boxes, tree, units
@@ -28,29 +27,20 @@ def plan(df):
     return out.getvalue()
 
 
-SALTED = ["unlocated_groups", "cto_enrich", "cto_links", "geo_bbox_latest", "dq_orphans", "key_resolution", "backfill_pon_id"]
+def test_joins_are_left_to_spark(spark):
+    for name in ("cto_enrich", "cto_links", "dq_orphans", "key_resolution", "unlocated_groups"):
+        text = plan(QUERIES[name](spark, DATA))
+        assert "CartesianProduct" not in text and "_salt" not in text
 
 
-@pytest.mark.parametrize("name", SALTED)
-def test_spread_join_gives_the_same_rows(spark, name, monkeypatch):
-    small = values(QUERIES[name](spark, DATA))
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", -1)
-    assert values(QUERIES[name](spark, DATA)) == small
+def test_last_record_of_a_poll_needs_no_sort(spark):
+    text = plan(QUERIES["poll_dedup_last"](spark, DATA))
+    assert "SortAggregate" not in text and "Sort " not in text
 
 
-def test_size_is_measured(spark):
-    ten = spark.range(10).withColumn("t", F.lit("x" * 100))
-    assert joins.fits_broadcast(ten) and not joins.fits_broadcast(ten, max_rows=9)
-    assert not joins.fits_broadcast(ten, max_bytes=1000)
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_spread_join_types(spark, how, monkeypatch):
-    facts = spark.range(200).selectExpr("id", "if(id % 3 = 0, NULL, id % 7) AS k")
-    table = spark.range(4).selectExpr("id AS k", "id * 10 AS v")
-    expected = values(facts.join(table, "k", how))
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", -1)
-    assert values(joins.lookup_join(facts, table, "k", how, spread_by=["id"])) == expected
+def test_rectangle_aggregates_before_the_join(spark):
+    text = plan(units.units_in_bbox(v.ont(spark, DATA), v.power(spark, DATA), "-10,36,0,44"))
+    assert text.count("events.parquet") == 1 and "LeftSemi" not in text
 
 
 def test_numbers_and_ids(spark):
@@ -80,11 +70,27 @@ def test_filters_reach_the_scan(spark, tmp_path):
     text = plan(units.port_units_in_bbox(ont, v.olt(spark, DATA), "-10,36,0,44", "olt-07", "1-3"))
     assert "GreaterThanOrEqual(lon,-10.0)" in text and "EqualTo(olt_id,olt-07)" in text
     groups = plan(tree.unlocated_groups(ont, v.olt(spark, DATA)))
-    assert "serial" not in groups and "props" not in groups and "BroadcastHashJoin" in groups
+    assert "serial" not in groups and "props" not in groups
+
+
+def day_of_sessions(spark, tmp_path):
+    """Written in one zone and read in another: the same rows with and without the day column."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    rows = spark.sql("SELECT timestamp'2024-01-02 03:00:00' AS time, 7L AS ont_id, 1.5D AS ptx, -2D AS prx, 1 AS status")
+    write_readings(rows, str(tmp_path) + "-zone", 0)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        power = spark.read.parquet(str(tmp_path) + "-zone")
+        end = datetime(2024, 1, 2, 3, 30)
+        counts = {units.time_range(p, end=end).count() for p in (power, power.drop("date"))}
+        assert counts == {1}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_days_are_pruned(spark, tmp_path):
     write_readings(v.power(spark, DATA), str(tmp_path), 0)
+    day_of_sessions(spark, tmp_path)
     power = spark.read.parquet(str(tmp_path))
     text = plan(units.metric_series(power, 7, "prx", datetime(2024, 1, 5), datetime(2024, 1, 6)))
     assert "PartitionFilters: [isnotnull(date" in text
@@ -92,12 +98,10 @@ def test_days_are_pruned(spark, tmp_path):
     assert values(units.metric_series(power, 7, "prx", datetime(2024, 1, 5), datetime(2024, 1, 6))) == expected
 
 
-def test_tree_in_several_rows(spark):
-    whole = tree.unlocated_tree(v.ont(spark, DATA), v.olt(spark, DATA))
-    parts = tree.unlocated_tree(v.ont(spark, DATA), v.olt(spark, DATA), ports_per_row=1)
-    assert parts.count() > whole.count()
-    ports = [df.select("olt_id", "count", F.explode("pons")) for df in (whole, parts)]
-    assert values(ports[0]) == values(ports[1])
+def test_tree_rows_carry_the_count_of_their_device(spark):
+    rows = tree.unlocated_tree(v.ont(spark, DATA), v.olt(spark, DATA)).collect()
+    for r in rows:
+        assert r["olt_cnt"] == sum(x["cnt"] for x in rows if x["olt_id"] == r["olt_id"])
 
 
 def test_pages_follow_each_other(spark):

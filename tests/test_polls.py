@@ -5,9 +5,9 @@ import random
 
 import pytest
 from conftest import values
+from pyspark.sql import functions as F
 
-from ponloom.operators import joins
-from ponloom.operators.normalize import VENDORS, normalize_polls
+from ponloom.operators.normalize import VENDORS, ZYXEL, normalize_polls
 from ponloom.operators.presence import apply_polls, islands, poll_headers
 
 ONT = "id long, olt_id string, vendor_ont_id string, cto_uuid string, lon double, lat double, serial string, model string, description string, status int, props string"
@@ -132,12 +132,9 @@ def test_failed_slot_keeps_its_units(spark):
 
 
 @pytest.mark.parametrize("seed,how", [
-    (1, {}), (2, {"parity": True}), (3, {"delete": False}), (4, {"min_units": 3}), (5, {"salted": True}),
+    (1, {}), (2, {"parity": True}), (3, {"delete": False}), (4, {"min_units": 3}), (5, {}),
 ])
-def test_against_model(spark, seed, how, monkeypatch):
-    how = dict(how)
-    if how.pop("salted", False):
-        monkeypatch.setattr(joins, "BROADCAST_ROWS", -1)
+def test_against_model(spark, seed, how):
     rnd = random.Random(seed)
     devices = {"o1": "zyxel2406", "o2": "zyxel1240XA", "o3": "huawei"}
     names = {
@@ -166,6 +163,30 @@ def test_against_model(spark, seed, how, monkeypatch):
     check(spark, stored, polls, **how)
 
 
+def test_a_failed_slice_fails_its_poll(spark):
+    stored = spark.createDataFrame([stored_unit(1, "o", "a"), stored_unit(2, "o", "b")], ONT)
+    lines = [
+        ("p", "o", "zyxel2406", at(1), "ok", [], [], 0, 0, "1", {"AID": "a", "Status": "IS"}),
+        ("p", "o", "zyxel2406", at(1), "error", [], [], 1, 0, "2", None),
+    ]
+    raw = spark.createDataFrame(lines, RECORD)
+    after = apply_polls(stored, normalize_polls(raw.where("record IS NOT NULL")), poll_headers(raw))
+    assert values(after.units) == values(stored) and after.readings.count() == 0 and after.removed.count() == 0
+    assert values(after.poll_log, "poll_id", "result") == [("p", "error")]
+
+
+def test_a_vendor_of_the_caller(spark):
+    acme = {**ZYXEL, "codes": {"GOOD": 7}, "scope": "split_part({unit}, ':', 1)"}
+    vendors = {**VENDORS, "acme": acme}
+    stored = spark.createDataFrame([stored_unit(1, "o", "a:1"), stored_unit(2, "o", "a:2"), stored_unit(3, "o", "b:1")], ONT).withColumn("pon_id", F.lit("old"))
+    lines = [("p", "o", "acme", at(1), "ok", [], [], 0, 0, None, {"AID": "a:1", "Status": " good "})]
+    raw = spark.createDataFrame(lines, RECORD)
+    devices = spark.createDataFrame([("o", "acme")], "id string, vendor string")
+    after = apply_polls(stored, normalize_polls(raw, vendors=vendors), poll_headers(raw), vendors=vendors, olt=devices)
+    assert values(after.units, "id", "vendor_ont_id", "status", "pon_id") == [(1, "a:1", 7, "a:1"), (3, "b:1", 5, "b:1")]
+    assert values(after.removed, "id") == [(2,)] and after.poll_log.first()["result"] == "applied"
+
+
 def test_long_runs_cross_buckets(spark, monkeypatch):
     import ponloom.operators.presence as presence
 
