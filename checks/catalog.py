@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import views as v
 from ponloom.functions.cells import first_truthy, parse_dbm
@@ -15,15 +14,20 @@ from ponloom.functions.props import json_text_sql, prop
 from ponloom.functions.status import status_code
 from ponloom.operators import quality, upkeep
 from ponloom.operators.latest import fold_latest, latest
-from ponloom.operators.lineage import cut, shared_dir
-from ponloom.operators.normalize import normalize_polls
+from ponloom.operators.lineage import cut, new_folder, stored
+from ponloom.operators.normalize import VENDORS, ZYXEL, normalize_polls
 from ponloom.operators.presence import (
     apply_polls, evidence, islands, last_in_poll, poll_headers, poll_log, presence, seen_units,
 )
 from ponloom.operators.unit_import import classify, import_units
 from ponloom.plans import boxes, tree, units
-from ponloom.sinks.files import export_units
-from ponloom.sources.config import overlay_config
+from ponloom.plans.devices import sync_devices
+from ponloom.schemas import DEVICE_VENDORS
+from ponloom.sinks.files import export_units, write_readings, write_unit_csv
+from ponloom.sources import boxes as _boxes
+from ponloom.sources.config import overlay_config, read_config, scan_scopes
+from ponloom.sources.tables import read_table
+from ponloom.sources.unit_csv import read_unit_csv
 from ponloom.streaming.ingest import start_ingest
 from ponloom.streaming.state import current_state, unique_readings
 from ponloom.streaming.store import Store
@@ -83,6 +87,48 @@ def units_total(spark, d):
     )
 
 
+@query
+def units_page_kept(spark, d):
+    """The page from a kept table of last readings."""
+    return units.units_page(v.ont(spark, d), v.power(spark, d), last=latest(v.power(spark, d), ["ont_id"], ["time"])).rows.drop("props")
+
+
+def _in_order(spark, page):
+    """Rows of a result of bounded size with their place in it, so that order is compared too."""
+    schema = T.StructType([T.StructField("place", T.LongType()), *page.schema.fields])
+    return spark.createDataFrame([(k, *row) for k, row in enumerate(page.collect())], schema)
+
+
+@query
+def units_page_order(spark, d):
+    return _in_order(spark, units.units_page(v.ont(spark, d), v.power(spark, d), limit=1000).rows.select("id", "last_read"))
+
+
+@query
+def unit_history_order(spark, d):
+    rows = units.history(v.power(spark, d), UNIT, 720, as_of=v.AS_OF, required=True)
+    return _in_order(spark, rows)
+
+
+@query
+def cto_search_order(spark, d):
+    return _in_order(spark, boxes.search_cto(v.cto(spark, d), "CTO").select("uuid", "score"))
+
+
+@query
+def unit_pages_keyset(spark, d):
+    """All pages of a port's units without a position, each behind the last id of the one before."""
+    pages = units.unit_pages(v.ont(spark, d), v.olt(spark, d), OLT, PORT, size=2)
+    rows = [(k, r["id"]) for k, page in enumerate(pages) for r in page]
+    return spark.createDataFrame(rows, "page long, id long")
+
+
+@query
+def unit_search_escape(spark, d):
+    """A backslash stands for the character behind it."""
+    return units.search_units(v.ont(spark, d), v.olt(spark, d), "Customer\\#0000000", only_unlocated=False, limit=200).rows.select("id", "serial")
+
+
 @query
 def unit_history(spark, d):
     return units.history(v.power(spark, d), UNIT, 720, as_of=v.AS_OF)
@@ -274,8 +320,12 @@ def _rows(spark, d):
 
 def _polls(spark, d):
     """Normalised rows and poll headers of the whole event table, computed once."""
-    records = v.poll_records(spark, d)
-    return cut(normalize_polls(records)), cut(poll_headers(records))
+    return _kept(v.poll_records(spark, d))
+
+
+def _kept(records, **how):
+    """Rows and headers as Parquet, of which every reader takes only the columns it needs."""
+    return stored(normalize_polls(records, **how), "rows"), stored(poll_headers(records), "headers")
 
 
 @query
@@ -360,6 +410,35 @@ def polls_removed_units(spark, d):
     return _apply(spark, d, parity=True).removed
 
 
+@query
+def polls_applied_failed_scopes(spark, d):
+    """Slots that a poll failed to read keep their units."""
+    rows, headers = _kept(v.polls_with_failed_slots(spark, d))
+    return _known_ids(spark, d, apply_polls(v.ont(spark, d), rows, headers).units)
+
+
+@query
+def polls_log_scopes(spark, d):
+    headers = _kept(v.polls_with_failed_slots(spark, d))[1]
+    return headers.select("poll_id", "outcome", F.array_join("scopes_ok", ",").alias("scopes_ok"), F.array_join("scopes_failed", ",").alias("scopes_failed"))
+
+
+@query
+def polls_applied_other_vendor(spark, d):
+    """A vendor that a caller adds: its state texts, read device by device."""
+    vendors = {**VENDORS, "zyxel": {**ZYXEL, "codes": {"IS": 1, "OOS-LS": 2}}}
+    rows, headers = _kept(v.poll_records(spark, d), vendors=vendors)
+    return _known_ids(spark, d, apply_polls(v.ont(spark, d), rows, headers, parity=True, vendors=vendors).units)
+
+
+@query
+def polls_applied_pon_ids(spark, d):
+    """The stored port id follows every unit that polls touch."""
+    rows, headers = _polls(spark, d)
+    before = v.ont(spark, d).withColumn("pon_id", F.lit("stale"))
+    return apply_polls(before, rows, headers, parity=True, olt=v.olt(spark, d)).units.select("olt_id", "vendor_ont_id", "pon_id")
+
+
 # ---- upkeep ------------------------------------------------------------------------------------
 
 def _last_poll(spark, d):
@@ -443,6 +522,30 @@ def patch_units(spark, d):
     return upkeep.apply_patches(v.ont(spark, d), patches).select("id", "cto_uuid", "lon", "lat")
 
 
+@query
+def patches_refused(spark, d):
+    """Patches that send nothing; flags are NULL in some."""
+    k = F.col("p_partkey")
+    patches = spark.read.parquet(f"{d}/part.parquet").select(
+        k.alias("id"), F.when(k % 5 != 0, k % 2 == 0).alias("has_cto"), F.when(k % 7 != 0, k % 3 == 0).alias("has_lon"), F.when(k % 11 != 0, k % 4 == 0).alias("has_lat"))
+    return upkeep.empty_patches(patches).select("id")
+
+
+def _without_devices(spark, d):
+    gone = v.olt(spark, d).where("id < 'olt-05'")
+    return upkeep.remove_devices(v.olt(spark, d), v.ont(spark, d), v.power(spark, d), gone)
+
+
+@query
+def devices_removed_units(spark, d):
+    return _without_devices(spark, d).ont.select("id", "olt_id")
+
+
+@query
+def devices_removed_readings(spark, d):
+    return _without_devices(spark, d).power
+
+
 def _stale(spark, d):
     stale = F.when(F.col("id") % 3 == 0, "").when(F.col("id") % 3 == 1, "old")
     return v.ont(spark, d).withColumn("pon_id", stale)
@@ -502,6 +605,79 @@ def csv_import_result(spark, d):
     return after.join(before, "id", "left").withColumn("id", F.when(F.col("_known"), F.col("id"))).drop("_known", "props")
 
 
+@query
+def csv_import_pon_ids(spark, d):
+    """The stored port id after an import that moves and adds units."""
+    before = v.ont(spark, d).withColumn("pon_id", F.lit("stale"))
+    after = import_units(before, v.olt(spark, d), v.import_cells(spark, d)).units
+    return after.select("olt_id", "vendor_ont_id", "pon_id")
+
+
+@query
+def csv_read_back(spark, d):
+    """The exported files read again; descriptions have line breaks and quotes."""
+    folder = new_folder(spark, "csv")
+    write_unit_csv(v.ont(spark, d).withColumn("description", F.expr("concat(description, '\n\"', serial, '\"')")), folder)
+    return read_unit_csv(spark, folder).select("id", "olt_id", "vendor_ont_id", "cto_uuid", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "serial", "description", "status")
+
+
+@query
+def tables_read_back(spark, d):
+    folder = new_folder(spark, "ont")
+    v.ont(spark, d).write.parquet(folder)
+    return read_table(spark, folder, "ont").drop("props")
+
+
+@query
+def metric_series_by_day(spark, d):
+    """The series from readings written by day."""
+    folder = new_folder(spark, "power")
+    write_readings(v.power(spark, d), folder, 0)
+    return units.metric_series(spark.read.parquet(folder), UNIT, "status", START, END)
+
+
+def _text_files(spark, rows, name):
+    """Each row with an answer of its own in a file of its own, others as lines."""
+    folder = new_folder(spark, name)
+    writer = rows.write.partitionBy("answer") if "answer" in rows.columns else rows.write
+    writer.text(folder)
+    return folder
+
+
+@query
+def cto_geojson_read(spark, d):
+    folder = _text_files(spark, v.box_answers(spark, d), "boxes")
+    return _boxes.cto_points(_boxes.read_cto_geojson(spark, folder))
+
+
+@query
+def cto_features_read(spark, d):
+    """The same boxes as GeoJSON lines."""
+    answers = v.box_answers(spark, d).selectExpr("from_json(value, 'data struct<features:array<string>>').data.features AS f")
+    folder = _text_files(spark, answers.select(F.explode("f").alias("value")), "features")
+    return _boxes.cto_points(_boxes.read_cto_features(spark, folder))
+
+
+@query
+def cto_rows_read(spark, d):
+    rows = v.cto(spark, d).selectExpr("""concat('{"status": "OK", "data": {"rows": [', to_json(named_struct('nombre', nombre, 'uuid', uuid)), ']}}') AS value""")
+    folder = new_folder(spark, "rows")
+    rows.write.option("lineSep", "\n").text(folder)
+    return _boxes.read_cto_rows(spark, folder, multi_line=False)
+
+
+@query
+def config_synced_devices(spark, d):
+    config = read_config(spark, _text_files(spark, v.config_documents(spark, d), "config"))
+    return sync_devices(v.olt(spark, d), config).drop("description")
+
+
+@query
+def config_scopes(spark, d):
+    config = read_config(spark, _text_files(spark, v.config_documents(spark, d), "config"))
+    return scan_scopes(overlay_config(config))
+
+
 @query
 def config_overlay(spark, d):
     """Every device over the defaults of its region; a NULL prompt of its own wins."""
@@ -542,7 +718,18 @@ def dq_duplicates(spark, d):
 
 @query
 def dq_duplicate_readings(spark, d):
-    return quality.duplicates(v.power(spark, d), ["time", "ont_id"])
+    """Readings as if the clock had days only."""
+    return quality.duplicates(v.power(spark, d).withColumn("time", F.date_trunc("day", "time")), ["time", "ont_id"]).withColumn("time", F.to_date("time"))
+
+
+@query
+def dq_orphan_units(spark, d):
+    return quality.orphans(v.ont(spark, d), v.olt(spark, d).where("id < 'olt-20'"), "olt_id").select("id", "olt_id")
+
+
+@query
+def dq_orphan_readings(spark, d):
+    return quality.orphans(v.power(spark, d), v.ont(spark, d).where("id % 3 <> 0"), "ont_id").select("time", "ont_id")
 
 
 @query
@@ -552,7 +739,7 @@ def dq_orphans(spark, d):
 
 @query
 def dq_domain(spark, d):
-    return quality.domain_violations(_olt_changes(spark, d).unionByName(v.olt(spark, d)), "vendor", ["huawei", "zyxel1408A"])
+    return quality.domain_violations(_olt_changes(spark, d).unionByName(v.olt(spark, d)).withColumn("vendor", F.expr("if(port = 161, 'acme', vendor)")), "vendor", DEVICE_VENDORS)
 
 
 @query
@@ -562,22 +749,13 @@ def dq_nulls(spark, d):
 
 # ---- streams -----------------------------------------------------------------------------------
 
-def _new_folder(spark, name):
-    return f"{shared_dir(spark)}/{name}-{uuid4().hex}"
-
-
-def _ingested(spark, d):
+def _ingested(spark, d, **how):
     """Poll files staged from the whole event table, run through the stream."""
-    folder = _new_folder(spark, "ingest")
-    r = v.poll_records(spark, d)
-    lines = r.selectExpr(
-        "poll_id", "olt_id", "vendor", "polled_at", "outcome", "scopes_ok", "scopes_failed", "pos AS slice", "scope",
-        "array(record) AS records",
-    )
-    lines.write.json(f"{folder}/in")
+    folder = new_folder(spark, "ingest")
+    v.poll_lines(spark, d).drop("n_slices").write.json(f"{folder}/in")
     store = Store(spark, f"{folder}/store")
     store.start(v.ont(spark, d))
-    start_ingest(spark, f"{folder}/in", store, f"{folder}/checkpoint", parity=True).awaitTermination()
+    start_ingest(spark, f"{folder}/in", store, f"{folder}/checkpoint", parity=True, **how).awaitTermination()
     return store
 
 
@@ -594,6 +772,45 @@ def stream_ingest_readings(spark, d):
     return readings.join(units_, "ont_id").select("time", "ptx", "prx", "status", "olt_id", "vendor_ont_id")
 
 
+@query
+def stream_ingest_small_batches(spark, d):
+    """Ten days of polls at a time, each poll cut over two files, one file a batch: the units are those of one run over all."""
+    folder = new_folder(spark, "ingest")
+    lines = v.poll_lines(spark, d)
+    first = lines.groupBy("poll_id").agg(F.min("slice").alias("first"))
+    part = F.floor(F.dayofyear("polled_at") / 10) + F.when(F.col("slice") == F.col("first"), 0).otherwise(F.col("slice") % 2)
+    lines = stored(lines.join(first, "poll_id").withColumn("part", part).drop("first"), "lines")
+    store = Store(spark, f"{folder}/store")
+    store.start(v.ont(spark, d))
+    for n in sorted(r["part"] for r in lines.select("part").distinct().collect()):
+        lines.where(F.col("part") == n).drop("part").coalesce(1).write.json(f"{folder}/in/{n:03}")
+    start_ingest(spark, f"{folder}/in/*", store, f"{folder}/checkpoint", files_per_batch=1, parity=True).awaitTermination()
+    return _known_ids(spark, d, store.units())
+
+
+@query
+def stream_ingest_late(spark, d):
+    """Newer polls first, then the older ones: the readings of both, for units that are there."""
+    folder = new_folder(spark, "ingest")
+    store = Store(spark, f"{folder}/store")
+    store.start(v.ont(spark, d))
+    for part, newer in enumerate((True, False)):
+        at = F.col("polled_at") >= F.lit(START)
+        v.poll_lines(spark, d).where(at if newer else ~at).write.mode("append").json(f"{folder}/in/{part}")
+        start_ingest(spark, f"{folder}/in/*", store, f"{folder}/checkpoint", delete_missing=False).awaitTermination()
+    units_ = store.units().select(F.col("id").alias("ont_id"), "olt_id", "vendor_ont_id")
+    readings = store.readings().withColumn("time", F.col("time").cast("timestamp_ntz"))
+    return readings.join(units_, "ont_id").select("time", "ptx", "prx", "status", "olt_id", "vendor_ont_id")
+
+
+@query
+def stream_kept_latest(spark, d):
+    """The table of last readings that the ingest keeps."""
+    store = _ingested(spark, d)
+    units_ = store.units().select(F.col("id").alias("ont_id"), "olt_id", "vendor_ont_id")
+    return store.latest().withColumn("time", F.col("time").cast("timestamp_ntz")).join(units_, "ont_id").drop("ont_id")
+
+
 def _event_stream(spark, d):
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
@@ -604,7 +821,7 @@ def _event_stream(spark, d):
 
 
 def _run(spark, stream, mode):
-    folder = _new_folder(spark, "stream")
+    folder = new_folder(spark, "stream")
     write = lambda rows, batch: rows.write.mode("overwrite").parquet(f"{folder}/out/batch={batch}")
     (
         stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint")

@@ -150,6 +150,12 @@ sql("units_page_after", f"""SELECT {UNIT_ROW} FROM ont_v o JOIN last_v l ON l.on
 WHERE o.id > 20 ORDER BY o.id LIMIT 50 OFFSET 10""")
 sql("units_total", """SELECT 'all' AS scope, count(*) AS total FROM ont_v
 UNION ALL SELECT 'joined', count(*) FROM ont_v WHERE id IN (SELECT ont_id FROM power_v)""")
+ORACLE["units_page_kept"] = ORACLE["units_page"]
+sql("units_page_order", """SELECT row_number() OVER (ORDER BY o.id) - 1 AS place, o.id, l.time AS last_read
+FROM ont_v o JOIN last_v l ON l.ont_id = o.id ORDER BY o.id LIMIT 1000""")
+sql("unit_history_order", """SELECT row_number() OVER (ORDER BY time DESC) - 1 AS place, time, ptx, prx, status FROM power_v
+WHERE ont_id = 7 AND time >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 720 HOUR""")
+sql("cto_search_order", """SELECT row_number() OVER (ORDER BY nombre, uuid) - 1 AS place, uuid, 1 AS score FROM cto_v ORDER BY place LIMIT 80""")
 sql("unit_history", """SELECT time, ptx, prx, status FROM power_v
 WHERE ont_id = 7 AND time >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 720 HOUR""")
 sql("metric_series", """SELECT ont_id, 'status' AS metric, status::double AS value, time AS timestamp FROM power_v
@@ -179,6 +185,9 @@ ORDER BY id LIMIT 5""", ports=True)
 sql("unit_search", r"""SELECT * FROM port_v WHERE lon IS NULL AND (vendor_ont_id ILIKE '%1-12%' ESCAPE '\'
   OR vendor_ont_id ILIKE '%ont-1-12%' ESCAPE '\' OR coalesce(serial, '') ILIKE '%1-12%' ESCAPE '\')
 ORDER BY id LIMIT 50""", ports=True)
+sql("unit_pages_keyset", """SELECT (row_number() OVER (ORDER BY id) - 1) // 2 AS page, id FROM port_v
+WHERE olt_id = 'olt-07' AND pon_id = '1-3' AND lon IS NULL""", ports=True)
+sql("unit_search_escape", """SELECT id, serial FROM port_v WHERE serial ILIKE '%Customer#0000000%' ORDER BY id LIMIT 200""", ports=True)
 sql("unit_search_total", r"""SELECT count(*) AS total FROM port_v
 WHERE vendor_ont_id ILIKE '%ONT-2-_%' ESCAPE '\' OR coalesce(serial, '') ILIKE '%ONT-2-_%' ESCAPE '\'""", ports=True)
 GROUPS = """groups_v AS (SELECT olt_id, olt_name, pon_id, count(*)::int AS cnt FROM port_v WHERE lon IS NULL
@@ -281,10 +290,10 @@ def _scope(vendor: str, unit: str, whole: bool) -> str:
       WHEN {vendor} = 'zyxel1240XA' THEN split_part({unit}, '-', 2) ELSE '*' END"""
 
 
-def _applied(whole: bool, delete: bool = True) -> str:
+def _applied(whole: bool, delete: bool = True, failed: str = "false") -> str:
     return f"""
 seen AS (SELECT DISTINCT olt_id, vendor_ont_id AS u, {_scope('vendor', 'vendor_ont_id', whole)} AS scope, poll_id, time FROM norm_v),
-ev AS (SELECT DISTINCT olt_id, scope, poll_id, time FROM seen),
+ev AS (SELECT DISTINCT s.olt_id, scope, poll_id, time FROM seen s JOIN olt_v l ON l.id = s.olt_id WHERE NOT ({failed})),
 stored AS (
   SELECT o.*, o.vendor_ont_id AS u, {_scope('l.vendor', 'o.vendor_ont_id', whole)} AS scope
   FROM ont_v o JOIN olt_v l ON l.id = o.olt_id WHERE o.olt_id IN (SELECT olt_id FROM seen)),
@@ -318,6 +327,16 @@ LEFT JOIN brk b ON b.olt_id = d.olt_id AND b.u = d.vendor_ont_id WHERE brk IS NU
 poll_sql("polls_removed_units", """SELECT s.id, s.olt_id, s.vendor_ont_id FROM stored s
 JOIN brk b ON b.olt_id = s.olt_id AND b.u = s.u""", _applied(True))
 
+SLOT_FAILED = "l.vendor = 'zyxel1240XA' AND scope = (day(time) % 3)::varchar"
+poll_sql("polls_applied_failed_scopes", "SELECT * FROM after", _applied(False, failed=SLOT_FAILED))
+poll_sql("polls_log_scopes", """SELECT poll_id, outcome, '' AS scopes_ok,
+  CASE WHEN vendor = 'zyxel1240XA' THEN (day(polled_at) % 3)::varchar ELSE '' END AS scopes_failed FROM log_v""")
+ORACLE["polls_applied_other_vendor"] = (
+    ORACLE["polls_applied_units"].replace(" AND vendor <> 'zyxel'", "").replace("WHEN vendor = 'zyxel' THEN 'unknown_vendor'", "")
+    .replace("MAP {", "MAP {'zyxel|IS': 1, 'zyxel|OOS-LS': 2, "))
+poll_sql("polls_applied_pon_ids", f"""SELECT a.olt_id, a.vendor_ont_id, {_pon_stored('l.vendor', 'a.vendor_ont_id')} AS pon_id
+FROM after a JOIN olt_v l ON l.id = a.olt_id""", _applied(True))
+
 # ---- upkeep ------------------------------------------------------------------------------------
 
 NEWEST = """
@@ -355,6 +374,10 @@ sql("patch_units", """SELECT o.id,
   CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 7 <> 0 THEN CASE WHEN p_partkey % 5 <> 0 THEN p_retailprice END ELSE o.lon END AS lon,
   CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 7 <> 0 THEN CASE WHEN p_partkey % 5 <> 0 THEN p_size::double END ELSE o.lat END AS lat
 FROM ont_v o LEFT JOIN part ON p_partkey = o.id""")
+sql("patches_refused", """SELECT p_partkey AS id FROM part WHERE NOT (p_partkey % 5 <> 0 AND p_partkey % 2 = 0)
+  AND NOT (p_partkey % 7 <> 0 AND p_partkey % 3 = 0 AND p_partkey % 11 <> 0 AND p_partkey % 4 = 0)""")
+sql("devices_removed_units", "SELECT id, olt_id FROM ont_v WHERE olt_id >= 'olt-05'")
+sql("devices_removed_readings", "SELECT * FROM power_v WHERE ont_id NOT IN (SELECT id FROM ont_v WHERE olt_id < 'olt-05')")
 STALE = "CASE o.id % 3 WHEN 0 THEN '' WHEN 1 THEN 'old' END"
 sql("backfill_pon_id", f"""SELECT o.id, CASE WHEN o.id % 3 = 1 THEN 'old' ELSE {_pon_stored('l.vendor', 'o.vendor_ont_id')} END AS pon_id
 FROM ont_v o JOIN olt_v l ON l.id = o.olt_id""")
@@ -368,6 +391,22 @@ FROM ont_v o JOIN olt_v l ON l.id = o.olt_id""")
 
 sql("csv_export_rows", """SELECT id, olt_id, vendor_ont_id, cto_uuid, lon AS x, lat AS y, serial, model, description, status
 FROM ont_v ORDER BY olt_id, id""")
+sql("csv_read_back", r"""SELECT id::varchar AS id, olt_id, vendor_ont_id, cto_uuid, lon AS x, lat AS y, serial,
+  description || chr(10) || '"' || serial || '"' AS description, status::varchar AS status FROM ont_v""")
+sql("tables_read_back", """SELECT id, olt_id, vendor_ont_id, cto_uuid, lon, lat, serial, model, description, status, NULL::varchar AS pon_id FROM ont_v""")
+ORACLE["metric_series_by_day"] = ORACLE["metric_series"]
+for _name in ("cto_geojson_read", "cto_features_read"):
+    sql(_name, "SELECT uuid, nombre, lon, lat FROM cto_v")
+sql("cto_rows_read", "SELECT nombre, uuid FROM cto_v")
+CONFIG = """
+cfg_v AS (
+  SELECT n_nationkey AS k, 'cfg-' || n_nationkey AS id, ['huawei', 'zyxel1240XA', 'zyxel2406'][n_nationkey % 3 + 1] AS vendor,
+    n_name AS host, (20 + n_nationkey)::int AS port, CASE WHEN n_nationkey % 2 = 0 THEN 60 + n_nationkey ELSE 300 END::int AS poll_interval,
+    r_name AS prompt FROM nation JOIN region ON r_regionkey = n_regionkey)"""
+sql("config_synced_devices", """SELECT id, vendor, host, port, poll_interval, prompt FROM olt_v
+UNION ALL SELECT id, vendor, host, port, poll_interval, prompt FROM cfg_v""", more=CONFIG)
+sql("config_scopes", """SELECT id AS olt_id, vendor, unnest(CASE WHEN vendor = 'huawei' THEN [k || '/1', '2/3']
+  WHEN vendor = 'zyxel1240XA' THEN CASE WHEN k > 5 THEN [k::varchar, '9'] ELSE ['1'] END ELSE ['*'] END) AS scope FROM cfg_v""", more=CONFIG)
 CELL_NAMES = ["id", "olt_id", "vendor_ont_id", "cto_uuid", "x", "y", "serial", "model", "description", "status"]
 FLOATS = r"'^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$'"
 
@@ -467,6 +506,9 @@ FROM ont_v o LEFT JOIN (SELECT unit_id, {FOLDS}, arg_max({{'o': olt_key, 'u': un
 UNION ALL
 SELECT NULL, olt_key, unit_key, cto_uuid.v, x.v::double, y.v::double, serial.v, model.v, description.v, status.v::int
 FROM (SELECT olt_key, unit_key, {FOLDS} FROM done_v WHERE action <> 'error' AND NOT by_id AND owner IS NULL GROUP BY 1, 2)""", more=IMPORT)
+_RESULT = ORACLE["csv_import_result"][ORACLE["csv_import_result"].rindex("SELECT o.id, coalesce(f.moved"):]
+ORACLE["csv_import_pon_ids"] = ORACLE["csv_import_result"].replace(
+    _RESULT, f"SELECT r.olt_id, r.vendor_ont_id, {_pon_stored('l.vendor', 'r.vendor_ont_id')} AS pon_id FROM ({_RESULT}) r JOIN olt_v l ON l.id = r.olt_id")
 sql("config_overlay", """SELECT 'olt-' || n_nationkey AS id, '300' AS poll_interval,
   CASE WHEN n_nationkey % 2 = 0 THEN CASE WHEN n_nationkey % 4 <> 0 THEN n_name END ELSE r_name END AS prompt,
   CASE WHEN n_nationkey % 2 = 1 THEN n_name END AS description, false AS has_password
@@ -478,10 +520,13 @@ ORACLE["event_props_extract"] = "SELECT event_id, json_extract_string(props, '$.
 
 ORACLE["dq_duplicates"] = """SELECT o_orderdate::date AS day, o_custkey AS ont_id, count(*) AS n_rows FROM orders
 GROUP BY 1, 2 HAVING count(*) > 1"""
-sql("dq_duplicate_readings", "SELECT time, ont_id, count(*) AS n_rows FROM power_v GROUP BY 1, 2 HAVING count(*) > 1")
+sql("dq_duplicate_readings", "SELECT time::date AS time, ont_id, count(*) AS n_rows FROM power_v GROUP BY 1, 2 HAVING count(*) > 1")
+sql("dq_orphan_units", "SELECT id, olt_id FROM ont_v WHERE olt_id NOT IN (SELECT id FROM olt_v WHERE id < 'olt-20')")
+sql("dq_orphan_readings", "SELECT time, ont_id FROM power_v p WHERE NOT EXISTS (SELECT 1 FROM ont_v o WHERE o.id = p.ont_id AND o.id % 3 <> 0)")
 sql("dq_orphans", "SELECT id, cto_uuid FROM ont_v WHERE cto_uuid IS NOT NULL AND cto_uuid NOT IN (SELECT uuid FROM cto_v)")
 sql("dq_domain", """SELECT * FROM (SELECT * FROM olt_ch UNION ALL SELECT * FROM olt_v)
-WHERE vendor NOT IN ('huawei', 'zyxel1408A')""", more=OLT_CHANGES)
+WHERE vendor NOT IN ('huawei', 'zyxel', 'zyxel1408A', 'zyxel2406', 'zyxel1240XA')""", more=OLT_CHANGES)
+ORACLE["dq_domain"] = ORACLE["dq_domain"].replace("SELECT * FROM olt_ch UNION", "SELECT * REPLACE (CASE WHEN port = 161 THEN 'acme' ELSE vendor END AS vendor) FROM olt_ch UNION")
 sql("dq_nulls", """SELECT * FROM (SELECT id, concat_ws(',', CASE WHEN cto_uuid IS NULL THEN 'cto_uuid' END,
   CASE WHEN lon IS NULL THEN 'lon' END) AS null_columns FROM ont_v) WHERE null_columns <> ''""")
 
@@ -489,5 +534,10 @@ sql("dq_nulls", """SELECT * FROM (SELECT id, concat_ws(',', CASE WHEN cto_uuid I
 
 ORACLE["stream_ingest_units"] = ORACLE["polls_applied_units"]
 ORACLE["stream_ingest_readings"] = ORACLE["polls_applied_readings"]
+ORACLE["stream_ingest_small_batches"] = ORACLE["polls_applied_units"]
+poll_sql("stream_ingest_late", "SELECT time, ptx, prx, status, olt_id, vendor_ont_id FROM dedup_v")
+poll_sql("stream_kept_latest", """SELECT time, ptx, prx, status, olt_id, vendor_ont_id FROM (
+  SELECT d.*, row_number() OVER (PARTITION BY d.olt_id, d.vendor_ont_id ORDER BY d.time DESC) AS rn FROM dedup_v d
+  LEFT JOIN brk b ON b.olt_id = d.olt_id AND b.u = d.vendor_ont_id WHERE brk IS NULL OR d.time > brk) WHERE rn = 1""", _applied(True))
 ORACLE["stream_current_state"] = ORACLE["latest_reading"]
 sql("stream_unique_readings", "SELECT * FROM power_v")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 AS_OF = datetime(2024, 1, 31)
 
@@ -114,6 +114,45 @@ def poll_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def poll_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw records as lines of poll files, one record a line; each line says how many its poll has."""
+    r = poll_records(spark, sf_dir)
+    sizes = r.groupBy("poll_id").agg(F.count("*").alias("n_slices"))
+    return r.join(sizes, "poll_id").selectExpr(
+        "poll_id", "olt_id", "vendor", "polled_at", "outcome", "scopes_ok", "scopes_failed", "pos AS slice", "n_slices", "scope",
+        "array(record) AS records",
+    )
+
+
+def polls_with_failed_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw records; each poll of a device that is read by slots failed to read one slot, by the day."""
+    slots = "array(CAST(day(polled_at) % 3 AS string))"
+    return poll_records(spark, sf_dir).withColumn("scopes_failed", F.expr(f"if(vendor = 'zyxel1240XA', {slots}, NULL)"))
+
+
+def config_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One configuration document per region: defaults, and the nations as devices."""
+    return _read(spark, sf_dir, "nation").join(_read(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")).selectExpr(
+        "r_name", """to_json(named_struct('id', concat('cfg-', n_nationkey), 'vendor', element_at(array('huawei', 'zyxel1240XA', 'zyxel2406'), n_nationkey % 3 + 1),
+            'host', n_name, 'port', 20 + n_nationkey, 'password', 'p', 'poll_interval', if(n_nationkey % 2 = 0, 60 + n_nationkey, NULL),
+            'pon_list', if(n_nationkey % 3 = 0, array(named_struct('frame', '0', 'slot', n_nationkey, 'port', '1'), named_struct('frame', '0', 'slot', 2, 'port', '3')), NULL),
+            'slots', if(n_nationkey % 3 = 1 AND n_nationkey > 5, array(CAST(n_nationkey AS string), '9'), NULL))) AS device""",
+    ).groupBy("r_name").agg(F.collect_list("device").alias("olts")).selectExpr(
+        "r_name AS answer",
+        """concat('{"defaults": {"poll_interval": 300, "prompt": "', r_name, '"}, "olts": [', array_join(olts, ','), ']}') AS value""")
+
+
+def box_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of the map service over all boxes, ten FeatureCollections; each box comes with an old name first."""
+    boxes = cto(spark, sf_dir).selectExpr("*", "explode(array(0, 1)) AS version").selectExpr(
+        "pmod(xxhash64(uuid), 10) AS answer", "version", "uuid",
+        """to_json(named_struct('type', 'Feature', 'geometry', named_struct('type', 'Point', 'coordinates', array(lon, lat)),
+            'properties', named_struct('nombre', if(version = 0, 'old', nombre), 'uuid', uuid))) AS feature""")
+    return boxes.groupBy("answer").agg(F.array_sort(F.collect_list(F.struct("version", "uuid", "feature"))).alias("f")).selectExpr(
+        "answer",
+        """concat('{"status": "OK", "data": {"type": "FeatureCollection", "features": [', array_join(f.feature, ','), ']}}') AS value""")
+
+
 def import_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One CSV line per order, all cells text: edits by id, by key, new keys, and bad lines."""
     units = ont(spark, sf_dir).selectExpr("id AS c", "olt_id", "vendor_ont_id")

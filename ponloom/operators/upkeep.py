@@ -7,6 +7,7 @@ Spark, which broadcasts by the size it measures at run time and splits skewed pa
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -66,6 +67,21 @@ def cascade(child: DataFrame, removed: DataFrame, fk: str, id_: str = "id") -> D
     return child.join(gone, fk, "left_anti")
 
 
+class Remaining(NamedTuple):
+    """What is left of the tables when devices went."""
+
+    olt: DataFrame
+    ont: DataFrame
+    power: DataFrame
+
+
+def remove_devices(olt: DataFrame, ont: DataFrame, power: DataFrame, gone: DataFrame) -> Remaining:
+    """Devices whose ``id`` is in ``gone`` go, with their units and the readings of these."""
+    ids = gone.select("id").distinct()
+    units = ont.join(ids.withColumnRenamed("id", "olt_id"), "olt_id", "left_semi")
+    return Remaining(olt.join(ids, "id", "left_anti"), cascade(ont, ids, "olt_id").select(*ont.columns), cascade(power, units, "ont_id").select(*power.columns))
+
+
 def apply_patches(ont: DataFrame, patches: DataFrame) -> DataFrame:
     """Set the fields a patch sent, by unit id; ids that are not there are passed over.
 

@@ -42,35 +42,39 @@ def _last_readings(power: DataFrame) -> DataFrame:
 
 def units_page(
     ont: DataFrame, power: DataFrame, olt_id: str | None = None, limit: int = 20, offset: int = 0,
-    after_id: int | None = None, total_scope: str = "all",
+    after_id: int | None = None, total_scope: str = "all", last: DataFrame | None = None,
 ) -> Page:
     """Units in id order with their last reading; units never read are left out of the rows.
 
     The total counts all units, also those never read; ``total_scope='joined'`` counts the
     reachable ones. ``after_id`` continues behind a known id, which stays cheap on deep pages
     where an offset does not. The page is cut first, so only the readings of its units are
-    aggregated.
+    aggregated. With ``last``, a kept table of the last reading of each unit, ``power`` is not read.
     """
     bounded("limit", limit, 0, 1000)
     bounded("offset", offset, 0)
     one_of("total_scope", total_scope, ("all", "joined"))
     units = ont.where(F.col("olt_id") == olt_id) if olt_id else ont
-    read = power.select(F.col("ont_id").alias("id")).distinct()
+    read = power.select(F.col("ont_id").alias("id")).distinct() if last is None else last.select(F.col("ont_id").alias("id"))
     reachable = units.join(read, "id", "left_semi")
     behind = reachable.where(F.col("id") > after_id) if after_id is not None else reachable
-    page = _cut(behind, limit, offset)
-    # At most `limit` (1000) ids, so the broadcast is bounded.
-    on_page = F.broadcast(page.select(F.col("id").alias("ont_id")))
-    last = _last_readings(power.join(on_page, "ont_id", "left_semi"))
+    if last is None:
+        page = _cut(behind, limit, offset)
+        # At most `limit` (1000) ids, so the broadcast is bounded.
+        on_page = F.broadcast(page.select(F.col("id").alias("ont_id")))
+        newest = F.broadcast(_last_readings(power.join(on_page, "ont_id", "left_semi")))
+    else:
+        page, newest = units.where(F.col("id") > after_id) if after_id is not None else units, last
     rows = (
-        page.alias("o").join(F.broadcast(last).alias("l"), F.col("o.id") == F.col("l.ont_id"))
+        page.alias("o").join(newest.alias("l"), F.col("o.id") == F.col("l.ont_id"))
         .select(
             "o.id", "o.olt_id", "o.vendor_ont_id", "o.status", "o.cto_uuid", "o.serial", "o.model",
             "o.description", "o.lat", "o.lon", "l.ptx", "l.prx", F.col("l.time").alias("last_read"),
             "o.props",
         )
-        .orderBy("id")
     )
+    # The kept table has one row per unit, so the join itself is the list that the page is cut from.
+    rows = rows.orderBy("id") if last is None else _cut(rows, limit, offset)
     return Page(rows, _total(units if total_scope == "all" else reachable))
 
 

@@ -23,7 +23,7 @@ def write_unit_csv(ont: DataFrame, path: str) -> None:
 def write_csv(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "")
-        .option("escape", '"').csv(path)
+        .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     )
 
 

@@ -16,9 +16,12 @@ def _accepted(envelopes: DataFrame, ok) -> DataFrame:
     return envelopes.where(F.when(F.coalesce(ok, F.lit(False)), F.lit(True)).otherwise(refused.cast("boolean")))
 
 
-def read_cto_rows(spark: SparkSession, path: str) -> DataFrame:
-    """``(nombre, uuid)`` from row answers; an answer that is not OK is an error."""
-    answers = spark.read.schema(_ROWS).option("multiLine", True).json(path)
+def read_cto_rows(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """``(nombre, uuid)`` from row answers; an answer that is not OK is an error.
+
+    With ``multi_line`` each file is one answer, read by one task; without it each line is one.
+    """
+    answers = spark.read.schema(_ROWS).option("multiLine", multi_line).json(path)
     good = _accepted(answers, F.col("status") == "OK")
     return good.select(F.inline("data.rows"))
 

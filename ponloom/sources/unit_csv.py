@@ -11,10 +11,13 @@ from ponloom.schemas import UNIT_CSV
 def read_unit_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Lines of a CSV file with header: the ten cells as text and the record number, from 2.
 
-    A byte order mark, extra columns, short rows and blank lines are accepted. With
+    Text that is not UTF-8 is an error. A byte order mark, extra columns, short rows and blank lines are accepted. With
     ``multi_line`` quoted cells may hold line breaks, and a file is read by one task; without
     them ``multi_line=False`` lets Spark split a large file.
     """
+    # The CSV reader would replace bytes that are no UTF-8; lines of text keep them.
+    if not spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty():
+        raise ValueError("the CSV file is not UTF-8")
     raw = (
         spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
         .option("inferSchema", False).csv(path)

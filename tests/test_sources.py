@@ -4,10 +4,14 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
+from ponloom.functions.text import contains_pattern
+from ponloom.operators import quality
 from ponloom.operators.normalize import ZYXEL, normalize_polls
 from ponloom.plans.devices import sync_devices
 from ponloom.sinks import files
+from ponloom.schemas import UNIT_CSV
 from ponloom.sources import boxes, config, polls, tables
+from ponloom.sources.unit_csv import read_unit_csv
 
 
 def put(folder, name, *documents):
@@ -82,6 +86,30 @@ def test_another_vendor(spark, tmp_path):
     assert normalize_polls(records, vendors={"acme": ZYXEL}).first()["vendor_ont_id"] == "x"
 
 
+def test_csv_that_is_not_utf8_is_refused(spark, tmp_path):
+    header = ",".join(UNIT_CSV)
+    (tmp_path / "good.csv").write_bytes(f"{header}\n1,o,u,,,,é,,,\n".encode())
+    assert read_unit_csv(spark, str(tmp_path / "good.csv")).first()["serial"] == "é"
+    (tmp_path / "bad.csv").write_bytes(f"{header}\n1,o,u,,,,é,,,\n".encode("latin-1"))
+    with pytest.raises(ValueError, match="UTF-8"):
+        read_unit_csv(spark, str(tmp_path / "bad.csv"))
+
+
+def test_duplicates_can_be_refused(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id int, x string")
+    quality.refuse(quality.duplicates(rows, ["id", "x"]), "duplicate rows")
+    with pytest.raises(ValueError, match="duplicate rows: {'id': 1, 'n_rows': 2}"):
+        quality.refuse(quality.duplicates(rows, ["id"]), "duplicate rows")
+
+
+def test_search_patterns(spark):
+    rows = spark.createDataFrame([(x,) for x in ("a\\b", "ab", "a%b", "axb", "end\\")], "t string")
+    found = lambda q, **how: {r[0] for r in rows.where(F.col("t").like(contains_pattern(q, **how))).collect()}
+    assert found("a\\b") == {"ab"} and found("a\\\\b") == {"a\\b"} and found("a\\%b") == {"a%b"}
+    assert found("a%b") == {"a\\b", "ab", "a%b", "axb"} and found("end\\") == {"end\\"}
+    assert found("a\\b", literal=True) == {"a\\b"}
+
+
 def feature(uuid, name, *spot):
     return {"type": "Feature", "geometry": {"type": "Point", "coordinates": list(spot)}, "properties": {"nombre": name, "uuid": uuid}}
 
