@@ -130,7 +130,7 @@ ORACLE: dict[str, str] = {}
 
 def sql(name: str, body: str, ports: bool = False, more: str = "") -> None:
     views = VIEWS + ("," + PORTS if ports else "") + ("," + more if more else "")
-    ORACLE[name] = f"WITH {views} {body}"
+    ORACLE[name] = f"WITH {'RECURSIVE ' if 'walk_v' in views else ''}{views} {body}"
 
 
 sql("latest_reading", "SELECT ont_id, time, ptx, prx, status FROM last_v")
@@ -454,23 +454,36 @@ judged_v AS (
     WHEN by_id AND (lower(t.olt_id) = 'null' OR lower(t.vendor_ont_id) = 'null') THEN 'null_key'
     WHEN (sets_key OR NOT by_id) AND olt_key NOT IN (SELECT id FROM olt_v) THEN 'unknown_olt' END AS code1
   FROM target_v t LEFT JOIN ont_v w ON w.olt_id = t.olt_key AND w.vendor_ont_id = t.unit_key AND code0 IS NULL),
-good_v AS (SELECT *, sets_key AND (olt_key <> old_olt OR unit_key <> old_unit) AS rekeys FROM judged_v WHERE code1 IS NULL),
-refused_v AS (
-  SELECT line, CASE WHEN owner IS NOT NULL THEN 'duplicate_key' ELSE 'rekey_conflict' END AS code2 FROM good_v r
-  WHERE rekeys AND (owner IS NOT NULL
-    OR EXISTS (SELECT 1 FROM good_v g WHERE NOT g.by_id AND g.olt_key = r.olt_key AND g.unit_key = r.unit_key)
-    OR EXISTS (SELECT 1 FROM good_v g WHERE g.rekeys AND g.nid <> r.nid AND g.olt_key = r.olt_key AND g.unit_key = r.unit_key)
-    OR EXISTS (SELECT 1 FROM good_v g WHERE g.sets_key AND g.nid = r.nid AND (g.olt_key <> r.olt_key OR g.unit_key <> r.unit_key))
-    OR EXISTS (SELECT 1 FROM good_v g WHERE NOT g.by_id AND g.olt_key = r.old_olt AND g.unit_key = r.old_unit))),
-settled_v AS (SELECT j.*, coalesce(code1, code2) AS code FROM judged_v j LEFT JOIN refused_v USING (line)),
+keyed_v AS (
+  -- Lines that name a key, by the stored unit whose key or id they touch, in file order.
+  SELECT line, by_id, CASE WHEN by_id THEN nid ELSE owner END AS u, olt_key, unit_key,
+    by_id AND (olt_key <> old_olt OR unit_key <> old_unit) AS away,
+    row_number() OVER (PARTITION BY CASE WHEN by_id THEN nid ELSE owner END ORDER BY line) AS n
+  FROM judged_v WHERE code1 IS NULL AND (CASE WHEN by_id THEN sets_key ELSE owner IS NOT NULL END)),
+walk_v AS (
+  -- at_home: the unit has its stored key; taken: a line has put a new unit under that key. Other targets are used once.
+  SELECT o.id AS u, 0::bigint AS n, NULL::bigint AS line, true AS at_home, false AS taken, NULL::varchar AS did,
+    o.olt_id AS cur_olt, o.vendor_ont_id AS cur_unit FROM ont_v o WHERE id IN (SELECT u FROM keyed_v)
+  UNION ALL
+  SELECT w.u, k.n, k.line,
+    CASE WHEN NOT k.by_id THEN w.at_home WHEN k.away THEN false ELSE w.at_home OR NOT w.taken END,
+    w.taken OR (NOT k.by_id AND NOT w.at_home),
+    CASE WHEN k.by_id THEN CASE WHEN k.away OR w.at_home OR NOT w.taken THEN 'moved' ELSE 'refused' END
+      WHEN w.at_home THEN 'unit' WHEN w.taken THEN 'new' ELSE 'insert' END,
+    CASE WHEN k.by_id AND (k.away OR w.at_home OR NOT w.taken) THEN k.olt_key ELSE w.cur_olt END,
+    CASE WHEN k.by_id AND (k.away OR w.at_home OR NOT w.taken) THEN k.unit_key ELSE w.cur_unit END
+  FROM walk_v w JOIN keyed_v k ON k.u = w.u AND k.n = w.n + 1),
+settled_v AS (SELECT j.*, w.did, coalesce(code1, CASE WHEN did = 'refused' THEN 'duplicate_key' END) AS code
+  FROM judged_v j LEFT JOIN walk_v w ON w.line = j.line),
 first_v AS (SELECT olt_key, unit_key, min(line) AS first_line FROM settled_v
   WHERE code IS NULL AND NOT by_id AND owner IS NULL GROUP BY 1, 2),
+home_v AS (SELECT u, arg_max({{'o': cur_olt, 'u': cur_unit}}, n) AS moved FROM walk_v GROUP BY 1),
 done_v AS (
   SELECT s.*, CASE WHEN code IS NOT NULL THEN 'error'
     WHEN by_id THEN CASE WHEN has_values OR sets_key THEN 'updated' ELSE 'skipped' END
-    WHEN owner IS NULL AND line = first_line THEN 'inserted'
+    WHEN did = 'insert' OR (owner IS NULL AND line = first_line) THEN 'inserted'
     WHEN has_values THEN 'updated' ELSE 'skipped' END AS action,
-    CASE WHEN by_id THEN nid ELSE owner END AS unit_id
+    CASE WHEN by_id THEN nid WHEN did IS NULL OR did = 'unit' THEN owner END AS unit_id
   FROM settled_v s LEFT JOIN first_v USING (olt_key, unit_key))
 """
 FOLDS = ", ".join(
@@ -497,16 +510,15 @@ def _folded(c: str, f: str, kind: str = "varchar", old: str | None = None) -> st
 
 
 sql("csv_import_result", f"""
-SELECT o.id, coalesce(f.moved.o, o.olt_id) AS olt_id, coalesce(f.moved.u, o.vendor_ont_id) AS vendor_ont_id,
+SELECT o.id, coalesce(h.moved.o, o.olt_id) AS olt_id, coalesce(h.moved.u, o.vendor_ont_id) AS vendor_ont_id,
   {_folded('cto_uuid', 'cto_uuid')}, {_folded('lon', 'x', 'double')}, {_folded('lat', 'y', 'double')},
   {_folded('serial', 'serial')}, {_folded('model', 'model')}, {_folded('description', 'description')}, {_folded('status', 'status', 'int')}
-FROM ont_v o LEFT JOIN (SELECT unit_id, {FOLDS}, arg_max({{'o': olt_key, 'u': unit_key}}, line)
-    FILTER (WHERE sets_key AND (olt_key <> old_olt OR unit_key <> old_unit)) AS moved
+FROM ont_v o LEFT JOIN home_v h ON h.u = o.id LEFT JOIN (SELECT unit_id, {FOLDS}
   FROM done_v WHERE action <> 'error' AND unit_id IS NOT NULL GROUP BY 1) f ON f.unit_id = o.id
 UNION ALL
 SELECT NULL, olt_key, unit_key, cto_uuid.v, x.v::double, y.v::double, serial.v, model.v, description.v, status.v::int
-FROM (SELECT olt_key, unit_key, {FOLDS} FROM done_v WHERE action <> 'error' AND NOT by_id AND owner IS NULL GROUP BY 1, 2)""", more=IMPORT)
-_RESULT = ORACLE["csv_import_result"][ORACLE["csv_import_result"].rindex("SELECT o.id, coalesce(f.moved"):]
+FROM (SELECT olt_key, unit_key, {FOLDS} FROM done_v WHERE action <> 'error' AND NOT by_id AND unit_id IS NULL GROUP BY 1, 2)""", more=IMPORT)
+_RESULT = ORACLE["csv_import_result"][ORACLE["csv_import_result"].rindex("SELECT o.id, coalesce(h.moved"):]
 ORACLE["csv_import_pon_ids"] = ORACLE["csv_import_result"].replace(
     _RESULT, f"SELECT r.olt_id, r.vendor_ont_id, {_pon_stored('l.vendor', 'r.vendor_ont_id')} AS pon_id FROM ({_RESULT}) r JOIN olt_v l ON l.id = r.olt_id")
 sql("config_overlay", """SELECT 'olt-' || n_nationkey AS id, '300' AS poll_interval,

@@ -4,9 +4,10 @@ A line with an id edits that unit. A line without one inserts or edits the unit
 count in file order: a later cell wins, and a key that an earlier line inserted exists for the
 later ones. A line that fails is reported and changes nothing.
 
-Set-based limits: a line that gives a unit another key is refused as ``rekey_conflict`` if
-other lines touch the old or the new key, as the result would hang on their order; an id that
-this same file inserts cannot be referred to. A line the tables would refuse (unknown
+A line can give a unit another key. From then on lines with the new key mean that unit, and the old key is free for a new one; a
+key that another unit has at that line is refused as ``duplicate_key``. Which moves hold depends on the lines before
+them, so they are settled in rounds over the moved keys only, until nothing changes: each round gets at least one more line
+right, in file order. An id that this same file inserts cannot be referred to. A line the tables would refuse (unknown
 device, NULL key, number out of range) is an error of that line only.
 """
 
@@ -14,15 +15,17 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ponloom.functions.cells import cell, clean_cell, is_int_sql, strip_sql, to_int_sql
-from ponloom.operators.lineage import cut
+from ponloom.operators.lineage import cut, stored as stored_rows
 from ponloom.operators.numbering import with_new_ids
 from ponloom.operators.upkeep import with_pon_id
 from ponloom.schemas import UNIT_CSV
 
 KEY = ["olt_id", "vendor_ont_id"]
+#: The owner of a key that a line of the file inserted, and line numbers before and after all.
+FRESH, BEFORE_ALL, AFTER_ALL = -1, -(1 << 62), 1 << 62
 VALUES = ["cto_uuid", "serial", "model", "description", "status"]
 _KINDS = {"status": "int", "x": "float", "y": "float"}
 
@@ -124,49 +127,78 @@ def classify(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> DataFrame:
             "*", "code IS NULL AND sets_key AND (olt_key <> old_olt OR unit_key <> old_unit) AS rekeys"
         )
     )
-    settled = checked.join(cut(_refused_moves(checked)), "line", "left").selectExpr(
-        *[c for c in checked.columns if c != "code"], "coalesce(code, refused) AS code"
+    steps, owned = _settle_moves(checked, stored)
+    settled = checked.join(steps, "line", "left").selectExpr(
+        *[c for c in checked.columns if c not in ("code", *key)], "coalesce(code, if(accepted = false, 'duplicate_key', NULL)) AS code",
+        "coalesce(to_olt, olt_key) AS olt_key", "coalesce(to_unit, unit_key) AS unit_key", "coalesce(accepted, false) AS moves",
     )
-
-    # The first good line of a key that is not stored inserts it.
-    fresh = "code IS NULL AND NOT by_id AND owner IS NULL"
-    first = cut(settled.where(fresh).groupBy(*key).agg(F.min("line").alias("first_line")))
-    return settled.join(first, key, "left").selectExpr(
+    # Who has the key of a line without id: as settled for moved keys, else the stored unit.
+    at = owned.selectExpr("olt AS olt_key", "unit AS unit_key", "from_line", "to_line", "owner AS holder", "true AS moved_key")
+    by_key = settled.where("NOT by_id").alias("s").join(at.alias("w"), F.expr(
+        "s.olt_key = w.olt_key AND s.unit_key = w.unit_key AND s.line > w.from_line AND s.line <= w.to_line"), "left").selectExpr(
+        "s.*", f"CASE WHEN moved_key IS NULL THEN owner WHEN holder <> {FRESH} THEN holder END AS held", "moved_key AND holder IS NULL AS takes")
+    placed_lines = by_key.unionByName(settled.where("by_id").selectExpr("*", "CAST(NULL AS bigint) AS held", "false AS takes"))
+
+    # The first good line of a key that nobody has inserts it.
+    fresh = "code IS NULL AND NOT by_id AND held IS NULL AND takes IS NULL"
+    first = placed_lines.where(fresh).groupBy(*key).agg(F.min("line").alias("first_line"))
+    return placed_lines.join(first, key, "left").selectExpr(
         "line",
         """CASE WHEN code IS NOT NULL THEN 'error'
           WHEN by_id THEN if(has_values OR sets_key, 'updated', 'skipped')
-          WHEN owner IS NULL AND line = first_line THEN 'inserted'
+          WHEN takes OR (takes IS NULL AND held IS NULL AND line = first_line) THEN 'inserted'
           ELSE if(has_values, 'updated', 'skipped') END AS action""",
         "code", f"if(code IS NULL, NULL, {_error_text()}) AS error",
-        "if(by_id, id, owner) AS unit_id", *key, "rekeys", "point", *VALUES, "row",
+        "if(by_id, id, held) AS unit_id", *key, "moves", "point", *VALUES, "row",
     )
 
 
-def _refused_moves(checked: DataFrame) -> DataFrame:
-    """Lines that move a unit to another key where the outcome would hang on the order of lines."""
-    key = ["olt_key", "unit_key"]
+def _settle_moves(checked: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Moves in file order: per line its target key and whether it holds, and who has which moved key after which line.
+
+    ``owned`` is (olt, unit, from_line, to_line, owner): lines after ``from_line`` up to ``to_line`` meet that owner, a unit id, NULL
+    for nobody, or FRESH for the unit that a line of this file inserted.
+    """
     good = checked.where("code IS NULL")
-    moves = good.where("rekeys")
-    touched = good.where("NOT by_id").select(*key).distinct().selectExpr(*key, "true AS touched")
-    # The new key is stored for another unit, or wanted by several units, or touched by key.
-    targets = moves.groupBy(*key).agg(
-        F.max("owner").alias("taken"), F.min("id").alias("low"), F.max("id").alias("high")
-    ).join(touched, key, "left").selectExpr(
-        *key, "taken IS NOT NULL AS taken", "low <> high OR touched IS NOT NULL AS contested"
-    )
-    # The old key is touched by key, or lines of the unit set different keys.
-    old = touched.selectExpr("olt_key AS old_olt", "unit_key AS old_unit", "touched")
-    way = F.struct(*key)
-    units = good.where("sets_key").groupBy("id").agg(
-        F.min(way).alias("way"), F.max(way).alias("other_way"), F.max("old_olt").alias("old_olt"),
-        F.max("old_unit").alias("old_unit"), F.max("rekeys").alias("moved"),
-    ).where("moved").join(old, ["old_olt", "old_unit"], "left").selectExpr(
-        "id", "way <> other_way OR touched IS NOT NULL AS unclear"
-    )
-    judged = moves.select("line", "id", *key).join(targets, key).join(units, "id")
-    return judged.where("taken OR contested OR unclear").selectExpr(
-        "line", "if(taken, 'duplicate_key', 'rekey_conflict') AS refused"
-    )
+    moving = good.where("rekeys").select("id").distinct()
+    steps = good.where("by_id AND sets_key").join(moving, "id", "left_semi").selectExpr(
+        "line", "id", "old_olt", "old_unit", "if(olt_id.is_set, olt_id.value, NULL) AS set_olt",
+        "if(vendor_ont_id.is_set, vendor_ont_id.value, NULL) AS set_unit")
+    steps = stored_rows(steps.withColumn("accepted", F.lit(True)), "moves")
+    lines = good.where("NOT by_id").selectExpr("olt_key AS olt", "unit_key AS unit", "line")
+    inserts, before = None, Window.partitionBy("id").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    seen = None
+    while True:
+        def latest(part: str):
+            return F.coalesce(F.last(F.when(F.col("accepted"), F.col(f"set_{part}")), ignorenulls=True).over(before), F.col(f"old_{part}"))
+
+        placed = steps.withColumn("from_olt", latest("olt")).withColumn("from_unit", latest("unit")).withColumns({
+            "to_olt": F.coalesce("set_olt", "from_olt"), "to_unit": F.coalesce("set_unit", "from_unit")})
+        placed = stored_rows(placed, "moves")
+        changes = placed.where("accepted AND (from_olt <> to_olt OR from_unit <> to_unit)")
+        keys = placed.selectExpr("from_olt AS olt", "from_unit AS unit").union(placed.select("to_olt", "to_unit")).distinct()
+        owners = stored.selectExpr("olt_id AS olt", "vendor_ont_id AS unit", "id AS owner")
+        events = keys.join(owners, ["olt", "unit"], "left").selectExpr("olt", "unit", f"{BEFORE_ALL}L AS line", "owner").union(
+            changes.selectExpr("from_olt", "from_unit", "line", "CAST(NULL AS bigint)")).union(
+            changes.select("to_olt", "to_unit", "line", "id"))
+        if inserts is not None:
+            events = events.union(inserts.join(keys, ["olt", "unit"], "left_semi").selectExpr("olt", "unit", "line", f"{FRESH}L"))
+        follow = Window.partitionBy("olt", "unit").orderBy("line")
+        owned = stored_rows(events.select(
+            "olt", "unit", F.col("line").alias("from_line"), F.coalesce(F.lead("line").over(follow), F.lit(AFTER_ALL)).alias("to_line"), "owner"), "owners")
+        judged = placed.alias("p").join(owned.alias("w"), F.expr(
+            "p.to_olt = w.olt AND p.to_unit = w.unit AND p.line > w.from_line AND p.line <= w.to_line"), "left").selectExpr(
+            *[f"p.{c}" for c in steps.columns if c != "accepted"], "p.to_olt", "p.to_unit", "owner IS NULL OR owner = p.id AS accepted")
+        judged = stored_rows(judged, "moves")
+        free = owned.where("owner IS NULL")
+        inserts = stored_rows(lines.alias("l").join(free.alias("w"), F.expr(
+            "l.olt = w.olt AND l.unit = w.unit AND l.line > w.from_line AND l.line <= w.to_line")).groupBy("w.olt", "w.unit", "w.from_line").agg(
+            F.min("l.line").alias("line")), "inserts")
+        mark = (judged.agg(F.count_if("accepted"), F.bit_xor(F.xxhash64("line", "accepted", "to_olt", "to_unit"))).first(),
+                inserts.agg(F.count("*"), F.bit_xor(F.xxhash64("olt", "unit", "line"))).first())
+        if mark == seen:
+            return judged.select("line", "accepted", "to_olt", "to_unit"), owned
+        seen, steps = mark, judged.drop("to_olt", "to_unit")
 
 
 def _last(c: str):
@@ -183,7 +215,8 @@ def import_units(ont: DataFrame, olt: DataFrame, lines: DataFrame, last_id: int
     good = done.where("action <> 'error'")
     folds = [_last(c) for c in ["point", *VALUES]]
 
-    moved = F.expr("max(if(rekeys, named_struct('olt_id', olt_key, 'vendor_ont_id', unit_key), NULL))").alias("moved")
+    # A line of a moving unit says its whole key at that line; the last one stays.
+    moved = F.expr("max_by(if(moves, named_struct('olt_id', olt_key, 'vendor_ont_id', unit_key), NULL), if(moves, line, NULL))").alias("moved")
     edits = good.where("unit_id IS NOT NULL").groupBy(F.col("unit_id").alias("id")).agg(*folds, moved)
     new_value = {c: f"if(e.{c} IS NULL, o.{c}, e.{c}.v) AS {c}" for c in VALUES}
     new_value |= {c: f"if(e.point IS NULL, o.{c}, e.point.v.{c}) AS {c}" for c in ("lon", "lat")}

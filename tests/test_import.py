@@ -121,12 +121,12 @@ def test_moving_units(spark):
     done = import_units(ont, devices(spark), lines)
     codes = {r["line"]: (r["action"], r["code"]) for r in done.lines.collect()}
     assert codes == {
-        2: ("updated", None), 3: ("error", "duplicate_key"), 4: ("error", "rekey_conflict"), 5: ("inserted", None),
-        6: ("error", "rekey_conflict"), 7: ("error", "rekey_conflict"), 8: ("error", "unknown_olt"),
+        2: ("updated", None), 3: ("error", "duplicate_key"), 4: ("updated", None), 5: ("skipped", None),
+        6: ("updated", None), 7: ("updated", None), 8: ("error", "unknown_olt"),
         9: ("error", "null_key"), 10: ("updated", None),
     }
     keys = {r["id"]: r["vendor_ont_id"] for r in done.units.collect()}
-    assert keys == {1: "n1", 2: "u2", 3: "u3", 4: "u4", 5: "u5", 6: "u6", 7: "u7", 8: "n4"}
+    assert keys == {1: "n1", 2: "u2", 3: "u3", 4: "n4", 5: "n6", 6: "u6", 7: "u7"}
 
 
 # ---- model -------------------------------------------------------------------------------------
@@ -158,13 +158,19 @@ def model(ont, lines):
             change["lon"] = None if kept["x"] is None else float(kept["x"])
             change["lat"] = None if kept["y"] is None else float(kept["y"])
         if cell["id"] != "":
-            if not change:
+            key = {c: kept[c] for c in ("olt_id", "vendor_ont_id") if c in kept}
+            unit = state.get(int(cell["id"]))
+            if not change and not key:
                 result[line["line"]] = "skipped"
-            elif int(cell["id"]) not in state:
+            elif unit is None or None in key.values() or key.get("olt_id", "olt-a") not in ("olt-a", "olt-b"):
                 result[line["line"]] = "error"
             else:
-                state[int(cell["id"])].update(change)
-                result[line["line"]] = "updated"
+                new = tuple({**unit, **key}[c] for c in ("olt_id", "vendor_ont_id"))
+                if any(u is not unit and (u["olt_id"], u["vendor_ont_id"]) == new for u in state.values()):
+                    result[line["line"]] = "error"
+                else:
+                    unit.update(change | key)
+                    result[line["line"]] = "updated"
             continue
         if kept.get("olt_id") is None or kept.get("vendor_ont_id") is None or kept["olt_id"] not in ("olt-a", "olt-b"):
             result[line["line"]] = "error"
@@ -186,8 +192,8 @@ def model(ont, lines):
     return state, result
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_line_by_line_model(spark, seed):
+@pytest.mark.parametrize("seed,moves", [(1, 0.0), (2, 0.0), (3, 0.3), (4, 0.6), (5, 0.9)])
+def test_against_line_by_line_model(spark, seed, moves):
     rnd = random.Random(seed)
     pick = rnd.choice
     ont = [
@@ -196,14 +202,14 @@ def test_against_line_by_line_model(spark, seed):
         for i in range(1, 9)
     ]
     lines = []
-    for n in range(400):
+    for n in range(400 if not moves else 120):
         by_id = rnd.random() < 0.4
         text = lambda: pick(["", "", "", "null", " NULL ", f"t{n}", f" t{n} "])
         x, y = pick([("", "")] * 4 + [("null", "null"), (str(n), "2.5"), ("1", ""), ("z", "1"), ("null", "3")])
         lines.append({
             "line": n + 2, "id": pick(["1", "2", " 3 ", "7", "77", "x"]) if by_id else "",
-            "olt_id": "" if by_id else pick(["olt-a", "olt-b", "olt-a", "olt-z", "", "null"]),
-            "vendor_ont_id": "" if by_id else pick([f"u{rnd.randint(1, 14)}", f"u{rnd.randint(1, 14)}", "null", ""]),
+            "olt_id": pick(["", "olt-a", "olt-b"]) if by_id and rnd.random() < moves else "" if by_id else pick(["olt-a", "olt-b", "olt-a", "olt-z", "", "null"]),
+            "vendor_ont_id": pick(["", f"u{rnd.randint(1, 14)}", f"n{rnd.randint(1, 4)}"]) if by_id and rnd.random() < moves else "" if by_id else pick([f"u{rnd.randint(1, 14)}", f"u{rnd.randint(1, 14)}", "null", ""]),
             "cto_uuid": text(), "x": x, "y": y, "serial": text(), "model": text(), "description": text(),
             "status": pick(["", "", "null", "7", "7.0", "-1"]),
         })
