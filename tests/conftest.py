@@ -9,7 +9,7 @@ sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
@@ -18,6 +18,8 @@ def spark():
         .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    if session.conf.get("spark.checkpoint.dir", None) is None:
+        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
