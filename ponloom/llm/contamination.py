@@ -1,6 +1,6 @@
 """Benchmark passages in training texts, found through a distributed positional inverted index.
 
-Training tokens are kept as postings: documents lie in blocks of about a megabyte, and each block is one row with its sorted
+Training tokens are kept as postings: documents lie in blocks of about a quarter megabyte, and each block is one row with its sorted
 terms and, for each term, the positions where it stands. A test passage is looked up in every block through its terms: the
 postings of its rarest term there, moved back by that term's offset, are intersected with the moved postings of the others,
 next rarest first. Common words are touched only where all rarer words of a passage agree, and a block that lacks one

@@ -100,7 +100,7 @@ def _count_words(sample: DataFrame) -> DataFrame:
 
 def fit(
     labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = 2000, max_langs: int = 200,
-    max_words: int = 40_000, min_count: int = 3,
+    max_words: int = 20_000, min_count: int = 3,
 ) -> Model:
     """Learn from a sample of about ``per_lang`` documents of each language.
 
@@ -117,16 +117,16 @@ def fit(
     counted = _count_words(sample).filter(F.col("n") >= 2)
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     top = counted.withColumn("place", place).filter(F.col("place") <= max_words)
-    table = top.select("lang", "word", "key", "n").toPandas()
-    code = {lang: k for k, lang in enumerate(langs)}
-    lang = table["lang"].map(code).to_numpy(np.int64) if len(table) else np.zeros(0, np.int64)
-    n = table["n"].to_numpy(np.float64)
-    keys, row = np.unique(table["key"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
+    codes = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1
+    # As Arrow, not rows: some hundred thousand short words.
+    table = top.select(codes.alias("lang"), "word", "key", F.col("n").cast("double").alias("n")).toArrow()
+    lang, n = table["lang"].to_numpy(), table["n"].to_numpy()
+    keys, row = np.unique(table["key"].to_numpy().view(np.uint64), return_inverse=True)
     seen = np.zeros((len(keys), len(langs)))
     np.add.at(seen, (row, lang), n)
     often = seen.sum(1) >= min_count
     gram_keys, gram_rates = {}, {}
-    texts = table["word"].tolist()
+    texts = table["word"].to_pylist()
     for size in range(1, LONGEST + 1):
         grams, word = n_grams(texts, size) if texts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         uniq, at = np.unique(grams, return_inverse=True)

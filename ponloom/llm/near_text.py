@@ -47,10 +47,10 @@ def n_gram_sets(column: pa.Array, n: int) -> list[np.ndarray]:
             if b - a >= n:
                 out.append(np.unique(h[a:b - n + 1]))
             elif b > a:
-                short = np.uint64(b - a)
+                short = np.array([b - a], np.uint64)
                 for x in w.hashes[a:b]:
-                    short = mix(np.array([short + x], np.uint64))[0]
-                out.append(np.array([short], np.uint64))
+                    short = mix(short + x)
+                out.append(short)
             else:
                 out.append(np.zeros(0, np.uint64))
     return out

@@ -144,7 +144,7 @@ def _vocabulary(sample: DataFrame, max_words: int, min_count: int) -> np.ndarray
 
     counted = sample.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     top = counted.filter(F.col("n") >= min_count).orderBy(F.desc("n"), "key").limit(max_words)
-    return np.sort(top.toPandas()["key"].to_numpy(np.int64).view(np.uint64))
+    return np.sort(top.toArrow()["key"].to_numpy().view(np.uint64))
 
 
 def _context_vectors(sample: DataFrame, keys: np.ndarray) -> np.ndarray:
@@ -168,9 +168,9 @@ def _context_vectors(sample: DataFrame, keys: np.ndarray) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["cell", "value"])
 
-    sums = sample.select("text").mapInArrow(run, "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).toPandas()
+    sums = sample.select("text").mapInArrow(run, "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
     total = np.zeros(len(terms) * DIMENSION)
-    total[sums["cell"].to_numpy(np.int64)] = sums["value"].to_numpy()
+    total[sums["cell"].to_numpy()] = sums["value"].to_numpy()
     vectors = total.reshape(-1, DIMENSION)
     own = np.zeros_like(vectors)
     np.add.at(own, (np.arange(len(terms))[:, None], places), signs)
@@ -240,13 +240,13 @@ def fit(
                         batch.column(1).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(np.diff(w.offsets)),
                     ], names=["features", "label", "key", "size"])
 
-    seen = sample.select("text", "label", F.xxhash64("text").alias("key")).mapInArrow(pooled, "features binary, label int, key long, size long").toPandas().sort_values(["key", "size"])
-    y = seen["label"].to_numpy(np.float64)
+    seen = sample.select("text", "label", F.xxhash64("text").alias("key")).mapInArrow(pooled, "features binary, label int, key long, size long").toArrow().sort_by([("key", "ascending"), ("size", "ascending")])
+    y = seen["label"].to_numpy().astype(np.float64)
     if not 0 < y.sum() < len(y):
         return model
-    x = np.stack([np.frombuffer(f, "<f4") for f in seen["features"]]).astype(np.float64)
+    x = np.stack([np.frombuffer(f, "<f4") for f in seen["features"].to_pylist()]).astype(np.float64)
     model.mean, model.scale = x.mean(0), x.std(0) + 1e-3
-    z = model.inputs(x, seen["size"].to_numpy(np.float64))
+    z = model.inputs(x, seen["size"].to_numpy().astype(np.float64))
     # Equal weight to both labels in training; the calibration restores their frequency in the labelled rows.
     even = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y).mean())
     natural = np.where(y == 1, counts[1] / n / y.mean(), counts[0] / n / (1 - y).mean())

@@ -325,7 +325,7 @@ def fit(
     n1, n0 = taken[1], taken[0]
     found = _feature_counts(sample).filter("toxic >= 2").withColumn("lift", F.expr(f"toxic / {n1} - clean / {n0}"))
     tested = found.agg(F.count("*").alias("n"), F.max("toxic").alias("a")).first()
-    table = found.filter("lift > 0").orderBy(F.desc("lift"), "key").limit(10 * max_marks).select("key", "toxic", "clean").toPandas()
+    table = found.filter("lift > 0").orderBy(F.desc("lift"), "key").limit(10 * max_marks).select("key", "toxic", "clean").toArrow()
     a, b = table["toxic"].to_numpy(), table["clean"].to_numpy()
     strength = likelihood_ratio(a, b, n1, n0)
     strength = np.where(a * n0 >= min_ratio * (b + 0.5) * n1, strength, 0.0)
@@ -333,10 +333,12 @@ def fit(
     marked = table["key"].to_numpy().view(np.uint64)[order[strength[order] > 2 * math.log(max(tested["n"], 1) / 0.05)]]
     if not len(marked):
         return nothing
-    taken = _windows(sample, marked, width).collect()
-    if not taken:
+    taken = _windows(sample, marked, width).toArrow()
+    if not len(taken):
         return nothing
-    model = train_field([np.frombuffer(r["feats"], "<u8").reshape(KINDS, -1) for r in taken], [np.frombuffer(r["tags"], np.uint8) for r in taken], marked)
+    model = train_field(
+        [np.frombuffer(f, "<u8").reshape(KINDS, -1) for f in taken["feats"].to_pylist()],
+        [np.frombuffer(t, np.uint8) for t in taken["tags"].to_pylist()], marked)
     model.rate, model.lookup = rate, None
 
     def evidence(batches):
@@ -345,12 +347,12 @@ def fit(
                 _, out = model.evidence(w)
                 yield pa.RecordBatch.from_arrays([pa.array(out[:, k]) for k in range(4)] + [batch.column(1).slice(lo, hi - lo)], names=["a", "b", "c", "d", "label"])
 
-    seen = sample.select("text", "label").mapInArrow(evidence, "a double, b double, c double, d double, label int").toPandas()
+    seen = sample.select("text", "label").mapInArrow(evidence, "a double, b double, c double, d double, label int").toArrow()
     label = seen["label"].to_numpy().astype(np.float64)
     if not 0 < label.sum() < len(label):
         return nothing
     weight = np.where(label == 1, counts[1] / label.sum(), counts[0] / (1 - label).sum()) * len(label) / n
-    model.calibration = logistic(seen[["a", "b", "c", "d"]].to_numpy(), label, weight)
+    model.calibration = logistic(np.stack([seen[c].to_numpy() for c in "abcd"], 1), label, weight)
     model.lookup = None
     return model
 

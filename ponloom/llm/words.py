@@ -2,7 +2,7 @@
 
 A word is a run of ASCII letters and digits and of all characters beyond ASCII; A-Z count as a-z.
 In UTF-8 every byte of a character beyond ASCII is at least 0x80, so words can be found byte by byte.
-Work goes in pieces of about a megabyte, cut between words, so memory is bounded by the longest word
+Work goes in pieces of a quarter megabyte, cut between words, so memory is bounded by the longest word
 and by the word list of one document, not by the batch.
 """
 
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BYTES = np.arange(256)
 LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
