@@ -174,7 +174,6 @@ def _settle_moves(checked: DataFrame, stored: DataFrame) -> tuple[DataFrame, Dat
 
         placed = steps.withColumn("from_olt", latest("olt")).withColumn("from_unit", latest("unit")).withColumns({
             "to_olt": F.coalesce("set_olt", "from_olt"), "to_unit": F.coalesce("set_unit", "from_unit")})
-        placed = stored_rows(placed, "moves")
         changes = placed.where("accepted AND (from_olt <> to_olt OR from_unit <> to_unit)")
         keys = placed.selectExpr("from_olt AS olt", "from_unit AS unit").union(placed.select("to_olt", "to_unit")).distinct()
         owners = stored.selectExpr("olt_id AS olt", "vendor_ont_id AS unit", "id AS owner")
@@ -194,8 +193,8 @@ def _settle_moves(checked: DataFrame, stored: DataFrame) -> tuple[DataFrame, Dat
         inserts = stored_rows(lines.alias("l").join(free.alias("w"), F.expr(
             "l.olt = w.olt AND l.unit = w.unit AND l.line > w.from_line AND l.line <= w.to_line")).groupBy("w.olt", "w.unit", "w.from_line").agg(
             F.min("l.line").alias("line")), "inserts")
-        mark = (judged.agg(F.count_if("accepted"), F.bit_xor(F.xxhash64("line", "accepted", "to_olt", "to_unit"))).first(),
-                inserts.agg(F.count("*"), F.bit_xor(F.xxhash64("olt", "unit", "line"))).first())
+        state = judged.select(F.xxhash64("line", "accepted", "to_olt", "to_unit").alias("h")).union(inserts.select(F.xxhash64("olt", "unit", "line")))
+        mark = state.agg(F.count("*"), F.bit_xor("h")).first()
         if mark == seen:
             return judged.select("line", "accepted", "to_olt", "to_unit"), owned
         seen, steps = mark, judged.drop("to_olt", "to_unit")
