@@ -214,7 +214,10 @@ def likelihood_ratio(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarr
 
 
 def _windows(sample: DataFrame, marked: np.ndarray, width: int) -> DataFrame:
-    """One stretch of each sampled document: around a marked token where there is one, else anywhere."""
+    """One stretch of each sampled document: around a marked token where there is one, else anywhere.
+
+    Marked tokens of other than toxic documents are tagged 0: they teach where a mark alone is no sign.
+    """
     lookup = Lookup(marked)
 
     def run(batches):
@@ -228,7 +231,7 @@ def _windows(sample: DataFrame, marked: np.ndarray, width: int) -> DataFrame:
                     a, b = int(w.offsets[i]), int(w.offsets[i + 1])
                     if a == b:
                         continue
-                    found = np.flatnonzero(hit[a:b]) if label[lo + i] == 1 else ()
+                    found = np.flatnonzero(hit[a:b])
                     pick = int(w.hashes[a] % np.uint64(len(found) or b - a))
                     centre = a + (int(found[pick]) if len(found) else pick)
                     s = max(a, min(centre - width // 2, b - width))
@@ -240,7 +243,7 @@ def _windows(sample: DataFrame, marked: np.ndarray, width: int) -> DataFrame:
     return sample.select("text", "label").mapInArrow(run, "feats binary, tags binary")
 
 
-def train_field(feats: list[np.ndarray], tags: list[np.ndarray], marked: np.ndarray, steps: int = 50, decay: float = 1e-4) -> Model:
+def train_field(feats: list[np.ndarray], tags: list[np.ndarray], marked: np.ndarray, steps: int = 200, decay: float = 1e-5) -> Model:
     """Maximise the likelihood of tagged sequences with Adam on the full gradient."""
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in tags])])
     flat = [np.concatenate([f[k] for f in feats]) for k in range(KINDS)]
