@@ -17,7 +17,7 @@ from ponloom.operators.latest import fold_latest, latest
 from ponloom.operators.lineage import cut, new_folder, stored
 from ponloom.operators.normalize import VENDORS, ZYXEL, normalize_polls
 from ponloom.operators.presence import (
-    apply_polls, evidence, islands, last_in_poll, poll_headers, poll_log, presence, seen_units,
+    applied_counts, apply_polls, evidence, islands, last_in_poll, poll_headers, poll_log, presence, seen_units,
 )
 from ponloom.operators.unit_import import classify, import_units
 from ponloom.plans import boxes, tree, units
@@ -405,6 +405,11 @@ def polls_applied_readings(spark, d):
     return after.readings.join(units_, "ont_id").drop("ont_id")
 
 
+@query
+def polls_applied_counts(spark, d):
+    return applied_counts(_apply(spark, d, parity=True))
+
+
 @query
 def polls_removed_units(spark, d):
     return _apply(spark, d, parity=True).removed

@@ -327,6 +327,8 @@ LEFT JOIN brk b ON b.olt_id = d.olt_id AND b.u = d.vendor_ont_id WHERE brk IS NU
 poll_sql("polls_removed_units", """SELECT s.id, s.olt_id, s.vendor_ont_id FROM stored s
 JOIN brk b ON b.olt_id = s.olt_id AND b.u = s.u""", _applied(True))
 
+ORACLE["polls_applied_counts"] = f"""SELECT 'removed_units' AS what, count(*) AS n FROM ({ORACLE['polls_removed_units']})
+UNION ALL SELECT 'inserted_readings', count(*) FROM ({ORACLE['polls_applied_readings']})"""
 SLOT_FAILED = "l.vendor = 'zyxel1240XA' AND scope = (day(time) % 3)::varchar"
 poll_sql("polls_applied_failed_scopes", "SELECT * FROM after", _applied(False, failed=SLOT_FAILED))
 poll_sql("polls_log_scopes", """SELECT poll_id, outcome, '' AS scopes_ok,

@@ -30,6 +30,13 @@ class Applied(NamedTuple):
     poll_log: DataFrame
 
 
+def applied_counts(applied: Applied) -> DataFrame:
+    """How many units were removed and readings inserted: (what, n)."""
+    parts = {"removed_units": applied.removed, "inserted_readings": applied.readings}
+    first, second = (rows.agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), "n") for what, rows in parts.items())
+    return first.unionAll(second)
+
+
 def poll_headers(records: DataFrame) -> DataFrame:
     """One row per poll, from its records or slices. A poll of which a slice failed has failed."""
     told = [
