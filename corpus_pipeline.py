@@ -15,14 +15,14 @@ MIN_LANGUAGE_SCORE = 0.35
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the field scores as toxic go. Documents without text stay."""
-    model = toxicity.fit(learnable(spark, sf_dir, "toxic", 5, 0))
+    model = toxicity.fit(learnable(spark, sf_dir, "toxic", 5, 0), id_col="doc_id")
     verdict = unused(docs, "verdict")
     return toxicity.score(docs, model, name=verdict).filter(F.col(verdict)["score"] < 0.5).drop(verdict)
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no learned language go: those without a letter, and those whose language is a near tie."""
-    model = langid.fit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang").filter(remainder("doc_id", 4) != 2))
+    model = langid.fit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang").filter(remainder("doc_id", 4) != 2), id_col="doc_id")
     verdict = unused(docs, "verdict")
     language = F.col(verdict)
     found = langid.identify(docs, model, name=verdict)

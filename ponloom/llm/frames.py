@@ -51,13 +51,19 @@ def class_counts(rows: DataFrame, class_col: str, max_classes: int) -> dict:
     return {r[0]: r["n"] for r in counts.orderBy(F.desc("n"), class_col).limit(max_classes).collect()}
 
 
-def bounded_sample(rows: DataFrame, class_col: str, counts: dict, per_class: int, by: list[str]) -> DataFrame:
-    """About ``per_class`` rows of each class, chosen by a hash of the columns ``by``, so that a task that runs again takes the same."""
-    share = (F.xxhash64(F.lit("sample"), *by).bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30)))
+def labelled_rows(rows: DataFrame, text: Column, label: Column, id_col: str | None) -> DataFrame:
+    """(text, label, pick): ``pick`` is a hash that chooses samples, of the id where there is one, so that copies of a text are chosen singly."""
+    by = [F.col(id_col)] if id_col else []
+    return rows.select(text.alias("text"), label.alias("label"), F.xxhash64(F.lit("sample"), *by, text).alias("pick"))
+
+
+def bounded_sample(rows: DataFrame, counts: dict, per_class: int) -> DataFrame:
+    """About ``per_class`` of the labelled rows of each label, chosen by their hash, so that a task that runs again takes the same."""
+    share = (F.col("pick").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30)))
     keep = F.lit(False)
     for value, n in counts.items():
-        keep = keep | ((F.col(class_col) == F.lit(value)) & (share < F.lit(per_class / max(n, 1))))
-    return rows.filter(keep)
+        keep = keep | ((F.col("label") == F.lit(value)) & (share < F.lit(per_class / max(n, 1))))
+    return rows.filter(keep).drop("pick")
 
 
 def without_copies(sample: DataFrame) -> DataFrame:

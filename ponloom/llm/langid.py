@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from ponloom.llm.frames import bounded_sample, class_counts, with_result
+from ponloom.llm.frames import bounded_sample, class_counts, labelled_rows, with_result
 from ponloom.llm.words import Lookup, mix, words
 
 LONGEST = 5
@@ -100,20 +100,21 @@ def _count_words(sample: DataFrame) -> DataFrame:
 
 def fit(
     labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = 2000, max_langs: int = 200,
-    max_words: int = 20_000, min_count: int = 3,
+    max_words: int = 20_000, min_count: int = 3, id_col: str | None = None,
 ) -> Model:
     """Learn from a sample of about ``per_lang`` documents of each language.
 
     Bounds: the ``max_langs`` most frequent languages, and of each the ``max_words`` most frequent words seen at least
     ``min_count`` times (twice suffices for the n-grams, which are those of the words kept).
+    With ``id_col`` the sample is chosen by document, else by text, all copies or none.
     """
-    rows = labelled.select(F.lower(F.col(text_col)).alias("text"), F.col(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
-    counts = class_counts(rows, "lang", max_langs)
+    rows = labelled_rows(labelled, F.lower(F.col(text_col)), F.col(lang_col), id_col).filter("text IS NOT NULL AND label IS NOT NULL")
+    counts = class_counts(rows, "label", max_langs)
     empty = {n: np.zeros(0, np.uint64) for n in range(1, LONGEST + 1)}
     if not counts:
         return Model([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), empty, {})
     langs = sorted(counts)
-    sample = bounded_sample(rows, "lang", counts, per_lang, ["text"])
+    sample = bounded_sample(rows, counts, per_lang).withColumnRenamed("label", "lang")
     counted = _count_words(sample).filter(F.col("n") >= 2)
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     top = counted.withColumn("place", place).filter(F.col("place") <= max_words)

@@ -8,7 +8,7 @@ the similarity t; every other pair is computed exactly, in double precision.
 
 Pairs to look at share a stretch of ``bits`` code bits in one of ``bands`` bands, taken from as many independent rotations as that needs.
 At similarity 0.98 a bit differs with probability 0.064, and a pair is met in one of 24 bands of 16 bits with probability
-1 - (1 - 0.936^16)^24 = 0.99994. Only vectors of one length with equal labels that are not null are compared. Vectors that are null or
+1 - (1 - 0.936^16)^24 = 0.99997. Only vectors of one length with equal labels that are not null are compared. Vectors that are null or
 zero, or hold null or non-finite components are linked with nothing. Equal vectors of one label are compared once,
 as a class, and stand for each other; repeated ids are rows of their own.
 """

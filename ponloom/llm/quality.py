@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ponloom.llm.frames import bounded_sample, class_counts, with_result, without_copies
+from ponloom.llm.frames import bounded_sample, class_counts, labelled_rows, with_result, without_copies
 from ponloom.llm.words import Lookup, Words, mix, words
 from ponloom.operators.lineage import stored
 
@@ -217,16 +217,19 @@ def calibrate(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 def fit(
     labelled: DataFrame, text_col: str = "text", label_col: str = "quality", per_class: int = 2500, max_words: int = 20_000, min_count: int = 5,
-    hidden: int = 32, epochs: int = 30,
+    hidden: int = 32, epochs: int = 30, id_col: str | None = None,
 ) -> Model:
-    """Fit on a sample of about ``per_class`` labelled rows of each label; the ``max_words`` most frequent words get vectors of their own."""
-    rows = labelled.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(label_col).cast("int").alias("label")).filter("label IN (0, 1)")
+    """Fit on a sample of about ``per_class`` labelled rows of each label; the ``max_words`` most frequent words get vectors of their own.
+
+    With ``id_col`` the sample is chosen by document, else by text, all copies or none.
+    """
+    rows = labelled_rows(labelled, F.coalesce(F.col(text_col), F.lit("")), F.col(label_col).cast("int"), id_col).filter("label IN (0, 1)")
     counts = class_counts(rows, "label", 2)
     n = sum(counts.values())
     model = Model(np.zeros(0, np.uint64), np.zeros((SHAPES, DIMENSION), np.float32), counts.get(1, 0) / n if n else 0.0)
     if len(counts) < 2:
         return model
-    sample = stored(without_copies(bounded_sample(rows, "label", counts, per_class, ["text"])), "quality-sample")
+    sample = stored(without_copies(bounded_sample(rows, counts, per_class)), "quality-sample")
     model.keys = _vocabulary(sample, max_words, min_count)
     model.vectors = _context_vectors(sample, model.keys)
 

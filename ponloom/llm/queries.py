@@ -28,7 +28,7 @@ def labels(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
 def learnable(spark: SparkSession, sf_dir: str, column: str, n: int, rest: int) -> DataFrame:
     """Texts with a label, without the held-out documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").filter(~held_out(n, rest))
-    return docs.join(labels(spark, sf_dir, column), "doc_id").select("text", column)
+    return docs.join(labels(spark, sf_dir, column), "doc_id").select("doc_id", "text", column)
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = quality.fit(learnable(spark, sf_dir, "quality", 3, 1))
+    model = quality.fit(learnable(spark, sf_dir, "quality", 3, 1), id_col="doc_id")
     scored = quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
     value = F.col("quality.score")
     return scored.select("doc_id", held_out(3, 1).alias("held_out"), value.alias("score"), F.when(value >= 0.5, 1).otherwise(0).alias("predicted"))
@@ -69,7 +69,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     # A null id has no remainder and is not learned from.
-    model = langid.fit(docs.filter(remainder("doc_id", 4) != 2))
+    model = langid.fit(docs.filter(remainder("doc_id", 4) != 2), id_col="doc_id")
     found = langid.identify(docs.select("doc_id", "text"), model)
     return found.select(
         "doc_id", held_out(4, 2).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
@@ -107,7 +107,7 @@ def op9_benchmark_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(learnable(spark, sf_dir, "toxic", 5, 0))
+    model = toxicity.fit(learnable(spark, sf_dir, "toxic", 5, 0), id_col="doc_id")
     scored = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
     return scored.select(
         "doc_id", held_out(5, 0).alias("held_out"), F.col("toxicity.score").alias("score"),

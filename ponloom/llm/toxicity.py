@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ponloom.llm.frames import bounded_sample, class_counts, with_result, without_copies
+from ponloom.llm.frames import bounded_sample, class_counts, labelled_rows, with_result, without_copies
 from ponloom.llm.words import Lookup, Words, words
 from ponloom.operators.lineage import stored
 
@@ -306,22 +306,23 @@ def logistic(rows: np.ndarray, label: np.ndarray, weight: np.ndarray, ridge: flo
 
 def fit(
     labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", per_class: int = 2500, width: int = 64, max_marks: int = 20_000,
-    min_ratio: float = 8.0,
+    min_ratio: float = 8.0, id_col: str | None = None,
 ) -> Model:
     """Fit on a sample of about ``per_class`` labelled rows of each label.
 
     ``width`` tokens of each sampled document train the field; its whole text counts for the marks and the calibration.
     A feature marks tokens if it is at least ``min_ratio`` times as frequent among toxic documents and passes the test;
     at most ``max_marks`` do, those of the strongest test first.
+    With ``id_col`` the sample is chosen by document, else by text, all copies or none.
     """
-    rows = labelled.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(label_col).cast("int").alias("label")).filter("label IN (0, 1)")
+    rows = labelled_rows(labelled, F.coalesce(F.col(text_col), F.lit("")), F.col(label_col).cast("int"), id_col).filter("label IN (0, 1)")
     counts = class_counts(rows, "label", 2)
     n = sum(counts.values())
     rate = counts.get(1, 0) / n if n else 0.0
     nothing = Model(np.zeros(0, np.uint64), *(np.zeros(0),) * 3, -30.0, np.zeros((2, 2)), np.zeros(0), rate)
     if len(counts) < 2:
         return nothing
-    sample = stored(without_copies(bounded_sample(rows, "label", counts, per_class, ["text"])), "toxicity-sample")
+    sample = stored(without_copies(bounded_sample(rows, counts, per_class)), "toxicity-sample")
     taken = class_counts(sample, "label", 2)
     if len(taken) < 2:
         return nothing
