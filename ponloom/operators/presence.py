@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, functions as F
 
 from ponloom.functions.ports import unit_scope
-from ponloom.operators.lineage import cut
+from ponloom.operators.lineage import cut, stored as stored_rows
 from ponloom.operators.normalize import VENDORS, scopes
 from ponloom.operators.numbering import numbered, with_new_ids
 from ponloom.operators.upkeep import with_pon_id
@@ -170,7 +170,7 @@ def apply_polls(
     vendors = VENDORS if vendors is None else vendors
     log = cut(poll_log(headers, rows, min_units, vendors))
     applied = log.where("result = 'applied'")
-    rows = rows.join(applied.select("poll_id"), "poll_id", "left_semi")
+    rows = stored_rows(rows.join(applied.select("poll_id"), "poll_id", "left_semi"), "applied-rows")
     stored = _scoped(ont, applied.groupBy("olt_id").agg(F.max("vendor").alias("vendor")), parity, vendors)
 
     at = F.struct("time", "poll_id")

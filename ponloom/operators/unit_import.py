@@ -18,7 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ponloom.functions.cells import cell, clean_cell, is_int_sql, strip_sql, to_int_sql
-from ponloom.operators.lineage import cut, stored as stored_rows
+from ponloom.operators.lineage import stored as stored_rows
 from ponloom.operators.numbering import with_new_ids
 from ponloom.operators.upkeep import with_pon_id
 from ponloom.schemas import UNIT_CSV
@@ -98,7 +98,7 @@ def classify(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> DataFrame:
     ``unit_id`` is the stored unit a line goes to, NULL for new keys; ``olt_key`` and
     ``unit_key`` are the key it ends under.
     """
-    parsed = cut(parse_lines(lines))
+    parsed = stored_rows(parse_lines(lines), "lines")
     stored = ont.select("id", *KEY)
     key = ["olt_key", "unit_key"]
 
@@ -113,7 +113,7 @@ def classify(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> DataFrame:
     owner = stored.selectExpr("olt_id AS olt_key", "vendor_ont_id AS unit_key", "id AS owner").join(keys, key, "left_semi")
     devices = olt.selectExpr("id AS olt_key", "true AS device")
     placed = target.join(owner, key, "left").join(devices, "olt_key", "left")
-    checked = cut(
+    checked = stored_rows(
         placed.selectExpr(
             *[c for c in placed.columns if c != "code"],
             """CASE
@@ -125,7 +125,7 @@ def classify(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> DataFrame:
             END AS code""",
         ).selectExpr(
             "*", "code IS NULL AND sets_key AND (olt_key <> old_olt OR unit_key <> old_unit) AS rekeys"
-        )
+        ), "checked"
     )
     steps, owned = _settle_moves(checked, stored)
     settled = checked.join(steps, "line", "left").selectExpr(
@@ -165,7 +165,7 @@ def _settle_moves(checked: DataFrame, stored: DataFrame) -> tuple[DataFrame, Dat
         "line", "id", "old_olt", "old_unit", "if(olt_id.is_set, olt_id.value, NULL) AS set_olt",
         "if(vendor_ont_id.is_set, vendor_ont_id.value, NULL) AS set_unit")
     steps = stored_rows(steps.withColumn("accepted", F.lit(True)), "moves")
-    lines = good.where("NOT by_id").selectExpr("olt_key AS olt", "unit_key AS unit", "line")
+    lines = stored_rows(good.where("NOT by_id").selectExpr("olt_key AS olt", "unit_key AS unit", "line"), "key-lines")
     inserts, before = None, Window.partitionBy("id").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
     seen = None
     while True:
@@ -210,7 +210,7 @@ def import_units(ont: DataFrame, olt: DataFrame, lines: DataFrame, last_id: int
 
     A unit table with a ``pon_id`` has it derived anew.
     """
-    done = cut(classify(ont, olt, lines))
+    done = stored_rows(classify(ont, olt, lines), "done")
     good = done.where("action <> 'error'")
     folds = [_last(c) for c in ["point", *VALUES]]
 
