@@ -15,12 +15,17 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ponloom.llm.frames import bounded_sample, class_counts, labelled_rows, with_result
 from ponloom.llm.words import Lookup, mix, words
+from ponloom.operators.lineage import stored
 
 LONGEST = 5
+#: Fixed value: weights of n-grams are whole numbers of this part, so that their sums do not depend on the order.
+UNIT = 1 << 20
+#: Fixed value: scores of words by language that are held at once.
+CELLS = 1 << 20
 UNDETERMINED = "und"
 RESULT = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("known_words", T.LongType()), T.StructField("n_words", T.LongType())])
 
@@ -46,15 +51,42 @@ def log_rates(counts: np.ndarray, smooth: float) -> np.ndarray:
     return np.log((counts + smooth) / (totals + smooth * len(counts) + 1)).astype(np.float32)
 
 
+@dataclass
+class Rates:
+    """Log frequencies as ``log_rates`` gives them, kept only where a count is not 0; ``rates[rows]`` gives whole rows.
+
+    ``none`` is what each language has for a count of 0; row ``i`` has the entries ``start[i]:start[i + 1]``.
+    """
+
+    none: np.ndarray
+    start: np.ndarray
+    lang: np.ndarray
+    rate: np.ndarray
+
+    @classmethod
+    def of(cls, row: np.ndarray, lang: np.ndarray, n: np.ndarray, rows: int, langs: int, smooth: float) -> Rates:
+        """From counts ordered by row."""
+        totals = np.bincount(lang, n, langs) + smooth * rows + 1
+        rate = np.log((n + smooth) / totals[lang]).astype(np.float32)
+        return cls(np.log(smooth / totals).astype(np.float32), np.searchsorted(row, np.arange(rows + 1)), lang, rate)
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        out = np.tile(self.none, (len(rows), 1))
+        size = self.start[rows + 1] - self.start[rows]
+        entry = np.arange(size.sum()) + np.repeat(self.start[rows] - np.cumsum(size) + size, size)
+        out[np.repeat(np.arange(len(rows)), size), self.lang[entry]] = self.rate[entry]
+        return out
+
+
 @dataclass
 class Model:
     """Languages, word rows and n-gram rows by length."""
 
     langs: list[str]
     keys: np.ndarray
-    rates: np.ndarray
+    rates: Rates | np.ndarray
     gram_keys: dict[int, np.ndarray]
-    gram_rates: dict[int, np.ndarray]
+    gram_rates: dict[int, Rates | np.ndarray]
     tables: dict = field(default_factory=dict, repr=False)
 
     def table(self, n: int) -> Lookup:
@@ -80,32 +112,56 @@ class Model:
         return out
 
 
+def _sums(batch_lang: np.ndarray, hashes: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Where each pair of language and hash is first, and how often it is there or the sum of its ``n``."""
+    pairs = hashes ^ mix(batch_lang.astype(np.uint64) + np.uint64(7))
+    _, first, at, count = np.unique(pairs, return_index=True, return_inverse=True, return_counts=True)
+    return first, count.astype(np.int64) if n is None else np.bincount(at, n, len(first)).astype(np.int64)
+
+
 def _count_words(sample: DataFrame) -> DataFrame:
+    """(lang, word, key, n) of a sample with numbers for languages."""
+
     def run(batches):
         for batch in batches:
-            lang = np.asarray(batch.column(1).to_pylist(), dtype=object)
-            names, code = np.unique(lang, return_inverse=True) if len(lang) else (lang, lang)
+            lang = batch.column(1).to_numpy()
             for lo, hi, w in words(batch.column(0)):
-                doc_lang = np.repeat(code[lo:hi], np.diff(w.offsets)).astype(np.uint64)
-                pairs = w.hashes ^ mix(doc_lang + np.uint64(7))
-                _, first, count = np.unique(pairs, return_index=True, return_counts=True)
+                doc_lang = np.repeat(lang[lo:hi], np.diff(w.offsets))
+                first, count = _sums(doc_lang, w.hashes)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([names[int(doc_lang[k])] for k in first], pa.string()), pa.array([w.text(k) for k in first], pa.string()),
-                    pa.array(w.hashes[first].view(np.int64)), pa.array(count.astype(np.int64)),
+                    pa.array(doc_lang[first], pa.int32()), pa.array([w.text(k) for k in first], pa.string()),
+                    pa.array(w.hashes[first].view(np.int64)), pa.array(count),
                 ], names=["lang", "word", "key", "n"])
 
-    counted = sample.select("text", "lang").mapInArrow(run, "lang string, word string, key long, n long")
+    counted = sample.select("text", "lang").mapInArrow(run, "lang int, word string, key long, n long")
     return counted.groupBy("lang", "word", "key").agg(F.sum("n").alias("n"))
 
 
+def _count_grams(counted: DataFrame) -> DataFrame:
+    """(size, lang, key, n): n-grams of words, weighted by the root of the words' counts."""
+
+    def run(batches):
+        for batch in batches:
+            texts, lang = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            weight = np.rint(np.sqrt(batch.column(2).to_numpy()) * UNIT)
+            for size in range(1, LONGEST + 1) if texts else ():
+                grams, word = n_grams(texts, size)
+                first, n = _sums(lang[word], grams, weight[word])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(first), size, np.int32)), pa.array(lang[word[first]], pa.int32()), pa.array(grams[first].view(np.int64)), pa.array(n),
+                ], names=["size", "lang", "key", "n"])
+
+    return counted.select("word", "lang", "n").mapInArrow(run, "size int, lang int, key long, n long")
+
+
 def fit(
-    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = 2000, max_langs: int = 200,
-    max_words: int = 20_000, min_count: int = 3, id_col: str | None = None,
+    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = 2000, max_langs: int = 200, min_count: int = 3,
+    id_col: str | None = None,
 ) -> Model:
     """Learn from a sample of about ``per_lang`` documents of each language.
 
-    Bounds: the ``max_langs`` most frequent languages, and of each the ``max_words`` most frequent words seen at least
-    ``min_count`` times (twice suffices for the n-grams, which are those of the words kept).
+    All words of the sample seen at least ``min_count`` times are learned; twice in one language suffices for the n-grams. Words and n-grams
+    are counted in tasks; the driver gets one row of a few numbers for each that a language has. Bound: the ``max_langs`` most frequent languages.
     With ``id_col`` the sample is chosen by document, else by text, all copies or none.
     """
     rows = labelled_rows(labelled, F.lower(F.col(text_col)), F.col(lang_col), id_col).filter("text IS NOT NULL AND label IS NOT NULL")
@@ -114,27 +170,23 @@ def fit(
     if not counts:
         return Model([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), empty, {})
     langs = sorted(counts)
-    sample = bounded_sample(rows, counts, per_lang).withColumnRenamed("label", "lang")
-    counted = _count_words(sample).filter(F.col("n") >= 2)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = counted.withColumn("place", place).filter(F.col("place") <= max_words)
-    codes = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1
-    # As Arrow, not rows: some hundred thousand short words.
-    table = top.select(codes.alias("lang"), "word", "key", F.col("n").cast("double").alias("n")).toArrow()
-    lang, n = table["lang"].to_numpy(), table["n"].to_numpy()
-    keys, row = np.unique(table["key"].to_numpy().view(np.uint64), return_inverse=True)
-    seen = np.zeros((len(keys), len(langs)))
-    np.add.at(seen, (row, lang), n)
-    often = seen.sum(1) >= min_count
-    gram_keys, gram_rates = {}, {}
-    texts = table["word"].to_pylist()
-    for size in range(1, LONGEST + 1):
-        grams, word = n_grams(texts, size) if texts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        uniq, at = np.unique(grams, return_inverse=True)
-        weights = np.zeros((len(uniq), len(langs)))
-        np.add.at(weights, (at, lang[word]), np.sqrt(n[word]))
-        gram_keys[size], gram_rates[size] = uniq, log_rates(weights, 0.1)
-    return Model(langs, keys[often], log_rates(seen[often], 0.1), gram_keys, gram_rates)
+    codes = (F.array_position(F.array(*map(F.lit, langs)), F.col("label")) - 1).cast("int")
+    sample = bounded_sample(rows, counts, per_lang).select("text", codes.alias("lang"))
+    counted = stored(_count_words(sample).filter(F.col("n") >= 2), "language-words")
+    found = counted.select(F.lit(0).alias("size"), "lang", "key", "n").union(_count_grams(counted))
+    table = found.groupBy("size", "lang", "key").agg(F.sum("n").alias("n")).toArrow()
+    made = {}
+    for size in range(LONGEST + 1):
+        some = table.filter(pc.equal(table["size"], size))
+        lang, n = some["lang"].to_numpy(), some["n"].to_numpy() / (UNIT if size else 1)
+        keys, row = np.unique(some["key"].to_numpy().view(np.uint64), return_inverse=True)
+        often = np.bincount(row, n, len(keys)) >= (0 if size else min_count)
+        order = np.lexsort((lang, row))
+        order = order[often[row[order]]]
+        place = np.cumsum(often) - 1
+        made[size] = keys[often], Rates.of(place[row[order]], lang[order], n[order], int(often.sum()), len(langs), 0.1)
+    grams = range(1, LONGEST + 1)
+    return Model(langs, *made[0], {n: made[n][0] for n in grams}, {n: made[n][1] for n in grams})
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", name: str = "language") -> DataFrame:
@@ -146,19 +198,21 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", name: str =
         n, k = len(column), max(1, len(model.langs))
         total, known, sizes = np.zeros((n, k)), np.zeros(n, np.int64), np.zeros(n, np.int64)
         for lo, hi, w in words(column) if model.langs else ():
-            row = model.table(0)(w.hashes)
-            hit = row >= 0
-            value = np.zeros((len(row), k))
-            value[hit] = model.rates[row[hit]]
-            if not hit.all():
-                _, first, back = np.unique(w.hashes[~hit], return_index=True, return_inverse=True)
-                value[~hit] = model.unseen([w.text(i) for i in np.flatnonzero(~hit)[first]])[back]
-            some = np.diff(w.offsets) > 0
-            if some.any():
-                at = w.offsets[:-1][some]
-                total[lo:hi][some] = np.add.reduceat(value, at, axis=0)
-                known[lo:hi][some] = np.add.reduceat(hit.astype(np.int64), at)
-            sizes[lo:hi] = np.diff(w.offsets)
+            row, sizes[lo:hi] = model.table(0)(w.hashes), np.diff(w.offsets)
+            doc = np.repeat(np.arange(lo, hi), sizes[lo:hi])
+            known[lo:hi] = np.bincount(doc[row >= 0] - lo, minlength=hi - lo)
+            step = max(1, CELLS // k)
+            for a in range(0, len(row), step):
+                here = row[a:a + step]
+                hit = here >= 0
+                # Single precision: sums of such values in double are exact for any number of words that a text can have.
+                value = np.zeros((len(here), k), np.float32)
+                value[hit] = model.rates[here[hit]]
+                if not hit.all():
+                    _, first, back = np.unique(w.hashes[a:a + step][~hit], return_index=True, return_inverse=True)
+                    value[~hit] = model.unseen([w.text(a + i) for i in np.flatnonzero(~hit)[first]])[back]
+                docs_here, at = np.unique(doc[a:a + step], return_index=True)
+                total[docs_here] += np.add.reduceat(value, at, axis=0, dtype=np.float64)
         best = total.argmax(1)
         odds = np.exp(total - total.max(1, keepdims=True))
         score = odds[np.arange(n), best] / odds.sum(1)

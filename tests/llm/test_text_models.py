@@ -4,9 +4,11 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ponloom.llm import langid, quality, toxicity
+from ponloom.llm.words import words
 
 EDGES = [(None, None), (1, ""), (1, ""), (2, "..."), (3, "x" * 200_000), (4, "word " * 60_000), (5, "日本語 текст"), (5, "日本語 текст")]
 
@@ -115,6 +117,45 @@ def test_language_of_known_and_unseen_words(spark):
     assert langid.identify(spark.createDataFrame([("abc",)], "text string"), nothing).first()["language"]["lang"] == "und"
 
 
+def test_all_words_seen_often_are_learned(spark):
+    rows = [(" ".join([f"{lang}word{k}"] * 3), lang) for lang, size in (("aa", 45_000), ("bb", 10)) for k in range(size)]
+    together = [(" ".join(t for t, _ in rows[at:at + 500]), rows[at][1]) for at in (*range(0, 45_000, 500), 45_000)]
+    model = langid.fit(spark.createDataFrame(together, "text string, lang string"))
+    assert len(model.keys) == 45_010
+    out = langid.identify(spark.createDataFrame(rows, "text string, lang string"), model).collect()
+    assert all(r["language"]["known_words"] == 3 for r in out)
+    assert all(r["language"]["lang"] == r["lang"] for r in out)
+
+
+def test_rates_are_those_of_whole_matrices(spark, monkeypatch):
+    rows = texts_by_language()
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    counts, at = {}, {lang: k for k, lang in enumerate(model.langs)}
+    for text, lang in rows:
+        for w in text.split():
+            counts.setdefault(w, np.zeros(3))[at[lang]] += 1
+    counts = {w: np.where(n >= 2, n, 0) for w, n in counts.items() if (n >= 2).any()}
+    often = [w for w in sorted(counts) if counts[w].sum() >= 3]
+    row = model.table(0)(np.concatenate([w.hashes for _, _, w in words(pa.array(often))]))
+    assert sorted(row) == list(range(len(model.keys)))
+    assert np.allclose(model.rates[row], langid.log_rates(np.array([counts[w] for w in often]), 0.1))
+    for size in range(1, langid.LONGEST + 1):
+        grams, word = langid.n_grams(list(counts), size)
+        keys, back = np.unique(grams, return_inverse=True)
+        weights = np.zeros((len(keys), 3))
+        np.add.at(weights, back, np.sqrt(np.array(list(counts.values())))[word])
+        row = model.table(size)(keys)
+        assert sorted(row) == list(range(len(model.gram_keys[size])))
+        assert np.allclose(model.gram_rates[size][row], langid.log_rates(weights, 0.1), atol=1e-4)
+    docs = spark.createDataFrame(texts_by_language(seed=6), "text string, lang string").coalesce(1)
+    whole = langid.identify(docs, model).collect()
+    monkeypatch.setattr(langid, "CELLS", 21)
+    column = pa.array([r["text"] for r in whole])
+    assert [len(w.hashes) > 7 for _, _, w in words(column)] == [True]
+    compute = [r["language"] for r in langid.identify(docs, model).collect()]
+    assert compute == [r["language"] for r in whole]
+
+
 def test_unseen_words_back_off_to_shorter_n_grams():
     counts = np.array([[3.0, 1.0]])
     grams = {n: np.zeros(0, np.uint64) for n in range(1, langid.LONGEST + 1)}
