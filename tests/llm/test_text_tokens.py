@@ -30,6 +30,20 @@ def test_counts_and_ids_are_those_of_the_library(library):
         assert tokenizer.ids(text) == ids
 
 
+@pytest.mark.parametrize("space", [" ", "\n", "\xa0"])
+def test_ids_of_very_long_white_space(library, space):
+    text = f"word<|endoftext|>{space * 1_500_000}after it's"
+    assert packing.Tokenizer(PATH).ids(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_very_long_white_space_is_packed(spark, library):
+    rows = [(1, "a" + " " * 1_500_000 + "b"), (2, "c" + "\n" * 1_500_000 + "d"), (3, "short")]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id int, text string"), PATH).collect()
+    for i, text in rows:
+        ids = b"".join(p["ids"] for p in sorted((p for p in out if p["id"] == i), key=lambda p: p["start"]))
+        assert np.frombuffer(ids, "<u4").tolist() == [*library.encode(text, add_special_tokens=False).ids, packing.SEPARATOR]
+
+
 def test_forgetting_pieces_changes_nothing(monkeypatch, library):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
     counter = bpe.Counter(PATH)
