@@ -4,6 +4,7 @@ Candidate blocks are stretches of words around words that license wordings use.
 template as a raw dictionary; the bytes saved, against those that the template's own text saves, say how much of the template the
 block holds. The templates that save most are confirmed by their exact wording: the template's words are aligned with the
 block's, and it counts as found if at most a tenth of them, or none of a template shorter than ten words, are missing or have others between.
+The alignment has the fewest differences there are; it ends with the last word that agrees, so a word in place of a last word is not part of it.
 
 Null and empty texts have no blocks. A wording that occurs several times counts each time; of wordings that overlap, that with more words
 agreeing stays. Repeated rows get equal results.
@@ -11,7 +12,6 @@ agreeing stays. Repeated rows get equal results.
 
 from __future__ import annotations
 
-import difflib
 import re
 from dataclasses import dataclass
 
@@ -107,14 +107,32 @@ class Scanner:
         # A cheap bound before the alignment: words of the template that the stretch does not have at all.
         if len(set(wanted) - set(span)) > allowed:
             return None
-        steps = difflib.SequenceMatcher(None, wanted, span, autojunk=False).get_opcodes()
-        while steps and steps[-1][0] == "insert":
-            steps.pop()
-        if not steps:
+        # Longest common subsequences of the template with every prefix of the stretch, a bit a template word: a zero bit i
+        # says that one more word agrees with the template's first i + 1 words than with its first i.
+        size = len(wanted)
+        every, places = (1 << size) - 1, {}
+        for i, w in enumerate(wanted):
+            places[w] = places.get(w, 0) | 1 << i
+        columns = [every]
+        for w in span:
+            row = columns[-1]
+            same = row & places.get(w, 0)
+            columns.append((row + same | row - same) & every)
+        # The end is free: the prefix with the fewest differences, of those the one with most words agreeing, then the shortest.
+        differences, _, end = min((max(size, j) - size + row.bit_count(), row.bit_count(), j) for j, row in enumerate(columns))
+        if differences > allowed:
             return None
-        missing = [w for tag, a, b, _, _ in steps if tag in ("replace", "delete") for w in wanted[a:b]]
-        added = [w for tag, _, _, a, b in steps if tag in ("replace", "insert") for w in span[a:b]]
-        return (begin + steps[-1][4], missing, added) if max(len(missing), len(added)) <= allowed else None
+        missing, added, i, j = [], [], size, end
+        while i or j:
+            if i and j and wanted[i - 1] == span[j - 1]:
+                i, j = i - 1, j - 1
+            elif i and (not j or columns[j] >> i - 1 & 1):
+                i -= 1
+                missing.append(wanted[i])
+            else:
+                j -= 1
+                added.append(span[j])
+        return begin + end, missing[::-1], added[::-1]
 
     def scan(self, text: str) -> tuple[int, list[dict]]:
         lowered = text.lower()

@@ -177,6 +177,42 @@ def test_each_template_is_found_in_prose(name):
     assert text[found[0]["start"]:found[0]["end"]].split() == TEMPLATES[name].rstrip("./").split()
 
 
+@pytest.mark.parametrize("name", sorted(n for n, t in TEMPLATES.items() if len(licenses.WORD.findall(t)) >= 10))
+@pytest.mark.parametrize("place", ["first", "last"])
+@pytest.mark.parametrize("put", ["qqq", ""])
+def test_changed_or_missing_word_at_an_end_of_a_wording(name, place, put):
+    words = licenses.WORD.findall(TEMPLATES[name])
+    gone = words[0 if place == "first" else -1].lower()
+    changed = [put, *words[1:]] if place == "first" else [*words[:-1], put]
+    text = "foo bar " * 50 + " ".join(changed) + " baz qux" * 70
+    found = licenses.Scanner({name: TEMPLATES[name]}).scan(text)[1]
+    assert [(f["license"], f["differences"], f["missing"], f["added"]) for f in found] == [(name, 1, [gone], [])]
+    assert text[found[0]["start"]:found[0]["end"]].split() == (words[1:] if place == "first" else words[:-1])
+
+
+def test_alignment_has_the_fewest_differences():
+    rng = random.Random(12)
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            old = row[:]
+            for j, y in enumerate(b):
+                row[j + 1] = old[j] + 1 if x == y else max(old[j + 1], row[j])
+        return row
+
+    for _ in range(2000):
+        wanted = rng.choices("abcdefgh", k=rng.randint(1, 14))
+        span = [rng.choice("abcdefgh") if rng.random() < 0.15 else w for w in wanted if rng.random() > 0.1] + rng.choices("abcdefgh", k=rng.randint(0, 5))
+        allowed = rng.randint(0, len(wanted) - 1)
+        best = min(max(len(wanted), j) - n for j, n in enumerate(common(wanted, span)))
+        found = licenses.Scanner._aligned(wanted, span, 0, allowed)
+        assert (found is not None) == (best <= allowed)
+        if found:
+            end, missing, added = found
+            assert max(len(missing), len(added)) == best and len(wanted) - len(missing) == end - len(added)
+
+
 def test_changed_wordings_and_edges(spark):
     changed = TEMPLATES["MIT text"].replace("furnished", "given").replace("free of charge", "free")
     unlike = "this license gives rights and permission to copy, the work of the public and the warranty"
