@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ponloom.llm.frames import bounded_sample, class_counts, labelled_rows, with_result
+from ponloom.llm.frames import labelled_rows, with_result
 from ponloom.llm.words import Lookup, mix, words
 from ponloom.operators.lineage import stored
 
@@ -155,30 +155,31 @@ def _count_grams(counted: DataFrame) -> DataFrame:
 
 
 def fit(
-    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = 2000, max_langs: int = 200, min_count: int = 3,
-    id_col: str | None = None,
+    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = 2000, min_count: int = 3, id_col: str | None = None,
 ) -> Model:
-    """Learn from a sample of about ``per_lang`` documents of each language.
+    """Learn every language that is not null from a sample of about ``per_lang`` of its documents.
 
     All words of the sample seen at least ``min_count`` times are learned; twice in one language suffices for the n-grams. Words and n-grams
-    are counted in tasks; the driver gets one row of a few numbers for each that a language has. Bound: the ``max_langs`` most frequent languages.
+    are counted in tasks; the driver gets a row of 17 bytes for each that a language has, and languages are joined, so there may be many.
     With ``id_col`` the sample is chosen by document, else by text, all copies or none.
     """
     rows = labelled_rows(labelled, F.lower(F.col(text_col)), F.col(lang_col), id_col).filter("text IS NOT NULL AND label IS NOT NULL")
-    counts = class_counts(rows, "label", max_langs)
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     empty = {n: np.zeros(0, np.uint64) for n in range(1, LONGEST + 1)}
     if not counts:
         return Model([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), empty, {})
     langs = sorted(counts)
-    codes = (F.array_position(F.array(*map(F.lit, langs)), F.col("label")) - 1).cast("int")
-    sample = bounded_sample(rows, counts, per_lang).select("text", codes.alias("lang"))
+    codes = rows.sparkSession.createDataFrame([(lang, k, per_lang / counts[lang]) for k, lang in enumerate(langs)], "label string, lang int, share double")
+    pick = F.col("pick").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
+    sample = rows.join(F.broadcast(codes), "label").filter(pick < F.col("share")).select("text", "lang")
     counted = stored(_count_words(sample).filter(F.col("n") >= 2), "language-words")
     found = counted.select(F.lit(0).alias("size"), "lang", "key", "n").union(_count_grams(counted))
-    table = found.groupBy("size", "lang", "key").agg(F.sum("n").alias("n")).toArrow()
+    total = F.sum("n") / F.when(F.col("size") == 0, 1).otherwise(UNIT)
+    table = found.groupBy("size", "lang", "key").agg(total.cast("float").alias("n")).withColumn("size", F.col("size").cast("byte")).toArrow()
     made = {}
     for size in range(LONGEST + 1):
         some = table.filter(pc.equal(table["size"], size))
-        lang, n = some["lang"].to_numpy(), some["n"].to_numpy() / (UNIT if size else 1)
+        lang, n = some["lang"].to_numpy(), some["n"].to_numpy().astype(np.float64)
         keys, row = np.unique(some["key"].to_numpy().view(np.uint64), return_inverse=True)
         often = np.bincount(row, n, len(keys)) >= (0 if size else min_count)
         order = np.lexsort((lang, row))

@@ -127,6 +127,14 @@ def test_all_words_seen_often_are_learned(spark):
     assert all(r["language"]["lang"] == r["lang"] for r in out)
 
 
+def test_every_language_is_learned(spark):
+    rows = [(f"text{k} text{k} text{k} word", f"l{k:03}") for k in range(230)]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.langs == [lang for _, lang in rows]
+    out = langid.identify(spark.createDataFrame(rows, "text string, lang string"), model).collect()
+    assert all(r["language"]["lang"] == r["lang"] for r in out)
+
+
 def test_rates_are_those_of_whole_matrices(spark, monkeypatch):
     rows = texts_by_language()
     model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
