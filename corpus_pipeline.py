@@ -9,9 +9,6 @@ from ponloom.llm.frames import remainder, unused
 from ponloom.llm.queries import learnable, packed, table
 from ponloom.operators.lineage import stored
 
-#: Below this probability of the best language a text is a near tie of two.
-MIN_LANGUAGE_SCORE = 0.35
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the field scores as toxic go. Documents without text stay."""
@@ -21,12 +18,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no learned language go: those without a letter, and those whose language is a near tie."""
+    """Documents in no learned language go: those without a letter, and those that share no word or character with a learned one."""
     model = langid.fit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang").filter(remainder("doc_id", 4) != 2), id_col="doc_id")
     verdict = unused(docs, "verdict")
     language = F.col(verdict)
     found = langid.identify(docs, model, name=verdict)
-    return found.filter((language["lang"] != langid.UNDETERMINED) & (language["score"] >= MIN_LANGUAGE_SCORE)).drop(verdict)
+    return found.filter((language["lang"] != langid.UNDETERMINED) & (language["evidence"] > 0)).drop(verdict)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

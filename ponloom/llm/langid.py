@@ -27,7 +27,7 @@ UNIT = 1 << 20
 #: Fixed value: scores of words by language that are held at once.
 CELLS = 1 << 20
 UNDETERMINED = "und"
-RESULT = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("known_words", T.LongType()), T.StructField("n_words", T.LongType())])
+RESULT = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("known_words", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("evidence", T.LongType())])
 
 
 def n_grams(joined: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,6 +94,12 @@ class Model:
             self.tables[n] = Lookup(self.gram_keys[n] if n else self.keys)
         return self.tables[n]
 
+    def resembling(self, texts: list[str]) -> np.ndarray:
+        """Which unseen words share a character with a learned word: without one no n-gram is known but the border."""
+        grams, word = n_grams(texts, 1)
+        border = n_grams([""], 1)[0][0]
+        return np.bincount(word[(self.table(1)(grams) >= 0) & (grams != border)], minlength=len(texts)) > 0
+
     def unseen(self, texts: list[str]) -> np.ndarray:
         """Scores of unseen words: the mean log frequency of the longest n-grams that are known, 0 where none is."""
         out = np.zeros((len(texts), len(self.langs)), np.float64)
@@ -191,13 +197,15 @@ def fit(
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", name: str = "language") -> DataFrame:
-    """Add a struct: the language, its probability among the learned ones, and how many words were known."""
+    """Add a struct: the language, its probability among the learned ones, how many words were known, how many there are, and
+    how many were known or share a character with a learned word (``evidence``); without evidence the language is a guess.
+    """
 
     def compute(column: pa.Array) -> dict:
         column = pc.utf8_lower(column)
         letter = pc.fill_null(pc.match_substring_regex(column, r"\pL"), False).to_numpy(zero_copy_only=False)
         n, k = len(column), max(1, len(model.langs))
-        total, known, sizes = np.zeros((n, k)), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        total, known, sizes, evidence = np.zeros((n, k)), *np.zeros((3, n), np.int64)
         for lo, hi, w in words(column) if model.langs else ():
             row, sizes[lo:hi] = model.table(0)(w.hashes), np.diff(w.offsets)
             doc = np.repeat(np.arange(lo, hi), sizes[lo:hi])
@@ -211,7 +219,10 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", name: str =
                 value[hit] = model.rates[here[hit]]
                 if not hit.all():
                     _, first, back = np.unique(w.hashes[a:a + step][~hit], return_index=True, return_inverse=True)
-                    value[~hit] = model.unseen([w.text(a + i) for i in np.flatnonzero(~hit)[first]])[back]
+                    texts = [w.text(a + i) for i in np.flatnonzero(~hit)[first]]
+                    value[~hit] = model.unseen(texts)[back]
+                    hit[~hit] = model.resembling(texts)[back]
+                evidence[lo:hi] += np.bincount(doc[a:a + step][hit] - lo, minlength=hi - lo)
                 docs_here, at = np.unique(doc[a:a + step], return_index=True)
                 total[docs_here] += np.add.reduceat(value, at, axis=0, dtype=np.float64)
         best = total.argmax(1)
@@ -221,7 +232,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", name: str =
         sure = letter & bool(model.langs)
         return {
             "lang": names[np.where(sure, best, len(names) - 1)].tolist(), "score": np.where(sure, score, 0.0),
-            "known_words": known, "n_words": sizes,
+            "known_words": known, "n_words": sizes, "evidence": evidence,
         }
 
     return with_result(docs, text_col, name, RESULT, compute)

@@ -84,6 +84,16 @@ def test_pipeline_keeps_clean_documents_once(spark, planted):
     assert sum(p["length"] for p in pieces) == sum({p["doc_id"]: p["doc_tokens"] for p in pieces}.values())
 
 
+@pytest.mark.parametrize("n_langs", [1, 2, 5])
+def test_languages_are_kept_by_evidence_not_by_their_number(spark, tmp_path, n_langs):
+    rows = [(k, f"shared shared shared own{k} own{k} own{k}", f"l{k % n_langs}") for k in range(10 * n_langs)]
+    odd = [(1000, "shared"), (1001, "shores"), (1002, "日本語 текст"), (1003, "日本語 shared"), (1004, "123 !!"), (1005, None)]
+    documents = spark.createDataFrame([*rows, *((i, t, None) for i, t in odd)], "doc_id long, text string, lang string")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_languages(spark, documents, str(tmp_path)).collect()}
+    assert kept == {*range(10 * n_langs), 1000, 1001, 1003}
+
+
 def test_stages_take_empty_and_odd_tables(spark, planted):
     folder, _ = planted
     documents = spark.read.parquet(f"{folder}/documents.parquet")
