@@ -40,6 +40,12 @@ def with_result(docs: DataFrame, text_col: str, name: str, result: T.StructType,
     return kept.mapInArrow(run, schema)
 
 
+def null_safe_join(a: DataFrame, b: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """All columns of ``a``, and those of ``b`` that are not keys; null keys are equal."""
+    same = " AND ".join(f"a.{c} <=> b.{c}" for c in on)
+    return a.alias("a").join(b.alias("b"), F.expr(same), how).select("a.*", *[f"b.{c}" for c in b.columns if c not in on])
+
+
 def remainder(id_col: str | Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary") if isinstance(id_col, str) else id_col) % F.lit(n)

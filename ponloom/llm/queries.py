@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ponloom.llm import bpe, contamination, langid, licenses, near_text, near_vectors, packing, quality, sharding, toxicity
+from ponloom.llm import (
+    bpe, contamination, langid, licenses, mixing, near_text, near_vectors, packing, quality, resampling, sharding, toxicity, turns)
 from ponloom.llm.frames import remainder
+from ponloom.llm.oracle import TURN_REPAIR, importance
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,6 +117,21 @@ def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(turns.damage(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resampling.resample(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
+    return drawn.select("doc_id", F.col("importance.n_features").alias("n_features"), F.col("importance.weight").alias("weight"), "score", "rank")
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.size("text").alias("size"))
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_token_counts": op2_token_counts,
@@ -126,6 +143,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rotated_codes": op8_rotated_codes,
     "op9_benchmark_index": op9_benchmark_index,
     "op10_toxic_spans": op10_toxic_spans,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_importance": op12_importance,
+    "op13_source_mix": op13_source_mix,
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -165,4 +185,6 @@ ORACLE: dict[str, str] = {
         SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
             CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_turn_repair": TURN_REPAIR,
+    "op12_importance": importance(_WORDS),
 }
