@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from checks import views as v
 from ponloom.functions.cells import first_truthy, parse_dbm
@@ -22,8 +22,8 @@ from ponloom.operators.presence import (
 from ponloom.operators.unit_import import classify, import_units
 from ponloom.plans import boxes, tree, units
 from ponloom.plans.devices import sync_devices
-from ponloom.schemas import DEVICE_VENDORS
-from ponloom.sinks.files import export_units, write_readings, write_unit_csv
+from ponloom.schemas import DEVICE_VENDORS, UNIT_CSV
+from ponloom.sinks.files import export_units, write_csv, write_readings, write_unit_csv
 from ponloom.sources import boxes as _boxes
 from ponloom.sources.config import overlay_config, read_config, scan_scopes
 from ponloom.sources.tables import read_table
@@ -410,6 +410,13 @@ def polls_applied_counts(spark, d):
     return applied_counts(_apply(spark, d, parity=True))
 
 
+@query
+def polls_applied_repeated_ids(spark, d):
+    """Polls whose ids repeat over all devices."""
+    rows, headers = _kept(v.poll_records(spark, d).withColumn("poll_id", F.substring_index("poll_id", "@", -1)))
+    return _known_ids(spark, d, apply_polls(v.ont(spark, d), rows, headers, parity=True).units)
+
+
 @query
 def polls_removed_units(spark, d):
     return _apply(spark, d, parity=True).removed
@@ -605,9 +612,43 @@ def csv_import_counts(spark, d):
 
 @query
 def csv_import_result(spark, d):
-    after = import_units(v.ont(spark, d), v.olt(spark, d), v.import_cells(spark, d)).units
+    return _without_new_ids(spark, d, import_units(v.ont(spark, d), v.olt(spark, d), v.import_cells(spark, d)).units)
+
+
+def _without_new_ids(spark, d, units_):
     before = v.ont(spark, d).select("id", F.lit(True).alias("_known"))
-    return after.join(before, "id", "left").withColumn("id", F.when(F.col("_known"), F.col("id"))).drop("_known", "props")
+    return units_.join(before, "id", "left").withColumn("id", F.when(F.col("_known"), F.col("id"))).drop("_known", "props")
+
+
+@query
+def csv_import_chain(spark, d):
+    """Every unit wants the key of the one before the last; of the two chains only one begins with a free key."""
+    done = import_units(v.ont(spark, d), v.olt(spark, d), v.renumbering_cells(spark, d))
+    return done.units.select("id", "olt_id", "vendor_ont_id")
+
+
+def _imported_files(spark, d):
+    """The lines of the import as three files, one after the other, each with its own order of columns and its own numbers."""
+    cells = stored(v.import_cells(spark, d), "cells")
+    folder = new_folder(spark, "csv-files")
+    third = cells.agg(F.max("line")).first()[0] // 3 + 1
+    for n in range(3):
+        names = UNIT_CSV[3 * n:] + UNIT_CSV[:3 * n]
+        part = cells.where(F.floor(F.col("line") / third) == n).select("line", *names)
+        write_csv(part.coalesce(1).sortWithinPartitions("line").drop("line"), f"{folder}/{n}")
+    return import_units(v.ont(spark, d), v.olt(spark, d), read_unit_csv(spark, f"{folder}/*"))
+
+
+@query
+def csv_import_files(spark, d):
+    return _without_new_ids(spark, d, _imported_files(spark, d).units)
+
+
+@query
+def csv_import_files_errors(spark, d):
+    """Errors with the place of the line in its file."""
+    errors = _imported_files(spark, d).errors
+    return errors.select(F.regexp_extract("file", "/([0-2])/[^/]*$", 1).cast("int").alias("file"), "record", "error")
 
 
 @query
@@ -793,6 +834,20 @@ def stream_ingest_small_batches(spark, d):
     return _known_ids(spark, d, store.units())
 
 
+@query
+def stream_ingest_repeated_ids(spark, d):
+    """Poll ids repeat over devices, and some polls lack a slice: these are given up and change nothing."""
+    folder = new_folder(spark, "ingest")
+    lines = v.poll_lines(spark, d).withColumn("first", F.min("slice").over(Window.partitionBy("poll_id")))
+    short = (F.day("polled_at") + 2 * F.substring("olt_id", 5, 2).cast("int")) % 13 == 5
+    lines = lines.where(~short | (F.col("slice") > F.col("first"))).withColumn("poll_id", F.substring_index("poll_id", "@", -1))
+    lines.drop("first").write.json(f"{folder}/in")
+    store = Store(spark, f"{folder}/store")
+    store.start(v.ont(spark, d))
+    start_ingest(spark, f"{folder}/in", store, f"{folder}/checkpoint", parity=True, give_up="1 hour").awaitTermination()
+    return _known_ids(spark, d, store.units())
+
+
 @query
 def stream_ingest_late(spark, d):
     """Newer polls first, then the older ones: the readings of both, for units that are there."""

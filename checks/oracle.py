@@ -324,6 +324,7 @@ poll_sql("polls_applied_units_by_scope", "SELECT * FROM after", _applied(False))
 poll_sql("polls_applied_units_kept", "SELECT * FROM after", _applied(True, delete=False))
 poll_sql("polls_applied_readings", """SELECT d.time, d.ptx, d.prx, d.status, d.olt_id, d.vendor_ont_id FROM dedup_v d
 LEFT JOIN brk b ON b.olt_id = d.olt_id AND b.u = d.vendor_ont_id WHERE brk IS NULL OR d.time > brk""", _applied(True))
+ORACLE["polls_applied_repeated_ids"] = ORACLE["polls_applied_units"]
 poll_sql("polls_removed_units", """SELECT s.id, s.olt_id, s.vendor_ont_id FROM stored s
 JOIN brk b ON b.olt_id = s.olt_id AND b.u = s.u""", _applied(True))
 
@@ -520,6 +521,16 @@ FROM ont_v o LEFT JOIN home_v h ON h.u = o.id LEFT JOIN (SELECT unit_id, {FOLDS}
 UNION ALL
 SELECT NULL, olt_key, unit_key, cto_uuid.v, x.v::double, y.v::double, serial.v, model.v, description.v, status.v::int
 FROM (SELECT olt_key, unit_key, {FOLDS} FROM done_v WHERE action <> 'error' AND NOT by_id AND unit_id IS NULL GROUP BY 1, 2)""", more=IMPORT)
+ORACLE["csv_import_files"] = ORACLE["csv_import_result"]
+_ERRORS = ORACLE["csv_import_errors"]
+_ERRORS = _ERRORS[:_ERRORS.rindex("SELECT line, CASE code")], _ERRORS[_ERRORS.rindex("SELECT line, CASE code"):]
+ORACLE["csv_import_files_errors"] = f"""{_ERRORS[0]} SELECT file, record, error FROM ({_ERRORS[1]}) JOIN (
+  SELECT line, (line // third)::int AS file, row_number() OVER (PARTITION BY line // third ORDER BY line) + 1 AS record
+  FROM cells_v, (SELECT max(line) // 3 + 1 AS third FROM cells_v)) USING (line)"""
+# The even chain waits for a key that is taken; the odd one moves up by one.
+sql("csv_import_chain", """SELECT o.id, CASE WHEN o.id % 2 = 0 THEN o.olt_id ELSE coalesce(b.olt_id, 'olt-00') END AS olt_id,
+  CASE WHEN o.id % 2 = 0 THEN o.vendor_ont_id ELSE coalesce(b.vendor_ont_id, 'renumbered') END AS vendor_ont_id
+FROM ont_v o LEFT JOIN ont_v b ON b.id = o.id - 2""")
 _RESULT = ORACLE["csv_import_result"][ORACLE["csv_import_result"].rindex("SELECT o.id, coalesce(h.moved"):]
 ORACLE["csv_import_pon_ids"] = ORACLE["csv_import_result"].replace(
     _RESULT, f"SELECT r.olt_id, r.vendor_ont_id, {_pon_stored('l.vendor', 'r.vendor_ont_id')} AS pon_id FROM ({_RESULT}) r JOIN olt_v l ON l.id = r.olt_id")
@@ -549,6 +560,9 @@ sql("dq_nulls", """SELECT * FROM (SELECT id, concat_ws(',', CASE WHEN cto_uuid I
 ORACLE["stream_ingest_units"] = ORACLE["polls_applied_units"]
 ORACLE["stream_ingest_readings"] = ORACLE["polls_applied_readings"]
 ORACLE["stream_ingest_small_batches"] = ORACLE["polls_applied_units"]
+# A poll without its first slice fails, like one with an error.
+ORACLE["stream_ingest_repeated_ids"] = ORACLE["polls_applied_units"].replace(
+    "= 3 THEN 'error'", "= 3 THEN 'error' WHEN (day(ts) + 2 * substr(u.olt_id, 5, 2)::int) % 13 = 5 THEN 'incomplete'")
 poll_sql("stream_ingest_late", "SELECT time, ptx, prx, status, olt_id, vendor_ont_id FROM dedup_v")
 poll_sql("stream_kept_latest", """SELECT time, ptx, prx, status, olt_id, vendor_ont_id FROM (
   SELECT d.*, row_number() OVER (PARTITION BY d.olt_id, d.vendor_ont_id ORDER BY d.time DESC) AS rn FROM dedup_v d

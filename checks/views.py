@@ -172,3 +172,17 @@ def import_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE k % 11 WHEN 2 THEN 'null' WHEN 3 THEN 'd' || k ELSE '  ' END AS description",
         "CASE WHEN k % 9 = 4 THEN CAST(k % 4 AS string) WHEN k % 45 = 5 THEN '7.0' END AS status",
     )
+
+
+def renumbering_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CSV line per unit: it takes the key of the unit two before it. The first of the even ones wants the key of the last odd one, which
+    is taken, and the first of the odd ones a new key."""
+    units = ont(spark, sf_dir).selectExpr("id AS k", "olt_id", "vendor_ont_id")
+    wanted = units.selectExpr("k + 2 AS k", "olt_id", "vendor_ont_id").join(units.select("k"), "k", "left_semi")
+    heads = units.selectExpr(
+        "min(if(k % 2 = 0, k, NULL)) AS even", "min(if(k % 2 = 1, k, NULL)) AS odd",
+        "max_by(named_struct('o', olt_id, 'u', vendor_ont_id), if(k % 2 = 1, k, NULL)) AS last",
+    ).selectExpr("stack(2, even, last.o, last.u, odd, 'olt-00', 'renumbered') AS (k, olt_id, vendor_ont_id)")
+    targets = wanted.unionByName(heads)
+    empty = [f"'' AS {c}" for c in ("cto_uuid", "x", "y", "serial", "model", "description", "status")]
+    return targets.selectExpr("k + 2 AS line", "CAST(k AS string) AS id", "olt_id", "vendor_ont_id", *empty)

@@ -18,6 +18,10 @@ from ponloom.operators.numbering import numbered, with_new_ids
 from ponloom.operators.upkeep import with_pon_id
 
 UNIT = ["olt_id", "vendor_ont_id"]
+#: What names a poll: its id is one of its device's, and a device may use it again at another time.
+POLL = ["olt_id", "poll_id", "polled_at"]
+#: The same in rows of readings.
+ROW_POLL = ["olt_id", "poll_id", "time"]
 POLLS_PER_BUCKET = 1024
 
 
@@ -44,7 +48,7 @@ def poll_headers(records: DataFrame) -> DataFrame:
         for c in ("scopes_ok", "scopes_failed")
     ]
     failed = F.max(F.when(F.col("outcome") != "ok", F.col("outcome")))
-    headers = records.groupBy("poll_id", "olt_id", "vendor", "polled_at").agg(F.coalesce(failed, F.lit("ok")).alias("outcome"), *told)
+    headers = records.groupBy(*POLL).agg(F.max("vendor").alias("vendor"), F.coalesce(failed, F.lit("ok")).alias("outcome"), *told)
     return headers.select("poll_id", "olt_id", "vendor", "polled_at", "outcome", "scopes_ok", "scopes_failed")
 
 
@@ -66,16 +70,16 @@ def poll_log(headers: DataFrame, rows: DataFrame, min_units: int = 0, vendors: M
     units may not.
     """
     known = list(VENDORS if vendors is None else vendors)
-    sizes = rows.groupBy("poll_id", *UNIT).agg(F.count("*").alias("n")).groupBy("poll_id").agg(
+    sizes = rows.groupBy(*ROW_POLL, "vendor_ont_id").agg(F.count("*").alias("n")).groupBy(*ROW_POLL).agg(
         F.count("*").alias("n_units"), F.sum("n").alias("n_records")
-    )
+    ).withColumnRenamed("time", "polled_at")
     result = (
         F.when(~F.col("vendor").isin(known), "unknown_vendor")
         .when(F.col("outcome") != "ok", F.col("outcome"))
         .when(F.col("n_units") == 0, "empty")
         .otherwise("applied")
     )
-    counted = headers.join(sizes, "poll_id", "left").fillna(0, ["n_units", "n_records"])
+    counted = headers.join(sizes, POLL, "left").fillna(0, ["n_units", "n_records"])
     return counted.withColumn("result", result).withColumn(
         "evidence", (F.col("result") == "applied") & (F.col("n_units") >= min_units)
     )
@@ -88,12 +92,12 @@ def evidence(log: DataFrame, seen: DataFrame, parity: bool = False) -> DataFrame
     Otherwise for the scopes it reports as read and those it saw units of, less the failed ones.
     """
     polls = log.where("evidence").select("olt_id", "poll_id", F.col("polled_at").alias("time"), "scopes_ok", "scopes_failed")
-    key = ["olt_id", "poll_id", "time"]
+    key = ROW_POLL
     if parity:
         read = polls.select(*key, F.lit("*").alias("scope"))
     else:
         told = polls.select(*key, F.explode("scopes_ok").alias("scope"))
-        shown = seen.select(*key, "scope").distinct().join(polls.select("poll_id"), "poll_id", "left_semi")
+        shown = seen.select(*key, "scope").distinct().join(polls.select(*key), key, "left_semi")
         failed = polls.select(*key, F.explode("scopes_failed").alias("scope"))
         read = told.union(shown.select(*key, "scope")).distinct().join(failed, [*key, "scope"], "left_anti")
     # A device is polled every few seconds at most, so an hour is a bounded bucket.
@@ -102,7 +106,7 @@ def evidence(log: DataFrame, seen: DataFrame, parity: bool = False) -> DataFrame
 
 def presence(sighted: DataFrame, polls: DataFrame) -> DataFrame:
     """Sightings with the number of the poll in the unit's scope."""
-    return sighted.join(polls.select("olt_id", "scope", "poll_id", "poll_no"), ["olt_id", "scope", "poll_id"])
+    return sighted.join(polls.select(*ROW_POLL, "scope", "poll_no"), [*ROW_POLL, "scope"])
 
 
 def seen_units(rows: DataFrame, parity: bool = False, vendors: Mapping | None = None) -> DataFrame:
@@ -170,7 +174,7 @@ def apply_polls(
     vendors = VENDORS if vendors is None else vendors
     log = cut(poll_log(headers, rows, min_units, vendors))
     applied = log.where("result = 'applied'")
-    rows = stored_rows(rows.join(applied.select("poll_id"), "poll_id", "left_semi"), "applied-rows")
+    rows = stored_rows(rows.join(applied.select("olt_id", "poll_id", F.col("polled_at").alias("time")), ROW_POLL, "left_semi"), "applied-rows")
     stored = _scoped(ont, applied.groupBy("olt_id").agg(F.max("vendor").alias("vendor")), parity, vendors)
 
     at = F.struct("time", "poll_id")

@@ -1,13 +1,16 @@
 """Unit edits from CSV lines, applied as a set.
 
+``line`` orders the lines, over all files; ``file`` and ``record``, where given, say where a line stands and go with it.
+
 A line with an id edits that unit. A line without one inserts or edits the unit of its key. Lines
 count in file order: a later cell wins, and a key that an earlier line inserted exists for the
 later ones. A line that fails is reported and changes nothing.
 
 A line can give a unit another key. From then on lines with the new key mean that unit, and the old key is free for a new one; a
 key that another unit has at that line is refused as ``duplicate_key``. Which moves hold depends on the lines before
-them, so they are settled in rounds over the moved keys only, until nothing changes: each round gets at least one more line
-right, in file order. An id that this same file inserts cannot be referred to. A line the tables would refuse (unknown
+them, so they are settled in rounds over the moved keys only, until nothing changes. Most moves wait for one other: they hold if the unit
+that has the key has left it by then. Along such chains the verdict of the first line is carried by pointer doubling, so a chain of n
+lines takes about log2(n) joins; lines that depend on more get right in the rounds, at least one each, in file order. An id that this same file inserts cannot be referred to. A line the tables would refuse (unknown
 device, NULL key, number out of range) is an error of that line only.
 """
 
@@ -46,22 +49,28 @@ class Imported(NamedTuple):
     report: DataFrame
 
 
+def _where(lines: DataFrame) -> list[str]:
+    """Columns that say where a line stands."""
+    return ["line", *[c for c in ("file", "record") if c in lines.columns]]
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Cells read, and per line the first failing check as ``code``.
 
     ``by_id``: the line has an id; ``sets_key`` and ``has_values``: it sets key or other cells.
     """
+    where = _where(lines)
     clean = lines.select(
-        "line", F.struct(*UNIT_CSV).alias("row"), *[clean_cell(c).alias(c) for c in UNIT_CSV]
+        *where, F.struct(*UNIT_CSV).alias("row"), *[clean_cell(c).alias(c) for c in UNIT_CSV]
     )
     cells = clean.select(
-        "line", "row", F.col("id").alias("id_text"), F.expr(to_int_sql("id")).alias("id"),
+        *where, "row", F.col("id").alias("id_text"), F.expr(to_int_sql("id")).alias("id"),
         F.col("status").alias("status_text"),
         *[cell(c, _KINDS.get(c, "text")).alias(c) for c in UNIT_CSV if c != "id"],
     )
     value_cells = " OR ".join(f"{c}.is_set" for c in ["x", *VALUES])
     return cells.selectExpr(
-        "line", "row", "id", "id_text <> '' AS by_id", *KEY, *VALUES,
+        *where, "row", "id", "id_text <> '' AS by_id", *KEY, *VALUES,
         "named_struct('is_set', x.is_set, 'value', named_struct('lon', x.value, 'lat', y.value)) AS point",
         "id_text <> '' AND (olt_id.is_set OR vendor_ont_id.is_set) AS sets_key",
         f"{value_cells} AS has_values",
@@ -143,7 +152,7 @@ def classify(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> DataFrame:
     fresh = "code IS NULL AND NOT by_id AND held IS NULL AND takes IS NULL"
     first = placed_lines.where(fresh).groupBy(*key).agg(F.min("line").alias("first_line"))
     return placed_lines.join(first, key, "left").selectExpr(
-        "line",
+        *_where(lines),
         """CASE WHEN code IS NOT NULL THEN 'error'
           WHEN by_id THEN if(has_values OR sets_key, 'updated', 'skipped')
           WHEN takes OR (takes IS NULL AND held IS NULL AND line = first_line) THEN 'inserted'
@@ -165,39 +174,90 @@ def _settle_moves(checked: DataFrame, stored: DataFrame) -> tuple[DataFrame, Dat
         "line", "id", "old_olt", "old_unit", "if(olt_id.is_set, olt_id.value, NULL) AS set_olt",
         "if(vendor_ont_id.is_set, vendor_ont_id.value, NULL) AS set_unit")
     steps = stored_rows(steps.withColumn("accepted", F.lit(True)), "moves")
+    if steps.isEmpty():
+        return steps.selectExpr("line", "accepted", "set_olt AS to_olt", "set_unit AS to_unit"), steps.selectExpr(
+            "set_olt AS olt", "set_unit AS unit", "line AS from_line", "line AS to_line", "id AS owner")
     lines = stored_rows(good.where("NOT by_id").selectExpr("olt_key AS olt", "unit_key AS unit", "line"), "key-lines")
-    inserts, before = None, Window.partitionBy("id").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    seen = None
+    inserts, seen = None, (0, None)
     while True:
-        def latest(part: str):
-            return F.coalesce(F.last(F.when(F.col("accepted"), F.col(f"set_{part}")), ignorenulls=True).over(before), F.col(f"old_{part}"))
-
-        placed = steps.withColumn("from_olt", latest("olt")).withColumn("from_unit", latest("unit")).withColumns({
-            "to_olt": F.coalesce("set_olt", "from_olt"), "to_unit": F.coalesce("set_unit", "from_unit")})
-        changes = placed.where("accepted AND (from_olt <> to_olt OR from_unit <> to_unit)")
-        keys = placed.selectExpr("from_olt AS olt", "from_unit AS unit").union(placed.select("to_olt", "to_unit")).distinct()
-        owners = stored.selectExpr("olt_id AS olt", "vendor_ont_id AS unit", "id AS owner")
-        events = keys.join(owners, ["olt", "unit"], "left").selectExpr("olt", "unit", f"{BEFORE_ALL}L AS line", "owner").union(
-            changes.selectExpr("from_olt", "from_unit", "line", "CAST(NULL AS bigint)")).union(
-            changes.select("to_olt", "to_unit", "line", "id"))
-        if inserts is not None:
-            events = events.union(inserts.join(keys, ["olt", "unit"], "left_semi").selectExpr("olt", "unit", "line", f"{FRESH}L"))
-        follow = Window.partitionBy("olt", "unit").orderBy("line")
-        owned = stored_rows(events.select(
-            "olt", "unit", F.col("line").alias("from_line"), F.coalesce(F.lead("line").over(follow), F.lit(AFTER_ALL)).alias("to_line"), "owner"), "owners")
-        judged = placed.alias("p").join(owned.alias("w"), F.expr(
-            "p.to_olt = w.olt AND p.to_unit = w.unit AND p.line > w.from_line AND p.line <= w.to_line"), "left").selectExpr(
-            *[f"p.{c}" for c in steps.columns if c != "accepted"], "p.to_olt", "p.to_unit", "owner IS NULL OR owner = p.id AS accepted")
-        judged = stored_rows(judged, "moves")
-        free = owned.where("owner IS NULL")
-        inserts = stored_rows(lines.alias("l").join(free.alias("w"), F.expr(
-            "l.olt = w.olt AND l.unit = w.unit AND l.line > w.from_line AND l.line <= w.to_line")).groupBy("w.olt", "w.unit", "w.from_line").agg(
-            F.min("l.line").alias("line")), "inserts")
-        state = judged.select(F.xxhash64("line", "accepted", "to_olt", "to_unit").alias("h")).union(inserts.select(F.xxhash64("olt", "unit", "line")))
-        mark = state.agg(F.count("*"), F.bit_xor("h")).first()
-        if mark == seen:
+        owned, judged, inserts = _judge(steps, lines, stored, inserts)
+        flips = judged.where("accepted <> guess").select("line")
+        both = judged.select((F.col("accepted") != F.col("guess")).alias("flip"), F.lit(None).cast("bigint").alias("h")).union(
+            inserts.select(F.lit(None).cast("boolean"), F.xxhash64("olt", "unit", "line")))
+        mark = both.agg(F.count_if("flip").alias("flips"), F.count("h").alias("n"), F.bit_xor("h").alias("h")).first()
+        if mark["flips"] == 0 and (mark["n"], mark["h"]) == seen:
             return judged.select("line", "accepted", "to_olt", "to_unit"), owned
-        seen, steps = mark, judged.drop("to_olt", "to_unit")
+        seen = (mark["n"], mark["h"])
+        if mark["flips"]:
+            judged = _carried(judged, flips)
+        steps = judged.drop("guess", "to_olt", "to_unit", "waits_for")
+
+
+def _judge(steps: DataFrame, lines: DataFrame, stored: DataFrame, inserts: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One round: who has which key if the guesses (``accepted``) of the last round hold, the verdicts that follow, and the inserts.
+
+    ``waits_for`` is the line of the other unit that a verdict hangs on: the move that freed the key, or the last
+    one by which its owner was to leave and did not. The verdict is then the same as that line's.
+    """
+    before = Window.partitionBy("id").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+
+    def latest(part: str):
+        return F.coalesce(F.last(F.when(F.col("accepted"), F.col(f"set_{part}")), ignorenulls=True).over(before), F.col(f"old_{part}"))
+
+    placed = steps.withColumn("from_olt", latest("olt")).withColumn("from_unit", latest("unit")).withColumns({
+        "to_olt": F.coalesce("set_olt", "from_olt"), "to_unit": F.coalesce("set_unit", "from_unit")})
+    placed = stored_rows(placed.withColumn("moves", F.expr("from_olt <> to_olt OR from_unit <> to_unit")), "placed")
+    changes = placed.where("accepted AND moves")
+    keys = placed.selectExpr("from_olt AS olt", "from_unit AS unit").union(placed.select("to_olt", "to_unit")).distinct()
+    owners = stored.selectExpr("olt_id AS olt", "vendor_ont_id AS unit", "id AS owner")
+    events = keys.join(owners, ["olt", "unit"], "left").selectExpr("olt", "unit", f"{BEFORE_ALL}L AS line", "owner").union(
+        changes.selectExpr("from_olt", "from_unit", "line", "CAST(NULL AS bigint)")).union(
+        changes.select("to_olt", "to_unit", "line", "id"))
+    if inserts is not None:
+        events = events.union(inserts.join(keys, ["olt", "unit"], "left_semi").selectExpr("olt", "unit", "line", f"{FRESH}L"))
+    follow = Window.partitionBy("olt", "unit").orderBy("line")
+    owned = stored_rows(events.select(
+        "olt", "unit", F.col("line").alias("from_line"), F.coalesce(F.lead("line").over(follow), F.lit(AFTER_ALL)).alias("to_line"), "owner"), "owners")
+    met = placed.alias("p").join(owned.alias("w"), F.expr(
+        "p.to_olt = w.olt AND p.to_unit = w.unit AND p.line > w.from_line AND p.line <= w.to_line"), "left").selectExpr(
+        *[f"p.{c}" for c in steps.columns if c != "accepted"], "p.accepted AS guess", "p.to_olt", "p.to_unit", "p.moves", "owner", "from_line",
+        "owner IS NULL OR owner = p.id AS accepted")
+    # The last move of the owner before the line, among those that did not hold.
+    tries = met.select("line", F.col("owner").alias("unit"), F.lit(None).cast("bigint").alias("tried")).where(f"unit <> {FRESH}").unionByName(
+        placed.where("moves AND NOT accepted").select("line", F.col("id").alias("unit"), F.col("line").alias("tried")))
+    last_try = tries.select("line", "unit", "tried", F.last("tried", ignorenulls=True).over(
+        Window.partitionBy("unit").orderBy("line").rangeBetween(Window.unboundedPreceding, -1)).alias("refused"))
+    refused = last_try.where("tried IS NULL AND refused IS NOT NULL").select("line", "refused")
+    judged = met.join(refused, "line", "left").withColumn("waits_for", F.expr(f"""CASE
+        WHEN owner IS NULL AND from_line > {BEFORE_ALL} THEN from_line WHEN owner <> id AND refused > from_line THEN refused END""")).drop(
+        "moves", "owner", "from_line", "refused")
+    judged = stored_rows(judged, "moves")
+    free = owned.where("owner IS NULL")
+    inserts = stored_rows(lines.alias("l").join(free.alias("w"), F.expr(
+        "l.olt = w.olt AND l.unit = w.unit AND l.line > w.from_line AND l.line <= w.to_line")).groupBy("w.olt", "w.unit", "w.from_line").agg(
+        F.min("l.line").alias("line")), "inserts")
+    return owned, judged, inserts
+
+
+def _carried(judged: DataFrame, flips: DataFrame) -> DataFrame:
+    """Verdicts with those of the first lines of chains carried to all lines that wait for them, if any of these lines changed."""
+    waits = judged.where("waits_for IS NOT NULL").selectExpr("line", "waits_for AS to")
+    if waits.join(flips.withColumnRenamed("line", "to"), "to", "left_semi").isEmpty():
+        return judged
+    ends = waits
+    while True:
+        ends, more = _doubled(ends)
+        if not more:
+            break
+    root = ends.alias("e").join(judged.alias("j"), F.expr("e.to = j.line")).selectExpr("e.line", "j.accepted AS carried")
+    return judged.join(root, "line", "left").withColumn("accepted", F.coalesce("carried", "accepted")).drop("carried")
+
+
+def _doubled(waits: DataFrame) -> tuple[DataFrame, bool]:
+    """Each line waits for what the line it waits for waits for; and whether any pointer moved."""
+    further = stored_rows(waits.alias("a").join(waits.alias("b"), F.expr("a.to = b.line"), "left").selectExpr(
+        "a.line", "coalesce(b.to, a.to) AS to", "b.to IS NOT NULL AS moved"), "waits")
+    return further.select("line", "to"), not further.where("moved").isEmpty()
 
 
 def _last(c: str):
@@ -230,8 +290,8 @@ def import_units(ont: DataFrame, olt: DataFrame, lines: DataFrame, last_id: int
     units = known.unionByName(with_new_ids(fresh, ont, KEY, last_id=last_id), allowMissingColumns=True).select(*ont.columns)
     if "pon_id" in ont.columns:
         units = with_pon_id(units, olt)
-    errors = done.where("action = 'error'").select("line", "code", "error", "row")
-    return Imported(units, done.select("line", "action", "code", "error"), errors, import_report(done))
+    errors = done.where("action = 'error'").select(*_where(lines), "code", "error", "row")
+    return Imported(units, done.select(*_where(lines), "action", "code", "error"), errors, import_report(done))
 
 
 def import_report(done: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 import pytest
 from conftest import values
 
+from ponloom.operators import unit_import
 from ponloom.operators.unit_import import import_units
 from ponloom.schemas import UNIT_CSV
 from ponloom.sinks.files import export_units, write_unit_csv
@@ -192,6 +193,63 @@ def model(ont, lines):
     return state, result
 
 
+@pytest.mark.parametrize("free", [True, False])
+def test_a_long_chain_is_settled_in_few_rounds(spark, monkeypatch, free):
+    n, rounds = 10_000, []
+    for name in ("_judge", "_doubled"):
+        monkeypatch.setattr(unit_import, name, lambda *a, name=name, f=getattr(unit_import, name): (rounds.append(name), f(*a))[1])
+    ont = spark.range(n + 1).selectExpr(
+        "id", "'olt-a' AS olt_id", "'u' || id AS vendor_ont_id", "'c' AS cto_uuid", "1D AS lon", "2D AS lat", "'S' AS serial", "'M' AS model",
+        "'D' AS description", "1 AS status", "'{}' AS props")
+    # Unit 1 wants the key of unit 0, which stays, or a free one; every other unit wants that of the one before it.
+    first = "'free'" if free else "'u0'"
+    lines = spark.range(1, n + 1).selectExpr(
+        "id + 1 AS line", "CAST(id AS string) AS id", "'olt-a' AS olt_id", f"if(id = 1, {first}, 'u' || (id - 1)) AS vendor_ont_id",
+        *[f"'' AS {c}" for c in UNIT_CSV[3:]])
+    done = import_units(ont, devices(spark), lines)
+    assert {r["action"]: r["count"] for r in done.lines.groupBy("action").count().collect()} == {"updated" if free else "error": n}
+    assert len(rounds) <= 20
+    moved = done.units.where(f"vendor_ont_id <> if(id = 0, 'u0', if(id = 1, {first}, 'u' || (id - {1 if free else 0})))")
+    assert moved.where("id > 1").count() == 0
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13])
+def test_tangled_chains_equal_the_model(spark, seed):
+    """Renumberings forth and back, with inserts on keys that may have become free."""
+    rnd = random.Random(seed)
+    ont = [{"id": i, "olt_id": "olt-a", "vendor_ont_id": f"u{i}", "cto_uuid": None, "lon": None, "lat": None, "serial": "S", "model": None,
+            "description": "D", "status": 1} for i in range(1, 31)]
+    lines = []
+    for _ in range(3):
+        step, units_ = rnd.choice([1, -1]), list(range(1, 31))
+        if step < 0:
+            units_.reverse()
+        for i in units_:
+            lines.append({"id": str(i), "vendor_ont_id": f"u{i - step}" if rnd.random() < 0.9 else rnd.choice(["u3", "x1", "x2"])})
+            if rnd.random() < 0.15:
+                lines.append({"id": "", "olt_id": "olt-a", "vendor_ont_id": f"u{rnd.randint(0, 31)}", "serial": f"T{len(lines)}"})
+    lines = [{c: "" for c in UNIT_CSV} | {"line": n + 2} | r for n, r in enumerate(lines)]
+    state, actions = model(ont, lines)
+    columns = ["olt_id", "vendor_ont_id", "serial"]
+    done = import_units(
+        units(spark, [(u["id"], u["olt_id"], u["vendor_ont_id"], None, None, None, u["serial"], None, "D", 1, "{}") for u in ont]), devices(spark),
+        spark.createDataFrame([(r["line"], *[r[c] for c in UNIT_CSV]) for r in lines], LINE),
+    )
+    assert {r["line"]: r["action"] for r in done.lines.collect()} == actions
+    assert values(done.units, *columns) == sorted((tuple(u[c] for c in columns) for u in state.values()), key=repr)
+
+
+def test_files_with_other_column_orders_are_one_import(spark, tmp_path):
+    head = "id,olt_id,vendor_ont_id,cto_uuid,x,y,serial,model,description,status"
+    (tmp_path / "a.csv").write_text(f"{head}\n1,olt-a,new1,,,,,,,\n")
+    (tmp_path / "b.csv").write_text(",".join(reversed(head.split(","))) + "\n,,,,,,,new1,olt-a,2\n,,,,,,,new2,olt-a,2\n1,x,,,,,,,,2\n")
+    ont = units(spark, [(i, "olt-a", f"u{i}", "c", 1.0, 2.0, "S", "M", "D", 5, "{}") for i in (1, 2)])
+    done = import_units(ont, devices(spark), read_unit_csv(spark, str(tmp_path)))
+    assert values(done.units, "id", "vendor_ont_id", "status", "description") == [(1, "new1", 5, "D"), (2, "new2", 1, "x")]
+    errors = [(r["file"].rsplit("/", 1)[1], r["record"], r["code"]) for r in done.errors.collect()]
+    assert errors == [("b.csv", 2, "duplicate_key")] and done.report.first()["processed"] == 4
+
+
 @pytest.mark.parametrize("seed,moves", [(1, 0.0), (2, 0.0), (3, 0.3), (5, 0.9)])
 def test_against_line_by_line_model(spark, seed, moves):
     rnd = random.Random(seed)

@@ -1,4 +1,7 @@
+import csv
+import io
 import json
+import random
 
 import pytest
 from conftest import values
@@ -11,6 +14,7 @@ from ponloom.plans.devices import sync_devices
 from ponloom.sinks import files
 from ponloom.schemas import UNIT_CSV
 from ponloom.sources import boxes, config, polls, tables
+from ponloom.sources.quoted_lines import read_lines
 from ponloom.sources.unit_csv import read_unit_csv
 
 
@@ -86,6 +90,44 @@ def test_another_vendor(spark, tmp_path):
     assert normalize_polls(records, vendors={"acme": ZYXEL}).first()["vendor_ont_id"] == "x"
 
 
+@pytest.mark.parametrize("split", ["128m", "5k"])
+def test_quoted_files_are_read_in_parallel(spark, tmp_path, split):
+    """Line breaks, quotes and blank lines in cells, read split by split, against the csv module."""
+    rng, want = random.Random(4), []
+    bits = ["a", 'q"uote', "two\nlines", "x,y", "", "\r\nz", "é", '""', '"start', "\n\n", " sp ", 'end"', "\n,\n"]
+    for n, (rows, end) in enumerate(((1500, "\n"), (40, "\r\n"), (200, "\n"), (0, "\n"))):
+        names, out = [*UNIT_CSV, "extra"], io.StringIO()
+        rng.shuffle(names)
+        writer = csv.writer(out, lineterminator=end)
+        writer.writerow(names)
+        for k in range(rows):
+            # The second file has no cell with a line break, so its splits take the short way.
+            writer.writerow([rng.choice(bits) if rng.random() < 0.3 and n != 1 else f"v{k}" for _ in names])
+            if n == 2 and rng.random() < 0.1:
+                out.write("\n")
+        (tmp_path / f"{n}.csv").write_text(("\ufeff" if n == 1 else "") + out.getvalue(), newline="")
+        for k, row in enumerate(csv.DictReader(io.StringIO(out.getvalue(), newline=""))):
+            want.append((f"{n}.csv", k + 2, len(want) + 2, *[row[c] for c in UNIT_CSV]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        lines = read_unit_csv(spark, str(tmp_path))
+        got = [(r["file"].rsplit("/", 1)[1], r["record"], r["line"], *[r[c] or "" for c in UNIT_CSV]) for r in lines.orderBy("line").collect()]
+        n_splits = read_lines(spark, str(tmp_path)).select("file", "split").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == want
+    assert n_splits > (20 if split == "5k" else 3)
+
+
+def test_plain_quotes_inside_cells(spark, tmp_path):
+    """A quote that does not begin a cell is text, and opens nothing."""
+    (tmp_path / "in.csv").write_text(",".join(UNIT_CSV) + '\n1,o,5" disk,,,,s,,,\n2,o,"a ""b""",,,,s,,,\n3,o,x,,,,"t\nu",,,\n')
+    lines = read_unit_csv(spark, str(tmp_path / "in.csv"))
+    assert values(lines, "line", "vendor_ont_id", "serial") == [(2, '5" disk', "s"), (3, 'a "b"', "s"), (4, "x", "t\nu")]
+
+
 def test_csv_that_is_not_utf8_is_refused(spark, tmp_path):
     header = ",".join(UNIT_CSV)
     (tmp_path / "good.csv").write_bytes(f"{header}\n1,o,u,,,,é,,,\n".encode())
