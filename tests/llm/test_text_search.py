@@ -1,6 +1,7 @@
 """Near copies, embeddings, benchmark passages, licenses, shards: against brute force or SQL."""
 
 import random
+import time
 import re
 from collections import Counter, defaultdict
 
@@ -190,27 +191,62 @@ def test_changed_or_missing_word_at_an_end_of_a_wording(name, place, put):
     assert text[found[0]["start"]:found[0]["end"]].split() == (words[1:] if place == "first" else words[:-1])
 
 
-def test_alignment_has_the_fewest_differences():
-    rng = random.Random(12)
-
-    def common(a, b):
-        row = [0] * (len(b) + 1)
-        for x in a:
-            old = row[:]
-            for j, y in enumerate(b):
-                row[j + 1] = old[j] + 1 if x == y else max(old[j + 1], row[j])
-        return row
-
-    for _ in range(2000):
-        wanted = rng.choices("abcdefgh", k=rng.randint(1, 14))
-        span = [rng.choice("abcdefgh") if rng.random() < 0.15 else w for w in wanted if rng.random() > 0.1] + rng.choices("abcdefgh", k=rng.randint(0, 5))
-        allowed = rng.randint(0, len(wanted) - 1)
-        best = min(max(len(wanted), j) - n for j, n in enumerate(common(wanted, span)))
-        found = licenses.Scanner._aligned(wanted, span, 0, allowed)
-        assert (found is not None) == (best <= allowed)
-        if found:
-            end, missing, added = found
-            assert max(len(missing), len(added)) == best and len(wanted) - len(missing) == end - len(added)
+def common(a, b):
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        old = row[:]
+        for j, y in enumerate(b):
+            row[j + 1] = old[j] + 1 if x == y else max(old[j + 1], row[j])
+    return row[-1]
+
+
+def all_stretches(words, wanted, allowed):
+    """The best stretch over all begins and ends, then the best of those that do not overlap it, and so on."""
+    size, offers = len(wanted), []
+    for begin in range(len(words)):
+        for end in range(begin + 1, min(len(words), begin + size + allowed) + 1):
+            agreeing = common(wanted, words[begin:end])
+            differences = max(size, end - begin) - agreeing
+            if differences <= allowed:
+                offers.append((differences, -agreeing, end - begin, begin))
+    taken = []
+    for _, _, length, begin in sorted(offers):
+        if all(begin >= e or begin + length <= b for b, e in taken):
+            taken.append((begin, begin + length))
+    return sorted(taken)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_wordings_equal_those_over_all_begins_and_ends(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        wanted = rng.choices("abcdefghij", k=rng.randint(1, 25))
+        words = []
+        for _ in range(rng.randint(1, 2)):
+            words += rng.choices("abcdefghijxy", k=rng.randint(0, 12))
+            words += [rng.choice("abcxy") if rng.random() < 0.05 else w for w in wanted if rng.random() > 0.05]
+        words += rng.choices("abcdefghijxy", k=rng.randint(0, 12))
+        scanner = licenses.Scanner({"t": " ".join(wanted)}, tolerance=rng.choice([0.1, 0.2]))
+        found = scanner.wordings(words, scanner.templates[0])
+        assert [(a, b) for a, b, _, _ in found] == all_stretches(words, wanted, int(scanner.tolerance * len(wanted)))
+        for a, b, missing, added in found:
+            assert len(wanted) - len(missing) == b - a - len(added) == common(wanted, words[a:b])
+
+
+def test_neighbouring_wordings_are_all_found_without_differences():
+    scanner, names = licenses.Scanner(TEMPLATES), sorted(TEMPLATES)
+    for seed in range(40):
+        random.Random(seed).shuffle(names)
+        found = scanner.scan(" and then ".join(["Look here", *(TEMPLATES[n] for n in names)]))[1]
+        assert [(f["license"], f["differences"]) for f in found] == [(n, 0) for n in names]
+
+
+def test_a_long_text_of_short_notices():
+    start = time.time()
+    text = "All rights reserved. " * 250_000
+    assert len(licenses.Scanner(TEMPLATES).scan(text)[1]) == 250_000
+    assert time.time() - start < 30
 
 
 def test_changed_wordings_and_edges(spark):
