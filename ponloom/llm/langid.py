@@ -126,12 +126,12 @@ def _sums(batch_lang: np.ndarray, hashes: np.ndarray, n: np.ndarray | None = Non
 
 
 def _count_words(sample: DataFrame) -> DataFrame:
-    """(lang, word, key, n) of a sample with numbers for languages."""
+    """(lang, word, key, n) of a sample with numbers for languages. Lower case is that of ``identify``."""
 
     def run(batches):
         for batch in batches:
             lang = batch.column(1).to_numpy()
-            for lo, hi, w in words(batch.column(0)):
+            for lo, hi, w in words(pc.utf8_lower(batch.column(0))):
                 doc_lang = np.repeat(lang[lo:hi], np.diff(w.offsets))
                 first, count = _sums(doc_lang, w.hashes)
                 yield pa.RecordBatch.from_arrays([
@@ -169,7 +169,7 @@ def fit(
     are counted in tasks; the driver gets a row of 17 bytes for each that a language has, and languages are joined, so there may be many.
     With ``id_col`` the sample is chosen by document, else by text, all copies or none.
     """
-    rows = labelled_rows(labelled, F.lower(F.col(text_col)), F.col(lang_col), id_col).filter("text IS NOT NULL AND label IS NOT NULL")
+    rows = labelled_rows(labelled, F.col(text_col), F.col(lang_col), id_col).filter("text IS NOT NULL AND label IS NOT NULL")
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     empty = {n: np.zeros(0, np.uint64) for n in range(1, LONGEST + 1)}
     if not counts:
