@@ -1,19 +1,17 @@
 """Shards of near equal bytes by histogram sort.
 
-Rows are ordered by a 64-bit hash of their text and, within it, by a hash of the id, so equal texts are neighbours. Probes, candidate
-boundaries in that order, are counted exactly over all partitions: how many bytes lie below each. Around every target the
-probes draw closer until a boundary is found whose count is within the tolerance. Only counts below probes come to
-the driver. Then rows are exchanged once, to many ranges inside each shard, numbered there, and each range starts
-where the ones before it end.
-
-A boundary is the end of a group of equal texts where one lies within the tolerance, and else cuts through a group by the
-id's hash. Rows with equal text and equal id cannot be told apart and stay together, so a shard can miss its share by
-more only through such repeated rows or one long text. Null texts have no bytes and lie together; null ids are one id.
+Rows are ordered by a 64-bit hash of their text and, within it, by a hash of the id and of the row's place in the input, so equal texts
+are neighbours. Probes, candidate boundaries in that order, are counted exactly over all partitions: how many bytes lie below each.
+Around every target the probes draw closer until a boundary is found whose count is within the tolerance. Only counts below
+probes come to the driver. Then rows are exchanged once, to ranges inside the shards, and each range starts where the ones before it end.
+
+A boundary is the end of a group of equal texts where one lies within the tolerance, and else cuts through a group, also through rows that are
+alike in all columns. So a shard can miss its share by more only through one long text. Null texts have no bytes and lie together;
+null ids are one id.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,8 +24,8 @@ from ponloom.operators.lineage import stored
 
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 PROBES = 16
-#: Ranges inside one shard: enough for tasks of about RANGE_BYTES, within these bounds, which also bound what the driver holds.
-FEWEST, MOST, RANGE_BYTES = 128, 4096, 64 << 20
+#: Bytes of text that a task of the exchange gets, about.
+RANGE_BYTES = 64 << 20
 
 
 @dataclass
@@ -129,16 +127,16 @@ def splitters(rows: DataFrame, targets: list[Target]) -> list[tuple[int, int]]:
     return [t.found for t in targets]
 
 
-def _with_range(rows: DataFrame, bounds: list[tuple[int, int]], name: str, text_key: str = "text_key", id_key: str = "id_key") -> DataFrame:
-    """Add, as ``name``, how many boundaries lie at or below each row."""
+def _with_shard(rows: DataFrame, bounds: list[tuple[int, int]], text_key: str, id_key: str) -> DataFrame:
+    """Add, as ``shard``, how many boundaries lie at or below each row."""
     edges = np.array(bounds, np.int64).reshape(-1, 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             number = _cells(edges, *_columns(batch, text_key, id_key))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number.astype(np.int32))], names=[*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number.astype(np.int32))], names=[*batch.schema.names, "shard"])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.IntegerType())]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("shard", T.IntegerType())]))
 
 
 def shard(docs: DataFrame, shards: int = 8, tolerance: float = 0.01, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,34 +146,23 @@ def shard(docs: DataFrame, shards: int = 8, tolerance: float = 0.01, id_col: str
     """
     text = F.col(text_col)
     docs = docs.drop("size", "shard", "slot")
-    a, b, number, before, nth = (unused(docs, c) for c in ("_text_key", "_id_key", "_range", "_before", "_nth"))
+    a, b, part, nth = (unused(docs, c) for c in ("_text_key", "_id_key", "_part", "_nth"))
     keyed = docs.withColumns({
-        a: F.xxhash64(F.coalesce(text, F.lit("")), text.isNull()), b: F.xxhash64(F.lit("id"), F.col(id_col)),
+        a: F.xxhash64(F.coalesce(text, F.lit("")), text.isNull()), b: F.xxhash64(F.lit("id"), F.col(id_col), F.monotonically_increasing_id()),
         "size": (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long"),
     })
     narrow = stored(keyed.select(F.col(a).alias("text_key"), F.col(b).alias("id_key"), "size"), "keys")
     total = narrow.agg(F.sum("size").alias("b")).first()["b"] or 0
-    ranges = min(MOST, max(FEWEST, -(-total // (shards * RANGE_BYTES))))
     share = total / shards
-    targets = [
-        Target(round(share * k / ranges), tolerance / 2 * share if k % ranges == 0 else share / ranges / 4, total)
-        for k in range(1, shards * ranges)
-    ]
-    found = splitters(narrow, targets)
-    # A boundary of a shard wins over those of ranges that came to lie beyond it.
-    bounds = sorted(found)
-    between = sorted(found[k * ranges - 1] for k in range(1, shards))
-    first = [bisect_right(bounds, b) for b in between]
-    sizes = _with_range(narrow, bounds, "_range").groupBy("_range").agg(F.count("*").alias("n")).collect()
-    count = {r["_range"]: r["n"] for r in sizes}
-    table, rows_before = [], [0] * shards
-    for cell in range(len(bounds) + 1):
-        owner = sum(cell >= f for f in first)
-        table.append((cell, owner, rows_before[owner]))
-        rows_before[owner] += count.get(cell, 0)
-    places = docs.sparkSession.createDataFrame(table, f"{number} int, shard int, {before} long")
-    order = Window.partitionBy(number).orderBy(a, b)
-    numbered = _with_range(keyed, bounds, number, a, b).withColumn(nth, F.row_number().over(order) - 1)
-    # One row for each range: at most MOST times the shards.
-    placed = numbered.join(F.broadcast(places), number).withColumn("slot", (F.col(before) + F.col(nth)).cast("long"))
-    return placed.drop(number, before, nth, a, b)
+    found = splitters(narrow, [Target(round(share * k), tolerance / 2 * share, total) for k in range(1, shards)])
+    # Inside the shards the rows are dealt by ranges of the same order, as many as there are tasks' worth of bytes.
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
+    order = ["shard", a, b]
+    exchanged = _with_shard(keyed, sorted(found), a, b).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # Written with its range and its place there, from which the slots follow.
+    placed = stored(exchanged.withColumns({part: F.spark_partition_id(), nth: F.monotonically_increasing_id()}), "shards")
+    ranges = placed.groupBy("shard", part).agg(F.count("*").alias("n"), F.min(nth).alias("first"))
+    # One row for each range of a shard.
+    before = F.sum("n").over(Window.partitionBy("shard").orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    starts = ranges.select("shard", part, (F.coalesce(before, F.lit(0)) - F.col("first")).alias("_start"))
+    return placed.join(starts, ["shard", part]).withColumn("slot", (F.col("_start") + F.col(nth)).cast("long")).drop(part, nth, a, b, "_start")
