@@ -15,11 +15,12 @@ a digest of ids.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ponloom.llm.words import words
@@ -121,24 +122,33 @@ class Block:
         return self._inside(which[keep], first[keep], last[keep])
 
     def _chain(self, rows, sizes, which, place, rare, slop):
-        """Nearest following and preceding postings with at most ``slop`` words between neighbours; -1 where the chain breaks."""
-        first, last = place.copy(), place.copy()
-        anchor = rare[which]
-        for step in range(1, rows.shape[1]):
-            right, left = anchor + step, anchor - step
-            for end, offset, forward in ((last, right, True), (first, left, False)):
-                go = (offset >= 0) & (offset < sizes[which]) & (first >= 0)
-                known = rows[which[go], offset[go]]
-                if forward:
-                    at = np.searchsorted(self.postings, known << 32 | end[go], "right")
-                else:
-                    at = np.searchsorted(self.postings, known << 32 | end[go], "left") - 1
-                post = self.postings[np.clip(at, 0, len(self.postings) - 1)]
-                near = (at >= 0) & (at < len(self.postings)) & (post >> 32 == known) & (np.abs((post & 0xFFFFFFFF) - end[go]) <= slop + 1)
-                end[go] = np.where(near, post & 0xFFFFFFFF, end[go])
-                broken = np.flatnonzero(go)[~near]
-                first[broken] = -1
-        return first, last + 1
+        """From the rarest word of each occurrence to both ends, with at most ``slop`` words between neighbours: the nearest begin and end.
+
+        All positions that can be reached are followed at each step, for the nearest one may lead nowhere. First is -1 where no chain is whole.
+        """
+        anchor, first, last = rare[which], np.full(len(which), -1, np.int64), np.full(len(which), -1, np.int64)
+        for forward, out in ((True, last), (False, first)):
+            who, at = np.arange(len(which)), place.copy()
+            for step in range(rows.shape[1]):
+                offset = anchor[who] + step if forward else anchor[who] - step
+                ends = offset == (sizes[which[who]] - 1 if forward else 0)
+                # Of the positions at an end the one nearest to the rarest word.
+                arrived, spot = who[ends], at[ends]
+                order = np.lexsort((spot if forward else -spot, arrived))
+                arrived, pick = np.unique(arrived[order], return_index=True)
+                out[arrived] = spot[order][pick]
+                who, at, offset = who[~ends], at[~ends], offset[~ends]
+                if not len(who):
+                    break
+                known = rows[which[who], offset + (1 if forward else -1)] << 32
+                low, high = (at + 1, at + slop + 1) if forward else (np.maximum(at - slop - 1, 0), at - 1)
+                begin = np.searchsorted(self.postings, known | np.maximum(low, 0), "left")
+                end = np.where(high >= low, np.searchsorted(self.postings, known | np.maximum(high, 0), "right"), begin)
+                count = end - begin
+                nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                reached = self.postings[np.repeat(begin, count) + nth] & 0xFFFFFFFF
+                who, at = np.unique(np.stack([np.repeat(who, count), reached]), axis=1)
+        return np.where((first >= 0) & (last >= 0), first, -1), last + 1
 
     def _inside(self, which, first, last):
         begin = np.searchsorted(self.documents, first, "right")
@@ -219,21 +229,32 @@ def search(
 ) -> DataFrame:
     """(id, n_words, n_hit, spans, items) for every document of the index.
 
-    ``spans`` are stretches of word numbers that lie in occurrences of passages, merged within a pass, ``n_hit`` their words, ``items`` the
-    distinct items. With ``slop`` neighbouring words of a passage may have up to that many other words between them (the
-    nearest occurrence counts). About ``per_pass`` passages go with the tasks of one pass over the index; a larger
-    benchmark is dealt by hash to several passes, whose results are merged by document.
+    ``spans`` are stretches of word numbers that lie in occurrences of passages, merged, ``n_hit`` their words, ``items`` the
+    distinct items. With ``slop`` neighbouring words of a passage may have up to that many other words between them. An occurrence
+    reaches from its rarest word to the nearest begin and the nearest end that a whole chain leads to. About ``per_pass`` passages go
+    with the tasks of one pass over the index; a larger benchmark is dealt by hash to several passes, each written before the
+    next one's passages are fetched, and their results are merged by document.
     """
     found = passages(benchmark, window, id_col, text_col)
     passes = max(1, -(-found.count() // per_pass))
-    deal = F.pmod(F.xxhash64("item", "terms"), F.lit(passes))
-    results = [_search(index, found.filter(deal == k).toArrow(), slop) for k in range(passes)]
-    out = results[0]
-    if passes > 1:
-        for more in results[1:]:
-            out = out.unionAll(more)
-        out = out.groupBy("block", "place").agg(
-            F.first("id").alias("id"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
-    hit = """aggregate(array_sort(spans), named_struct('n', 0L, 'upto', 0L),
-        (s, x) -> named_struct('n', s.n + greatest(0L, x.end - greatest(x.start, s.upto)), 'upto', greatest(s.upto, x.end)), s -> s.n)"""
-    return out.select("id", "n_words", F.expr(hit).alias("n_hit"), F.array_sort("spans").alias("spans"), F.array_distinct("items").alias("items"))
+    if passes == 1:
+        out = _search(index, found.toArrow(), slop)
+    else:
+        found = stored(found, "passages")
+        deal = F.pmod(F.xxhash64("item", "terms"), F.lit(passes))
+        out = _merged([stored(_search(index, found.filter(deal == k).toArrow(), slop), "pass") for k in range(passes)])
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return out.select("id", "n_words", hit.alias("n_hit"), "spans", F.array_distinct("items").alias("items"))
+
+
+def _merged(passes: list[DataFrame]) -> DataFrame:
+    """The results of several passes as those of one."""
+    key, rows = ["block", "place"], reduce(DataFrame.unionAll, passes)
+    each = rows.select(*key, F.explode("spans").alias("s")).select(*key, "s.start", "s.end")
+    earlier = Window.partitionBy(*key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    begins = each.withColumn("begins", (F.col("start") > F.coalesce(F.max("end").over(earlier), F.lit(-1))).cast("int"))
+    run = F.sum("begins").over(Window.partitionBy(*key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0))
+    spans = begins.withColumn("run", run).groupBy(*key, "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).groupBy(*key).agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    docs = rows.groupBy(*key).agg(F.first("id").alias("id"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("items")).alias("items"))
+    return docs.join(spans, key, "left").withColumn("spans", F.coalesce("spans", F.expr("CAST(array() AS array<struct<start:bigint,end:bigint>>)")))
