@@ -40,8 +40,8 @@ def kinds(w: Words) -> list[np.ndarray]:
     return [w.hashes, w.prefixes[4], w.prefixes[6], w.suffixes[4]]
 
 
-def marginals(x: np.ndarray, offsets: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probability of tag 1 for each token, and log Z for each sequence.
+def marginals(x: np.ndarray, offsets: np.ndarray, trans: np.ndarray, pairs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Probability of tag 1 for each token, and log Z for each sequence. Expected pairs of neighbouring tags are added to ``pairs``.
 
     ``x`` is the weight of tag 1 of each token (tag 0 has weight 1), ``trans[i, j]`` that of tag j after i; a sequence
     starts after tag 0. Sequences are cut into blocks that run side by side: 2 x 2 products of whole blocks give the
@@ -97,11 +97,14 @@ def marginals(x: np.ndarray, offsets: np.ndarray, trans: np.ndarray) -> tuple[np
         end0[here], end1[here] = e0 / (e0 + e1), e1 / (e0 + e1)
     a0, a1, norm = start0, start1, np.zeros(total)
     alpha = np.zeros((BLOCK, total))
+    came = np.zeros((BLOCK, total)) if pairs is not None else None
     for t in range(BLOCK):
         a = active[t]
         if not a:
             break
         w = x[begin[:a] + t]
+        if came is not None:
+            came[t, :a] = a1[:a]
         n0, n1 = a0[:a] * t00 + a1[:a] * t10, (a0[:a] * t01 + a1[:a] * t11) * w
         scale = n0 + n1
         norm[:a] += np.log(scale)
@@ -116,6 +119,10 @@ def marginals(x: np.ndarray, offsets: np.ndarray, trans: np.ndarray) -> tuple[np
         up, down = al * b1[:a], (1 - al) * b0[:a]
         marginal[at] = up / (up + down)
         w = x[at]
+        if came is not None:
+            last = came[t, :a]
+            both = [(1 - last) * t00 * b0[:a], (1 - last) * t01 * w * b1[:a], last * t10 * b0[:a], last * t11 * w * b1[:a]]
+            pairs += np.stack(both).dot(1 / np.add.reduce(both)).reshape(2, 2)
         n0, n1 = t00 * b0[:a] + t01 * w * b1[:a], t10 * b0[:a] + t11 * w * b1[:a]
         b0[:a], b1[:a] = n0 / (n0 + n1), n1 / (n0 + n1)
     np.add.at(log_z, doc, norm)
@@ -213,8 +220,8 @@ def likelihood_ratio(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarr
     return np.where(a * n0 > b * n1, 2 * (term(a, n1, p) + term(b, n0, p)), 0.0)
 
 
-def _windows(sample: DataFrame, marked: np.ndarray, width: int) -> DataFrame:
-    """One stretch of each sampled document: around a marked token where there is one, else anywhere.
+def _sequences(sample: DataFrame, marked: np.ndarray) -> DataFrame:
+    """The words of each sampled document with their tags.
 
     Marked tokens of other than toxic documents are tagged 0: they teach where a mark alone is no sign.
     """
@@ -226,24 +233,15 @@ def _windows(sample: DataFrame, marked: np.ndarray, width: int) -> DataFrame:
             for lo, hi, w in _runs(batch.column(0)):
                 feats = kinds(w)
                 hit = np.logical_or.reduce([lookup(f) >= 0 for f in feats])
-                out, tags = [], []
-                for i in range(hi - lo):
-                    a, b = int(w.offsets[i]), int(w.offsets[i + 1])
-                    if a == b:
-                        continue
-                    found = np.flatnonzero(hit[a:b])
-                    pick = int(w.hashes[a] % np.uint64(len(found) or b - a))
-                    centre = a + (int(found[pick]) if len(found) else pick)
-                    s = max(a, min(centre - width // 2, b - width))
-                    e = min(b, s + width)
-                    out.append(np.stack([f[s:e] for f in feats]).astype("<u8").tobytes())
-                    tags.append((hit[s:e] & (label[lo + i] == 1)).astype(np.uint8).tobytes())
+                spans = [(i, int(w.offsets[i]), int(w.offsets[i + 1])) for i in range(hi - lo) if w.offsets[i] < w.offsets[i + 1]]
+                out = [np.stack([f[a:b] for f in feats]).astype("<u8").tobytes() for _, a, b in spans]
+                tags = [(hit[a:b] & (label[lo + i] == 1)).astype(np.uint8).tobytes() for i, a, b in spans]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(tags, pa.binary())], names=["feats", "tags"])
 
     return sample.select("text", "label").mapInArrow(run, "feats binary, tags binary")
 
 
-def train_field(feats: list[np.ndarray], tags: list[np.ndarray], marked: np.ndarray, steps: int = 200, decay: float = 1e-5) -> Model:
+def train_field(feats: list[np.ndarray], tags: list[np.ndarray], marked: np.ndarray, steps: int = 40, decay: float = 1e-6) -> Model:
     """Maximise the likelihood of tagged sequences with Adam on the full gradient."""
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in tags])])
     flat = [np.concatenate([f[k] for f in feats]) for k in range(KINDS)]
@@ -254,11 +252,11 @@ def train_field(feats: list[np.ndarray], tags: list[np.ndarray], marked: np.ndar
     model.lookup = Lookup(keys)
     rows = model.rows(flat)
     after, before = neighbours(rows[0], offsets)
-    uses = [("own", r) for r in rows] + [("prev", before), ("next", after)]
+    uses = [(name, r[r >= 0], np.flatnonzero(r >= 0)) for name, r in [*(("own", r) for r in rows), ("prev", before), ("next", after)]]
     firsts = offsets[:-1][np.diff(offsets) > 0]
     last = np.concatenate([[0.0], gold[:-1]])
     last[firsts] = 0
-    gold_pairs = np.array([[0.0, ((last == 0) & (gold == 1)).sum()], [((last == 1) & (gold == 0)).sum(), ((last == 1) & (gold == 1)).sum()]])
+    gold_pairs = np.array([[((last == 0) & (gold == 0)).sum(), ((last == 0) & (gold == 1)).sum()], [((last == 1) & (gold == 0)).sum(), ((last == 1) & (gold == 1)).sum()]])
     state = {}
 
     def adam(name, value, grad, step, rate=0.25):
@@ -269,23 +267,19 @@ def train_field(feats: list[np.ndarray], tags: list[np.ndarray], marked: np.ndar
 
     for step in range(1, steps + 1):
         x = model.weights(rows, offsets)
-        trans = np.exp(model.trans)
-        p, _ = marginals(x, offsets, trans)
+        pairs = np.zeros((2, 2))
+        p, _ = marginals(x, offsets, np.exp(model.trans), pairs)
         diff = gold - p
         grads = {n: np.zeros(len(keys)) for n in ("own", "prev", "next")}
-        for name, r in uses:
-            ok = r >= 0
-            grads[name] += np.bincount(r[ok], diff[ok], len(keys))
+        for name, r, ok in uses:
+            grads[name] += np.bincount(r, diff[ok], len(keys))
         for name in grads:
             setattr(model, name, adam(name, getattr(model, name), grads[name] - decay * len(gold) * getattr(model, name), step))
         model.bias = float(adam("bias", model.bias, diff.sum(), step))
-        # Expected pairs of tags, from neighbouring marginals: the field is close to deterministic, so their product serves as the estimate.
-        q = np.concatenate([[0.0], p[:-1]])
-        q[firsts] = 0
-        pairs = np.array([[0.0, ((1 - q) * p).sum()], [(q * (1 - p)).sum(), (q * p).sum()]])
-        change = np.clip((gold_pairs - pairs) / max(1.0, gold.sum()), -1, 1) * 0.5
-        change[0, 0] = 0
-        model.trans = np.clip(model.trans + change, -6, 6)
+        # The weight of 0 after 0 is fixed: that of the other pairs and the bias say the same.
+        change = (gold_pairs - pairs) * np.array([[0.0, 1.0], [1.0, 1.0]])
+        model.trans = np.clip(adam("trans", model.trans, change, step), -6, 6)
+        model.trans[0, 0] = 0
     return model
 
 
@@ -305,14 +299,12 @@ def logistic(rows: np.ndarray, label: np.ndarray, weight: np.ndarray, ridge: flo
 
 
 def fit(
-    labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", per_class: int = 2500, width: int = 64, max_marks: int = 20_000,
-    min_ratio: float = 8.0, id_col: str | None = None,
+    labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", per_class: int = 2500, min_ratio: float = 8.0,
+    id_col: str | None = None,
 ) -> Model:
     """Fit on a sample of about ``per_class`` labelled rows of each label.
 
-    ``width`` tokens of each sampled document train the field; its whole text counts for the marks and the calibration.
-    A feature marks tokens if it is at least ``min_ratio`` times as frequent among toxic documents and passes the test;
-    at most ``max_marks`` do, those of the strongest test first.
+    Whole texts train the field. A feature marks tokens if it is at least ``min_ratio`` times as frequent among toxic documents and passes the test.
     With ``id_col`` the sample is chosen by document, else by text, all copies or none.
     """
     rows = labelled_rows(labelled, F.coalesce(F.col(text_col), F.lit("")), F.col(label_col).cast("int"), id_col).filter("label IN (0, 1)")
@@ -327,17 +319,18 @@ def fit(
     if len(taken) < 2:
         return nothing
     n1, n0 = taken[1], taken[0]
-    found = _feature_counts(sample).filter("toxic >= 2").withColumn("lift", F.expr(f"toxic / {n1} - clean / {n0}"))
-    tested = found.agg(F.count("*").alias("n"), F.max("toxic").alias("a")).first()
-    table = found.filter("lift > 0").orderBy(F.desc("lift"), "key").limit(10 * max_marks).select("key", "toxic", "clean").toArrow()
-    a, b = table["toxic"].to_numpy(), table["clean"].to_numpy()
-    strength = likelihood_ratio(a, b, n1, n0)
-    strength = np.where(a * n0 >= min_ratio * (b + 0.5) * n1, strength, 0.0)
-    order = np.argsort(-strength, kind="stable")[:max_marks]
-    marked = table["key"].to_numpy().view(np.uint64)[order[strength[order] > 2 * math.log(max(tested["n"], 1) / 0.05)]]
+    found = stored(_feature_counts(sample).filter("toxic >= 2"), "toxicity-features")
+    least = 2 * math.log(max(found.count(), 1) / 0.05)
+
+    def strong(batches):
+        for batch in batches:
+            a, b = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            yield batch.filter(pa.array((a * n0 >= min_ratio * (b + 0.5) * n1) & (likelihood_ratio(a, b, n1, n0) > least)))
+
+    marked = np.sort(found.mapInArrow(strong, found.schema).toArrow()["key"].to_numpy().view(np.uint64))
     if not len(marked):
         return nothing
-    taken = _windows(sample, marked, width).toArrow()
+    taken = _sequences(sample, marked).toArrow()
     if not len(taken):
         return nothing
     model = train_field(
