@@ -2,7 +2,7 @@
 
 Tokens are runs without white space. A token has a word (its characters, A-Z as a-z) and a shape (capitals, signs, digits, length,
 and whether it repeats the token before it). Each term, word or shape, has a sparse random index vector that follows
-from its hash; its context vector is the sum of the index vectors of the terms around it in a sample of the corpus. Words that are not
+from its hash; its context vector is the sum of the index vectors of the terms around it in all documents. Words that are not
 in the vocabulary are represented by their shape. A document is the mean of its word vectors and of its shape vectors and the mean
 change of both from one token to the next. A network with one hidden layer, in numpy, gives log odds, and a
 temperature and an offset fitted on documents kept apart turn them into probabilities.
@@ -24,6 +24,8 @@ from ponloom.llm.words import Lookup, Words, mix, words
 from ponloom.operators.lineage import stored
 
 DIMENSION, NONZERO, NEAR, SLICE = 32, 4, 2, 65536
+#: Tokens, or words with counts, that a task holds before it sums them up.
+HELD = 1 << 19
 #: Weight, in tokens, of the mean of all documents in that of one.
 PRIOR_TOKENS = 4
 SHAPES = 3 * 4 * 2 * 5 * 2
@@ -135,43 +137,78 @@ def excerpts(w: Words) -> Words:
     return Words(w.hashes[at], w.starts[at], w.ends[at], offsets, w.base, w.data, {}, {})
 
 
-def _vocabulary(sample: DataFrame, max_words: int, min_count: int) -> np.ndarray:
+def _vocabulary(corpus: DataFrame, min_count: int, min_share: float) -> np.ndarray:
+    """Words that are at least ``min_share`` of all tokens, so at most its inverse many; sums are made in the tasks before the shuffle."""
+    def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        merged, at = np.unique(np.concatenate(keys), return_inverse=True)
+        return merged, np.bincount(at, np.concatenate(counts), len(merged)).astype(np.int64)
+
+    def rows(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
+
     def run(batches):
+        keys, counts, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
         for batch in batches:
             for _, _, w in words(batch.column(0), solid=True):
-                keys, n = np.unique(w.hashes, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
-
-    counted = sample.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    top = counted.filter(F.col("n") >= min_count).orderBy(F.desc("n"), "key").limit(max_words)
-    return np.sort(top.toArrow()["key"].to_numpy().view(np.uint64))
-
-
-def _context_vectors(sample: DataFrame, keys: np.ndarray) -> np.ndarray:
+                some, n = np.unique(w.hashes, return_counts=True)
+                keys.append(some)
+                counts.append(n.astype(np.int64))
+                held += len(some)
+                if held > HELD:
+                    merged, n = summed(keys, counts)
+                    if len(merged) > HELD // 2:
+                        yield rows(merged, n)
+                        merged, n = merged[:0], n[:0]
+                    keys, counts, held = [merged], [n], len(merged)
+        yield rows(*summed(keys, counts))
+
+    counted = corpus.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counted = stored(counted, "quality-words")
+    total = counted.agg(F.sum("n").alias("n")).first()["n"] or 0
+    often = counted.filter(F.col("n") >= max(min_count, min_share * total)).select("key")
+    return np.sort(often.toArrow()["key"].to_numpy().view(np.uint64))
+
+
+def _context_vectors(corpus: DataFrame, keys: np.ndarray) -> np.ndarray:
     """Sums of the index vectors of near terms, of unit length; a term whose sum is zero keeps its index vector."""
     terms = np.concatenate([keys, _shape_keys()])
     places, signs = index_vectors(terms)
     blank = Model(keys, np.zeros((len(terms), 1), np.float32), 0.0)
 
+    def near_sums(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Whole numbers, so that sums do not depend on the order. Parts are (document, row of the word, row of the shape) of tokens."""
+        total, doc = np.zeros(len(terms) * DIMENSION, np.int64), np.concatenate([p[0] for p in parts])
+        for kind in (1, 2):
+            row = np.concatenate([p[kind] for p in parts])
+            for step in range(1, NEAR + 1):
+                near = doc[step:] == doc[:-step]
+                left, right = row[:-step][near], row[step:][near]
+                a, b = np.concatenate([left, right]) * DIMENSION, np.concatenate([right, left])
+                for k in range(NONZERO):
+                    total += np.bincount(a + places[b, k], signs[b, k], len(total)).astype(np.int64)
+        return total
+
     def run(batches):
-        total = np.zeros(len(terms) * DIMENSION)
+        total, parts, held, documents = np.zeros(len(terms) * DIMENSION, np.int64), [], 0, 0
         for batch in batches:
             for _, _, w in words(batch.column(0), solid=True):
-                doc = np.repeat(np.arange(len(w.offsets) - 1), np.diff(w.offsets))
-                for row in blank.rows(w):
-                    for step in range(1, NEAR + 1):
-                        near = doc[step:] == doc[:-step]
-                        left, right = row[:-step][near], row[step:][near]
-                        for a, b in ((left, right), (right, left)):
-                            for k in range(NONZERO):
-                                total += np.bincount(a * DIMENSION + places[b, k], signs[b, k], len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["cell", "value"])
-
-    sums = sample.select("text").mapInArrow(run, "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
-    total = np.zeros(len(terms) * DIMENSION)
-    total[sums["cell"].to_numpy()] = sums["value"].to_numpy()
-    vectors = total.reshape(-1, DIMENSION)
+                n = len(w.offsets) - 1
+                parts.append((documents + np.repeat(np.arange(n), np.diff(w.offsets)), *blank.rows(w)))
+                documents, held = documents + n, held + len(w.hashes)
+                if held > HELD:
+                    total += near_sums(parts)
+                    parts, held = [], 0
+        if parts:
+            total += near_sums(parts)
+        grid = total.reshape(-1, DIMENSION)
+        some = np.flatnonzero(grid.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(grid[some, c]) for c in range(DIMENSION))], names=["term", *cells])
+
+    cells = [f"c{c}" for c in range(DIMENSION)]
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("term", *cells)])
+    sums = corpus.select("text").mapInArrow(run, schema).groupBy("term").agg(*[F.sum(c).alias(c) for c in cells]).toArrow()
+    vectors = np.zeros((len(terms), DIMENSION))
+    vectors[sums["term"].to_numpy()] = np.stack([sums[c].to_numpy() for c in cells], 1)
     own = np.zeros_like(vectors)
     np.add.at(own, (np.arange(len(terms))[:, None], places), signs)
     # The own index vector, at half weight, keeps terms of like surroundings apart.
@@ -216,11 +253,13 @@ def calibrate(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 
 def fit(
-    labelled: DataFrame, text_col: str = "text", label_col: str = "quality", per_class: int = 2500, max_words: int = 20_000, min_count: int = 5,
-    hidden: int = 32, epochs: int = 30, id_col: str | None = None,
+    labelled: DataFrame, text_col: str = "text", label_col: str = "quality", per_class: int = 2500, min_count: int = 5, min_share: float = 2e-5,
+    hidden: int = 32, epochs: int = 30, id_col: str | None = None, corpus: DataFrame | None = None,
 ) -> Model:
-    """Fit on a sample of about ``per_class`` labelled rows of each label; the ``max_words`` most frequent words get vectors of their own.
+    """Fit the network on a sample of about ``per_class`` labelled rows of each label, and the vectors on all of ``corpus``.
 
+    Words of at least ``min_count`` occurrences and ``min_share`` of all tokens of the corpus get vectors of their own. Without a
+    corpus all labelled rows are one.
     With ``id_col`` the sample is chosen by document, else by text, all copies or none.
     """
     rows = labelled_rows(labelled, F.coalesce(F.col(text_col), F.lit("")), F.col(label_col).cast("int"), id_col).filter("label IN (0, 1)")
@@ -230,8 +269,9 @@ def fit(
     if len(counts) < 2:
         return model
     sample = stored(without_copies(bounded_sample(rows, counts, per_class)), "quality-sample")
-    model.keys = _vocabulary(sample, max_words, min_count)
-    model.vectors = _context_vectors(sample, model.keys)
+    texts = (labelled if corpus is None else corpus).select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    model.keys = _vocabulary(texts, min_count, min_share)
+    model.vectors = _context_vectors(texts, model.keys)
 
     def pooled(batches):
         for batch in batches:

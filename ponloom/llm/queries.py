@@ -62,7 +62,7 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = quality.fit(learnable(spark, sf_dir, "quality", 3, 1), id_col="doc_id")
+    model = quality.fit(learnable(spark, sf_dir, "quality", 3, 1), id_col="doc_id", corpus=table(spark, sf_dir, "documents"))
     scored = quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
     value = F.col("quality.score")
     return scored.select("doc_id", held_out(3, 1).alias("held_out"), value.alias("score"), F.when(value >= 0.5, 1).otherwise(0).alias("predicted"))
