@@ -203,3 +203,59 @@ def test_pooling_in_slices_changes_nothing(spark, monkeypatch):
     whole = [model.features(w) for _, _, w in words(column, solid=True)]
     monkeypatch.setattr(quality, "SLICE", 7)
     assert all(np.allclose(a, model.features(w)) for a, (_, _, w) in zip(whole, words(column, solid=True)))
+
+
+def test_pairs_of_tags_equal_sums_over_all_tag_sequences(monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 3)
+    rng = np.random.default_rng(4)
+    offsets = np.array([0, 5, 5, 12, 13])
+    x, trans = rng.uniform(0.1, 4, 13), rng.uniform(0.1, 3, (2, 2))
+    want, got = np.zeros((2, 2)), np.zeros((2, 2))
+    for a, b in zip(offsets, offsets[1:]):
+        pairs, total = np.zeros((2, 2)), 0.0
+        for tags in itertools.product((0, 1), repeat=b - a):
+            weight = np.prod([trans[i, j] * (x[a + k] if j else 1) for k, (i, j) in enumerate(zip((0, *tags), tags))])
+            total += weight
+            for i, j in zip((0, *tags), tags):
+                pairs[i, j] += weight
+        want += pairs / total
+    toxicity.marginals(x, offsets, trans, got)
+    assert np.allclose(got, want) and np.isclose(got.sum(), 13)
+
+
+def test_capitals_of_all_scripts_are_learned_and_read_alike(spark):
+    rows = [(k, f"ΟΔΟΣ ΛΟΓΟΣ ΝΗΣΟΣ ΜΕΡΟΣ {w}", "el") for k, w in enumerate(["ΤΟΠΟΣ", "ΧΡΟΝΟΣ"] * 4)]
+    rows += [(k + 90, "İSTANBUL IRMAK ISIR İKİ", "tr") for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = langid.identify(docs, langid.fit(docs, id_col="doc_id")).collect()
+    assert all(r["language"]["lang"] == r["lang"] and r["language"]["known_words"] == r["language"]["n_words"] for r in out)
+
+
+def test_vectors_come_from_all_documents(spark):
+    """Words that no labelled document has get vectors of their own, however many there are."""
+    labelled = spark.createDataFrame([(k, f"good text of words {k}" if k % 2 else "BUY!!! now >>>", k % 2) for k in range(60)], "doc_id long, text string, quality int")
+    corpus = spark.createDataFrame([(" ".join(f"only{j}" for j in range(k % 7, 30_000, 7)),) for k in range(70)] + [(None,)], "text string")
+    model = quality.fit(labelled, id_col="doc_id", corpus=corpus)
+    assert len(model.keys) > 25_000 and len(model.vectors) == len(model.keys) + quality.SHAPES
+    few = quality.fit(labelled, id_col="doc_id", corpus=corpus, min_share=0.5)
+    assert len(few.keys) == 0
+
+
+def test_counts_of_words_do_not_depend_on_what_a_task_holds(spark, monkeypatch):
+    docs = spark.createDataFrame([(" ".join(f"w{(k * j) % 50}" for j in range(200)),) for k in range(40)], "text string")
+    one = quality._vocabulary(docs, 5, 0.0), quality._context_vectors(docs, quality._vocabulary(docs, 5, 0.0))
+    monkeypatch.setattr(quality, "HELD", 16)
+    two = quality._vocabulary(docs, 5, 0.0), quality._context_vectors(docs, one[0])
+    assert (one[0] == two[0]).all() and (one[1] == two[1]).all()
+
+
+def test_every_mark_counts_and_whole_texts_train(spark):
+    """More features mark toxic words than any bound, and the marks stand behind long clean stretches."""
+    rng, bad = random.Random(9), [f"{a}{b}vile" for a in "abcdefgh" for b in "klmno"]
+    calm = [f"w{k}" for k in range(600)]
+    rows = [(k, f"{prose(rng, calm, 150)} {' '.join(bad) if k < 40 else ''}", int(k < 40)) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs, id_col="doc_id")
+    out = toxicity.score(docs, model).collect()
+    assert all((r["toxicity"]["score"] >= 0.5) == (r["toxic"] == 1) for r in out)
+    assert all(sum(x["end"] - x["start"] for x in r["toxicity"]["spans"]) >= sum(map(len, bad)) for r in out if r["toxic"])

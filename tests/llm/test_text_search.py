@@ -125,44 +125,57 @@ def test_estimates_are_unbiased_and_their_bound_holds():
 DOCS = [
     (1, "a b c d e f g h i j k"), (1, None), (None, "x b C, d-e! f z g h i j"), (3, ""), (4, "short one"), (5, "short. ONE short one"),
     (6, "short"), (8, "a x b x c x d x e x f x g x h x i x j"), (8, "a x b x c x d x e x f x g x h x i x j"), (9, "no " * 50_000 + "a b c d e f g h i j"),
+    (10, "p q x q y r"), (11, "p x q r p q z q z z r p"), (12, "r q p q r"),
 ]
-ITEMS = [(9, "a b c d e f g h i j"), (10, "short one"), (None, "e f"), (11, None), (12, ""), (9, "one short"), (13, "b c d e f g h i j k l")]
+ITEMS = [(9, "a b c d e f g h i j"), (10, "short one"), (None, "e f"), (11, None), (12, ""), (9, "one short"), (13, "b c d e f g h i j k l"), (14, "p q r"), (15, "q p q")]
 
 
-def brute_passages(slop):
+def reach(w, wanted, at, slop, step):
+    """All places where the words of ``wanted`` can end that follow ``at`` forth (1) or back (-1)."""
+    places = {at}
+    for word in wanted:
+        places = {k for p in places for k in range(p + step, p + step * (slop + 2), step) if 0 <= k < len(w) and w[k] == word}
+    return places
+
+
+def brute_passages(slop, rare=None):
+    """Occurrences by trying all positions around each place of a passage's rarest word of the block."""
     words = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").lower())
-    out = []
+    out, count = [], Counter(x for _, t in DOCS for x in words(t))
     for i, text in DOCS:
         w, hit, items = words(text), set(), set()
         for item, passage in ITEMS:
             p = words(passage)
             for at in range(max(1, len(p) - 9) if p else 0):
                 wanted = p[at:at + 10]
-                for s in range(len(w)):
-                    if w[s] != wanted[0]:
-                        continue
-                    places = [s]
-                    for nxt in wanted[1:]:
-                        near = next((k for k in range(places[-1] + 1, min(len(w), places[-1] + slop + 2)) if w[k] == nxt), None)
-                        if near is None:
-                            break
-                        places.append(near)
-                    if len(places) == len(wanted):
-                        hit.update(range(places[0], places[-1] + 1))
+                rarest = min(range(len(wanted)), key=lambda k: count[wanted[k]])
+                for s in (k for k in range(len(w)) if w[k] == wanted[rarest]):
+                    ends, begins = reach(w, wanted[rarest + 1:], s, slop, 1), reach(w, wanted[:rarest][::-1], s, slop, -1)
+                    if ends and begins:
+                        hit.update(range(max(begins), min(ends) + 1))
                         items.add(item)
         out.append((i, len(w), len(hit), frozenset(items)))
     return Counter(out)
 
 
-@pytest.mark.parametrize("slop", [0, 1])
+@pytest.mark.parametrize("slop", [0, 1, 2, 3])
 @pytest.mark.parametrize("per_pass", [200_000, 2])
 def test_passages_equal_brute_force(spark, slop, per_pass):
-    docs = spark.createDataFrame([(*d, 0, "x") for d in DOCS], "doc_id long, text string, block int, id string")
+    # One block, so that the rarest word of a passage is the same for all documents.
+    docs = spark.createDataFrame([(*d, 0, "x") for d in DOCS], "doc_id long, text string, block int, id string").coalesce(1)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     out = contamination.search(contamination.build_index(docs), items, slop=slop, per_pass=per_pass).collect()
     assert Counter((r["id"], r["n_words"], r["n_hit"], frozenset(r["items"])) for r in out) == brute_passages(slop)
 
 
+def test_spans_of_several_passes_are_merged(spark):
+    docs = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(40))), (2, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(k, " ".join(f"w{j}" for j in range(a, b))) for k, (a, b) in enumerate([(0, 25), (20, 30), (35, 37), (36, 40)])], "item_id long, text string")
+    index = contamination.build_index(docs)
+    one, many = (sorted((r["id"], r["n_hit"], r["spans"], sorted(r["items"])) for r in contamination.search(index, items, per_pass=n).collect()) for n in (1000, 1))
+    assert one == many and [tuple(x) for x in one[0][2]] == [(0, 30), (35, 40)]
+
+
 def test_passages_of_empty_tables(spark):
     docs, items = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
     assert contamination.search(contamination.build_index(docs.limit(0)), items).collect() == []
@@ -287,6 +300,14 @@ def test_shards_have_equal_bytes_and_gapless_slots(spark):
     assert sum(len(s) > 1 for s in homes.values()) <= 7
 
 
+def test_rows_that_are_all_alike_are_cut(spark):
+    docs = spark.createDataFrame([(1, "the same")] * 4000 + [(2, None)] * 800, "doc_id long, text string").repartition(5)
+    by = shards_of(sharding.shard(docs).collect())
+    sizes = [sum(r["size"] for r in by[s]) for s in range(8)]
+    assert sum(sizes) == 4000 * 9 + 800 and max(sizes) - min(sizes) <= 0.03 * sum(sizes) / 8
+    assert all(sorted(r["slot"] for r in v) == list(range(len(v))) for v in by.values())
+
+
 def test_shards_of_few_rows(spark):
     docs = spark.createDataFrame([(1, "a" * 100_000), (2, None)], "doc_id long, text string")
     assert sorted(r["size"] for r in sharding.shard(docs).collect()) == [1, 100_001]

@@ -30,6 +30,15 @@ def test_counts_and_ids_are_those_of_the_library(library):
         assert tokenizer.ids(text) == ids
 
 
+def test_ids_of_every_code_point(library):
+    """Each character alone, doubled, between letters, digits, spaces and signs."""
+    tokenizer = packing.Tokenizer(PATH)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 20_000):
+        text = "".join(f"a{c}b {c}{c} 1{c}.\n{c}'s" for c in points[at:at + 20_000])
+        assert tokenizer.ids(text) == library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("space", [" ", "\n", "\xa0"])
 def test_ids_of_very_long_white_space(library, space):
     text = f"word<|endoftext|>{space * 1_500_000}after it's"
