@@ -220,37 +220,47 @@ def likelihood_ratio(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarr
     return np.where(a * n0 > b * n1, 2 * (term(a, n1, p) + term(b, n0, p)), 0.0)
 
 
-def _sequences(sample: DataFrame, marked: np.ndarray) -> DataFrame:
-    """The words of each sampled document with their tags.
+def _features_seen(sample: DataFrame, least: int) -> np.ndarray:
+    """Features of words that are there at least so often, sorted."""
+
+    def run(batches):
+        for batch in batches:
+            for _, _, w in _runs(batch.column(0)):
+                keys, n = np.unique(np.concatenate(kinds(w)), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+
+    counted = sample.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return np.sort(counted.filter(F.col("n") >= least).select("key").toArrow()["key"].to_numpy().view(np.uint64))
+
+
+def _sequences(sample: DataFrame, keys: np.ndarray, marked: np.ndarray) -> DataFrame:
+    """The words of each sampled document, as places of their features among ``keys``, with their tags.
 
     Marked tokens of other than toxic documents are tagged 0: they teach where a mark alone is no sign.
     """
-    lookup = Lookup(marked)
+    lookup, marks = Lookup(keys), Lookup(marked)
 
     def run(batches):
         for batch in batches:
             label = batch.column(1).to_numpy(zero_copy_only=False)
             for lo, hi, w in _runs(batch.column(0)):
                 feats = kinds(w)
-                hit = np.logical_or.reduce([lookup(f) >= 0 for f in feats])
+                hit = np.logical_or.reduce([marks(f) >= 0 for f in feats])
+                rows = np.stack([lookup(f) for f in feats]).astype("<i4")
                 spans = [(i, int(w.offsets[i]), int(w.offsets[i + 1])) for i in range(hi - lo) if w.offsets[i] < w.offsets[i + 1]]
-                out = [np.stack([f[a:b] for f in feats]).astype("<u8").tobytes() for _, a, b in spans]
+                out = [rows[:, a:b].tobytes() for _, a, b in spans]
                 tags = [(hit[a:b] & (label[lo + i] == 1)).astype(np.uint8).tobytes() for i, a, b in spans]
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(tags, pa.binary())], names=["feats", "tags"])
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(tags, pa.binary())], names=["rows", "tags"])
 
-    return sample.select("text", "label").mapInArrow(run, "feats binary, tags binary")
+    return sample.select("text", "label").mapInArrow(run, "rows binary, tags binary")
 
 
-def train_field(feats: list[np.ndarray], tags: list[np.ndarray], marked: np.ndarray, steps: int = 40, decay: float = 1e-6) -> Model:
-    """Maximise the likelihood of tagged sequences with Adam on the full gradient."""
+def train_field(keys: np.ndarray, sequences: list[np.ndarray], tags: list[np.ndarray], steps: int = 40, decay: float = 1e-6) -> Model:
+    """Maximise the likelihood of tagged sequences, given as places of features among ``keys``, with Adam on the full gradient."""
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in tags])])
-    flat = [np.concatenate([f[k] for f in feats]) for k in range(KINDS)]
+    rows = list(np.concatenate(sequences, axis=1))
     gold = np.concatenate(tags).astype(np.float64)
-    keys, seen = np.unique(np.concatenate(flat), return_counts=True)
-    keys = np.union1d(keys[seen >= 3], marked)
     model = Model(keys, np.zeros(len(keys)), np.zeros(len(keys)), np.zeros(len(keys)), -3.0, np.array([[0.0, -1.0], [0.0, 0.0]]), np.zeros(0), 0.0)
-    model.lookup = Lookup(keys)
-    rows = model.rows(flat)
     after, before = neighbours(rows[0], offsets)
     uses = [(name, r[r >= 0], np.flatnonzero(r >= 0)) for name, r in [*(("own", r) for r in rows), ("prev", before), ("next", after)]]
     firsts = offsets[:-1][np.diff(offsets) > 0]
@@ -330,12 +340,13 @@ def fit(
     marked = np.sort(found.mapInArrow(strong, found.schema).toArrow()["key"].to_numpy().view(np.uint64))
     if not len(marked):
         return nothing
-    taken = _sequences(sample, marked).toArrow()
+    keys = np.union1d(_features_seen(sample, 3), marked)
+    taken = _sequences(sample, keys, marked).toArrow()
     if not len(taken):
         return nothing
     model = train_field(
-        [np.frombuffer(f, "<u8").reshape(KINDS, -1) for f in taken["feats"].to_pylist()],
-        [np.frombuffer(t, np.uint8) for t in taken["tags"].to_pylist()], marked)
+        keys, [np.frombuffer(f, "<i4").reshape(KINDS, -1) for f in taken["rows"].to_pylist()],
+        [np.frombuffer(t, np.uint8) for t in taken["tags"].to_pylist()])
     model.rate, model.lookup = rate, None
 
     def evidence(batches):
