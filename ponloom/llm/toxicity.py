@@ -25,6 +25,8 @@ from ponloom.operators.lineage import stored
 PREFIXES, SUFFIXES = (4, 6), (4,)
 KINDS = 4
 BLOCK = 64
+#: Words of the sample whose gradient is computed at once.
+PART = 1 << 17
 
 RESULT = T.StructType([
     T.StructField("score", T.DoubleType()), T.StructField("n_words", T.LongType()),
@@ -255,18 +257,48 @@ def _sequences(sample: DataFrame, keys: np.ndarray, marked: np.ndarray) -> DataF
     return sample.select("text", "label").mapInArrow(run, "rows binary, tags binary")
 
 
+def _views(column: pa.ChunkedArray):
+    """The bytes of each value, without a copy."""
+    for chunk in column.chunks:
+        offsets = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+        data = np.frombuffer(chunk.buffers()[2], np.uint8)
+        for a, b in zip(offsets, offsets[1:]):
+            yield data[a:b]
+
+
+@dataclass
+class _Part:
+    """Some sequences: places of features, tags, and where each sequence begins."""
+
+    sequences: list[np.ndarray]
+    tags: list[np.ndarray]
+
+    def gradient(self, model: Model) -> dict:
+        """Of the log likelihood, by the weights of the model, and the number of words."""
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in self.tags])])
+        rows, gold = list(np.concatenate(self.sequences, axis=1)), np.concatenate(self.tags)
+        pairs, last = np.zeros((2, 2)), np.zeros_like(gold)
+        last[1:] = gold[:-1]
+        last[offsets[:-1]] = 0
+        p, _ = marginals(model.weights(rows, offsets), offsets, np.exp(model.trans), pairs)
+        miss = gold - p
+        after, before = neighbours(rows[0], offsets)
+        out = {"own": 0.0, "prev": 0.0, "next": 0.0, "bias": miss.sum(), "words": len(gold)}
+        for name, r in [*(("own", r) for r in rows), ("prev", before), ("next", after)]:
+            out[name] = out[name] + np.bincount(r[r >= 0], miss[r >= 0], len(model.keys))
+        out["trans"] = np.bincount(2 * last + gold, minlength=4).reshape(2, 2) - pairs
+        return out
+
+
 def train_field(keys: np.ndarray, sequences: list[np.ndarray], tags: list[np.ndarray], steps: int = 40, decay: float = 1e-6) -> Model:
-    """Maximise the likelihood of tagged sequences, given as places of features among ``keys``, with Adam on the full gradient."""
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in tags])])
-    rows = list(np.concatenate(sequences, axis=1))
-    gold = np.concatenate(tags).astype(np.float64)
+    """Maximise the likelihood of tagged sequences, given as places of features among ``keys``, with Adam on the full gradient.
+
+    The gradient is summed over parts of the sequences, which bounds the memory beside the sequences themselves.
+    """
+    number = np.cumsum([len(t) for t in tags]) // PART
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(tags)]
+    parts = [_Part(sequences[a:b], tags[a:b]) for a, b in zip(cuts, cuts[1:])]
     model = Model(keys, np.zeros(len(keys)), np.zeros(len(keys)), np.zeros(len(keys)), -3.0, np.array([[0.0, -1.0], [0.0, 0.0]]), np.zeros(0), 0.0)
-    after, before = neighbours(rows[0], offsets)
-    uses = [(name, r[r >= 0], np.flatnonzero(r >= 0)) for name, r in [*(("own", r) for r in rows), ("prev", before), ("next", after)]]
-    firsts = offsets[:-1][np.diff(offsets) > 0]
-    last = np.concatenate([[0.0], gold[:-1]])
-    last[firsts] = 0
-    gold_pairs = np.array([[((last == 0) & (gold == 0)).sum(), ((last == 0) & (gold == 1)).sum()], [((last == 1) & (gold == 0)).sum(), ((last == 1) & (gold == 1)).sum()]])
     state = {}
 
     def adam(name, value, grad, step, rate=0.25):
@@ -276,19 +308,15 @@ def train_field(keys: np.ndarray, sequences: list[np.ndarray], tags: list[np.nda
         return value + rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
 
     for step in range(1, steps + 1):
-        x = model.weights(rows, offsets)
-        pairs = np.zeros((2, 2))
-        p, _ = marginals(x, offsets, np.exp(model.trans), pairs)
-        diff = gold - p
-        grads = {n: np.zeros(len(keys)) for n in ("own", "prev", "next")}
-        for name, r, ok in uses:
-            grads[name] += np.bincount(r, diff[ok], len(keys))
-        for name in grads:
-            setattr(model, name, adam(name, getattr(model, name), grads[name] - decay * len(gold) * getattr(model, name), step))
-        model.bias = float(adam("bias", model.bias, diff.sum(), step))
+        total: dict = {}
+        for part in parts:
+            for name, value in part.gradient(model).items():
+                total[name] = total.get(name, 0.0) + value
+        for name in ("own", "prev", "next"):
+            setattr(model, name, adam(name, getattr(model, name), total[name] - decay * total["words"] * getattr(model, name), step))
+        model.bias = float(adam("bias", model.bias, total["bias"], step))
         # The weight of 0 after 0 is fixed: that of the other pairs and the bias say the same.
-        change = (gold_pairs - pairs) * np.array([[0.0, 1.0], [1.0, 1.0]])
-        model.trans = np.clip(adam("trans", model.trans, change, step), -6, 6)
+        model.trans = np.clip(adam("trans", model.trans, total["trans"] * np.array([[0.0, 1.0], [1.0, 1.0]]), step), -6, 6)
         model.trans[0, 0] = 0
     return model
 
@@ -344,9 +372,8 @@ def fit(
     taken = _sequences(sample, keys, marked).toArrow()
     if not len(taken):
         return nothing
-    model = train_field(
-        keys, [np.frombuffer(f, "<i4").reshape(KINDS, -1) for f in taken["rows"].to_pylist()],
-        [np.frombuffer(t, np.uint8) for t in taken["tags"].to_pylist()])
+    model = train_field(keys, [r.view("<i4").reshape(KINDS, -1) for r in _views(taken["rows"])], list(_views(taken["tags"])))
+    del taken
     model.rate, model.lookup = rate, None
 
     def evidence(batches):
