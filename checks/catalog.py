@@ -9,21 +9,25 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from checks import views as v
 from ponloom.functions.cells import first_truthy, parse_dbm
+from ponloom.functions.geo import BBox, in_bbox, is_located
 from ponloom.functions.ports import pon_id, register_sql_functions
 from ponloom.functions.props import json_text_sql, prop
 from ponloom.functions.status import status_code
 from ponloom.operators import quality, upkeep
+from ponloom.operators.curve import in_bbox_by_curve, write_by_position
+from ponloom.operators.directory import page_at, page_directory, total
 from ponloom.operators.latest import fold_latest, latest
 from ponloom.operators.lineage import cut, new_folder, stored
 from ponloom.operators.normalize import VENDORS, ZYXEL, normalize_polls
 from ponloom.operators.presence import (
     applied_counts, apply_polls, evidence, islands, last_in_poll, poll_headers, poll_log, presence, seen_units,
 )
+from ponloom.operators.trigrams import search_by_trigrams, trigram_index
 from ponloom.operators.unit_import import classify, import_units
 from ponloom.plans import boxes, tree, units
 from ponloom.plans.devices import sync_devices
 from ponloom.schemas import DEVICE_VENDORS, UNIT_CSV
-from ponloom.sinks.files import export_units, write_csv, write_readings, write_unit_csv
+from ponloom.sinks.files import export_units, write_csv, write_features, write_readings, write_unit_csv
 from ponloom.sources import boxes as _boxes
 from ponloom.sources.config import overlay_config, read_config, scan_scopes
 from ponloom.sources.tables import read_table
@@ -264,6 +268,14 @@ def cto_enrich(spark, d):
     return boxes.enrich_cto(v.ont(spark, d), v.cto(spark, d)).drop("props")
 
 
+@query
+def cto_enrich_repeated(spark, d):
+    """Boxes whose uuid comes several times; the last one counts."""
+    place = F.col("place")
+    cto = v.cto(spark, d).withColumn("place", F.explode(F.array(F.lit(2), F.lit(0), F.lit(1)))).withColumn("nombre", F.concat("nombre", F.lit("/"), place.cast("string")))
+    return boxes.enrich_cto(v.ont(spark, d), cto.withColumn("lon", F.col("lon") + place), order_by="place").select("id", "cto_uuid", "cto_name", "cto_lon", "cto_lat")
+
+
 @query
 def cto_links(spark, d):
     return boxes.cto_links(v.ont(spark, d), v.cto(spark, d))
@@ -312,6 +324,91 @@ def first_truthy_power(spark, d):
     return picked.select("seq", parse_dbm("rx").alias("rx"))
 
 
+@query
+def grid_pyramid(spark, d):
+    """Counts by cells of twelve zooms, from one scan of the units."""
+    return _rounded(boxes.grid_pyramid(v.ont(spark, d), 0.01, 12), ["lon", "lat"])
+
+
+@query
+def unlocated_devices(spark, d):
+    """The tree with nested ports, for one page of devices."""
+    page = tree.unlocated_devices(v.ont(spark, d), v.olt(spark, d), after="olt-03", limit=10)
+    pons = F.array_join(F.transform("pons", lambda p: F.concat(p["pon_id"], F.lit("="), p["cnt"].cast("string"))), ",")
+    return page.select("olt_id", "olt_name", "cnt", pons.alias("pons"))
+
+
+@query
+def geo_bbox_curve(spark, d):
+    """Units of a rectangle, from files written along the curve."""
+    folder = new_folder(spark, "curve")
+    write_by_position(v.ont(spark, d), folder)
+    return in_bbox_by_curve(spark.read.parquet(folder), BBOX).select("id", "lon", "lat")
+
+
+@query
+def units_deep_page(spark, d):
+    """A page far behind, three quarters into all readings by event, through the directory of counts."""
+    events = spark.read.parquet(f"{d}/events.parquet").select("event_id", "user_id", "value")
+    directory = page_directory(events, "event_id", width=1024)
+    return page_at(events, directory, total(directory).first()["total"] * 3 // 4, 500, "event_id")
+
+
+@query
+def unit_search_trigrams(spark, d):
+    """Searches with and without wildcards through the index."""
+    ont = v.ont(spark, d)
+    index = trigram_index(ont)
+    found = None
+    for q in ("1-12", "ONT-2-_", "r#00%3", "0/1", "7", "none such"):
+        rows = search_by_trigrams(ont, index, q).select(F.lit(q).alias("q"), "id")
+        found = rows if found is None else found.union(rows)
+    return found
+
+
+@query
+def port_bbox_guard(spark, d):
+    """Without a device or a port the map has no units."""
+    rows = [units.port_units_in_bbox(v.ont(spark, d), v.olt(spark, d), BBOX, olt_id, pon_id).select(F.lit(n).alias("case"), "id")
+            for n, (olt_id, pon_id) in enumerate([(None, None), (OLT, None), (None, PORT), (OLT, PORT)])]
+    return rows[0].union(rows[1]).union(rows[2]).union(rows[3])
+
+
+@query
+def map_views(spark, d):
+    """Extent and centre of all layers, and of none, and the extent as the text of a rectangle."""
+    full, none = boxes.map_view(v.ont(spark, d), v.cto(spark, d)), boxes.map_view(v.ont(spark, d).limit(0))
+    both = full.withColumn("layers", F.lit("all")).unionByName(none.withColumn("layers", F.lit("none")))
+    return _rounded(both, ["west", "south", "east", "north", "center_lat", "center_lon"])
+
+
+@query
+def bbox_text_round_trip(spark, d):
+    """Units in the rectangle that a view's bounds give as text."""
+    view = boxes.extent(v.cto(spark, d), 0.0).first()
+    box = BBox(view["west"], view["south"], view["east"], view["north"]).text()
+    return v.ont(spark, d).where(is_located() & in_bbox(box)).select("id")
+
+
+@query
+def history_csv_read_back(spark, d):
+    """The history of a unit as a CSV file, read again."""
+    folder = new_folder(spark, "history")
+    write_csv(units.metric_series(v.power(spark, d), UNIT, "prx", START, END), folder)
+    rows = spark.read.option("header", True).csv(folder)
+    return rows.select(F.col("ont_id").cast("long"), "metric", F.col("value").cast("double"), F.col("timestamp").cast("timestamp_ntz"))
+
+
+@query
+def geojson_lines_read_back(spark, d):
+    """The features of a rectangle as GeoJSON lines, read again."""
+    folder = new_folder(spark, "features")
+    found = units.units_in_bbox(v.ont(spark, d), v.power(spark, d), BBOX)
+    write_features(units.to_features(found, "metrics"), folder)
+    rows = spark.read.text(folder).selectExpr("from_json(value, 'type string, geometry struct<coordinates:array<double>>, properties struct<id:bigint,sn:string>') AS f")
+    return rows.select("f.properties.id", "f.type", F.get("f.geometry.coordinates", F.lit(0)).alias("lon"), F.get("f.geometry.coordinates", F.lit(1)).alias("lat"), "f.properties.sn")
+
+
 # ---- polls -------------------------------------------------------------------------------------
 
 def _rows(spark, d):
@@ -498,6 +595,16 @@ def upsert_units(spark, d):
     )
 
 
+@query
+def upsert_units_repeated(spark, d):
+    """Every line item is a change of the unit of its part, in the order of its order and line; most units change many times, and some are new."""
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").selectExpr(
+        "l_partkey % 2000 AS id", "l_orderkey * 10 + l_linenumber AS at", "l_returnflag || l_orderkey AS note", "CAST(l_suppkey % 5 AS int) AS status")
+    changes = lines.join(v.ont(spark, d).select("id", "olt_id", "vendor_ont_id"), "id", "left").selectExpr(
+        "coalesce(olt_id, 'olt-new') AS olt_id", "coalesce(vendor_ont_id, 'new-' || id) AS vendor_ont_id", "note AS serial", "status", "at")
+    return upkeep.upsert(v.ont(spark, d).drop("id", "props"), changes, ["olt_id", "vendor_ont_id"], ["status"], order_by="at")
+
+
 def _olt_changes(spark, d):
     region = spark.read.parquet(f"{d}/region.parquet")
     k = F.col("r_regionkey")
@@ -534,6 +641,18 @@ def patch_units(spark, d):
     return upkeep.apply_patches(v.ont(spark, d), patches).select("id", "cto_uuid", "lon", "lat")
 
 
+@query
+def patch_units_repeated(spark, d):
+    """One patch per line item, in the order of its order and line: of each field the last one sent counts."""
+    k = F.col("l_orderkey")
+    patches = spark.read.parquet(f"{d}/lineitem.parquet").select(
+        F.col("l_partkey").alias("id"), (k % 2 == 0).alias("has_cto"), F.when(k % 4 == 0, F.concat(F.lit("c"), k.cast("string"))).alias("cto_uuid"),
+        (k % 3 != 0).alias("has_lon"), F.when(k % 5 != 0, F.col("l_quantity")).alias("lon"),
+        (k % 7 != 0).alias("has_lat"), F.col("l_linenumber").cast("double").alias("lat"), (k * 10 + F.col("l_linenumber")).alias("at"),
+    )
+    return upkeep.apply_patches(v.ont(spark, d), patches, order_by="at").select("id", "cto_uuid", "lon", "lat")
+
+
 @query
 def patches_refused(spark, d):
     """Patches that send nothing; flags are NULL in some."""
@@ -799,7 +918,7 @@ def _ingested(spark, d, **how):
     """Poll files staged from the whole event table, run through the stream."""
     folder = new_folder(spark, "ingest")
     v.poll_lines(spark, d).drop("n_slices").write.json(f"{folder}/in")
-    store = Store(spark, f"{folder}/store")
+    store = Store(spark, f"{folder}/store", buckets=4)
     store.start(v.ont(spark, d))
     start_ingest(spark, f"{folder}/in", store, f"{folder}/checkpoint", parity=True, **how).awaitTermination()
     return store
@@ -812,10 +931,7 @@ def stream_ingest_units(spark, d):
 
 @query
 def stream_ingest_readings(spark, d):
-    store = _ingested(spark, d)
-    units_ = store.units().select(F.col("id").alias("ont_id"), "olt_id", "vendor_ont_id")
-    readings = store.readings().withColumn("time", F.col("time").cast("timestamp_ntz"))
-    return readings.join(units_, "ont_id").select("time", "ptx", "prx", "status", "olt_id", "vendor_ont_id")
+    return _named_readings(_ingested(spark, d))
 
 
 @query
@@ -826,7 +942,7 @@ def stream_ingest_small_batches(spark, d):
     first = lines.groupBy("poll_id").agg(F.min("slice").alias("first"))
     part = F.floor(F.dayofyear("polled_at") / 10) + F.when(F.col("slice") == F.col("first"), 0).otherwise(F.col("slice") % 2)
     lines = stored(lines.join(first, "poll_id").withColumn("part", part).drop("first"), "lines")
-    store = Store(spark, f"{folder}/store")
+    store = Store(spark, f"{folder}/store", buckets=4)
     store.start(v.ont(spark, d))
     for n in sorted(r["part"] for r in lines.select("part").distinct().collect()):
         lines.where(F.col("part") == n).drop("part").coalesce(1).write.json(f"{folder}/in/{n:03}")
@@ -842,25 +958,63 @@ def stream_ingest_repeated_ids(spark, d):
     short = (F.day("polled_at") + 2 * F.substring("olt_id", 5, 2).cast("int")) % 13 == 5
     lines = lines.where(~short | (F.col("slice") > F.col("first"))).withColumn("poll_id", F.substring_index("poll_id", "@", -1))
     lines.drop("first").write.json(f"{folder}/in")
-    store = Store(spark, f"{folder}/store")
+    store = Store(spark, f"{folder}/store", buckets=4)
     store.start(v.ont(spark, d))
     start_ingest(spark, f"{folder}/in", store, f"{folder}/checkpoint", parity=True, give_up="1 hour").awaitTermination()
     return _known_ids(spark, d, store.units())
 
 
+def _ingested_twice(spark, d, **how):
+    """Every poll file comes twice, half a month a file, one file a batch, the second time in the batch after."""
+    folder = new_folder(spark, "ingest")
+    lines = stored(v.poll_lines(spark, d).withColumn("part", F.floor(F.dayofyear("polled_at") / 16)), "lines")
+    store = Store(spark, f"{folder}/store", buckets=4)
+    store.start(v.ont(spark, d))
+    for n in sorted(r["part"] for r in lines.select("part").distinct().collect()):
+        for copy in (0, 1):
+            lines.where(F.col("part") == n).drop("part").coalesce(1).write.json(f"{folder}/in/{n:03}-{copy}")
+    start_ingest(spark, f"{folder}/in/*", store, f"{folder}/checkpoint", files_per_batch=1, parity=True, **how).awaitTermination()
+    return store
+
+
+def _named_readings(store):
+    units_ = store.units().select(F.col("id").alias("ont_id"), "olt_id", "vendor_ont_id")
+    readings = store.readings().withColumn("time", F.col("time").cast("timestamp_ntz"))
+    return readings.join(units_, "ont_id").select("time", "ptx", "prx", "status", "olt_id", "vendor_ont_id")
+
+
+@query
+def stream_ingest_twice(spark, d):
+    """Readings of polls that all came twice: each is there once."""
+    return _named_readings(_ingested_twice(spark, d))
+
+
+@query
+def stream_ingest_refused(spark, d):
+    """Polls whose readings are there already are refused: how many polls ended how, after all came twice."""
+    store = _ingested_twice(spark, d, on_duplicate="fail")
+    return store.poll_log().groupBy("result").agg(F.count("*").alias("n"))
+
+
+@query
+def stream_compacted_readings(spark, d):
+    """Readings after the days that hold those of removed units were written anew."""
+    store = _ingested(spark, d, files_per_batch=1)
+    store.compact()
+    return _named_readings(store)
+
+
 @query
 def stream_ingest_late(spark, d):
     """Newer polls first, then the older ones: the readings of both, for units that are there."""
     folder = new_folder(spark, "ingest")
-    store = Store(spark, f"{folder}/store")
+    store = Store(spark, f"{folder}/store", buckets=4)
     store.start(v.ont(spark, d))
     for part, newer in enumerate((True, False)):
         at = F.col("polled_at") >= F.lit(START)
         v.poll_lines(spark, d).where(at if newer else ~at).write.mode("append").json(f"{folder}/in/{part}")
         start_ingest(spark, f"{folder}/in/*", store, f"{folder}/checkpoint", delete_missing=False).awaitTermination()
-    units_ = store.units().select(F.col("id").alias("ont_id"), "olt_id", "vendor_ont_id")
-    readings = store.readings().withColumn("time", F.col("time").cast("timestamp_ntz"))
-    return readings.join(units_, "ont_id").select("time", "ptx", "prx", "status", "olt_id", "vendor_ont_id")
+    return _named_readings(store)
 
 
 @query

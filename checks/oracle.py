@@ -204,6 +204,8 @@ sql("cto_search_ranked", """SELECT uuid, nombre, CASE WHEN lower(uuid) = 'o-2' T
 FROM cto_v WHERE lower(uuid) LIKE '%o-2%' OR lower(nombre) LIKE '%o-2%' ORDER BY score, nombre, uuid LIMIT 80""")
 sql("cto_enrich", """SELECT o.id, o.olt_id, o.vendor_ont_id, o.cto_uuid, o.lon, o.lat, o.serial, o.model, o.description, o.status,
   c.nombre AS cto_name, c.lon AS cto_lon, c.lat AS cto_lat FROM ont_v o LEFT JOIN cto_v c ON c.uuid = o.cto_uuid""")
+sql("cto_enrich_repeated", """SELECT o.id, o.cto_uuid, c.nombre || '/2' AS cto_name, c.lon + 2 AS cto_lon, c.lat AS cto_lat
+FROM ont_v o LEFT JOIN cto_v c ON c.uuid = o.cto_uuid""")
 sql("cto_links", """SELECT o.id, o.cto_uuid, o.lon AS lon1, o.lat AS lat1, c.lon AS lon2, c.lat AS lat2
 FROM ont_v o JOIN cto_v c ON c.uuid = o.cto_uuid WHERE o.lon IS NOT NULL""")
 
@@ -225,6 +227,29 @@ sql("first_truthy_power", f"""SELECT seq, coalesce({_dbm("CASE WHEN seq % 2 = 0
 FROM raw_v""")
 
 
+sql("grid_pyramid", """SELECT level::int AS level, floor(lon / (0.01::double * 2 ** level))::bigint AS cell_x, floor(lat / (0.01::double * 2 ** level))::bigint AS cell_y,
+  count(*) AS n_points, round(avg(lon), 6) AS lon, round(avg(lat), 6) AS lat
+FROM ont_v, (SELECT unnest(range(0, 12)) AS level) WHERE lon IS NOT NULL GROUP BY 1, 2, 3""")
+sql("unlocated_devices", """SELECT olt_id, olt_name, sum(cnt)::bigint AS cnt, string_agg(pon_id || '=' || cnt, ',' ORDER BY pon_id) AS pons
+FROM groups_v WHERE olt_id > 'olt-03' GROUP BY 1, 2 ORDER BY 1 LIMIT 10""", ports=True, more=GROUPS)
+sql("geo_bbox_curve", f"SELECT id, lon, lat FROM ont_v o WHERE {IN_BOX}")
+ORACLE["units_deep_page"] = """SELECT event_id, user_id, value FROM events ORDER BY event_id LIMIT 500 OFFSET (SELECT count(*) * 3 // 4 FROM events)"""
+sql("unit_search_trigrams", """SELECT q, id FROM ont_v, (SELECT unnest(['1-12', 'ONT-2-_', 'r#00%3', '0/1', '7', 'none such']) AS q)
+WHERE vendor_ont_id ILIKE '%' || q || '%' OR serial ILIKE '%' || q || '%'""")
+sql("port_bbox_guard", """SELECT 3 AS "case", id FROM port_v WHERE olt_id = 'olt-07' AND pon_id = '1-3' AND lon BETWEEN -10 AND 0 AND lat BETWEEN 36 AND 44""", ports=True)
+sql("map_views", """SELECT 'all' AS layers, round(west, 6) AS west, round(south, 6) AS south, round(east, 6) AS east, round(north, 6) AS north, n_points,
+  round((south + north) / 2, 6) AS center_lat, round((west + east) / 2, 6) AS center_lon
+FROM (SELECT w - (e - w) * 0.15::double AS west, s - (n - s) * 0.15::double AS south, e + (e - w) * 0.15::double AS east, n + (n - s) * 0.15::double AS north, n_points
+  FROM (SELECT min(lon) AS w, min(lat) AS s, max(lon) AS e, max(lat) AS n, count(lon) AS n_points FROM (SELECT lon, lat FROM ont_v UNION ALL SELECT lon, lat FROM cto_v)))
+UNION ALL SELECT 'none', NULL, NULL, NULL, NULL, 0, 40.4168, -3.7038""")
+sql("bbox_text_round_trip", """SELECT id FROM ont_v, (SELECT min(lon) AS w, min(lat) AS s, max(lon) AS e, max(lat) AS n FROM cto_v)
+WHERE lon BETWEEN w AND e AND lat BETWEEN s AND n""")
+sql("history_csv_read_back", """SELECT ont_id, 'prx' AS metric, prx AS value, time AS timestamp FROM power_v
+WHERE ont_id = 7 AND time BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'""")
+sql("geojson_lines_read_back", f"""SELECT o.id, 'Feature' AS type, o.lon, o.lat, o.serial AS sn FROM ont_v o JOIN last_v l ON l.ont_id = o.id WHERE {IN_BOX}""")
+
+
+
 # ---- polls -------------------------------------------------------------------------------------
 
 STATE = """CASE event_type WHEN 'click' THEN 'is' WHEN 'error' THEN 'oos-ls' WHEN 'purchase' THEN 'Active'
@@ -360,6 +385,11 @@ WHERE NOT EXISTS (SELECT 1 FROM ont_v o WHERE o.olt_id = ch.olt_id AND o.vendor_
 ch AS (SELECT CASE WHEN s.tipo = 11 THEN o.olt_id ELSE 'olt-new' END AS olt_id, coalesce(o.vendor_ont_id, s.nombre) AS unit, s.nombre
   FROM equipment_v s LEFT JOIN ont_v o ON o.id = split_part(s.uuid, '-', 2)::bigint
   WHERE s.tipo <> 11 OR o.olt_id IS NOT NULL)""")
+sql("upsert_units_repeated", """SELECT olt_id, vendor_ont_id, cto_uuid, lon, lat, o.serial, model, description, coalesce(n.status, o.status) AS status
+FROM ont_v o LEFT JOIN last_ch n ON n.k = o.id
+UNION ALL SELECT 'olt-new', 'new-' || k, NULL, NULL, NULL, serial, NULL, NULL, status FROM last_ch WHERE k NOT IN (SELECT id FROM ont_v)""", more="""
+li AS (SELECT l_partkey % 2000 AS k, l_returnflag || l_orderkey AS serial, (l_suppkey % 5)::int AS status, l_orderkey * 10 + l_linenumber AS seq FROM lineitem),
+last_ch AS (SELECT DISTINCT k, first_value(serial) OVER (PARTITION BY k ORDER BY seq) AS serial, first_value(status) OVER (PARTITION BY k ORDER BY seq DESC) AS status FROM li)""")
 OLT_CHANGES = """
 olt_ch AS (
   SELECT 'olt-' || lpad((r_regionkey * 6)::varchar, 2, '0') AS id, 'zyxel' AS vendor, r_name AS host, 161 AS port,
@@ -377,6 +407,14 @@ sql("patch_units", """SELECT o.id,
   CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 7 <> 0 THEN CASE WHEN p_partkey % 5 <> 0 THEN p_retailprice END ELSE o.lon END AS lon,
   CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 7 <> 0 THEN CASE WHEN p_partkey % 5 <> 0 THEN p_size::double END ELSE o.lat END AS lat
 FROM ont_v o LEFT JOIN part ON p_partkey = o.id""")
+_P = "l_orderkey"
+sql("patch_units_repeated", f"""SELECT o.id, CASE WHEN c.k IS NULL THEN o.cto_uuid ELSE c.cto END AS cto_uuid,
+  CASE WHEN g.k IS NULL THEN o.lon ELSE g.lon END AS lon, CASE WHEN g.k IS NULL THEN o.lat ELSE g.lat END AS lat FROM ont_v o
+LEFT JOIN (SELECT l_partkey AS k, CASE WHEN {_P} % 4 = 0 THEN 'c' || {_P} END AS cto, row_number() OVER (PARTITION BY l_partkey ORDER BY {_P} * 10 + l_linenumber DESC) AS rn
+  FROM lineitem WHERE {_P} % 2 = 0) c ON c.k = o.id AND c.rn = 1
+LEFT JOIN (SELECT l_partkey AS k, CASE WHEN {_P} % 5 <> 0 THEN l_quantity END AS lon, CASE WHEN {_P} % 5 <> 0 THEN l_linenumber::double END AS lat,
+  row_number() OVER (PARTITION BY l_partkey ORDER BY {_P} * 10 + l_linenumber DESC) AS rn
+  FROM lineitem WHERE {_P} % 3 <> 0 AND {_P} % 7 <> 0) g ON g.k = o.id AND g.rn = 1""")
 sql("patches_refused", """SELECT p_partkey AS id FROM part WHERE NOT (p_partkey % 5 <> 0 AND p_partkey % 2 = 0)
   AND NOT (p_partkey % 7 <> 0 AND p_partkey % 3 = 0 AND p_partkey % 11 <> 0 AND p_partkey % 4 = 0)""")
 sql("devices_removed_units", "SELECT id, olt_id FROM ont_v WHERE olt_id >= 'olt-05'")
@@ -564,6 +602,10 @@ ORACLE["stream_ingest_small_batches"] = ORACLE["polls_applied_units"]
 ORACLE["stream_ingest_repeated_ids"] = ORACLE["polls_applied_units"].replace(
     "= 3 THEN 'error'", "= 3 THEN 'error' WHEN (day(ts) + 2 * substr(u.olt_id, 5, 2)::int) % 13 = 5 THEN 'incomplete'")
 poll_sql("stream_ingest_late", "SELECT time, ptx, prx, status, olt_id, vendor_ont_id FROM dedup_v")
+ORACLE["stream_ingest_twice"] = ORACLE["stream_compacted_readings"] = ORACLE["polls_applied_readings"]
+# A poll that was read is refused when it comes again; one that failed fails again.
+poll_sql("stream_ingest_refused", """SELECT CASE WHEN again AND result IN ('applied', 'empty') THEN 'duplicate' ELSE result END AS result, count(*) AS n
+FROM log_v, (SELECT unnest([false, true]) AS again) GROUP BY 1""")
 poll_sql("stream_kept_latest", """SELECT time, ptx, prx, status, olt_id, vendor_ont_id FROM (
   SELECT d.*, row_number() OVER (PARTITION BY d.olt_id, d.vendor_ont_id ORDER BY d.time DESC) AS rn FROM dedup_v d
   LEFT JOIN brk b ON b.olt_id = d.olt_id AND b.u = d.vendor_ont_id WHERE brk IS NULL OR d.time > brk) WHERE rn = 1""", _applied(True))

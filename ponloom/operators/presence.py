@@ -63,6 +63,19 @@ def last_in_poll(rows: DataFrame) -> DataFrame:
     return rows.select(*key, *reading)
 
 
+def once(rows: DataFrame, key: list[str]) -> DataFrame:
+    """One reading by time and unit: of polls of one device at one time the last one by id counts."""
+    return rows.groupBy(*key).agg(*[F.max_by(c, "poll_id").alias(c) for c in ("ptx", "prx", "status")])
+
+
+def poll_sizes(rows: DataFrame) -> DataFrame:
+    """Units and records of each poll, and a digest of its records, which is equal for the same poll sent again."""
+    record = F.xxhash64("vendor_ont_id", "slice", "pos", "ptx", "prx", "status", "serial", "model", "description", "props")
+    return rows.groupBy(*ROW_POLL, "vendor_ont_id").agg(F.count("*").alias("n"), F.bit_xor(record).alias("digest")).groupBy(*ROW_POLL).agg(
+        F.count("*").alias("n_units"), F.sum("n").alias("n_records"), F.bit_xor("digest").alias("digest")
+    ).withColumnRenamed("time", "polled_at")
+
+
 def poll_log(headers: DataFrame, rows: DataFrame, min_units: int = 0, vendors: Mapping | None = None) -> DataFrame:
     """What became of each poll: applied, failed, unknown vendor, or without units.
 
@@ -70,9 +83,7 @@ def poll_log(headers: DataFrame, rows: DataFrame, min_units: int = 0, vendors: M
     units may not.
     """
     known = list(VENDORS if vendors is None else vendors)
-    sizes = rows.groupBy(*ROW_POLL, "vendor_ont_id").agg(F.count("*").alias("n")).groupBy(*ROW_POLL).agg(
-        F.count("*").alias("n_units"), F.sum("n").alias("n_records")
-    ).withColumnRenamed("time", "polled_at")
+    sizes = poll_sizes(rows)
     result = (
         F.when(~F.col("vendor").isin(known), "unknown_vendor")
         .when(F.col("outcome") != "ok", F.col("outcome"))
@@ -216,7 +227,8 @@ def apply_polls(
     units = units if olt is None else with_pon_id(units, olt)
 
     alive = kept.select("id", *UNIT, "break").unionByName(born.select("id", *UNIT, "break"))
-    power = last_in_poll(rows).join(alive, UNIT).where(since_break).select(
-        "time", F.col("id").alias("ont_id"), "ptx", "prx", "status"
-    )
+    power = last_in_poll(rows).join(alive, UNIT).where(since_break)
+    if not applied.groupBy("olt_id", "polled_at").count().where("count > 1").isEmpty():
+        power = once(power, ["time", "id"])
+    power = power.select("time", F.col("id").alias("ont_id"), "ptx", "prx", "status")
     return Applied(units, power, removed, log)

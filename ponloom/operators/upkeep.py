@@ -15,18 +15,37 @@ from ponloom.functions.geo import make_point
 from ponloom.functions.ports import pon_id
 
 
+def one_per_key(rows: DataFrame, keys: Sequence[str], order_by: str | None = None, last: Sequence[str] | None = None) -> DataFrame:
+    """One row per key, as if the rows came one after the other by ``order_by``, which is dropped.
+
+    The columns ``last`` (by default all) are those of the last row of a key, the others of the first. Without an
+    order a repeated key is an error, raised when the rows are read.
+    """
+    keys = list(keys)
+    others = [c for c in rows.columns if c not in keys and c != order_by]
+    if order_by is not None:
+        last = others if last is None else last
+        return rows.groupBy(*keys).agg(*[(F.max_by if c in last else F.min_by)(c, order_by).alias(c) for c in others])
+    grouped = rows.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.any_value(c).alias(c) for c in others])
+    named = F.concat_ws(", ", *[F.col(c).cast("string") for c in keys])
+    repeated = F.raise_error(F.concat(F.lit("a key comes twice, and no order says which row counts: "), named)).cast("boolean")
+    return grouped.where(F.when(F.col("_n") > 1, repeated).otherwise(True)).drop("_n")
+
+
 def upsert(
     current: DataFrame, changes: DataFrame, keys: Sequence[str], update_cols: Sequence[str] = (),
-    on_conflict: str = "update",
+    on_conflict: str = "update", order_by: str | None = None,
 ) -> DataFrame:
     """Insert rows with new keys; for known keys set ``update_cols`` only, or nothing.
 
-    ``changes`` has one row per key. Columns that only the table has are NULL in new rows.
+    Columns that only the table has are NULL in new rows. Changes of one key count one after the other by ``order_by``:
+    the first one inserts, the later ones set ``update_cols``. Without it a repeated key is an error.
     """
     if on_conflict not in ("update", "nothing"):
         raise ValueError("on_conflict must be 'update' or 'nothing'")
     keys = list(keys)
     update_cols = list(update_cols) if on_conflict == "update" else []
+    changes = one_per_key(changes, keys, order_by, update_cols)
     old = current.withColumn("_old", F.lit(True)).alias("o")
     new = changes.withColumn("_new", F.lit(True)).alias("n")
     merged = old.join(new, keys, "full_outer")
@@ -43,9 +62,10 @@ def upsert(
     return merged.select(*[pick(c) for c in current.columns])
 
 
-def seed(current: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert rows whose key is not there yet."""
-    fresh = rows.dropDuplicates(list(keys)).join(current.select(*keys), list(keys), "left_anti")
+def seed(current: DataFrame, rows: DataFrame, keys: Sequence[str], order_by: str | None = None) -> DataFrame:
+    """Insert rows whose key is not there yet; of several the first by ``order_by``, without which they are an error."""
+    first = one_per_key(rows, keys, order_by, last=())
+    fresh = first.join(current.select(*keys), list(keys), "left_anti")
     return current.unionByName(fresh, allowMissingColumns=True).select(*current.columns)
 
 
@@ -82,13 +102,29 @@ def remove_devices(olt: DataFrame, ont: DataFrame, power: DataFrame, gone: DataF
     return Remaining(olt.join(ids, "id", "left_anti"), cascade(ont, ids, "olt_id").select(*ont.columns), cascade(power, units, "ont_id").select(*power.columns))
 
 
-def apply_patches(ont: DataFrame, patches: DataFrame) -> DataFrame:
+def fold_patches(patches: DataFrame, order_by: str | None = None) -> DataFrame:
+    """One patch per id: of each field the last one sent, by ``order_by``. Without it a repeated id is an error."""
+    if order_by is None:
+        return one_per_key(patches, ["id"])
+    sent = {c: F.coalesce(F.col(c), F.lit(False)) for c in ("has_cto", "has_lon", "has_lat")}
+    both = sent["has_lon"] & sent["has_lat"]
+
+    def newest(value: str, if_sent):
+        return F.max_by(value, F.when(if_sent, F.col(order_by))).alias(value)
+
+    return patches.groupBy("id").agg(
+        F.max(sent["has_cto"]).alias("has_cto"), newest("cto_uuid", sent["has_cto"]),
+        F.max(both).alias("has_lon"), newest("lon", both), F.max(both).alias("has_lat"), newest("lat", both))
+
+
+def apply_patches(ont: DataFrame, patches: DataFrame, order_by: str | None = None) -> DataFrame:
     """Set the fields a patch sent, by unit id; ids that are not there are passed over.
 
     A patch row says by ``has_cto``, ``has_lon`` and ``has_lat`` what was sent. A position
-    needs both coordinates sent; if one of them is NULL the position becomes NULL. One row per
-    id. A patch that sends nothing is refused by ``empty_patches``.
+    needs both coordinates sent; if one of them is NULL the position becomes NULL. Patches of one id count one
+    after the other by ``order_by``; without it a repeated id is an error. A patch that sends nothing is refused by ``empty_patches``.
     """
+    patches = fold_patches(patches, order_by)
     lon, lat = make_point(F.col("p.lon"), F.col("p.lat"))
     has_cto = F.coalesce("p.has_cto", F.lit(False))
     has_point = F.coalesce("p.has_lon", F.lit(False)) & F.coalesce("p.has_lat", F.lit(False))

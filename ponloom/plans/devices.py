@@ -14,6 +14,6 @@ SYNCED = ["host", "port", "poll_interval", "prompt", "description"]
 def sync_devices(olt: DataFrame, config: DataFrame) -> DataFrame:
     """The device table after a configuration was read: new devices added, known ones updated.
 
-    Devices that left the configuration stay. A configuration names a device once.
+    Devices that left the configuration stay. Of a device that a configuration names several times the later settings count.
     """
-    return upsert(olt, config_devices(overlay_config(config)), ["id"], SYNCED)
+    return upsert(olt, config_devices(overlay_config(config)), ["id"], SYNCED, order_by="place")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ponloom.functions.geo import is_located
+from ponloom.plans.checks import bounded
 from ponloom.plans.units import with_ports
 
 
@@ -44,3 +45,17 @@ def unlocated_tree(ont: DataFrame, olt: DataFrame) -> DataFrame:
     ports = _counts(ont, olt)
     devices = ports.groupBy("olt_id").agg(F.sum("cnt").alias("olt_cnt"))
     return ports.join(devices, "olt_id").select("olt_id", "olt_name", "olt_cnt", "pon_id", "cnt").orderBy("olt_id", "pon_id")
+
+
+def unlocated_devices(ont: DataFrame, olt: DataFrame, after: str | None = None, limit: int = 50) -> DataFrame:
+    """One page of devices with their ports nested: (olt_id, olt_name, cnt, pons), pons being (pon_id, cnt) in order.
+
+    Devices go by id, from the one after ``after``. A device has as many ports as its hardware, so a page is small.
+    """
+    bounded("limit", limit, 1, 1000)
+    units = ont.where(~is_located()) if after is None else ont.where(~is_located() & (F.col("olt_id") > after))
+    # The devices of the page first, so that only their units are counted by port.
+    page = units.select("olt_id").join(olt.select(F.col("id").alias("olt_id")), "olt_id", "left_semi").distinct().orderBy("olt_id").limit(limit)
+    ports = _counts(units.join(page, "olt_id", "left_semi"), olt)
+    nested = F.array_sort(F.collect_list(F.struct("pon_id", "cnt"))).alias("pons")
+    return ports.groupBy("olt_id", "olt_name").agg(F.sum("cnt").alias("cnt"), nested).orderBy("olt_id")

@@ -23,18 +23,18 @@ def overlay(defaults: Column, device: Column) -> Column:
 
 
 def overlay_config(config: DataFrame) -> DataFrame:
-    """One row per device: its ``id`` and ``settings`` without secrets."""
-    devices = config.select("defaults", F.explode("olts").alias("device"))
+    """One row per device entry: its ``id``, ``settings`` without secrets and its ``place`` in the list."""
+    devices = config.select("defaults", F.posexplode("olts").alias("place", "device"))
     settings = F.map_filter(overlay(F.col("defaults"), F.col("device")), lambda k, _: ~k.isin(SECRETS))
-    return devices.select(F.col("device")["id"].alias("id"), settings.alias("settings"))
+    return devices.select(F.col("device")["id"].alias("id"), settings.alias("settings"), "place")
 
 
 def config_devices(devices: DataFrame) -> DataFrame:
-    """Rows of the device table from ``overlay_config``."""
+    """Rows of the device table from ``overlay_config``, with their place."""
     s = F.col("settings")
     wide = devices.select(*[
         F.col("id") if f.name == "id" else s[f.name].try_cast(f.dataType).alias(f.name) for f in OLT.fields
-    ])
+    ], "place")
     return wide.fillna(DEFAULT_POLL_INTERVAL, ["poll_interval"])
 
 

@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -16,6 +18,13 @@ def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
+def test_a_missing_library_leaves_the_other_queries():
+    code = "import sys; sys.modules['zstandard'] = None; import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op') and n[2].isdigit() for n in e.queries()))"
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    out = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert out == [str(len(QUERIES)), "False"]
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the given tables")
 @pytest.mark.parametrize("name", LIGHT)
 def test_columns_and_row_count(spark, name):
