@@ -178,26 +178,25 @@ def _settle_moves(checked: DataFrame, stored: DataFrame) -> tuple[DataFrame, Dat
         return steps.selectExpr("line", "accepted", "set_olt AS to_olt", "set_unit AS to_unit"), steps.selectExpr(
             "set_olt AS olt", "set_unit AS unit", "line AS from_line", "line AS to_line", "id AS owner")
     lines = stored_rows(good.where("NOT by_id").selectExpr("olt_key AS olt", "unit_key AS unit", "line"), "key-lines")
-    inserts, seen = None, (0, None)
     while True:
-        owned, judged, inserts = _judge(steps, lines, stored, inserts)
+        owned, judged = _judge(steps, lines, stored)
         flips = judged.where("accepted <> guess").select("line")
-        both = judged.select((F.col("accepted") != F.col("guess")).alias("flip"), F.lit(None).cast("bigint").alias("h")).union(
-            inserts.select(F.lit(None).cast("boolean"), F.xxhash64("olt", "unit", "line")))
-        mark = both.agg(F.count_if("flip").alias("flips"), F.count("h").alias("n"), F.bit_xor("h").alias("h")).first()
-        if mark["flips"] == 0 and (mark["n"], mark["h"]) == seen:
+        if flips.isEmpty():
             return judged.select("line", "accepted", "to_olt", "to_unit"), owned
-        seen = (mark["n"], mark["h"])
-        if mark["flips"]:
-            judged = _carried(judged, flips)
-        steps = judged.drop("guess", "to_olt", "to_unit", "waits_for")
+        steps = _carried(judged, flips).select(*steps.columns)
 
 
-def _judge(steps: DataFrame, lines: DataFrame, stored: DataFrame, inserts: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One round: who has which key if the guesses (``accepted``) of the last round hold, the verdicts that follow, and the inserts.
+def _owned(events: DataFrame) -> DataFrame:
+    """Who has a key after which line up to which, from (olt, unit, line, owner)."""
+    follow = Window.partitionBy("olt", "unit").orderBy("line")
+    return events.select(
+        "olt", "unit", F.col("line").alias("from_line"), F.coalesce(F.lead("line").over(follow), F.lit(AFTER_ALL)).alias("to_line"), "owner")
+
 
-    ``waits_for`` is the line of the other unit that a verdict hangs on: the move that freed the key, or the last
-    one by which its owner was to leave and did not. The verdict is then the same as that line's.
+def _judge(steps: DataFrame, lines: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One round: who has which key if the guesses (``accepted``) of the last round hold, and the verdicts that follow.
+
+    The first line without id that meets a free key inserts it. If no verdict differs from its guess, all are right.
     """
     before = Window.partitionBy("id").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
 
@@ -206,42 +205,42 @@ def _judge(steps: DataFrame, lines: DataFrame, stored: DataFrame, inserts: DataF
 
     placed = steps.withColumn("from_olt", latest("olt")).withColumn("from_unit", latest("unit")).withColumns({
         "to_olt": F.coalesce("set_olt", "from_olt"), "to_unit": F.coalesce("set_unit", "from_unit")})
-    placed = stored_rows(placed.withColumn("moves", F.expr("from_olt <> to_olt OR from_unit <> to_unit")), "placed")
+    placed = placed.withColumn("moves", F.expr("from_olt <> to_olt OR from_unit <> to_unit"))
     changes = placed.where("accepted AND moves")
     keys = placed.selectExpr("from_olt AS olt", "from_unit AS unit").union(placed.select("to_olt", "to_unit")).distinct()
     owners = stored.selectExpr("olt_id AS olt", "vendor_ont_id AS unit", "id AS owner")
     events = keys.join(owners, ["olt", "unit"], "left").selectExpr("olt", "unit", f"{BEFORE_ALL}L AS line", "owner").union(
         changes.selectExpr("from_olt", "from_unit", "line", "CAST(NULL AS bigint)")).union(
         changes.select("to_olt", "to_unit", "line", "id"))
-    if inserts is not None:
-        events = events.union(inserts.join(keys, ["olt", "unit"], "left_semi").selectExpr("olt", "unit", "line", f"{FRESH}L"))
-    follow = Window.partitionBy("olt", "unit").orderBy("line")
-    owned = stored_rows(events.select(
-        "olt", "unit", F.col("line").alias("from_line"), F.coalesce(F.lead("line").over(follow), F.lit(AFTER_ALL)).alias("to_line"), "owner"), "owners")
-    met = placed.alias("p").join(owned.alias("w"), F.expr(
+    events = stored_rows(events, "events")
+    free = _owned(events).where("owner IS NULL")
+    inserts = lines.alias("l").join(free.alias("w"), F.expr(
+        "l.olt = w.olt AND l.unit = w.unit AND l.line > w.from_line AND l.line <= w.to_line")).groupBy("w.olt", "w.unit", "w.from_line").agg(
+        F.min("l.line").alias("line")).selectExpr("olt", "unit", "line", f"{FRESH}L AS owner")
+    owned = stored_rows(_owned(events.union(inserts)), "owners")
+    judged = stored_rows(placed.alias("p").join(owned.alias("w"), F.expr(
         "p.to_olt = w.olt AND p.to_unit = w.unit AND p.line > w.from_line AND p.line <= w.to_line"), "left").selectExpr(
         *[f"p.{c}" for c in steps.columns if c != "accepted"], "p.accepted AS guess", "p.to_olt", "p.to_unit", "p.moves", "owner", "from_line",
-        "owner IS NULL OR owner = p.id AS accepted")
-    # The last move of the owner before the line, among those that did not hold.
-    tries = met.select("line", F.col("owner").alias("unit"), F.lit(None).cast("bigint").alias("tried")).where(f"unit <> {FRESH}").unionByName(
-        placed.where("moves AND NOT accepted").select("line", F.col("id").alias("unit"), F.col("line").alias("tried")))
-    last_try = tries.select("line", "unit", "tried", F.last("tried", ignorenulls=True).over(
-        Window.partitionBy("unit").orderBy("line").rangeBetween(Window.unboundedPreceding, -1)).alias("refused"))
+        "owner IS NULL OR owner = p.id AS accepted"), "moves")
+    return owned, judged
+
+
+def _waits(judged: DataFrame) -> DataFrame:
+    """(line, to): the line of another unit that a verdict hangs on, and is the same as: the move that freed the key, or the last one by which
+    its owner was to leave and did not."""
+    tries = judged.selectExpr("line", "owner AS unit", "CAST(NULL AS bigint) AS tried").where(f"unit <> {FRESH}").union(
+        judged.where("moves AND NOT guess").selectExpr("line", "id", "line"))
+    before = Window.partitionBy("unit").orderBy("line").rangeBetween(Window.unboundedPreceding, -1)
+    last_try = tries.withColumn("refused", F.last("tried", ignorenulls=True).over(before))
     refused = last_try.where("tried IS NULL AND refused IS NOT NULL").select("line", "refused")
-    judged = met.join(refused, "line", "left").withColumn("waits_for", F.expr(f"""CASE
-        WHEN owner IS NULL AND from_line > {BEFORE_ALL} THEN from_line WHEN owner <> id AND refused > from_line THEN refused END""")).drop(
-        "moves", "owner", "from_line", "refused")
-    judged = stored_rows(judged, "moves")
-    free = owned.where("owner IS NULL")
-    inserts = stored_rows(lines.alias("l").join(free.alias("w"), F.expr(
-        "l.olt = w.olt AND l.unit = w.unit AND l.line > w.from_line AND l.line <= w.to_line")).groupBy("w.olt", "w.unit", "w.from_line").agg(
-        F.min("l.line").alias("line")), "inserts")
-    return owned, judged, inserts
+    waits = judged.join(refused, "line", "left").selectExpr("line", f"""CASE
+        WHEN owner IS NULL AND from_line > {BEFORE_ALL} THEN from_line WHEN owner <> id AND refused > from_line THEN refused END AS to""")
+    return stored_rows(waits.where("to IS NOT NULL"), "waits")
 
 
 def _carried(judged: DataFrame, flips: DataFrame) -> DataFrame:
     """Verdicts with those of the first lines of chains carried to all lines that wait for them, if any of these lines changed."""
-    waits = judged.where("waits_for IS NOT NULL").selectExpr("line", "waits_for AS to")
+    waits = _waits(judged)
     if waits.join(flips.withColumnRenamed("line", "to"), "to", "left_semi").isEmpty():
         return judged
     ends = waits
