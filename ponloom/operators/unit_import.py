@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ponloom.functions.cells import cell, clean_cell, is_int_sql, strip_sql, to_int_sql
 from ponloom.operators.lineage import stored as stored_rows
@@ -101,6 +101,20 @@ def _error_text() -> str:
       ELSE code END"""
 
 
+def _deal(key: list[str], line: str | None = None) -> Column:
+    """What rows are dealt by besides the key. Lines that lack a part of the key meet no row; by the key they would all go to one task, so
+    they go by their number."""
+    whole = F.xxhash64(*key)
+    if line is None:
+        return whole
+    return F.when(F.array_contains(F.array(*[F.col(c).isNull() for c in key]), True), F.xxhash64(line)).otherwise(whole)
+
+
+def _left(lines: DataFrame, other: DataFrame, key: list[str]) -> DataFrame:
+    """A left join by the key that spreads the lines without one."""
+    return lines.withColumn("_deal", _deal(key, "line")).join(other.withColumn("_deal", _deal(key)), ["_deal", *key], "left").drop("_deal")
+
+
 def classify(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> DataFrame:
     """What each line does: ``action`` is inserted, updated, skipped or error.
 
@@ -114,14 +128,14 @@ def classify(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> DataFrame:
     # Resolve the distinct ids and keys of the file, then bring the answers back to its lines.
     ids = parsed.where("by_id AND id IS NOT NULL").select("id").distinct()
     by_id = stored.join(ids, "id", "left_semi").selectExpr("id", "olt_id AS old_olt", "vendor_ont_id AS old_unit")
-    target = parsed.join(by_id, "id", "left").selectExpr(
+    target = _left(parsed, by_id, ["id"]).selectExpr(
         "*", "if(olt_id.is_set, olt_id.value, old_olt) AS olt_key",
         "if(vendor_ont_id.is_set, vendor_ont_id.value, old_unit) AS unit_key",
     )
     keys = target.where("code IS NULL").select(*key).distinct()
     owner = stored.selectExpr("olt_id AS olt_key", "vendor_ont_id AS unit_key", "id AS owner").join(keys, key, "left_semi")
     devices = olt.selectExpr("id AS olt_key", "true AS device")
-    placed = target.join(owner, key, "left").join(devices, "olt_key", "left")
+    placed = _left(_left(target, owner, key), devices, ["olt_key"])
     checked = stored_rows(
         placed.selectExpr(
             *[c for c in placed.columns if c != "code"],
@@ -143,15 +157,15 @@ def classify(ont: DataFrame, olt: DataFrame, lines: DataFrame) -> DataFrame:
     )
     # Who has the key of a line without id: as settled for moved keys, else the stored unit.
     at = owned.selectExpr("olt AS olt_key", "unit AS unit_key", "from_line", "to_line", "owner AS holder", "true AS moved_key")
-    by_key = settled.where("NOT by_id").alias("s").join(at.alias("w"), F.expr(
-        "s.olt_key = w.olt_key AND s.unit_key = w.unit_key AND s.line > w.from_line AND s.line <= w.to_line"), "left").selectExpr(
-        "s.*", f"CASE WHEN moved_key IS NULL THEN owner WHEN holder <> {FRESH} THEN holder END AS held", "moved_key AND holder IS NULL AS takes")
+    by_key = settled.where("NOT by_id").withColumn("_deal", _deal(key, "line")).alias("s").join(at.withColumn("_deal", _deal(key)).alias("w"), F.expr(
+        "s._deal = w._deal AND s.olt_key = w.olt_key AND s.unit_key = w.unit_key AND s.line > w.from_line AND s.line <= w.to_line"), "left").selectExpr(
+        "s.*", f"CASE WHEN moved_key IS NULL THEN owner WHEN holder <> {FRESH} THEN holder END AS held", "moved_key AND holder IS NULL AS takes").drop("_deal")
     placed_lines = by_key.unionByName(settled.where("by_id").selectExpr("*", "CAST(NULL AS bigint) AS held", "false AS takes"))
 
     # The first good line of a key that nobody has inserts it.
     fresh = "code IS NULL AND NOT by_id AND held IS NULL AND takes IS NULL"
     first = placed_lines.where(fresh).groupBy(*key).agg(F.min("line").alias("first_line"))
-    return placed_lines.join(first, key, "left").selectExpr(
+    return _left(placed_lines, first, key).selectExpr(
         *_where(lines),
         """CASE WHEN code IS NOT NULL THEN 'error'
           WHEN by_id THEN if(has_values OR sets_key, 'updated', 'skipped')
