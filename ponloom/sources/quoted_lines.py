@@ -92,7 +92,8 @@ def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
     splits = cut(_with_swaps(splits, upto).withColumn("begins_inside", F.coalesce(_state(F.lit(False), before), F.lit(False))))
     easy = ~F.col("begins_inside") & (F.col("n_open") == 0) & (F.col("n_blank") == 0)
     starts = splits.select("file", "split", "first", "begins_inside", easy.alias("easy"))
-    placed = lines.join(starts, ["file", "split"])
+    # One row a split, here and below, so the lines themselves need no shuffle.
+    placed = lines.join(F.broadcast(starts), ["file", "split"])
 
     inner = Window.partitionBy("file", "split").orderBy("at")
     hard = _with_swaps(placed.where("NOT easy"), inner.rowsBetween(Window.unboundedPreceding, 0))
@@ -110,9 +111,9 @@ def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
 
     key = ["file", "split"]
     text = F.rtrim("value", F.lit("\r")).alias("text")
-    whole = placed.where("easy").join(numbers, key).select(
+    whole = placed.where("easy").join(F.broadcast(numbers), key).select(
         "file", (F.col("in_file") + F.col("at") - F.col("first")).alias("record"), (F.col("in_all") + F.col("at") - F.col("first")).alias("place"), text)
-    known = hard.join(numbers, key).withColumns({"record": F.col("in_file") + F.col("nth") - 1, "place": F.col("in_all") + F.col("nth") - 1})
+    known = hard.join(F.broadcast(numbers), key).withColumns({"record": F.col("in_file") + F.col("nth") - 1, "place": F.col("in_all") + F.col("nth") - 1})
     single = known.where("NOT continues AND NOT open").select("file", "record", "place", text)
     parts = known.where("continues OR open").groupBy("file", "record", "place").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("lines"))
     several = parts.select("file", "record", "place", F.rtrim(F.array_join("lines.value", "\n"), F.lit("\r")).alias("text"))

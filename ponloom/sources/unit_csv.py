@@ -36,7 +36,7 @@ def read_unit_csv(spark: SparkSession, path: str, multi_line: bool = True) -> Da
         raise ValueError(f"missing CSV columns: {', '.join(c for c in UNIT_CSV if lacking[c] is None)}, in {lacking['file']}")
     # One row a file, too, in the order of their paths.
     files = at.select("file", F.struct(*UNIT_CSV).alias("at"), F.rank().over(Window.orderBy("file")).alias("nth"))
-    cells = _with_cells(records.where("record > 0").join(files, "file"), n)
+    cells = _with_cells(records.where("record > 0").join(F.broadcast(files), "file"), n)
     return cells.select(
         "file", (F.col("record") - 1 + FIRST_LINE).alias("record"), (F.col("place") - F.col("nth") + FIRST_LINE).alias("line"),
         *[F.element_at("cells", F.col(f"at.{c}").cast("int")).alias(c) for c in UNIT_CSV])

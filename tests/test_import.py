@@ -5,7 +5,9 @@ import re
 
 import pytest
 from conftest import values
+from pyspark.sql import functions as F
 
+from checks.catalog import _import_folders, _in_folders
 from ponloom.operators import unit_import
 from ponloom.operators.unit_import import import_units
 from ponloom.schemas import UNIT_CSV
@@ -280,3 +282,42 @@ def test_against_line_by_line_model(spark, seed, moves):
     assert {r["line"]: r["action"] for r in done.lines.collect()} == actions
     assert values(done.units, *columns) == sorted((tuple(u[c] for c in columns) for u in state.values()), key=repr)
     assert done.units.select("id").distinct().count() == len(state)
+
+
+def test_lines_without_a_key_are_spread(spark):
+    """Lines that lack the key of a join would else all be sorted by one task."""
+    lines = spark.range(4000).selectExpr("id AS line", "if(id % 4 = 0, id % 100, NULL) AS id", "if(id % 3 = 0, 'k', NULL) AS name")
+    other = spark.createDataFrame([(k, "k", k * 10) for k in range(0, 100, 2)], "id long, name string, found long")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, value in settings.items():
+            spark.conf.set(k, value)
+        for key in (["id"], ["id", "name"]):
+            right = other.select(*key, "found")
+            joined = unit_import._left(lines, right, key)
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 4000 and max(sizes) < 1000
+            plain = lines.join(right, key, "left")
+            assert joined.columns == plain.columns and values(joined) == values(plain)
+    finally:
+        for k, value in before.items():
+            spark.conf.set(k, value)
+
+
+def test_import_from_many_files_a_folder(spark, tmp_path):
+    """The files of an import are written by many tasks; the place of an error in its folder stays the same."""
+    spark.range(3).selectExpr("CAST(id AS int) AS n_nationkey", "'n' || id AS n_name", "0 AS n_regionkey").write.parquet(str(tmp_path / "nation.parquet"))
+    spark.range(20).selectExpr("id AS c_custkey", "'c' || id AS c_name", "CAST(id % 3 AS int) AS c_nationkey", "1.0D AS c_acctbal", "'m' AS c_mktsegment").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.range(300).selectExpr("id AS o_orderkey", "id % 20 AS o_custkey", "'5-LOW' AS o_orderpriority").write.parquet(str(tmp_path / "orders.parquet"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        # Without it Spark keeps all parts of a sort, so that a small folder has several files.
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        lines = _import_folders(spark, str(tmp_path)).select("file", "record", "line").localCheckpoint()
+        placed = values(_in_folders(lines, lines), "line", "folder", "record")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert lines.select("file").distinct().count() > 3
+    # Lines from 2 to 301 of the import, and thirds of 101 numbers each.
+    assert placed == sorted(((n, n // 101, n % 101 + (0 if n < 101 else 2)) for n in range(2, 302)), key=repr)
