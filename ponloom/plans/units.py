@@ -156,6 +156,13 @@ def _of_port(ont: DataFrame, olt: DataFrame, olt_id: str | None, pon_id: str | N
     return units.where(F.col("pon_id") == pon_id) if pon_id else units
 
 
+def _port_units(ont: DataFrame, olt: DataFrame, olt_id: str, pon_id: str, only_unlocated: bool) -> DataFrame:
+    if only_unlocated:
+        ont = ont.where(~is_located())
+    units = _of_port(ont.where(F.col("olt_id") == olt_id), olt.where(F.col("id") == olt_id), None, None)
+    return units.where(F.col("pon_id") == pon_id).select(*PORT_UNIT)
+
+
 def port_units(
     ont: DataFrame, olt: DataFrame, olt_id: str, pon_id: str, only_unlocated: bool = False,
     limit: int = 200, offset: int = 0,
@@ -163,11 +170,8 @@ def port_units(
     """Units of one port in id order, on request only those without a position."""
     bounded("limit", limit, 1, 1000)
     bounded("offset", offset, 0)
-    if only_unlocated:
-        ont = ont.where(~is_located())
-    units = _of_port(ont.where(F.col("olt_id") == olt_id), olt.where(F.col("id") == olt_id), None, None)
-    units = units.where(F.col("pon_id") == pon_id)
-    return Page(_cut(units.select(*PORT_UNIT), limit, offset), _total(units))
+    units = _port_units(ont, olt, olt_id, pon_id, only_unlocated)
+    return Page(_cut(units, limit, offset), _total(units))
 
 
 def search_units(
@@ -202,16 +206,21 @@ def port_units_in_bbox(
 def unit_pages(
     ont: DataFrame, olt: DataFrame, olt_id: str, pon_id: str, size: int = 200
 ) -> Iterator[list[Row]]:
-    """Pages of the units of a port without a position, by keyset, until a page is short."""
-    last = None
-    while True:
-        rest = ont if last is None else ont.where(F.col("id") > last)
-        rows = port_units(rest, olt, olt_id, pon_id, only_unlocated=True, limit=size).rows.collect()
-        if rows:
+    """Pages of the units of a port without a position, by keyset, until a page is short.
+
+    The units are read once, in id order, and a page takes those behind the last id of the page before. One task's share of them is held at a time.
+    """
+    bounded("size", size, 1, 1000)
+    rows, last = [], None
+    for row in _port_units(ont, olt, olt_id, pon_id, only_unlocated=True).orderBy("id").toLocalIterator():
+        if last is not None and row["id"] <= last:
+            continue
+        rows.append(row)
+        if len(rows) == size:
             yield rows
-        if len(rows) < size:
-            return
-        last = rows[-1]["id"]
+            rows, last = [], row["id"]
+    if rows:
+        yield rows
 
 
 def to_features(df: DataFrame, shape: str) -> DataFrame:

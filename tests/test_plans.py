@@ -116,6 +116,22 @@ def test_pages_follow_each_other(spark):
     assert units.port_units_in_bbox(ont, olt, "not even read").count() == 0
 
 
+def test_pages_read_the_units_once(spark):
+    """The number of jobs does not grow with the pages; of ids that repeat across the end of a page the rest is passed over."""
+    olt = spark.createDataFrame([("o", "zyxel2406", "")], "id string, vendor string, description string")
+    port = spark.createDataFrame([(i,) for i in [*range(60), 59, 60, 60, 60]], "id long").selectExpr(
+        "id", "'o' AS olt_id", "concat('ont-1-3-', id) AS vendor_ont_id", "CAST(NULL AS string) AS cto_uuid", "CAST(NULL AS double) AS lon",
+        "CAST(NULL AS double) AS lat", "'' AS serial", "'' AS model", "'' AS description", "0 AS status").repartition(4).localCheckpoint()
+    spark.sparkContext.setJobGroup("pages", "pages")
+    try:
+        pages = [[r["id"] for r in p] for p in units.unit_pages(port, olt, "o", "1-3", size=2)]
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("pages"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert pages == [[i, i + 1] for i in range(0, 60, 2)] + [[60, 60]]
+    assert jobs < len(pages)
+
+
 def test_parameters_are_checked(spark):
     ont, olt, power = v.ont(spark, DATA), v.olt(spark, DATA), v.power(spark, DATA)
     now = datetime(2024, 1, 31)
